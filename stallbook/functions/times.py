@@ -22,9 +22,8 @@ def open_end() -> Column:
 
 
 def millis(ts: Column) -> Column:
-    """Milliseconds since 1970, rounded down; independent of the session time zone."""
-    zero = ntz("1970-01-01 00:00:00")
-    return F.floor(F.timestamp_diff("MICROSECOND", zero, ts.cast("timestamp_ntz")) / F.lit(1000)).cast("bigint")
+    """Whole milliseconds since 1970; independent of the session time zone for zone-less times."""
+    return F.timestamp_diff("MILLISECOND", ntz("1970-01-01 00:00:00"), ts.cast("timestamp_ntz"))
 
 
 def parse_time(c: Column, extract: str | None = None, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:

@@ -61,7 +61,9 @@ def write_partitioned(
     Rows are spread over a fixed number of salted tasks per partition value, so a day that
     holds most rows is written by many tasks and a small one by few files.
     """
-    salt = F.floor(F.rand(seed=7) * files_per_partition) if files_per_partition > 1 else F.lit(0)
+    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    # A hash of the row, unlike a random number, sends a recomputed row to the same task.
+    salt = F.pmod(F.xxhash64(*hashable), F.lit(files_per_partition))
     spread = df.withColumn("__salt", salt).repartition(*partitions, "__salt").drop("__salt")
     (
         spread.write.mode(mode)
@@ -78,9 +80,9 @@ def late_rows(df: DataFrame, day: str, slice_day: str, days: int = 30) -> DataFr
 
 
 def export_mode(letter: str | None) -> str:
-    """Write mode of a mode letter; no letter means append."""
+    """Write mode of a mode letter; without one an existing table is an error."""
     if letter is None:
-        return "append"
+        return EXPORT_MODES["E"]
     try:
         return EXPORT_MODES[letter.upper()]
     except KeyError:
