@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def clean_join(c: Column, separator: str = "|") -> Column:
     """Trimmed, non-blank elements joined by a bar; null if nothing is left."""
-    kept = F.filter(F.transform(c, F.trim), lambda x: F.length(x) > 0)
+    kept = F.filter(F.transform(c, lambda x: F.trim(x)), lambda x: F.length(x) > 0)
     return F.nullif(F.array_join(kept, separator), F.lit(""))
 
 
