@@ -6,7 +6,7 @@ lines, the rest are dimensions. Every frame covers its whole table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallbook.catalog.registry import Tables
@@ -28,16 +28,25 @@ def history(t: Tables) -> DataFrame:
     )
 
 
-def event_number():
+def event_number() -> Column:
     """The number inside an event's properties, as in {"k": 69}."""
     return text.number_field(F.col("props"), "k")
 
 
+def meter() -> Column:
+    """Views and clicks run on cores, ``view2core`` say; other events are plain meters."""
+    cores = F.concat("event_type", F.pmod(F.col("user_id"), F.lit(4)).cast("string"), F.lit("core"))
+    return F.when(F.col("event_type").isin("view", "click"), cores).otherwise(F.col("event_type"))
+
+
+METER_SQL = "CASE WHEN event_type IN ('view', 'click') THEN event_type || (user_id % 4) || 'core' ELSE event_type END"
+
+
 def price_intervals(t: Tables) -> DataFrame:
     """Price intervals per order and meter from price-setting events (value above 20)."""
     k = event_number()
     priced = t.events.where(F.col("value") > 20).select(
-        "event_id", F.col("user_id").alias("order_id"), F.col("event_type").alias("meter"), "ts",
+        "event_id", F.col("user_id").alias("order_id"), meter().alias("meter"), "ts",
         F.when(k < 15, F.lit(0.0)).otherwise(F.col("value")).alias("price"),
         F.when(k.between(15, 29), "Trial").when(k.between(30, 44), "Promotion").otherwise("None").alias("discount"),
     )
@@ -48,9 +57,9 @@ def price_intervals(t: Tables) -> DataFrame:
     )
 
 
-PRICE_INTERVALS_SQL = """
+PRICE_INTERVALS_SQL = f"""
 price_intervals AS (
-  SELECT user_id AS order_id, event_type AS meter,
+  SELECT user_id AS order_id, {METER_SQL} AS meter,
          CASE WHEN k < 15 THEN 0.0 ELSE value END AS price,
          CASE WHEN k BETWEEN 15 AND 29 THEN 'Trial' WHEN k BETWEEN 30 AND 44 THEN 'Promotion' ELSE 'None' END AS discount,
          ts AS start_ts,
@@ -70,13 +79,21 @@ KNOWN_ORDERS_SQL = """
 known_orders AS (SELECT DISTINCT user_id AS order_id FROM events WHERE event_type = 'signup' AND value > 40)"""
 
 
-def usage(t: Tables, *types: str) -> DataFrame:
-    return t.events.where(F.col("event_type").isin(*types)).select(
-        F.col("user_id").alias("order_id"), F.col("event_type").alias("meter"),
+def usage(t: Tables) -> DataFrame:
+    """Every event as a usage row; the part number is its type."""
+    return t.events.select(
+        F.col("user_id").alias("order_id"), meter().alias("meter"), F.col("event_type").alias("part_number"),
         F.to_date("ts").alias("usage_date"), F.col("value").alias("units"), F.col("props").alias("info"),
     )
 
 
+USAGE_SQL = f"""
+usage AS (
+  SELECT user_id AS order_id, {METER_SQL} AS meter, event_type AS part_number, CAST(ts AS DATE) AS usage_date,
+         value AS units, props AS info FROM events
+)"""
+
+
 def rates(t: Tables) -> DataFrame:
     """Exchange rates from purchases: four currencies, several pulls a day."""
     bought = t.events.where(F.col("event_type") == "purchase")
@@ -86,7 +103,7 @@ def rates(t: Tables) -> DataFrame:
     ).where(F.col("rate_currency") != "XXX")
 
 
-def currency(key):
+def currency(key: Column) -> Column:
     """Five currencies; no rate is ever published for the last one."""
     names = F.array(*[F.lit(c) for c in ("USD", "EUR", "GBP", "JPY", "XXX")])
     return F.element_at(names, (F.pmod(key, F.lit(5)) + 1).cast("int"))

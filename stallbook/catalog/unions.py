@@ -35,15 +35,14 @@ SELECT user_id, event_type, value * 24, 'CoreUsage' FROM events WHERE event_type
 def u_union_all(t: Tables):
     from stallbook.plans.usage import core_quantity
 
-    daily = frames.usage(t, "view").select(
-        "order_id", F.col("meter").alias("usage_type"), F.col("units").alias("quantity"),
-        F.lit("UsageDaily").alias("usage_data_source"),
-    )
-    core = frames.usage(t, "click").select(
-        "order_id", F.col("meter").alias("usage_type"), core_quantity(F.col("units")).alias("quantity"),
-        F.lit("CoreUsage").alias("usage_data_source"),
-    )
-    return daily.unionByName(core)
+    def of(kind: str, quantity, source: str):
+        return frames.usage(t).where(F.col("part_number") == kind).select(
+            "order_id", F.col("part_number").alias("usage_type"), quantity.alias("quantity"),
+            F.lit(source).alias("usage_data_source"),
+        )
+
+    units = F.col("units")
+    return of("view", units, "UsageDaily").unionByName(of("click", core_quantity(units), "CoreUsage"))
 
 
 @query(

@@ -162,6 +162,12 @@ class OfferSources:
     multi_solutions: DataFrame
 
 
+def newest_version(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The highest version per key; the smallest row among equal versions."""
+    ties = [Sort(c) for c in df.columns if c not in (*keys, "version")]
+    return newest(df, keys, [Sort("version", descending=True), *ties])
+
+
 def offer_dimension(s: OfferSources, publisher_names: dict[str, str]) -> DataFrame:
     """The offer dimension: newest version of everything, remapped types, multi-resource items."""
 
@@ -170,22 +176,19 @@ def offer_dimension(s: OfferSources, publisher_names: dict[str, str]) -> DataFra
         return df.withColumn("publisher", name)
 
     plan_keys = ["publisher", "offer", "plan"]
-    version = Sort("version", descending=True)
     plans = named(s.plans)
-    plan_rows = newest(plans, plan_keys, [version]).select(*plan_keys)
-    metered = newest(plans.where(F.col("effect") == METERED_EFFECT), plan_keys, [version]).select(
-        *plan_keys, F.col("version").alias("metered_version")
+    plan_rows = plans.select(*plan_keys).distinct()
+    metered = plans.where(F.col("effect") == METERED_EFFECT).groupBy(*plan_keys).agg(
+        F.max("version").alias("metered_version")
     )
-    current = newest(named(s.offers).where(F.col("offer").isNotNull()), ["publisher", "offer"], [version])
+    current = newest_version(named(s.offers).where(F.col("offer").isNotNull()), ["publisher", "offer"])
     current = current.select(
         "publisher", "offer", "offer_id", "offer_type", F.col("version").alias("version_published"),
         times.parse_millis(F.col("created_text"), OFFER_TIME, times.MILLIS_FORMAT).alias("created_millis"),
         text.flag_text(F.col("is_preview")).alias("is_preview"),
     )
-    details = newest(
-        s.details.withColumnRenamed("publisher_nid", "publisher"), plan_keys, [version]
-    ).drop("version")
-    vm = newest(s.images, plan_keys, [version]).select(*plan_keys, "os_name", "os_family")
+    details = newest_version(s.details.withColumnRenamed("publisher_nid", "publisher"), plan_keys).drop("version")
+    vm = newest_version(s.images, plan_keys).select(*plan_keys, "os_name", "os_family")
     baseline = newest(s.baseline_ids, plan_keys, [Sort("plan_id")])
     plan_over = newest(s.plan_overrides, ["offer", "plan_override"], [Sort("plan")]).select(
         "offer", F.col("plan_override").alias("plan"), F.col("plan").alias("plan_name_override")

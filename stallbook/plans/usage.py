@@ -1,10 +1,335 @@
-"""Usage facts."""
+"""Usage facts: daily load, priced usage, multi-resource usage and the final fact.
 
-from pyspark.sql import Column
+Usage frames have: order_id, meter, uri, usage_date (date), units and any of the other group
+columns. Price intervals have: order_id, meter, discount, price, start_ts, end_ts (null = open).
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stallbook.functions import states, text, times
+from stallbook.operators.audit import with_lineage
+from stallbook.operators.hot import Sort, ranked
+from stallbook.operators.joins import guarded_lookup, interval_matches, match_flag, null_as_empty
+from stallbook.operators.sets import checked_union, union_distinct
+from stallbook.operators.windows import newest
+from stallbook.sources.readers import latest_publication, look_back
+from stallbook.sources.writers import late_rows
+
+# Units, words looked for in resource addresses and properties, and labels.
 HOURS_PER_DAY = 24
+CORE_WORD = "core"
+STACK_RULES = (("classiccompute", "RDFE"), ("compute", "CRP"))
+UNKNOWN_STACK = "Unknown"
+DATA_TRANSFER_WORD = "datatr"
+SOFTWARE_PATTERN = "%compute%sw%"
+GOVERNMENT_WORD = "gov"
+DAILY_SOURCE, MULTI_SOURCE = "UsageDaily", "UsageDaily MultiSolution"
+DEFAULT_OS_FAMILY = "linux"
+OS_FAMILY_PREFIX = "iaas - "
+ORACLE_IMAGE_PATTERN = "%windows\\_oracle%"
+ORACLE_PRICE_TYPE = "oracle"
+ORACLE_TIERS = (
+    ("windows\\_oracle\\_12c\\_db%\\_ent", "Database Enterprise"),
+    ("windows\\_oracle\\_12c\\_db%\\_std", "Database Standard"),
+    ("windows\\_oracle\\_12c\\_wls\\_ent", "Weblogic Server Enterprise"),
+    ("windows\\_oracle\\_12c\\_wls\\_std", "Weblogic Server Standard"),
+)
+
+USAGE_KEYS = [
+    "order_id", "subscription_id", "meter", "uri", "region", "project", "service_info1", "service_info2",
+    "usage_date", "properties", "part_number", "tags", "stack", "cores", "vm_size", "is_missing", "info", "publisher",
+]
 
 
 def core_quantity(machines: Column) -> Column:
+    """Core hours of machines that ran all day."""
     return machines * HOURS_PER_DAY
+
+
+def daily_load(
+    published: DataFrame, late: DataFrame, slice_day: str, days: int, run_id: str,
+    day: str = "usage_date", publication: str = "aggregatedts", late_days: int = 30,
+) -> DataFrame:
+    """Newest publication of each look-back day plus the late rows, flagged and with lineage.
+
+    Call ``readers.days_without_rows`` first to reject a load with missing days.
+    """
+    recent = latest_publication(look_back(published, day, slice_day, days), day, publication)
+    on_time = recent.drop(publication).withColumn("is_missing", F.lit(0))
+    missed = late_rows(late, day, slice_day, late_days).withColumn("is_missing", F.lit(1))
+    return with_lineage(checked_union(on_time, missed.drop(publication)), run_id)
+
+
+def described_usage(usage: DataFrame) -> DataFrame:
+    """Add core count, machine size and stack, as far as the source columns are present."""
+    added = {"cores": text.core_count(F.col("meter"))}
+    if "info" in usage.columns:
+        added["vm_size"] = text.quoted_field(F.col("info"))
+    if "uri" in usage.columns:
+        added["stack"] = text.classify_text(F.col("uri"), list(STACK_RULES), UNKNOWN_STACK)
+        added["uri"] = F.lower("uri")
+    return usage.withColumns({c: e for c, e in added.items() if c not in usage.columns or c == "uri"})
+
+
+def billable(usage: DataFrame, since: str, core_meters: bool, excluded_order: str | None = None) -> DataFrame:
+    """Usage with an order and part number from a day on, of core meters or of all others."""
+    is_core = text.contains_text(F.col("meter"), CORE_WORD)
+    rows = usage.where(
+        F.col("order_id").isNotNull() & F.col("part_number").isNotNull()
+        & (F.col("usage_date") >= F.lit(since).cast("date"))
+    ).where(is_core if core_meters else ~is_core)
+    if excluded_order is None:
+        return rows
+    return rows.where(F.col("order_id") != excluded_order)
+
+
+def prices_in_force(usage: DataFrame, intervals: DataFrame) -> DataFrame:
+    """One price per order, meter and usage day: in force at 23:59:59 of the day."""
+    points = usage.select("order_id", "meter", "usage_date").distinct()
+    points = points.withColumn("point", times.end_of_day(F.col("usage_date")))
+    own = intervals.select(
+        F.col("order_id").alias("i_order"), F.col("meter").alias("i_meter"), "discount", "price", "start_ts", "end_ts"
+    )
+    held = interval_matches(points, own, [("order_id", "i_order"), ("meter", "i_meter")], "point", "start_ts", "end_ts")
+    one = newest(
+        held, ["order_id", "meter", "point"],
+        [F.col("end_ts").desc_nulls_first(), Sort("start_ts", True), Sort("price"), Sort("discount")],
+    )
+    return one.select(
+        F.col("order_id").alias("f_order"), F.col("meter").alias("f_meter"), F.to_date("point").alias("f_day"),
+        F.col("discount").alias("f_discount"), F.col("price").alias("f_price"),
+    )
+
+
+def latest_prices(intervals: DataFrame, as_of: Column) -> DataFrame:
+    """The newest interval per order and meter that lasts longer than a second."""
+    lasting = intervals.where(times.seconds_between(F.col("start_ts"), F.coalesce("end_ts", as_of)) > 1)
+    one = newest(
+        lasting, ["order_id", "meter"],
+        [F.col("end_ts").desc_nulls_first(), Sort("start_ts", True), Sort("price"), Sort("discount")],
+    )
+    return one.select(
+        F.col("order_id").alias("n_order"), F.col("meter").alias("n_meter"),
+        F.col("discount").alias("n_discount"), F.col("price").alias("n_price"),
+    )
+
+
+def priced_usage(
+    usage: DataFrame, intervals: DataFrame, known_orders: DataFrame, as_of: Column,
+    keys: list[str] = USAGE_KEYS, units: Column | None = None,
+) -> DataFrame:
+    """Units per keys with the price state of the order on that day.
+
+    Keys must contain order_id, meter and usage_date, on which alone the state depends; so
+    usage is rolled up before the lookups, which then see one row per group. A missing price
+    falls back to the newest one of the order and meter.
+    """
+    rolled = usage.groupBy(*keys).agg(F.sum(F.col("units") if units is None else units).alias("quantity"))
+    force, last = prices_in_force(usage, intervals), latest_prices(intervals, as_of)
+    known = known_orders.select(F.col("order_id").alias("k_order")).distinct()
+    order, meter = F.col("order_id"), F.col("meter")
+    wide = (
+        rolled.join(
+            force, (order == F.col("f_order")) & (meter == F.col("f_meter")) & (F.col("usage_date") == F.col("f_day")),
+            "left",
+        )
+        .join(known, order == F.col("k_order"), "left")
+        .join(last, (order == F.col("n_order")) & (meter == F.col("n_meter")), "left")
+    )
+    state = states.price_state(
+        F.col("f_order").isNotNull(), F.col("f_discount"), F.col("f_price"), F.col("k_order").isNotNull()
+    )
+    wide = wide.withColumn("state", state)
+    fallback = states.priced_state(
+        F.col("n_order").isNotNull(), F.col("n_discount"), F.col("n_price"), F.lit(states.MISSING_PRICE)
+    )
+    final = F.when(F.col("state") == states.MISSING_PRICE, fallback).otherwise(F.col("state"))
+    result = wide.withColumn("state", final).select(*keys, "quantity", "state")
+    if "cores" in keys:
+        result = result.withColumn("core_quantity", F.col("quantity") * F.col("cores"))
+    return result
+
+
+def usage_fact_rows(priced: DataFrame, usage_type: str, is_machine: int) -> DataFrame:
+    """The common columns of a fact step."""
+    return priced.withColumns(
+        {
+            "uri_hash": text.lower_md5(F.col("uri")),
+            "tags": F.coalesce("tags", F.lit("")),
+            "is_core_image": F.lit(0),
+            "is_multi_solution": F.lit(0),
+            "is_vm_usage": F.lit(is_machine),
+            "usage_data_source": F.lit(DAILY_SOURCE),
+            "usage_type": F.lit(usage_type),
+            "row_key": F.col("order_id"),
+        }
+    )
+
+
+def software_state(info: Column) -> Column:
+    """Paid when the properties name compute software, else Free."""
+    return F.when(text.like_any_case(info, SOFTWARE_PATTERN), states.PAID).otherwise(states.FREE)
+
+
+def unbilled_usage(usage: DataFrame, listed: DataFrame, billed: DataFrame, since: str) -> DataFrame:
+    """Usage of listed resources that is not already billed under an order.
+
+    ``listed`` has uri; ``billed`` is usage that carries an order: a row with the same resource,
+    day and units is billed. Data transfer is left out on both sides.
+    """
+    def no_transfer(df: DataFrame) -> DataFrame:
+        return df.where(F.coalesce(~F.lower("info").contains(DATA_TRANSFER_WORD), F.lit(False)))
+
+    rows = no_transfer(usage).where(F.col("usage_date") >= F.lit(since).cast("date")).withColumn("uri", F.lower("uri"))
+    wanted = listed.select(F.lower("uri").alias("uri"))
+    paid = no_transfer(billed).where(F.col("order_id").isNotNull()).select(
+        F.lower("uri").alias("uri"), "usage_date", "units"
+    )
+    return rows.join(wanted, "uri", "left_semi").join(paid, ["uri", "usage_date", "units"], "left_anti")
+
+
+def multi_resource_usage(unbilled: DataFrame, sizes: DataFrame, keys: list[str], units: Column | None = None) -> DataFrame:
+    """Unbilled usage rolled up, with cores by machine size. sizes: vm_size, cores (unique size)"""
+    amount = F.col("units") if units is None else units
+    grouped = unbilled.withColumn("state", software_state(F.col("info"))).groupBy(*keys, "state").agg(
+        F.sum(amount).alias("quantity")
+    )
+    cores = sizes.select(F.col("vm_size").alias("s_size"), F.col("cores").alias("cores"))
+    return grouped.join(cores, F.col("vm_size") == F.col("s_size"), "left").drop("s_size").withColumns(
+        {
+            "core_quantity": F.col("quantity") * F.coalesce("cores", F.lit(1)),
+            "uri_hash": F.md5("uri"),
+            "usage_data_source": F.lit(MULTI_SOURCE),
+            "is_multi_solution": F.lit(1),
+        }
+    )
+
+
+def price_list(calculator: DataFrame, missing: DataFrame) -> DataFrame:
+    """One list of machine prices from the calculator and from the additions kept by hand.
+
+    calculator: tier, name, vm_type, series, cores, price; missing: vm_size, vm_type, series,
+    cores, tier, price
+    """
+    full = F.concat("tier", F.lit("_"), "name")
+    size = F.when(F.lower(full).contains("v2"), F.regexp_replace(F.lower(full), "v2", "_v2")).otherwise(full)
+    columns = ["vm_size", "vm_type", "series", "cores", "tier", "price"]
+    listed = calculator.select(size.alias("vm_size"), *columns[1:])
+    return union_distinct(listed, missing.select(*columns))
+
+
+def first_known_sizes(usage: DataFrame, keys: list[str], take: list[str]) -> DataFrame:
+    """The first size seen per machine, resource, meter and cores, where something was used."""
+    used = usage.where(F.col("vm_size").isNotNull() & (F.col("quantity") != 0))
+    rest = [Sort(c) for c in take if c not in ("vm_size", "usage_date")]
+    one = newest(used, keys, [Sort("usage_date"), Sort("vm_size"), *rest])
+    return one.select(*keys, *take)
+
+
+def os_family(c: Column) -> Column:
+    return F.regexp_replace(F.lower(c), OS_FAMILY_PREFIX, "")
+
+
+def reflag_multi_resource(usage: DataFrame, orders: DataFrame) -> DataFrame:
+    """Rows whose resource belongs to a multi-resource order change source and state."""
+    flagged = match_flag(usage, orders, F.lower("uri_hash"), F.lower(F.col("uri_hash")), "__multi")
+    hit = F.col("__multi") == 1
+    return flagged.withColumns(
+        {
+            "is_multi_solution": F.when(hit, 1).otherwise(F.col("is_multi_solution")),
+            "usage_data_source": F.when(hit, MULTI_SOURCE).otherwise(F.col("usage_data_source")),
+            "state": F.when(hit, software_state(F.col("info"))).otherwise(F.col("state")),
+        }
+    ).drop("__multi")
+
+
+def special_tier(image: Column, rules: tuple[tuple[str, str], ...] = ORACLE_TIERS) -> Column:
+    chain = None
+    for pattern, tier in rules:
+        hit = text.like_any_case(image, pattern)
+        chain = F.when(hit, tier) if chain is None else chain.when(hit, tier)
+    return chain
+
+
+@dataclass(frozen=True)
+class FactLookups:
+    """Frames of the final fact.
+
+    * orders: row_key, subscription_id, cancelled (null = not cancelled), vm_id
+    * sizes: row_key, uri, meter, vm_size, os_name, os_family, cores
+    * prices: vm_size, vm_type, series, cores, tier, price
+    """
+
+    orders: DataFrame
+    sizes: DataFrame
+    prices: DataFrame
+
+
+def usage_fact(usage: DataFrame, lookups: FactLookups, special_pattern: str = ORACLE_IMAGE_PATTERN) -> DataFrame:
+    """The final fact: size and subscription filled in, after-cancel flag, list price and cost."""
+    orders = lookups.orders.select(
+        F.col("row_key").alias("o_key"), F.col("subscription_id").alias("o_subscription"), "cancelled",
+        F.col("vm_id").alias("o_vm"),
+    )
+    sizes = lookups.sizes.select(
+        F.col("row_key").alias("z_key"), F.col("uri").alias("z_uri"), F.col("meter").alias("z_meter"),
+        F.col("vm_size").alias("z_size"), F.col("os_name").alias("z_os"), F.col("os_family").alias("z_family"),
+        F.col("cores").alias("z_cores"),
+    )
+    plain = newest(
+        lookups.prices.where(F.lower("vm_type") != ORACLE_PRICE_TYPE), ["vm_size", "vm_type"], [Sort("price")]
+    ).select(F.col("vm_size").alias("p_size"), F.col("vm_type").alias("p_type"), F.col("price").alias("p_price"))
+    special = newest(
+        lookups.prices.where(F.lower("vm_type") == ORACLE_PRICE_TYPE), ["series", "cores", "tier"], [Sort("price")]
+    ).select(
+        F.col("series").alias("q_series"), F.col("cores").alias("q_cores"), F.col("tier").alias("q_tier"),
+        F.col("price").alias("q_price"),
+    )
+    keys = null_as_empty([("uri", "z_uri"), ("meter", "z_meter")])
+    wide = usage.join(orders, F.col("row_key") == F.col("o_key"), "left").join(
+        sizes, [F.col("row_key") == F.col("z_key"), *keys], "left"
+    )
+    is_special = text.like_any_case(F.col("z_os"), special_pattern)
+    size = F.coalesce("vm_size", "z_size")
+    wide = guarded_lookup(
+        wide, is_special,
+        (special, [
+            F.substring(F.split(size, "_").getItem(1), 1, 1) == F.col("q_series"),
+            F.col("z_cores") == F.col("q_cores"), special_tier(F.col("z_os")) == F.col("q_tier"),
+        ]),
+        (plain, [
+            F.coalesce("vm_size", F.regexp_replace("z_size", ",", "")) == F.col("p_size"),
+            F.coalesce(os_family(F.col("z_family")), F.lit(DEFAULT_OS_FAMILY)) == F.col("p_type"),
+        ]),
+    )
+    price = F.when(is_special, F.col("q_price")).otherwise(F.col("p_price"))
+    return wide.withColumns(
+        {
+            "vm_size": size,
+            "subscription_id": F.col("o_subscription"),
+            "vm_id": F.col("o_vm"),
+            "after_cancel": times.after_cancel(F.col("usage_date"), F.col("cancelled")),
+            "default_price": price,
+            "influenced_cost": F.col("quantity") * price,
+        }
+    ).drop(
+        "o_key", "o_subscription", "o_vm", "cancelled", "z_key", "z_uri", "z_meter", "z_size", "z_os", "z_family",
+        "z_cores", "q_series", "q_cores", "q_tier", "q_price", "p_size", "p_type", "p_price",
+    ).distinct()
+
+
+def usage_locations(usage: DataFrame, order: str, region: str, day: str, tie_breakers: list[str],
+                    word: str = GOVERNMENT_WORD) -> DataFrame:
+    """Each usage row of an order with its recency rank and whether any region of the order
+    contains the word."""
+    placed = usage.where(F.col(region).isNotNull())
+    special = usage.where(text.contains_text(F.col(region), word))
+    flagged = match_flag(placed, special, F.col(order), F.col(order), "in_special_region")
+    return ranked(
+        flagged, [order], [Sort(day, True), *[Sort(c) for c in tie_breakers]], "location_rank", base=usage
+    )
