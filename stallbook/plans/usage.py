@@ -76,7 +76,7 @@ def described_usage(usage: DataFrame) -> DataFrame:
     return usage.withColumns({c: e for c, e in added.items() if c not in usage.columns or c == "uri"})
 
 
-def billable(usage: DataFrame, since: str, core_meters: bool, excluded_order: str | None = None) -> DataFrame:
+def billable(usage: DataFrame, since: str, core_meters: bool, excluded_order: object | None = None) -> DataFrame:
     """Usage with an order and part number from a day on, of core meters or of all others."""
     is_core = text.contains_text(F.col("meter"), CORE_WORD)
     rows = usage.where(
