@@ -142,7 +142,7 @@ WITH rows AS (
   FROM events JOIN pages ON page_id = user_id
 ), billed AS (
   SELECT DISTINCT uri, usage_date, units FROM rows WHERE event_type = 'purchase'
-    AND user_id IN (SELECT user_id FROM events WHERE event_type = 'signup' AND value > 40)
+    AND user_id IN (SELECT user_id FROM events WHERE event_type = 'signup' AND value > 100)
 ), sizes AS (SELECT 'S' || p_size AS size, max(p_size) AS cores FROM part GROUP BY p_size)
 SELECT md5(uri) AS uri_hash, strftime(usage_date, '%Y-%m-%d') AS usage_day, vm_size, state, CAST(quantity AS DOUBLE) AS quantity,
        CAST(quantity * coalesce(cores, 1) AS DOUBLE) AS core_quantity

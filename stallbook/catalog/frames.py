@@ -43,9 +43,9 @@ METER_SQL = "CASE WHEN event_type IN ('view', 'click') THEN event_type || (user_
 
 
 def price_intervals(t: Tables) -> DataFrame:
-    """Price intervals per order and meter from price-setting events (value above 20)."""
+    """Price intervals per order and meter from price-setting events (value above 100)."""
     k = event_number()
-    priced = t.events.where(F.col("value") > 20).select(
+    priced = t.events.where(F.col("value") > 100).select(
         "event_id", F.col("user_id").alias("order_id"), meter().alias("meter"), "ts",
         F.when(k < 15, F.lit(0.0)).otherwise(F.col("value")).alias("price"),
         F.when(k.between(15, 29), "Trial").when(k.between(30, 44), "Promotion").otherwise("None").alias("discount"),
@@ -64,19 +64,19 @@ price_intervals AS (
          CASE WHEN k BETWEEN 15 AND 29 THEN 'Trial' WHEN k BETWEEN 30 AND 44 THEN 'Promotion' ELSE 'None' END AS discount,
          ts AS start_ts,
          lead(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) - INTERVAL 1 SECOND AS end_ts
-  FROM (SELECT *, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER) AS k FROM events WHERE value > 20)
+  FROM (SELECT *, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER) AS k FROM events WHERE value > 100)
 )"""
 
 
 def known_orders(t: Tables) -> DataFrame:
-    """Orders the order service knows: users with a sign-up above 40."""
-    return t.events.where((F.col("event_type") == "signup") & (F.col("value") > 40)).select(
+    """Orders the order service knows: users with a sign-up above 100."""
+    return t.events.where((F.col("event_type") == "signup") & (F.col("value") > 100)).select(
         F.col("user_id").alias("order_id")
     ).distinct()
 
 
 KNOWN_ORDERS_SQL = """
-known_orders AS (SELECT DISTINCT user_id AS order_id FROM events WHERE event_type = 'signup' AND value > 40)"""
+known_orders AS (SELECT DISTINCT user_id AS order_id FROM events WHERE event_type = 'signup' AND value > 100)"""
 
 
 def usage(t: Tables) -> DataFrame:

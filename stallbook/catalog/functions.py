@@ -230,11 +230,11 @@ def f_after_cancel(t: Tables):
     "f_price_state",
     f"""
 WITH {frames.KNOWN_ORDERS_SQL}, latest AS (
-  SELECT *, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER) AS k FROM events WHERE value > 35
+  SELECT *, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER) AS k FROM events WHERE value > 100
   QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) = 1
 )
 SELECT e.event_id,
-  CASE WHEN l.event_id IS NOT NULL AND k >= 30 AND l.value < 40 THEN 'Free'
+  CASE WHEN l.event_id IS NOT NULL AND k >= 30 AND l.value < 130 THEN 'Free'
        WHEN l.event_id IS NOT NULL AND k >= 30 THEN 'Paid'
        WHEN l.event_id IS NOT NULL AND k >= 15 THEN 'Trial'
        WHEN l.event_id IS NOT NULL THEN 'Promotion'
@@ -246,9 +246,9 @@ def f_price_state(t: Tables):
     from stallbook.operators.windows import newest, order_by
 
     k = frames.event_number()
-    latest = newest(t.events.where(F.col("value") > 35), ["user_id", "event_type"], order_by("-ts", "event_id")).select(
+    latest = newest(t.events.where(F.col("value") > 100), ["user_id", "event_type"], order_by("-ts", "event_id")).select(
         F.col("user_id").alias("l_user"), F.col("event_type").alias("l_type"),
-        F.when(F.col("value") < 40, F.lit(0.0)).otherwise(F.col("value")).alias("price"),
+        F.when(F.col("value") < 130, F.lit(0.0)).otherwise(F.col("value")).alias("price"),
         F.when(k >= 30, "None").when(k >= 15, "Trial").otherwise("Promotion").alias("discount"),
     )
     known = frames.known_orders(t).withColumnRenamed("order_id", "known")
@@ -272,9 +272,10 @@ WITH facts AS (
   FROM orders JOIN customer ON o_custkey = c_custkey
 )
 SELECT o_orderkey,
-  CASE WHEN coalesce(lic, FALSE) OR (lic IS NULL AND coalesce(ext, FALSE)) THEN 'Free' WHEN price = 0 THEN 'Free' WHEN price > 0 THEN 'Paid'
-       WHEN NOT coalesce(ext, FALSE) AND market = 0 THEN 'Free' WHEN NOT coalesce(ext, FALSE) AND market > 0 THEN 'Paid' ELSE 'Unknown' END AS billing,
-  CASE WHEN coalesce(lic, coalesce(ext, FALSE)) THEN 'BYOL' WHEN NOT coalesce(ext, FALSE) THEN 'Billed' ELSE 'Unknown' END AS payment
+  CASE WHEN lic OR (lic IS NULL AND ext) THEN 'Free' WHEN price = 0 THEN 'Free' WHEN price > 0 THEN 'Paid'
+       WHEN (lic = FALSE OR NOT coalesce(ext, FALSE)) AND market = 0 THEN 'Free'
+       WHEN (lic = FALSE OR NOT coalesce(ext, FALSE)) AND market > 0 THEN 'Paid' ELSE 'Unknown' END AS billing,
+  CASE WHEN lic IS NULL AND ext THEN 'BYOL' WHEN lic = FALSE OR (lic IS NULL AND NOT coalesce(ext, FALSE)) THEN 'Billed' ELSE 'Unknown' END AS payment
 FROM facts""",
 )
 def f_billing_type(t: Tables):

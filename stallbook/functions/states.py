@@ -31,27 +31,32 @@ def price_state(price_found: Column, discount: Column, price: Column, order_know
     return priced_state(price_found, discount, price, missing)
 
 
+def _billed_inside(needs_licence: Column, billed_outside: Column) -> Column:
+    """True unless a licence is needed, or none is known and the offer is billed outside."""
+    return ~F.coalesce(needs_licence, billed_outside, F.lit(False))
+
+
 def billing_type(needs_licence: Column, billed_outside: Column, price: Column, market_price: Column) -> Column:
-    """Free, Paid or Unknown.
+    """Free, Paid or Unknown, by licence, own price and market price in this order.
 
-    ``needs_licence`` may be null (unknown); ``billed_outside`` counts as false when null.
+    A null ``needs_licence`` is unknown; a null ``billed_outside`` counts as false.
     """
-    outside = F.coalesce(billed_outside, F.lit(False))
+    inside = _billed_inside(needs_licence, billed_outside)
     return (
-        F.when(F.coalesce(needs_licence, F.lit(False)) | (needs_licence.isNull() & outside), FREE)
+        F.when(~inside, FREE)
         .when(price == 0, FREE)
         .when(price > 0, PAID)
-        .when(~outside & (market_price == 0), FREE)
-        .when(~outside & (market_price > 0), PAID)
+        .when(market_price == 0, FREE)
+        .when(market_price > 0, PAID)
         .otherwise(UNKNOWN)
     )
 
 
 def payment_type(needs_licence: Column, billed_outside: Column, billed: str = BILLED) -> Column:
-    outside = F.coalesce(billed_outside, F.lit(False))
+    """Own licence when only outside billing is known; Unknown when a licence is needed."""
     return (
-        F.when(F.coalesce(needs_licence, outside), OWN_LICENCE)
-        .when(~outside, billed)
+        F.when(_billed_inside(needs_licence, billed_outside), billed)
+        .when(needs_licence.isNull(), OWN_LICENCE)
         .otherwise(UNKNOWN)
     )
 

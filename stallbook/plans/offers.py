@@ -126,14 +126,14 @@ def price_entries(
     return nested.spread(rows, "price", price_fields)
 
 
-def images(offers: DataFrame) -> DataFrame:
-    """One row per service plan and machine image."""
+def images(offers: DataFrame, ids: list[str] = OFFER_IDS[:-1]) -> DataFrame:
+    """One row per service plan and machine image, with the image's version."""
     plans = nested.entries_of(
-        offers.select(*OFFER_IDS, "VirtualMachineImagesByServicePlan"), "VirtualMachineImagesByServicePlan",
+        offers.select(*ids, "VirtualMachineImagesByServicePlan"), "VirtualMachineImagesByServicePlan",
         "ServicePlanName", "images",
     )
-    return plans.select(*OFFER_IDS, "ServicePlanName", F.explode("images").alias("image")).select(
-        *OFFER_IDS, "ServicePlanName", "image.*"
+    return plans.select(*ids, "ServicePlanName", F.explode("images").alias("image")).select(
+        *ids, "ServicePlanName", "image.*"
     )
 
 

@@ -59,7 +59,7 @@ def publisher_dimension(s: PublisherSources, company_word: str, company_domain:
     """One row per publisher. Lookups are made one row per key, then left joined."""
     name = text.override_id(F.col("publisher_id"), PUBLISHER_NAMES, F.col("publisher_nid"))
     base = s.listed.where(F.col("publisher_id").isNotNull()).select("publisher_id", name.alias("publisher")).distinct()
-    current = newest(s.listed, ["publisher_id"], [Sort("listed_ts", True), Sort("legal_name")]).select(
+    current = newest(s.listed, ["publisher_id"], [Sort("listed_ts", True), Sort("legal_name"), Sort("short_name")]).select(
         "publisher_id", F.col("legal_name").alias("cur_legal"), F.col("short_name").alias("cur_short")
     )
     onboarding = _one(s.onboarding, "publisher_id", "ob_")
