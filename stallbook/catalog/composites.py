@@ -290,7 +290,7 @@ def x_gov_flag_rank(t: Tables):
         .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "r_name")
     )
     ties = ["l_linenumber", "l_partkey", "l_suppkey"]
-    ranked = usage.usage_locations(located, "l_orderkey", "r_name", "l_shipdate", ties, word="asia")
+    ranked = usage.usage_locations(located, "l_orderkey", "r_name", "l_shipdate", ties, word="asia", base=t.lineitem)
     return ranked.drop("l_shipdate").withColumnRenamed("in_special_region", "has_asia")
 
 

@@ -141,9 +141,11 @@ LEFT JOIN ranked n ON a.user_id = n.user_id AND a.r + 1 = n.r""",
 def j_rank_offset(t: Tables):
     order = [Sort("ts"), Sort("event_type", True), Sort("event_id")]
     slim = t.events.select("event_id", "user_id", "ts", "event_type")
-    near = neighbours(slim, ["user_id"], order, {"prev_id": "event_id"}, {"next_id": "event_id", "next_type": "event_type"})
-    far = neighbours(near, ["user_id"], order, {"prev2_id": "prev_id"}, base=slim)
-    return far.select("event_id", "prev_id", "prev2_id", "next_id", "next_type")
+    near = neighbours(
+        slim, ["user_id"], order, previous={"prev_id": "event_id"}, before_previous={"prev2_id": "event_id"},
+        following={"next_id": "event_id", "next_type": "event_type"},
+    )
+    return near.select("event_id", "prev_id", "prev2_id", "next_id", "next_type")
 
 
 _VIEW_DAYS_SQL = f"""

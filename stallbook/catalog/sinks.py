@@ -67,7 +67,7 @@ def k_partitioned_write(t: Tables):
         ),
         RUN_ID,
     )
-    writers.write_partitioned(rows, path, ["usage_date", "is_missing"], files_per_partition=1)
+    writers.write_partitioned(rows, path, ["usage_date", "is_missing"])
     writers.create_partitioned_table(
         t.spark, table, "event_id BIGINT, value DOUBLE, data_lineage_id STRING, usage_date DATE, is_missing INT",
         ["usage_date", "is_missing"], path,
@@ -89,8 +89,8 @@ def k_backfill_missing(t: Tables):
     late = writers.late_rows(daily.where(F.col("event_type") == "error"), "usage_date", "2024-01-25")
     late = late.drop("event_type").withColumn("is_missing", F.lit(1))
     partitions = ["usage_date", "is_missing"]
-    writers.write_partitioned(on_time, path, partitions, files_per_partition=1)
-    writers.write_partitioned(late, path, partitions, mode="append", files_per_partition=1)
+    writers.write_partitioned(on_time, path, partitions)
+    writers.write_partitioned(late, path, partitions, mode="append")
     return readers.read_parquet(t.spark, path).withColumn("usage_date", day_text("usage_date"))
 
 

@@ -31,7 +31,7 @@ def parse_time(c: Column, extract: str | None = None, pattern: str = "yyyy-MM-dd
 
     A ``T`` between date and time counts as a blank. Anything unreadable is null.
     """
-    text = c if extract is None else F.nullif(F.regexp_extract(c, extract, 0), F.lit(""))
+    text = F.nullif(c if extract is None else F.regexp_extract(c, extract, 0), F.lit(""))
     return F.try_to_timestamp(F.replace(text, F.lit("T"), F.lit(" ")), F.lit(pattern)).cast("timestamp_ntz")
 
 

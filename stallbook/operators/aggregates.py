@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallbook.operators.windows import parse_columns
@@ -37,13 +37,12 @@ def group_by_spec(df: DataFrame, group_by: str, aggregates: dict[str, Column]) -
 def sum_of_latest(df: DataFrame, keys: list[str], time: str, extra_keys: list[str], amount: Column, out: str) -> DataFrame:
     """Sum over the rows of each key's latest time, by ``keys + extra_keys``.
 
-    Sums per time come first, so only one row per key, time and extra key is compared.
+    Sums per time come first and the rank is limited before the shuffle, so only the rows of
+    each task's latest time travel.
     """
     per_time = df.groupBy(*keys, time, *extra_keys).agg(F.sum(amount).alias(out))
-    latest = per_time.groupBy(*keys).agg(F.max(time).alias("__latest"))
-    latest = latest.withColumnsRenamed({k: f"__l_{k}" for k in keys})
-    on = [F.col(k).eqNullSafe(F.col(f"__l_{k}")) for k in keys] + [F.col(time) == F.col("__latest")]
-    return per_time.join(latest, on, "left_semi").drop(time)
+    latest = F.rank().over(Window.partitionBy(*keys).orderBy(F.col(time).desc()))
+    return per_time.withColumn("__rank", latest).where(F.col("__rank") == 1).drop("__rank", time)
 
 
 def usage_rollup(df: DataFrame, keys: list[str], units: Column, cores: Column) -> DataFrame:

@@ -87,45 +87,59 @@ def _filler(dtype: T.DataType) -> Column:
     raise ValueError(f"cannot group by a column of type {dtype.simpleString()}")
 
 
-def _sliced(df: DataFrame, keys: list[str], order: list[Sort], min_rows: int | None, base: DataFrame | None):
-    """Mark the rows of hot groups and add plain, never-null group columns.
+class _Slicer:
+    """Adds never-null group columns, of which the slice is one, to rows of one sort order.
 
-    The group columns serve both the window and the join of the slice summary, so the big
+    The group columns serve the window and the join of the slice summary alike, so the big
     side is shuffled once.
     """
-    hot = hot_groups(df if base is None else base, keys, min_rows)
-    hot = hot.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)], F.lit(True).alias("__hot"))
-    match = [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)]
-    joined = df.join(F.broadcast(hot), match, "left").drop(*[f"__h{i}" for i in range(len(keys))])
-    first = order[0].column
-    dtypes = {f.name: f.dataType for f in df.schema.fields}
-    group = {}
-    for i, k in enumerate(keys):
-        group[f"__k{i}"] = F.coalesce(F.col(k), _filler(dtypes[k]))
-        group[f"__n{i}"] = F.col(k).isNull()
-    cut = slice_of(first, dtypes[first])
-    # The flag keeps a null apart from any value; cold groups have no slice at all.
-    group["__slice"] = F.when(
-        F.col("__hot"), F.struct(F.col(first).isNotNull().alias("set"), cut.alias("cut"))
-    )
-    marked = joined.withColumns(group)
-    marked = marked.withColumn("__sid", F.coalesce(F.to_json("__slice"), F.lit("")))
-    cols = list(group)[:-1] + ["__sid"]
-    return marked, cols
 
+    def __init__(self, df: DataFrame, keys: list[str], order: list[Sort], min_rows: int | None, base: DataFrame | None):
+        self.df, self.keys, self.order = df, keys, order
+        self.types = {f.name: f.dataType for f in df.schema.fields}
+        hot = hot_groups(df if base is None else base, keys, min_rows)
+        self.hot = F.broadcast(hot.withColumnsRenamed({k: f"__h{i}" for i, k in enumerate(keys)}).withColumn("__hot", F.lit(True)))
+        self.match = [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)]
+        self.group = [f"__{kind}{i}" for i in range(len(keys)) for kind in "kn"]
+        self.cols = [*self.group, "__sid"]
+
+    def _marked(self, df: DataFrame, slice_struct: Column) -> DataFrame:
+        extra = {}
+        for i, k in enumerate(self.keys):
+            extra[f"__k{i}"] = F.coalesce(F.col(k), _filler(self.types[k]))
+            extra[f"__n{i}"] = F.col(k).isNull()
+        marked = df.withColumns(extra).withColumn("__slice", slice_struct)
+        return marked.withColumn("__sid", F.coalesce(F.to_json("__slice"), F.lit("")))
+
+    def _slice(self) -> Column:
+        first = self.order[0].column
+        # The flag keeps a null apart from any value.
+        return F.struct(F.col(first).isNotNull().alias("set"), slice_of(first, self.types[first]).alias("cut"))
+
+    def all_rows(self) -> DataFrame:
+        """Every row; rows of cold groups share one slice."""
+        joined = self.df.join(self.hot, self.match, "left").drop(*[f"__h{i}" for i in range(len(self.keys))])
+        return self._marked(joined, F.when(F.col("__hot"), self._slice()))
 
-def _helper_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c.startswith("__")]
+    def hot_rows(self) -> DataFrame:
+        """Rows of hot groups only; the semi join is pushed down to the scan."""
+        return self._marked(self.df.join(self.hot, self.match, "left_semi"), self._slice())
 
+    def window(self, reverse: bool = False):
+        return Window.partitionBy(*self.cols).orderBy(*sort_exprs(self.order, reverse))
 
-def _slice_order(order: list[Sort]) -> Column:
-    cut = F.col("__slice.cut")
-    return cut.desc() if order[0].descending else cut.asc()
+    def across(self):
+        """The slices of a key in sort order."""
+        cut = F.col("__slice.cut")
+        return Window.partitionBy(*self.group).orderBy(cut.desc() if self.order[0].descending else cut.asc())
 
+    def attach(self, big: DataFrame, summary: DataFrame) -> DataFrame:
+        renamed = summary.withColumnsRenamed({c: f"{c}_r" for c in self.cols})
+        return big.join(renamed, [F.col(c) == F.col(f"{c}_r") for c in self.cols], "left")
 
-def _attach(big: DataFrame, summary: DataFrame, cols: list[str]) -> DataFrame:
-    renamed = summary.withColumnsRenamed({c: f"{c}_r" for c in cols})
-    return big.join(renamed, [F.col(c) == F.col(f"{c}_r") for c in cols], "left")
+
+def _without_helpers(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("__")])
 
 
 def ranked(
@@ -139,29 +153,17 @@ def ranked(
 ) -> DataFrame:
     """Add ``row_number`` (or ``rank`` when ``ties``) per key for every row.
 
-    ``base`` may name a cheaper frame with the same keys to count group sizes on.
-    For a top-1 filter use ``windows.newest`` instead: it limits before the shuffle.
+    ``base`` may name a cheaper frame to count group sizes on; it must hold at least the rows
+    of ``df``. For a top-1 filter use ``windows.newest`` instead: it limits before the shuffle.
     """
-    marked, cols = _sliced(df, keys, order, min_rows, base)
-    window = Window.partitionBy(*cols).orderBy(*sort_exprs(order))
-    inner = (F.rank() if ties else F.row_number()).over(window).cast("bigint")
-    body = marked.withColumn("__in", inner)
-    sizes = (
-        marked.where(F.col("__hot"))
-        .groupBy(*cols, "__slice")
-        .agg(F.count(F.lit(1)).alias("__size"))
-        .withColumn(
-            "__before",
-            F.sum("__size").over(
-                Window.partitionBy(*cols[:-1])
-                .orderBy(_slice_order(order))
-                .rowsBetween(Window.unboundedPreceding, -1)
-            ),
-        )
-        .select(*cols, "__before")
-    )
-    done = _attach(body, sizes, cols).withColumn(out, F.col("__in") + F.coalesce("__before", F.lit(0)))
-    return done.drop(*_helper_columns(done))
+    slicer = _Slicer(df, keys, order, min_rows, base)
+    inner = (F.rank() if ties else F.row_number()).over(slicer.window()).cast("bigint")
+    body = slicer.all_rows().withColumn("__in", inner)
+    earlier = slicer.across().rowsBetween(Window.unboundedPreceding, -1)
+    sizes = slicer.hot_rows().groupBy(*slicer.cols, "__slice").agg(F.count(F.lit(1)).alias("__size"))
+    sizes = sizes.select(*slicer.cols, F.sum("__size").over(earlier).alias("__before"))
+    done = slicer.attach(body, sizes).withColumn(out, F.col("__in") + F.coalesce("__before", F.lit(0)))
+    return _without_helpers(done)
 
 
 def neighbours(
@@ -170,47 +172,58 @@ def neighbours(
     order: list[Sort],
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
+    before_previous: dict[str, str] | None = None,
     min_rows: int | None = None,
     base: DataFrame | None = None,
 ) -> DataFrame:
-    """Add columns of the previous and the following row per key.
+    """Add columns of the previous row, the one before it, and the following row per key.
 
-    ``previous`` and ``following`` map an output name to the column it is taken from.
-    The sort must be unique per key for a defined result.
+    Each argument maps an output name to the column it is taken from. The sort must be unique
+    per key for a defined result. ``base`` as in ``ranked``.
     """
-    previous, following = previous or {}, following or {}
-    marked, cols = _sliced(df, keys, order, min_rows, base)
-    window = Window.partitionBy(*cols).orderBy(*sort_exprs(order))
-    take_prev = F.struct(*[F.col(c).alias(o) for o, c in previous.items()], F.lit(1).alias("__is"))
-    take_next = F.struct(*[F.col(c).alias(o) for o, c in following.items()], F.lit(1).alias("__is"))
-    body = marked.withColumns(
-        {"__prev": F.lag(take_prev).over(window), "__next": F.lead(take_next).over(window)}
+    previous, following, before_previous = previous or {}, following or {}, before_previous or {}
+    slicer = _Slicer(df, keys, order, min_rows, base)
+    back = list(dict.fromkeys([*previous.values(), *before_previous.values()]))
+    depth = 2 if before_previous else 1
+    row_back = F.struct(F.lit(1).alias("__is"), *back)
+    row_ahead = F.struct(F.lit(1).alias("__is"), *dict.fromkeys(following.values()))
+    window = slicer.window()
+    body = slicer.all_rows().withColumns(
+        {f"__p{n}": F.lag(row_back, n).over(window) for n in range(1, depth + 1)}
+        | {"__next": F.lead(row_ahead).over(window)}
     )
-    back = Window.partitionBy(*cols).orderBy(*sort_exprs(order, reverse=True))
-    # First and last row of every slice of a hot group.
-    edges = (
-        marked.where(F.col("__hot"))
-        .select(*cols, "__slice", take_prev.alias("__p"), take_next.alias("__f"), *_missing(order, cols))
-        .withColumns({"__a": F.row_number().over(window), "__z": F.row_number().over(back)})
-        .where((F.col("__a") == 1) | (F.col("__z") == 1))
-        .groupBy(*cols, "__slice")
-        .agg(
-            F.first(F.when(F.col("__a") == 1, F.col("__f")), ignorenulls=True).alias("__first"),
-            F.first(F.when(F.col("__z") == 1, F.col("__p")), ignorenulls=True).alias("__last"),
-        )
+
+    # The first row and the last ``depth`` rows of every slice of a hot group.
+    edges = slicer.hot_rows().select(*slicer.cols, "__slice", row_back.alias("__b"), row_ahead.alias("__f"),
+                                     *dict.fromkeys(s.column for s in order))
+    edges = edges.withColumns(
+        {"__a": F.row_number().over(window), "__z": F.row_number().over(slicer.window(reverse=True))}
+    ).where((F.col("__a") == 1) | (F.col("__z") <= depth))
+    last = F.collect_list(F.when(F.col("__z") <= depth, F.struct(F.col("__a"), F.col("__b"))))
+    edges = edges.groupBy(*slicer.cols, "__slice").agg(
+        F.first(F.when(F.col("__a") == 1, F.col("__f")), ignorenulls=True).alias("__first"),
+        F.transform(F.array_sort(last), lambda r: r["__b"]).alias("__last"),
     )
-    across = Window.partitionBy(*cols[:-1]).orderBy(_slice_order(order))
+    across = slicer.across()
+    # A slice may be shorter than ``depth``, so the rows before it come from several slices.
     edges = edges.select(
-        *cols, F.lag("__last").over(across).alias("__eprev"), F.lead("__first").over(across).alias("__enext")
-    )
-    done = _attach(body, edges, cols).withColumns(
-        {"__prev": F.coalesce("__prev", "__eprev"), "__next": F.coalesce("__next", "__enext")}
+        *slicer.cols,
+        F.flatten(F.collect_list("__last").over(across.rowsBetween(-depth, -1))).alias("__tail"),
+        F.lead("__first").over(across).alias("__head"),
     )
+    done = slicer.attach(body, edges)
+    found = {"__next": F.coalesce("__next", "__head")}
+    tail = F.col("__tail")
+    found["__p1"] = F.coalesce("__p1", F.try_element_at(tail, F.lit(-1)))
+    if depth == 2:
+        # Only the first row of a slice looks two rows back into the tail.
+        found["__p2"] = F.coalesce(
+            F.col("__p2"), F.try_element_at(tail, F.when(F.col("__p1").isNull(), -2).otherwise(-1))
+        )
+    done = done.withColumns(found)
     done = done.withColumns(
-        {o: F.col(f"__prev.{o}") for o in previous} | {o: F.col(f"__next.{o}") for o in following}
+        {o: F.col(f"__p1.{c}") for o, c in previous.items()}
+        | {o: F.col(f"__p2.{c}") for o, c in before_previous.items()}
+        | {o: F.col(f"__next.{c}") for o, c in following.items()}
     )
-    return done.drop(*_helper_columns(done))
-
-
-def _missing(order: list[Sort], cols: list[str]) -> list[str]:
-    return [s.column for s in order if s.column not in cols]
+    return _without_helpers(done)

@@ -33,13 +33,14 @@ def rank_by_spec(
     out: str,
     ties: bool = False,
     default_descending: bool = True,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Add a rank column from two specification strings.
 
     ``default_descending`` is the direction of a column written without one: callers that
     pass strings use descending, configured callers ascending.
     """
-    return ranked(df, parse_columns(partition_by), parse_order(order_by, default_descending), out, ties)
+    return ranked(df, parse_columns(partition_by), parse_order(order_by, default_descending), out, ties, base=base)
 
 
 def newest(df: DataFrame, keys: list[str | Column], order: list[Sort | Column]) -> DataFrame:

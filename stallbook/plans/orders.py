@@ -80,8 +80,10 @@ def fill_down(events: DataFrame, names: EventNames = EventNames()) -> DataFrame:
     reduced to the newest row per order and billing id.
     """
     filled = ["order_id", "billing_id", "billing_system"]
-    near = neighbours(events, ["parent_id"], EVENT_ORDER, {f"p1_{c}": c for c in filled})
-    far = neighbours(near, ["parent_id"], EVENT_ORDER, {f"p2_{c}": f"p1_{c}" for c in filled})
+    far = neighbours(
+        events, ["parent_id"], EVENT_ORDER,
+        previous={f"p1_{c}": c for c in filled}, before_previous={f"p2_{c}": c for c in filled},
+    )
     migrated = (
         events.where(_is(F.col("name"), names.migrated)).select("parent_id").distinct()
         .withColumn("migrated", F.lit(True))
@@ -180,9 +182,10 @@ def keyed_prices(timeline: DataFrame) -> DataFrame:
 
 def price_ranks(timeline: DataFrame) -> DataFrame:
     """Recency ranks of intervals: per parent and order, and per order and day. Ties share a rank."""
-    by_order = ranked(timeline, ["parent_id", "order_id"], [Sort("start_ts", True)], "order_price_rank", ties=True)
-    by_day = by_order.withColumn("start_day", F.date_trunc("day", "start_ts"))
-    return ranked(by_day, ["order_id", "start_day"], [Sort("start_ts", True)], "order_price_per_day_rank", ties=True)
+    rows = timeline.withColumn("start_day", F.date_trunc("day", "start_ts"))
+    newest_first = [Sort("start_ts", True)]
+    by_order = ranked(rows, ["parent_id", "order_id"], newest_first, "order_price_rank", ties=True)
+    return ranked(by_order, ["order_id", "start_day"], newest_first, "order_price_per_day_rank", ties=True, base=rows)
 
 
 HEADER_KEYS = [

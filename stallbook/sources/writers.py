@@ -53,20 +53,15 @@ def create_partitioned_table(
     )
 
 
-def write_partitioned(
-    df: DataFrame, path: str, partitions: list[str], mode: str = "overwrite", files_per_partition: int = 32
-) -> None:
+def write_partitioned(df: DataFrame, path: str, partitions: list[str], mode: str = "overwrite") -> None:
     """Write a folder per partition value; an overwrite replaces only the partitions present.
 
-    Rows are spread over a fixed number of salted tasks per partition value, so a day that
-    holds most rows is written by many tasks and a small one by few files.
+    Rows are rebalanced by the partition columns: Spark splits a value that holds most rows
+    over many tasks and packs small ones together, by the size it measures.
     """
-    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    # A hash of the row, unlike a random number, sends a recomputed row to the same task.
-    salt = F.pmod(F.xxhash64(*hashable), F.lit(files_per_partition))
-    spread = df.withColumn("__salt", salt).repartition(*partitions, "__salt").drop("__salt")
     (
-        spread.write.mode(mode)
+        df.hint("rebalance", *[F.col(c) for c in partitions])
+        .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
