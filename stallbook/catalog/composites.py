@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from stallbook.catalog import frames
 from stallbook.catalog.registry import Tables, day_text, money, query
 from stallbook.functions import text, times
-from stallbook.operators.sets import checked_union
-from stallbook.plans import charges, core_usage, offers, orders, usage
+from stallbook.plans import charges, core_usage, orders, usage
+from stallbook.session import stage
 
 
 @query(
@@ -90,8 +90,9 @@ FROM stated GROUP BY order_id, meter, usage_date, part_number, state, cores"""
 def _priced(t: Tables, core_meters: bool, excluded: int | None):
     rows = usage.described_usage(usage.billable(frames.usage(t), "2024-01-03", core_meters, excluded))
     keys = ["order_id", "meter", "usage_date", "part_number", "cores"]
+    intervals = stage(frames.price_intervals(t), "price-intervals")
     priced = usage.priced_usage(
-        rows, frames.price_intervals(t), frames.known_orders(t), times.ntz("2024-02-01 00:00:00"), keys, money("units")
+        rows, intervals, frames.known_orders(t), times.ntz("2024-02-01 00:00:00"), keys, money("units")
     )
     quantity = F.col("quantity").cast("double")
     return priced.select(

@@ -8,6 +8,7 @@ from stallbook.catalog import frames
 from stallbook.catalog.registry import Tables, day_text, query
 from stallbook.functions import text, times
 from stallbook.plans import enrollment, offers, orders, publishers
+from stallbook.session import stage
 
 
 def _text(column: str):
@@ -295,7 +296,7 @@ def x_order_dimension(t: Tables):
         _text("c_custkey").alias("order_id"), F.lit("Subscription").alias("payer_type"),
         F.concat(F.lit("S"), _text("c_custkey")).alias("payer_value"),
     )
-    timeline = orders.with_subscription(timeline, payers, "Subscription")
+    timeline = stage(orders.with_subscription(timeline, payers, "Subscription"), "timeline")
     headers = orders.order_headers(timeline)
     rich = t.customer.where(F.col("c_acctbal") > 6000)
     offer = F.concat(F.lit("NATION_"), nation)

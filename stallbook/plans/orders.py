@@ -268,7 +268,10 @@ class OrderLookups:
 def order_dimension(
     headers: DataFrame, timeline: DataFrame, lookups: OrderLookups, excluded_publisher: str | None = None
 ) -> DataFrame:
-    """The order dimension. Every lookup is a left join, made one row per key beforehand."""
+    """The order dimension. Every lookup is a left join, made one row per key beforehand.
+
+    ``timeline`` is read several times: pass a stored table (``session.stage``).
+    """
     o = headers.withColumns(
         {
             "publisher": F.coalesce("publisher", F.lit("")),

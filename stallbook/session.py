@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -26,6 +27,12 @@ RUNTIME_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Only a new session can take these.
+STATIC_SETTINGS = {
+    # Call sites in error messages double the time to build a long plan from Python.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every pipeline here relies on."""
@@ -44,7 +51,7 @@ def local_session(cores: str = "8", app: str = "stallbook", extra: dict[str, str
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", cores)
     )
-    for key, value in (extra or {}).items():
+    for key, value in {**STATIC_SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -55,6 +62,11 @@ def hot_group_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(HOT_GROUP_ROWS, str(HOT_GROUP_ROWS_DEFAULT)))
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"stallbook-{application}-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder the cluster names.
 
@@ -65,6 +77,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="stallbook-")
-        spark.conf.set(CHECKPOINT_DIR, shared)
+        shared = _local_folder(spark.sparkContext.applicationId)
     return f"{shared.rstrip('/')}/stallbook/{label}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write a pipeline step as a table in the shared folder and read it back.
+
+    For a step that several later steps read: it is computed once, later plans start from a
+    plain scan, and a lost executor costs only its own tasks.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
