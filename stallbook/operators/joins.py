@@ -14,6 +14,19 @@ from pyspark.sql import functions as F
 KeyPairs = list[tuple[str, str]]
 
 
+def lookup(left: DataFrame, right: DataFrame, keys: KeyPairs, how: str = "left") -> DataFrame:
+    """Join ``right``, which has one row per key, to rows that may share a hot key.
+
+    A lookup that was grouped or ranked by its key is already partitioned by it, and plain
+    equality would join it as it lies; Spark cannot split a hot key then. Null-safe equality
+    gives both sides an exchange of their own, which it can. Rows without a key match nothing.
+    """
+    columns = {b: f"__key{i}" for i, (_, b) in enumerate(keys)}
+    present = right.withColumnsRenamed(columns).dropna(subset=list(columns.values()))
+    on = [F.col(a).eqNullSafe(F.col(columns[b])) for a, b in keys]
+    return left.join(present, on, how).drop(*columns.values())
+
+
 def star_left(facts: DataFrame, lookups: list[tuple[DataFrame, str, str]]) -> DataFrame:
     """Left join a chain of lookups: (lookup, fact column, lookup key)."""
     return reduce(lambda f, d: f.join(d[0], F.col(d[1]) == F.col(d[2]), "left"), lookups, facts)
@@ -47,8 +60,8 @@ def left_where_differs(left: DataFrame, right: DataFrame, on, a: str, b: str) ->
 
 def match_flag(left: DataFrame, right: DataFrame, left_key: Column, right_key: Column, out: str) -> DataFrame:
     """Add 1 where the key exists on the right, else 0, without multiplying rows."""
-    known = right.select(right_key.alias("__key")).distinct().withColumn(out, F.lit(1))
-    joined = left.join(known, left_key == F.col("__key"), "left").drop("__key")
+    known = right.select(right_key.alias("__known")).distinct().withColumn(out, F.lit(1))
+    joined = lookup(left.withColumn("__own", left_key), known, [("__own", "__known")]).drop("__own")
     return joined.withColumn(out, F.coalesce(F.col(out), F.lit(0)))
 
 

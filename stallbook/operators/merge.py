@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stallbook.operators.joins import lookup
 from stallbook.operators.sets import align_types, checked_union
 from stallbook.operators.windows import Sort, newest, prefer_source
 
@@ -26,8 +27,7 @@ def upsert(old: DataFrame, delta: DataFrame, key: str) -> DataFrame:
     """
     lowered_old = old.withColumn(key, _lower_key(key))
     lowered_delta = delta.withColumn(key, _lower_key(key))
-    keys = lowered_delta.select(F.col(key).alias("__key"))
-    kept = lowered_old.join(keys, F.col(key) == F.col("__key"), "left_anti")
+    kept = lookup(lowered_old, lowered_delta.select(key).distinct(), [(key, key)], "left_anti")
     return checked_union(kept, lowered_delta)
 
 
@@ -45,12 +45,12 @@ def extend_history(
     """
     lowered = history.withColumn(key, _lower_key(key))
     fresh = delta.withColumn(key, _lower_key(key))
-    keys = fresh.select(F.col(key).alias("__key")).distinct().withColumn("__hit", F.lit(True))
+    keys = fresh.select(key).distinct().withColumn("__hit", F.lit(True))
     closing = F.col("__hit") & F.col(end).isNull()
     closed = (
-        lowered.join(keys, F.col(key) == F.col("__key"), "left")
+        lookup(lowered, keys, [(key, key)])
         .withColumn(end, F.when(closing, as_of - F.expr("INTERVAL 1 DAY")).otherwise(F.col(end)))
-        .drop("__key", "__hit")
+        .drop("__hit")
     )
     return checked_union(closed, with_open_validity(fresh, as_of, start, end))
 

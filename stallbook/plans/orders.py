@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from stallbook.functions import states, text, times
 from stallbook.operators.aggregates import effective_window, groups_with_zero_sum, sum_of_latest
 from stallbook.operators.hot import Sort, neighbours, ranked
-from stallbook.operators.joins import intersect_intervals, interval_join, left_where_differs
+from stallbook.operators.joins import intersect_intervals, interval_join, left_where_differs, lookup
 from stallbook.operators.projections import row_key
 from stallbook.operators.sets import checked_union
 from stallbook.operators.windows import first_per_second, newest
@@ -88,7 +88,7 @@ def fill_down(events: DataFrame, names: EventNames = EventNames()) -> DataFrame:
         events.where(_is(F.col("name"), names.migrated)).select("parent_id").distinct()
         .withColumn("migrated", F.lit(True))
     )
-    marked = far.join(migrated, "parent_id", "left").withColumn("migrated", F.coalesce("migrated", F.lit(False)))
+    marked = lookup(far, migrated, [("parent_id", "parent_id")]).withColumn("migrated", F.coalesce("migrated", F.lit(False)))
     done = marked.withColumns(
         {
             c: F.coalesce(F.col(c), F.col(f"p1_{c}"), F.when(~F.col("migrated"), F.col(f"p2_{c}")))
@@ -124,7 +124,7 @@ def price_timeline(
         base=history,
     )
     windows = effective_window(history, "parent_id", "name", names.cancelled, "ts").drop("window_state")
-    rows = _kept_intervals(seen.join(windows, "parent_id", "left"), names)
+    rows = _kept_intervals(lookup(seen, windows, [("parent_id", "parent_id")]), names)
     if meters is not None:
         own = meters.select("entry_id", "meter_id", "meter", "amount")
         rows = rows.join(own, "entry_id", "left")
@@ -282,7 +282,7 @@ def order_dimension(
         o = o.where(F.col("publisher") != excluded_publisher)
     o = o.where(F.col("order_id").isNotNull())
     known = lookups.publishers.select(F.col("publisher").alias("known_publisher")).distinct()
-    o = o.join(known, F.col("publisher") == F.col("known_publisher"), "left")
+    o = lookup(o, known.withColumn("p_key", F.col("known_publisher")), [("publisher", "p_key")])
 
     took = ["offer_id", "is_preview", "offer_type", "row_key"]
     exact = lookups.offers.select(
@@ -295,21 +295,16 @@ def order_dimension(
         *[F.col(c).alias(f"l_{c}") for c in took],
     )
     loose = newest(loose, ["l_offer", "l_plan"], [Sort("l_row_key")])
-    o = o.join(
-        exact,
-        (F.col("offer_cut") == F.col("x_offer")) & (F.col("plan") == F.col("x_plan"))
-        & (F.col("known_publisher") == F.col("x_publisher")),
-        "left",
-    )
-    o = o.join(
-        loose,
-        F.col("x_offer").isNull() & (F.col("offer_cut") == F.col("l_offer")) & (F.col("plan") == F.col("l_plan")),
-        "left",
-    )
+    exact = exact.withColumns({"e_offer": F.col("x_offer"), "e_plan": F.col("x_plan")})
+    o = lookup(o, exact, [("offer_cut", "e_offer"), ("plan", "e_plan"), ("known_publisher", "x_publisher")])
+    # Rows found exactly get no key for the looser lookup.
+    o = o.withColumn("loose_offer", F.when(F.col("x_offer").isNull(), F.col("offer_cut")))
+    loose = loose.withColumns({"e_offer": F.col("l_offer"), "e_plan": F.col("l_plan")})
+    o = lookup(o, loose, [("loose_offer", "e_offer"), ("plan", "e_plan")])
     o = o.withColumns({c: F.coalesce(f"x_{c}", f"l_{c}") for c in took if c != "row_key"})
 
     overrides = newest(lookups.overrides, ["publisher", "offer", "plan"], [Sort("plan_override")])
-    o = o.join(overrides, ["publisher", "offer", "plan"], "left")
+    o = lookup(o, overrides, [(c, c) for c in ("publisher", "offer", "plan")])
     o = o.withColumn("plan_key", F.coalesce("plan_override", "plan"))
 
     onboarding = newest(lookups.onboarding, ["offer_id", "plan"], [Sort("created_ts", True), Sort("billed_outside")])
@@ -317,9 +312,7 @@ def order_dimension(
     for side, columns in (
         (onboarding, ["billed_outside"]), (languages, ["needs_licence"]), (lookups.market_prices, ["market_price"])
     ):
-        keyed = side.select(F.col("offer_id").alias("s_offer"), F.col("plan").alias("s_plan"), *columns)
-        on = (F.col("offer_id") == F.col("s_offer")) & (F.col("plan_key") == F.col("s_plan"))
-        o = o.join(keyed, on, "left").drop("s_offer", "s_plan")
+        o = lookup(o, side.select("offer_id", "plan", *columns), [("offer_id", "offer_id"), ("plan_key", "plan")])
 
     o = o.join(last_discount(timeline), "order_id", "left")
     latest = newest(
@@ -423,7 +416,7 @@ def licence_types(
         "left",
     ).drop("b_order", "b_day")
     known = subscriptions.select(F.col("subscription_id").alias("known_subscription")).distinct()
-    o = o.join(known, F.col("subscription_id") == F.col("known_subscription"), "left")
+    o = lookup(o, known.withColumn("s_key", F.col("known_subscription")), [("subscription_id", "s_key")])
     named = channels.withColumnRenamed("subscription_id", "c_subscription")
     o = interval_join(
         o, named, [("subscription_id", "c_subscription")], "purchase_day", "valid_from", "valid_to", "left"

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from stallbook.functions import states, text, times
 from stallbook.operators.audit import with_lineage
 from stallbook.operators.hot import Sort, ranked
-from stallbook.operators.joins import guarded_lookup, interval_matches, match_flag, null_as_empty
+from stallbook.operators.joins import guarded_lookup, interval_matches, lookup, match_flag, null_as_empty
 from stallbook.operators.sets import checked_union, union_distinct
 from stallbook.operators.windows import newest
 from stallbook.sources.readers import latest_publication, look_back
@@ -101,7 +101,7 @@ def prices_in_force(usage: DataFrame, intervals: DataFrame) -> DataFrame:
         [F.col("end_ts").desc_nulls_first(), Sort("start_ts", True), Sort("price"), Sort("discount")],
     )
     return one.select(
-        F.col("order_id").alias("f_order"), F.col("meter").alias("f_meter"), F.to_date("point").alias("f_day"),
+        "order_id", "meter", F.to_date("point").alias("usage_date"), F.lit(True).alias("f_found"),
         F.col("discount").alias("f_discount"), F.col("price").alias("f_price"),
     )
 
@@ -114,8 +114,8 @@ def latest_prices(intervals: DataFrame, as_of: Column) -> DataFrame:
         [F.col("end_ts").desc_nulls_first(), Sort("start_ts", True), Sort("price"), Sort("discount")],
     )
     return one.select(
-        F.col("order_id").alias("n_order"), F.col("meter").alias("n_meter"),
-        F.col("discount").alias("n_discount"), F.col("price").alias("n_price"),
+        "order_id", "meter", F.lit(True).alias("n_found"), F.col("discount").alias("n_discount"),
+        F.col("price").alias("n_price"),
     )
 
 
@@ -131,22 +131,16 @@ def priced_usage(
     """
     rolled = usage.groupBy(*keys).agg(F.sum(F.col("units") if units is None else units).alias("quantity"))
     force, last = prices_in_force(usage, intervals), latest_prices(intervals, as_of)
-    known = known_orders.select(F.col("order_id").alias("k_order")).distinct()
-    order, meter = F.col("order_id"), F.col("meter")
-    wide = (
-        rolled.join(
-            force, (order == F.col("f_order")) & (meter == F.col("f_meter")) & (F.col("usage_date") == F.col("f_day")),
-            "left",
-        )
-        .join(known, order == F.col("k_order"), "left")
-        .join(last, (order == F.col("n_order")) & (meter == F.col("n_meter")), "left")
-    )
+    known = known_orders.select("order_id").distinct().withColumn("is_known", F.lit(True))
+    wide = lookup(rolled, force, [(c, c) for c in ("order_id", "meter", "usage_date")])
+    wide = lookup(wide, known, [("order_id", "order_id")])
+    wide = lookup(wide, last, [("order_id", "order_id"), ("meter", "meter")])
     state = states.price_state(
-        F.col("f_order").isNotNull(), F.col("f_discount"), F.col("f_price"), F.col("k_order").isNotNull()
+        F.col("f_found").isNotNull(), F.col("f_discount"), F.col("f_price"), F.col("is_known").isNotNull()
     )
     wide = wide.withColumn("state", state)
     fallback = states.priced_state(
-        F.col("n_order").isNotNull(), F.col("n_discount"), F.col("n_price"), F.lit(states.MISSING_PRICE)
+        F.col("n_found").isNotNull(), F.col("n_discount"), F.col("n_price"), F.lit(states.MISSING_PRICE)
     )
     final = F.when(F.col("state") == states.MISSING_PRICE, fallback).otherwise(F.col("state"))
     result = wide.withColumn("state", final).select(*keys, "quantity", "state")
