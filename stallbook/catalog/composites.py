@@ -193,20 +193,23 @@ def x_first_known_size(t: Tables):
 
 
 def _fact_usage(t: Tables):
-    lines = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     kind, size = F.col("p_type"), F.col("p_size")
-    return lines.select(
-        F.col("l_orderkey").cast("string").alias("row_key"), F.nullif("p_brand", F.lit("Brand#1")).alias("uri"),
-        F.col("l_returnflag").alias("meter"),
+    # Everything that depends on the part alone is worked out once per part.
+    parts = t.part.select(
+        "p_partkey", F.nullif("p_brand", F.lit("Brand#1")).alias("uri"),
         F.when(kind != "SMALL", F.concat(F.lit("Std_"), F.substring("p_name", 1, 1), size.cast("string"))).alias("vm_size"),
-        F.col("l_quantity").alias("quantity"), F.to_date("l_shipdate").alias("usage_date"),
-        text.lower_md5(F.col("p_brand")).alias("uri_hash"), F.lit(0).alias("is_multi_solution"),
-        F.lit(usage.DAILY_SOURCE).alias("usage_data_source"), F.lit("Paid").alias("state"),
+        text.lower_md5(F.col("p_brand")).alias("uri_hash"),
         F.when(size > 25, "compute sw").otherwise("compute").alias("info"), size.alias("cores"),
         F.when(kind == "PROMO", F.when(size > 25, "windows_oracle_12c_db_x_ent").otherwise("windows_oracle_12c_wls_std"))
         .otherwise(F.lower("p_type")).alias("os_name"),
         F.when(kind != "LARGE", F.concat(F.lit("IaaS - "), kind)).alias("os_family"),
     )
+    return t.lineitem.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("l_orderkey").cast("string").alias("row_key"), F.col("l_returnflag").alias("meter"),
+        F.col("l_quantity").alias("quantity"), F.to_date("l_shipdate").alias("usage_date"),
+        F.lit(0).alias("is_multi_solution"), F.lit(usage.DAILY_SOURCE).alias("usage_data_source"),
+        F.lit("Paid").alias("state"), *[c for c in parts.columns if c != "p_partkey"],
+    )
 
 
 @query(

@@ -168,12 +168,16 @@ FROM solutions""",
 def x_dimension_build(t: Tables):
     brand, kind = F.col("p_brand"), F.col("p_type")
     named = text.override_id(brand, _BRAND_NAMES, F.lower(brand))
-    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     offer_type = F.when(kind == "SMALL", offers.APP_SERVICE).when(kind == "LARGE", offers.VIRTUAL_MACHINE).otherwise(
         offers.DATA_SERVICE
     )
     ids = [brand.alias("publisher_id"), F.lower(brand).alias("publisher_nid"), F.col("p_name").alias("offer")]
     version = day_text("l_shipdate").alias("version")
+    rows = t.part.select(
+        "p_partkey", *ids, _text("p_partkey").alias("offer_id"), offer_type.alias("offer_type"), kind.alias("plan"),
+        F.when(F.col("p_size") > 25, " true").otherwise("no").alias("is_preview"),
+    ).join(t.lineitem, F.col("l_partkey") == F.col("p_partkey"))
+    id_names = ["publisher_id", "publisher_nid", "offer"]
     part_ids = [named.alias("publisher"), F.col("p_name").alias("offer"), kind.alias("plan")]
     number = _text("p_partkey")
     newest_first = F.lpad(number, 18, "0").alias("version")
@@ -181,12 +185,11 @@ def x_dimension_build(t: Tables):
     none = F.lit(None).cast("string")
     sources = offers.OfferSources(
         offers=rows.select(
-            number.alias("offer_id"), *ids, offer_type.alias("offer_type"), version,
-            F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("created_text"),
-            F.when(F.col("p_size") > 25, " true").otherwise("no").alias("is_preview"),
+            "offer_id", *id_names, "offer_type", version,
+            F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("created_text"), "is_preview",
         ),
         plans=rows.select(
-            *ids, kind.alias("plan"), version,
+            *id_names, "plan", version,
             F.when(F.col("l_returnflag") == "R", offers.METERED_EFFECT).otherwise("Other").alias("effect"),
         ),
         details=t.part.where(F.col("p_size") > 10).select(

@@ -8,6 +8,7 @@ from stallbook.catalog import frames
 from stallbook.catalog.registry import Tables, query, second_text
 from stallbook.functions import nested, states, text, times
 from stallbook.operators.hot import Sort, neighbours
+from stallbook.operators.joins import lookup
 
 
 @query(
@@ -247,16 +248,15 @@ def f_price_state(t: Tables):
 
     k = frames.event_number()
     latest = newest(t.events.where(F.col("value") > 100), ["user_id", "event_type"], order_by("-ts", "event_id")).select(
-        F.col("user_id").alias("l_user"), F.col("event_type").alias("l_type"),
+        F.col("user_id").alias("l_user"), F.col("event_type").alias("l_type"), F.lit(True).alias("found"),
         F.when(F.col("value") < 130, F.lit(0.0)).otherwise(F.col("value")).alias("price"),
         F.when(k >= 30, "None").when(k >= 15, "Trial").otherwise("Promotion").alias("discount"),
     )
-    known = frames.known_orders(t).withColumnRenamed("order_id", "known")
-    joined = t.events.join(
-        latest, (F.col("user_id") == F.col("l_user")) & (F.col("event_type") == F.col("l_type")), "left"
-    ).join(known, F.col("user_id") == F.col("known"), "left")
+    known = frames.known_orders(t).select(F.col("order_id").alias("known"), F.lit(True).alias("is_known"))
+    joined = lookup(t.events, latest, [("user_id", "l_user"), ("event_type", "l_type")])
+    joined = lookup(joined, known, [("user_id", "known")])
     state = states.price_state(
-        F.col("l_user").isNotNull(), F.col("discount"), F.col("price"), F.col("known").isNotNull()
+        F.col("found").isNotNull(), F.col("discount"), F.col("price"), F.col("is_known").isNotNull()
     )
     return joined.select("event_id", state.alias("state"))
 
