@@ -298,6 +298,27 @@ def x_gov_flag_rank(t: Tables):
     return ranked.drop("l_shipdate").withColumnRenamed("in_special_region", "has_asia")
 
 
+def _core_records(t: Tables):
+    k, kind = frames.event_number(), F.col("event_type")
+    number = k.cast("string")
+    publisher = (
+        F.when(kind == "view", "Barracuda NG").when(kind == "click", "Oracle Linux").when(kind == "purchase", "Bitnami")
+        .when(kind == "signup", "Zulu").otherwise("Other")
+    )
+    none = F.lit(None).cast("string")
+    return t.events.select(
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("vm_id"), F.col("event_id").alias("record_id"), "ts",
+        kind.alias("location"), F.when(k < 3, "USGov").otherwise("public").alias("cloud"), F.concat(F.lit("A"), number).alias("size"), (k % 5).alias("vp_count"),
+        none.alias("subscription_id"), publisher.alias("publisher"), none.alias("data_source"),
+        F.lit(1).alias("quantity_vms"), F.lit(24).alias("usage_hours"),
+        F.when(kind == "purchase", F.concat(F.lit("img_"), kind, F.lit("__v_"), F.lpad(number, 3, "0"))).alias("image_name"),
+        F.concat(F.when(k % 2 == 0, "linux_").otherwise("windows_"), kind).alias("billing_context"),
+        F.when(k > 50, "USER").alias("image_type"), none.alias("crp_offer"), none.alias("crp_publisher"),
+        F.when(k % 3 == 0, "").otherwise(F.concat(F.lit("sku"), number)).alias("crp_sku"),
+        publisher.alias("mapped_publisher"),
+    )
+
+
 @query(
     "x_latest_entity_profile",
     """
@@ -325,25 +346,7 @@ SELECT vm_id, location, publisher, m_billing AS billing_context, epoch_us(first_
 FROM named""",
 )
 def x_latest_entity_profile(t: Tables):
-    k, kind = frames.event_number(), F.col("event_type")
-    number = k.cast("string")
-    publisher = (
-        F.when(kind == "view", "Barracuda NG").when(kind == "click", "Oracle Linux").when(kind == "purchase", "Bitnami")
-        .when(kind == "signup", "Zulu").otherwise("Other")
-    )
-    none = F.lit(None).cast("string")
-    records = t.events.select(
-        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("vm_id"), F.col("event_id").alias("record_id"), "ts",
-        kind.alias("location"), F.when(k < 3, "USGov").otherwise("public").alias("cloud"), none.alias("size"),
-        none.alias("subscription_id"), publisher.alias("publisher"), none.alias("data_source"),
-        F.lit(1).alias("quantity_vms"), F.lit(24).alias("usage_hours"),
-        F.when(kind == "purchase", F.concat(F.lit("img_"), kind, F.lit("__v_"), F.lpad(number, 3, "0"))).alias("image_name"),
-        F.concat(F.when(k % 2 == 0, "linux_").otherwise("windows_"), kind).alias("billing_context"),
-        F.when(k > 50, "USER").alias("image_type"), none.alias("crp_offer"), none.alias("crp_publisher"),
-        F.when(k % 3 == 0, "").otherwise(F.concat(F.lit("sku"), number)).alias("crp_sku"),
-        publisher.alias("mapped_publisher"),
-    )
-    profiles = core_usage.machine_profiles(records)
+    profiles = core_usage.machine_profiles(_core_records(t))
     return profiles.select(
         "vm_id", "location", "publisher", "billing_context", times.millis(F.col("first_seen")).alias("first_ms"),
         "has_used_gov_cloud", "os_type", "sku", "offer_name", "plan_key", "plan_name", "order_key", "is_gov",
@@ -384,3 +387,39 @@ def x_charge_fact(t: Tables):
     )
     merged = charges.merge_charges(target, fact, charges.FactKeys(tuple(keys)))
     return merged.withColumn("charged_day", day_text("charged_on")).drop("charged_on")
+
+
+@query(
+    "x_core_orders",
+    """
+WITH last AS (SELECT *, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER) AS k FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+SELECT 'U' || user_id AS vm_id, event_type AS region, k % 5 AS cores, 'A' || k AS vm_size, CAST(24 AS DOUBLE) AS quantity, CAST(24 AS DOUBLE) AS core_quantity,
+  'CORE' AS stack, 'Unknown' AS state, 'CoreOrders' AS usage_type, strftime(ts, '%Y-%m-%d') AS usage_day,
+  CASE event_type WHEN 'view' THEN 'barracudanetworks' WHEN 'click' THEN 'msopentech' WHEN 'purchase' THEN 'Bitnami' WHEN 'signup' THEN 'azul' END AS publisher
+FROM last""",
+)
+def x_core_orders(t: Tables):
+    rows = usage.core_order_rows(core_usage.machine_profiles(_core_records(t)))
+    return rows.select(
+        "vm_id", "region", "cores", "vm_size", "quantity", "core_quantity", "stack", "state", "usage_type",
+        day_text("usage_date").alias("usage_day"), "publisher",
+    )
+
+
+@query(
+    "x_core_prices",
+    f"""
+WITH {frames.PRICE_INTERVALS_SQL}, used AS (
+  SELECT DISTINCT (k % 5) || 'core' AS meter, CAST(ts AS DATE) AS day
+  FROM (SELECT *, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER) AS k FROM events WHERE event_type = 'error' AND value > 150) WHERE k % 5 <> 0
+)
+SELECT DISTINCT order_id, (order_id % 5) || 'core' AS meter, discount, price FROM price_intervals i
+WHERE EXISTS (SELECT 1 FROM used u WHERE u.meter = (i.order_id % 5) || 'core' AND CAST(u.day AS TIMESTAMP) >= i.start_ts
+  AND (i.end_ts IS NULL OR CAST(u.day AS TIMESTAMP) <= i.end_ts))""",
+)
+def x_core_prices(t: Tables):
+    failed = t.events.where((F.col("event_type") == "error") & (F.col("value") > 150))
+    records = failed.select((frames.event_number() % 5).alias("vp_count"), "ts")
+    sized = F.concat(F.pmod(F.col("order_id"), F.lit(5)).cast("string"), F.lit("core"))
+    return usage.core_prices(records, frames.price_intervals(t).withColumn("meter", sized))

@@ -8,6 +8,8 @@ from stallbook.catalog.registry import Tables, day_text, query
 from stallbook.functions import times
 from stallbook.operators import merge as m
 from stallbook.operators.windows import Sort
+from stallbook.plans.publish import publish
+from stallbook.session import scratch_path
 
 # The old snapshot and the delta overlap in the second half of 2000.
 _OLD = "2001-01-01 00:00:00"
@@ -138,3 +140,34 @@ def m_merge_change_detect(t: Tables):
         "o_orderstatus", F.nullif("o_orderstatus", F.lit("P"))
     )
     return m.merge_changes(target, source, keys, columns, "action")
+
+
+@query(
+    "m_publish_slices",
+    """
+WITH keyed AS (SELECT *, 'k' || o_custkey || o_orderstatus AS row_key, CASE WHEN o_orderstatus = 'F' THEN 'baseline' ELSE 'pubportal' END AS source FROM orders),
+a AS (SELECT * FROM keyed WHERE o_orderdate < TIMESTAMP '2000-07-01' QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY o_orderdate DESC, o_orderkey) = 1),
+b AS (SELECT * FROM keyed WHERE o_orderdate >= TIMESTAMP '2000-07-01' QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY o_orderdate DESC, o_orderkey) = 1)
+SELECT lower(a.row_key) AS row_key, a.o_orderkey, '2000-07-01' AS start_day, CASE WHEN b.row_key IS NULL THEN '' ELSE '2001-08-31' END AS end_day
+FROM a LEFT JOIN b ON a.row_key = b.row_key
+UNION ALL SELECT lower(row_key), o_orderkey, '2001-09-01', '' FROM b""",
+)
+def m_publish_slices(t: Tables):
+    root = scratch_path(t.spark, "dimension")
+    spec = m.DimensionSpec(
+        "row_key", (Sort("o_orderdate", True), Sort("o_orderkey")), "source", "pubportal", ("o_custkey",)
+    )
+    source = F.when(F.col("o_orderstatus") == "F", "baseline").otherwise("pubportal")
+    rows = t.orders.select(
+        F.concat(F.lit("K"), F.col("o_custkey").cast("string"), "o_orderstatus").alias("row_key"), "o_custkey",
+        "o_orderkey", "o_orderdate", source.alias("source"),
+    )
+    cut = times.ntz(_DELTA)
+    publish(rows.where(F.col("o_orderdate") < cut), spec, root, 20000701, times.ntz("2000-07-01 00:00:00"))
+    _, history = publish(
+        rows.where(F.col("o_orderdate") >= cut), spec, root, 20010901, times.ntz("2001-09-01 00:00:00")
+    )
+    return t.spark.read.parquet(history).select(
+        "row_key", "o_orderkey", day_text("start_ts").alias("start_day"),
+        F.coalesce(day_text("end_ts"), F.lit("")).alias("end_day"),
+    )

@@ -75,7 +75,10 @@ def entity_summary(
     )
 
 
-RECORD = ["ts", "location", "cloud", "size", "subscription_id", "publisher", "data_source", "quantity_vms", "usage_hours"]
+RECORD = [
+    "ts", "location", "cloud", "size", "vp_count", "subscription_id", "publisher", "data_source", "quantity_vms",
+    "usage_hours",
+]
 METADATA = ["billing_context", "image_name", "image_type", "crp_offer", "crp_sku", "crp_publisher", "mapped_publisher"]
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallbook.functions import states, text, times
@@ -28,6 +28,7 @@ UNKNOWN_STACK = "Unknown"
 DATA_TRANSFER_WORD = "datatr"
 SOFTWARE_PATTERN = "%compute%sw%"
 GOVERNMENT_WORD = "gov"
+CORE_STACK, CORE_USAGE_TYPE = "CORE", "CoreOrders"
 DAILY_SOURCE, MULTI_SOURCE = "UsageDaily", "UsageDaily MultiSolution"
 DEFAULT_OS_FAMILY = "linux"
 OS_FAMILY_PREFIX = "iaas - "
@@ -165,6 +166,50 @@ def usage_fact_rows(priced: DataFrame, usage_type: str, is_machine: int) -> Data
     )
 
 
+def core_order_rows(profiles: DataFrame) -> DataFrame:
+    """Fact rows of core machines, from their profiles: a full day of hours per machine."""
+    none = F.lit(None).cast("string")
+    columns = {
+        "order_id": none, "meter": none, "uri": none, "uri_hash": none, "region": F.col("location"),
+        "cores": F.col("vp_count"), "vm_size": F.col("size"), "tags": F.lit(""),
+        "quantity": core_quantity(F.col("quantity_vms").cast("double")),
+        "core_quantity": F.col("usage_hours").cast("double"), "is_core_image": F.lit(1),
+        "is_multi_solution": F.lit(0), "is_vm_usage": F.lit(1), "usage_data_source": F.col("data_source"),
+        "stack": F.lit(CORE_STACK), "state": F.lit(states.UNKNOWN), "info": none,
+        "subscription_id": F.col("subscription_id"), "publisher": F.col("publisher_name"),
+        "usage_type": F.lit(CORE_USAGE_TYPE), "vm_id": F.col("vm_id"), "usage_date": F.to_date("ts"),
+        "is_missing": F.lit(0), "row_key": F.col("vm_id"),
+    }
+    return profiles.select(*[e.alias(c) for c, e in columns.items()])
+
+
+def core_prices(records: DataFrame, intervals: DataFrame) -> DataFrame:
+    """Prices of core meters in force at midnight of some day on which cores of that size ran.
+
+    records: vp_count, ts. For every start day the next day with usage is looked up, among at
+    most one row per meter and calendar day; no interval is paired with all days it spans.
+    """
+    used = records.select(text.core_meter(F.col("vp_count")).alias("meter"), F.to_date("ts").alias("day")).distinct()
+    start_day = F.to_date("start_ts")
+    midnight = start_day.cast("timestamp_ntz") == F.col("start_ts")
+    dated = intervals.withColumn("first_day", F.when(midnight, start_day).otherwise(F.date_add(start_day, 1)))
+    asked = dated.select("meter", F.col("first_day").alias("day")).distinct()
+    no_day = F.lit(None).cast("date")
+    both = used.withColumn("used_day", F.col("day")).unionByName(asked.withColumn("used_day", no_day))
+    ahead = Window.partitionBy("meter").orderBy("day", F.col("used_day").asc_nulls_first()).rowsBetween(
+        0, Window.unboundedFollowing
+    )
+    found = both.withColumn("next_day", F.first("used_day", ignorenulls=True).over(ahead)).where(
+        F.col("used_day").isNull()
+    )
+    answers = found.select("meter", F.col("day").alias("first_day"), "next_day")
+    held = lookup(dated, answers, [("meter", "meter"), ("first_day", "first_day")]).where(
+        F.col("next_day").isNotNull()
+        & (F.col("end_ts").isNull() | (F.col("next_day").cast("timestamp_ntz") <= F.col("end_ts")))
+    )
+    return held.select("order_id", "meter", "discount", "price").distinct()
+
+
 def software_state(info: Column) -> Column:
     """Paid when the properties name compute software, else Free."""
     return F.when(text.like_any_case(info, SOFTWARE_PATTERN), states.PAID).otherwise(states.FREE)

@@ -3,7 +3,10 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from stallbook.functions.times import ntz
+from stallbook.operators.hot import Sort
+from stallbook.operators.merge import DimensionSpec
 from stallbook.plans import core_usage, orders, usage
+from stallbook.plans.publish import previous_rows, publish
 
 HISTORY = "entry_id int, parent_id string, name string, ts timestamp_ntz, watermark int, price double, currency string"
 
@@ -167,7 +170,7 @@ def test_billed_usage_and_data_transfer_are_left_out(spark, rows):
 
 def test_profile_takes_the_newest_record_and_the_best_metadata(spark):
     columns = {
-        "vm_id": "string", "record_id": "int", "ts": "timestamp_ntz", "location": "string", "cloud": "string", "size": "string",
+        "vm_id": "string", "record_id": "int", "ts": "timestamp_ntz", "location": "string", "cloud": "string", "size": "string", "vp_count": "int",
         "subscription_id": "string", "publisher": "string", "data_source": "string", "quantity_vms": "int", "usage_hours": "int",
         "billing_context": "string", "image_name": "string", "image_type": "string", "crp_offer": "string", "crp_sku": "string",
         "crp_publisher": "string", "mapped_publisher": "string",
@@ -192,3 +195,29 @@ def test_profile_takes_the_newest_record_and_the_best_metadata(spark):
     assert (v.location, v.first_seen, v.has_used_gov_cloud, v.is_gov) == ("West", at("01 00:00:00"), 1, 0)
     assert (v.sku, v.os_type, v.plan_key, v.publisher_name) == ("s1", "Linux", "Oracle on Windows:linux_a:s1", "msopentech")
     assert (w.sku, w.publisher_name, w.has_used_gov_cloud) == ("k USER", None, 0)
+
+
+def test_core_prices_need_a_day_of_use_inside(spark, rows):
+    records = spark.createDataFrame([(2, at("05 10:00:00")), (2, at("05 11:00:00")), (0, at("07 00:00:00"))], "vp_count int, ts timestamp_ntz")
+    intervals = spark.createDataFrame(
+        [
+            ("a", "2core", "None", 1.0, at("05 00:00:00"), at("05 00:00:00")), ("b", "2core", "None", 2.0, at("05 00:00:01"), None),
+            ("c", "2core", "None", 3.0, at("01 00:00:00"), at("04 23:59:59")), ("d", "2core", "None", 4.0, at("01 00:00:00"), None),
+            ("e", "4core", "None", 5.0, at("01 00:00:00"), None), ("d", "2core", "None", 4.0, at("02 00:00:00"), at("06 00:00:00")),
+        ],
+        INTERVALS,
+    )
+    assert rows(usage.core_prices(records, intervals), "order_id", "price") == [("a", 1.0), ("d", 4.0)]
+
+
+def test_publish_reads_the_newest_earlier_slice(spark, rows, tmp_path):
+    spec = DimensionSpec("k", (Sort("v", True),), "source", "pubportal", ("k",))
+    schema = "k string, v int, source string"
+    root = str(tmp_path)
+    assert previous_rows(spark, f"{root}/merged", 20240101) is None
+    for slice_id, data in ((20240101, [("A", 1, "pubportal"), ("b", 1, "pubportal")]), (20240103, [("B", 3, "pubportal")]), (20240102, [("a", 2, "pubportal")])):
+        day = f"{str(slice_id)[:4]}-{str(slice_id)[4:6]}-{str(slice_id)[6:]}"
+        merged, history = publish(spark.createDataFrame(data, schema), spec, root, slice_id, ntz(f"{day} 00:00:00"))
+    assert rows(spark.read.parquet(merged), "k", "v") == [("a", 2), ("b", 1)]
+    assert spark.read.parquet(history).where("end_ts is null").count() == 2
+    assert rows(previous_rows(spark, f"{root}/merged", 20240109), "k", "v") == [("a", 1), ("b", 3)]
