@@ -94,40 +94,41 @@ usage AS (
 )"""
 
 
-def rates(t: Tables) -> DataFrame:
-    """Exchange rates from purchases: four currencies, several pulls a day."""
-    bought = t.events.where(F.col("event_type") == "purchase")
-    return bought.select(
-        currency(F.col("user_id")).alias("rate_currency"), F.to_date("ts").alias("rate_day"),
-        F.col("ts").alias("pulled"), (F.col("value") / 100).alias("rate"),
-    ).where(F.col("rate_currency") != "XXX")
+CURRENCIES = ["USD", "EUR", "GBP", "JPY", "XXX"]
+
+
+def currency(key: Column, count: int) -> Column:
+    """One of the first ``count`` currencies."""
+    names = F.array(*[F.lit(c) for c in CURRENCIES])
+    return F.element_at(names, (F.pmod(key, F.lit(count)) + 1).cast("int"))
 
 
-def currency(key: Column) -> Column:
-    """Five currencies; no rate is ever published for the last one."""
-    names = F.array(*[F.lit(c) for c in ("USD", "EUR", "GBP", "JPY", "XXX")])
-    return F.element_at(names, (F.pmod(key, F.lit(5)) + 1).cast("int"))
+CURRENCY_SQL = "['USD','EUR','GBP','JPY','XXX'][CAST({key} % {count} AS INTEGER) + 1]"
 
 
-CURRENCY_SQL = "['USD','EUR','GBP','JPY','XXX'][CAST({key} % 5 AS INTEGER) + 1]"
+def rates(t: Tables) -> DataFrame:
+    """Exchange rates from purchases: four currencies, several pulls a day."""
+    return t.events.where(F.col("event_type") == "purchase").select(
+        currency(F.col("user_id"), 4).alias("rate_currency"), F.to_date("ts").alias("rate_day"),
+        F.col("ts").alias("pulled"), (F.col("value") / 100).alias("rate"),
+    )
+
 
 RATES_SQL = f"""
 rates AS (
-  SELECT * FROM (
-    SELECT {CURRENCY_SQL.format(key='user_id')} AS rate_currency, CAST(ts AS DATE) AS rate_day, ts AS pulled,
-           value / 100 AS rate
-    FROM events WHERE event_type = 'purchase')
-  WHERE rate_currency <> 'XXX'
+  SELECT {CURRENCY_SQL.format(key='user_id', count=4)} AS rate_currency, CAST(ts AS DATE) AS rate_day, ts AS pulled,
+         value / 100 AS rate
+  FROM events WHERE event_type = 'purchase'
 )"""
 
 
 def charges(t: Tables) -> DataFrame:
-    """Orders as charges, their days folded into the month that has rates."""
+    """Orders as charges, their days folded into the month that has rates. The fifth currency has none."""
     shift = F.pmod(F.datediff(F.to_date("o_orderdate"), F.lit("1995-01-01").cast("date")), F.lit(30))
     return t.orders.select(
         F.col("o_orderkey").alias("charge_id"), F.col("o_custkey").alias("order_id"),
         F.col("o_totalprice").alias("amount"), F.col("o_orderpriority").alias("applies_to"),
-        currency(F.col("o_custkey")).alias("currency"),
+        currency(F.col("o_custkey"), 5).alias("currency"),
         F.date_add(F.lit("2024-01-01").cast("date"), shift).alias("charged_on"),
     )
 
@@ -135,7 +136,7 @@ def charges(t: Tables) -> DataFrame:
 CHARGES_SQL = f"""
 charges AS (
   SELECT o_orderkey AS charge_id, o_custkey AS order_id, o_totalprice AS amount, o_orderpriority AS applies_to,
-         {CURRENCY_SQL.format(key='o_custkey')} AS currency,
+         {CURRENCY_SQL.format(key='o_custkey', count=5)} AS currency,
          CAST(DATE '2024-01-01' + CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 30 AS INTEGER) AS DATE) AS charged_on
   FROM orders
 )"""

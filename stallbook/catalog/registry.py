@@ -15,7 +15,7 @@ ORACLES: dict[str, str] = {}
 
 
 class Tables:
-    """The supplied Parquet tables, read lazily by attribute name."""
+    """The supplied Parquet tables by attribute name, each opened once per query."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -23,7 +23,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 def query(name: str, sql: str):

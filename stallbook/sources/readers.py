@@ -35,9 +35,14 @@ def read_parquet(spark: SparkSession, path: str | list[str], renames: str | None
     return df if renames is None else rename_by_spec(df, renames)
 
 
-def read_documents(spark: SparkSession, path: str | list[str], array: str, schema: T.StructType | str) -> DataFrame:
-    """One row per element of the documents' array of structs."""
-    docs = spark.read.schema(schema).option("multiLine", True).json(path)
+def read_documents(
+    spark: SparkSession, path: str | list[str], array: str, schema: T.StructType | str, multi_line: bool = False
+) -> DataFrame:
+    """One row per element of the documents' array of structs.
+
+    One document per line lets Spark split a file; ``multi_line`` reads a file in one task.
+    """
+    docs = spark.read.schema(schema).option("multiLine", multi_line).json(path)
     return explode_documents(docs, array)
 
 

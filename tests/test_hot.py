@@ -88,3 +88,27 @@ def test_hot_groups_are_those_above_the_limit(spark, rows):
     df = spark.createDataFrame([(1,), (1,), (1,), (2,), (None,), (None,)], "key int")
     assert rows(hot_groups(df, ["key"], 1)) == [(1,), (None,)]
     assert rows(hot_groups(df, ["key"], 2)) == [(1,)]
+
+
+def test_a_hot_group_is_spread_over_partitions(spark):
+    """Two thirds of the rows share one key; no partition may hold more than its share of them."""
+    rows = spark.range(30_000).select(
+        "id", F.when(F.col("id") % 3 != 0, 0).otherwise(F.col("id")).alias("key"),
+        (F.lit(BASE).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("ts"),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        def largest(min_rows):
+            done = ranked(rows, ["key"], [Sort("ts")], "rn", min_rows=min_rows)
+            sizes = done.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count"))
+            return sizes.first()[0]
+
+        assert largest(10**9) >= 20_000
+        assert largest(1000) < 10_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_the_list_of_hot_groups_is_bounded(spark):
+    plan = hot_groups(spark.range(10).withColumn("k", F.col("id")), ["k"], 0)._jdf.queryExecution().optimizedPlan()
+    assert "LocalLimit 50000" in plan.toString() or "GlobalLimit 50000" in plan.toString()
