@@ -26,9 +26,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stallbook.llm.common import ALPHANUMERIC, pieces, prepare, split_words, texts_of, training_fold
+from stallbook.llm.common import ALPHANUMERIC, mixed, pieces, prepare, split_words, texts_of, training_fold, word_hashes
 
-MAX_TOXIC, MAX_CLEAN = 3000, 9000
+MAX_TOXIC, MAX_CLEAN = 2000, 6000
 BEGINNINGS = (4, 5, 6)
 VOTERS = 12
 # Plain insults per language, the voters that need no labels.
@@ -53,6 +53,18 @@ def distinct_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return words.to_pylist(), pairs % max(1, len(words)), pairs // max(1, len(words))
 
 
+def near_copies(texts: pa.Array, columns: int = 3) -> list[np.ndarray]:
+    """Per column a number that near copies mostly share: the least of the words' hashes."""
+    codes, offsets, words = split_words(pc.utf8_lower(texts), ALPHANUMERIC)
+    n, out, hashed = np.diff(offsets), [], word_hashes(words)
+    for c in range(columns):
+        least = np.zeros(len(n), dtype=np.uint64)
+        if len(codes):
+            least[n > 0] = np.minimum.reduceat(mixed(hashed + np.uint64(c))[codes], offsets[:-1][n > 0])
+        out.append(least)
+    return out
+
+
 def mine(texts: pa.Array, toxic: np.ndarray) -> list[str]:
     """Lexicon entries, the most telling first."""
     words, word, row = distinct_words(texts)
@@ -67,8 +79,8 @@ def mine(texts: pa.Array, toxic: np.ndarray) -> list[str]:
     row, entry = pairs // max(1, len(number)), pairs % max(1, len(number))
     bad = np.bincount(entry[toxic[row]], minlength=len(number))
     good = np.bincount(entry[~toxic[row]], minlength=len(number))
-    # At most one clean row in fifty of the toxic ones, and enough toxic rows.
-    telling = (bad >= 4) & (good * 50 <= bad)
+    # At most one clean row for fifty toxic ones, and enough toxic rows.
+    telling = (bad >= 6) & (good * 50 <= bad)
     keep = telling[entry] & toxic[row]
     row, entry = row[keep], entry[keep]
     names = list(number)
@@ -76,18 +88,21 @@ def mine(texts: pa.Array, toxic: np.ndarray) -> list[str]:
     for r, e in zip(row.tolist(), entry.tolist()):
         by_entry.setdefault(e, set()).add(r)
     chosen, left = [], set(row.tolist())
-    # Greedy cover; an entry that adds less than three rows of its own is more likely chance.
-    heap = sorted(by_entry, key=lambda e: (-len(by_entry[e]), names[e]))
-    while heap and left:
-        best = max(heap[:400], key=lambda e: (len(by_entry[e] & left), -heap.index(e) if len(heap) < 50 else 0))
-        gain = len(by_entry[best] & left)
-        if gain < 3:
+    alike = near_copies(texts)
+    # Greedy cover. Clean rows with the entry count heavily against it; an entry that adds less
+    # than four rows of its own is more likely chance.
+    while by_entry and left:
+        best = max(by_entry, key=lambda e: (len(by_entry[e]) - 20 * int(good[e]), -e))
+        if len(by_entry[best]) < 4:
             break
+        own = list(by_entry[best])
+        if min(len(set(column[own].tolist())) for column in alike) < 4:
+            del by_entry[best]  # a few texts and their near copies
+            continue
         chosen.append(names[best])
-        left -= by_entry[best]
-        heap = [e for e in heap if e != best and len(by_entry[e]) >= 3]
-        heap.sort(key=lambda e: (-len(by_entry[e] & left), names[e]))
-        heap = [e for e in heap if by_entry[e] & left]
+        gone = by_entry.pop(best) & left
+        left -= gone
+        by_entry = {e: rest for e, own in by_entry.items() if len(rest := own - gone) >= 4}
     return chosen
 
 
@@ -172,7 +187,14 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> tuple[list[str], list[float]]:
     given = np.where(toxic, 1, -1).astype(np.int8)  # the label itself, one more voter
     votes = np.column_stack([np.stack(columns, axis=1), patterns(texts), given])
     posterior, _, _ = label_model(votes, np.where(toxic, 0.95, 0.05))
-    return entries, linear(x, posterior).tolist()
+    # One more row per entry: the entry alone, labelled with its smoothed precision, so that an entry
+    # that always comes with others in the sample counts in full by itself.
+    bad, all_rows = (x * posterior[:, None]).sum(0), x.sum(0)
+    precision = (bad + 9) / (all_rows + 10)
+    alone = np.eye(len(entries), dtype=np.float32)
+    copies = max(1, len(x) // (20 * len(entries)))
+    x = np.vstack([x, *[alone] * copies])
+    return entries, linear(x, np.concatenate([posterior, *[precision] * copies])).tolist()
 
 
 def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
