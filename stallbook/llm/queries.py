@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import decontaminate, quality, token_files, toxicity
+from stallbook.llm import chat, decontaminate, fingerprints, quality, token_files, toxicity
 from stallbook.llm.common import prepare, table, training_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,21 @@ def op3_toxicity(spark, folder):
     return scored(toxicity.score(documents, model), 0.5)
 
 
+@query("op4_chat", """
+    WITH t AS (SELECT DISTINCT conv_id, coalesce(turn, -1) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+               FROM conversations WHERE conv_id IS NOT NULL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos,
+                 count(*) OVER (PARTITION BY conv_id) AS n FROM t),
+    p AS (SELECT *, string_agg(sha256(role || chr(1) || text), '') OVER (PARTITION BY conv_id ORDER BY pos) AS h FROM r),
+    f AS (SELECT min(conv_id) AS conv_id, h, n FROM p WHERE pos = n GROUP BY h, n),
+    k AS (SELECT f.conv_id, f.n FROM f ANTI JOIN (SELECT h FROM p WHERE pos < n) q ON f.h = q.h)
+    SELECT conv_id, CAST(floor(turn / 512) AS BIGINT) AS chunk, k.n AS n_turns, count(*) AS chunk_turns,
+           string_agg('<|im_start|>' || role || chr(10) || replace(text, '<|', '< |') || '<|im_end|>' || chr(10), '' ORDER BY pos) AS text
+    FROM r JOIN k USING (conv_id) GROUP BY ALL""")
+def op4_chat(spark, folder):
+    return chat.chat_texts(table(spark, folder, "conversations"))
+
+
 @query("op5_quality")
 def op5_quality(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -67,3 +82,8 @@ def op7_token_files(spark, folder):
 @query("op9_decontamination")
 def op9_decontamination(spark, folder):
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op8_fingerprints")
+def op8_fingerprints(spark, folder):
+    return fingerprints.fingerprints(table(spark, folder, "documents"))
