@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import chat, decontaminate, fingerprints, quality, token_files, toxicity
+from stallbook.llm import chat, decontaminate, fingerprints, near_dedup, quality, token_files, toxicity
 from stallbook.llm.common import prepare, table, training_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def scored(documents: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+@query("op2_near_dedup")
+def op2_near_dedup(spark, folder):
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op3_toxicity")
 def op3_toxicity(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text")
