@@ -22,8 +22,8 @@ from stallbook.session import tune
 
 # Rows per Arrow batch: about a thousand whole texts are in a Python worker at a time.
 BATCH_ROWS = 1000
-# A batch of very long texts is worked off in pieces of about this many bytes.
-PIECE_BYTES = 16_000_000
+# Texts are worked off in pieces of about this many bytes: a piece shares its distinct words' work.
+PIECE_BYTES = 8_000_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 # ASCII letters to lower case; words are runs without the six ASCII white-space characters.
@@ -78,17 +78,34 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that the texts of one piece hold about `most` bytes; one text is never cut."""
+    """Batches joined or cut so that the texts of one piece hold about `most` bytes; one text is never cut."""
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy())
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy())
         start = 0
         while start < batch.num_rows:
-            before = size[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(size, before + most, side="right")))
-            yield batch.slice(start, stop - start)
+            before = ends[start - 1] if start else 0
+            stop = int(np.searchsorted(ends, before + most - size, side="right"))
+            if stop < batch.num_rows:
+                stop = max(stop, start + (not held))
+            if stop > start:
+                held.append(batch.slice(start, stop - start))
+                size += ends[stop - 1] - before
+            if stop < batch.num_rows:
+                yield joined(held)
+                held, size = [], 0
             start = stop
+    if held:
+        yield joined(held)
+
+
+def joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    if len(batches) == 1:
+        return batches[0]
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
 def translated(texts: pa.Array, mapping: bytes) -> pa.Array:

@@ -18,28 +18,56 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import uuid
 import zlib
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stallbook.llm.common import pieces, prepare, split_words, texts_of, total_bytes
+from stallbook.llm.common import SPACED, pieces, prepare, split_words, texts_of, total_bytes, translated
 from stallbook.session import scratch_path, stage
 
 # Text bytes that one part holds, on average.
 PART_BYTES = 32_000_000
 # Distinct words whose ids a Python worker remembers.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 600_000
 NO_ID = -(2**63)
 MANIFEST_SCHEMA = "part long, n_docs long, n_tokens long, width int, ids_file string, index_file string"
 
 
+PLAIN = re.compile(r"[a-z]+").fullmatch
+# Added tokens of the vocabulary: a text that holds one keeps its case and its marks in place.
+_LETTER = np.isin(np.arange(256), np.arange(97, 123))
+_MARK = np.array([33 <= c <= 126 and not chr(c).isalnum() for c in range(256)])
+
+
+def spread(texts: pa.Array) -> pa.Array:
+    """ASCII letters in lower case and a space between a letter and an ASCII punctuation mark after it.
+
+    Neither changes the ids of a tokenizer that lowers case and cuts there anyway; both make
+    words recur. Texts with the opening of an added token are left as they are.
+    """
+    lower = translated(texts, SPACED)
+    if not len(texts) or lower.buffers()[2] is None:
+        return texts
+    held = pc.match_substring(lower, "<|").to_numpy(zero_copy_only=False)
+    offsets = np.frombuffer(lower.buffers()[1], dtype=np.int32)[: len(lower) + 1].astype(np.int64)
+    raw = np.frombuffer(lower.buffers()[2], dtype=np.uint8)[: offsets[-1]]
+    cuts = np.flatnonzero(_LETTER[raw[:-1]] & _MARK[raw[1:]]) + 1
+    wider = np.insert(raw, cuts, 32)
+    new = pa.StringArray.from_buffers(
+        len(lower), pa.py_buffer((offsets + np.searchsorted(cuts, offsets, side="left")).astype(np.int32)), pa.py_buffer(wider.tobytes())
+    )
+    return pc.if_else(pa.array(held), texts, new) if held.any() else new
+
+
 class WordEncoder:
     """Ids of texts by way of their distinct words.
 
@@ -52,6 +80,10 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Whether case is dropped and a letter never joins a punctuation mark after it.
+        sample = ["Ab", "ab", "ab.", "ab .", "ab,'s", "ab ,'s"]
+        ids = [e.ids for e in self.tokenizer.encode_batch(sample, add_special_tokens=False)]
+        self.spreads = ids[0] == ids[1] and ids[2] == ids[3] and ids[4] == ids[5]
         self.clear()
 
     def clear(self) -> None:
@@ -59,9 +91,14 @@ class WordEncoder:
         self.starts, self.sizes = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.ids, self.used = np.zeros(4096, np.uint32), 0
 
+    def _ids(self, words: list[str]) -> list[list[int]]:
+        """Ids of words; a word of small ASCII letters goes to the merge model at once, as nothing else changes or cuts it."""
+        plain = self.tokenizer.model.tokenize
+        whole = iter(self.tokenizer.encode_batch_fast([w for w in words if not PLAIN(w)], add_special_tokens=False))
+        return [[t.id for t in plain(w)] if PLAIN(w) else next(whole).ids for w in words]
+
     def _add(self, words: list[str]) -> None:
-        coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        lists = [e.ids for e in coded]
+        lists = self._ids(words)
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
         flat = np.fromiter((i for own in lists for i in own), np.uint32, int(sizes.sum()))
         n, more = len(self.place), len(words)
@@ -77,7 +114,7 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each text)."""
-        codes, offsets, words = split_words(texts, None)
+        codes, offsets, words = split_words(spread(texts) if self.spreads else texts, None)
         names = words.to_pylist()
         if len(self.place) + len(names) > REMEMBERED_WORDS:
             self.clear()
