@@ -72,6 +72,15 @@ def training_fold(key: str = "doc_id", folds: int = 5) -> F.Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % folds != 0
 
 
+def bounded_sample(rows: DataFrame, by: str, key: str, most: dict[int, int]) -> DataFrame:
+    """At most so many rows of each value of `by`, those with the least hash of the key."""
+    parts = [rows.where(F.col(by) == value).orderBy(F.xxhash64(key), key).limit(n) for value, n in most.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.select(key, by)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
     """The text column of a batch, null as the empty text."""
     return pc.fill_null(batch.column(batch.schema.get_field_index(column)).cast(pa.string()), "")

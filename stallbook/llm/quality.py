@@ -22,10 +22,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallbook.llm.common import mixed, pieces, prepare, split_words, texts_of, training_fold, word_hashes
+from stallbook.llm.common import bounded_sample, mixed, pieces, prepare, split_words, texts_of, training_fold, word_hashes
 
 MAX_ROWS_PER_CLASS = 2500
 BUCKETS = 1 << 16
@@ -127,8 +127,7 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     spark = prepare(documents.sparkSession)
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1) & training_fold(key))
     known = known.groupBy(key).agg(F.max(label).alias("y"))
-    best = Window.partitionBy("y").orderBy(F.xxhash64(key), key)
-    sample = known.withColumn("n", F.row_number().over(best)).where(F.col("n") <= most).select(key, "y")
+    sample = bounded_sample(known, "y", key, {1: most, 0: most})
     # At most twice `most` ids, so a broadcast whatever the input.
     rows = documents.select(key, text).join(F.broadcast(sample), key).select(F.col(text).alias("text"), "y")
 
@@ -141,7 +140,7 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
         yield pa.RecordBatch.from_arrays([pa.array([numbers.astype("<f4").tobytes()], pa.binary()), pa.array([constant], pa.float64())],
                                          names=["numbers", "constant"])
 
-    model = rows.coalesce(1).mapInArrow(learn, "numbers binary, constant double").first()
+    model = rows.repartition(1).mapInArrow(learn, "numbers binary, constant double").first()
     if model is None:
         return np.zeros(BUCKETS, np.float32), 0.0
     return np.frombuffer(bytes(model["numbers"]), dtype="<f4"), model["constant"]

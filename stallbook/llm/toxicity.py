@@ -23,10 +23,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallbook.llm.common import ALPHANUMERIC, mixed, pieces, prepare, split_words, texts_of, training_fold, word_hashes
+from stallbook.llm.common import ALPHANUMERIC, bounded_sample, mixed, pieces, prepare, split_words, texts_of, training_fold, word_hashes
 
 MAX_TOXIC, MAX_CLEAN = 2000, 6000
 BEGINNINGS = (4, 5, 6)
@@ -203,10 +203,7 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     spark = prepare(documents.sparkSession)
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1) & training_fold(key))
     known = known.groupBy(key).agg(F.max(label).alias("y"))
-    best = Window.partitionBy("y").orderBy(F.xxhash64(key), key)
-    sample = known.withColumn("n", F.row_number().over(best)).where(
-        F.when(F.col("y") == 1, F.col("n") <= max_toxic).otherwise(F.col("n") <= max_clean)
-    ).select(key, "y")
+    sample = bounded_sample(known, "y", key, {1: max_toxic, 0: max_clean})
     # At most max_toxic + max_clean ids, so a broadcast whatever the input.
     rows = documents.select(key, text).join(F.broadcast(sample), key).select(F.col(text).alias("text"), "y")
 
@@ -220,7 +217,7 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
         yield pa.RecordBatch.from_arrays([pa.array([entries], pa.list_(pa.string())), pa.array([weights], pa.list_(pa.float64()))],
                                          names=["entries", "weights"])
 
-    model = rows.coalesce(1).mapInArrow(learn, "entries array<string>, weights array<double>").first()
+    model = rows.repartition(1).mapInArrow(learn, "entries array<string>, weights array<double>").first()
     if model is None:
         return fit(pa.array([], pa.string()), np.zeros(0, dtype=bool))
     return list(model["entries"]), list(model["weights"])
