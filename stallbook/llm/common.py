@@ -195,3 +195,48 @@ def distinct_per_row(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray,
     keep = np.ones(len(v), dtype=bool)
     keep[1:] = (v[1:] != v[:-1]) | (r[1:] != r[:-1])
     return v[keep], r[keep]
+
+
+class WordIds:
+    """Ids of the distinct words a Python worker has met, as flat arrays; forgotten all at once when there are too many."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.starts, self.sizes = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.ids, self.used = np.zeros(4096, np.uint32), 0
+
+    def unknown(self, words) -> list[str]:
+        """Those of distinct words that have to be added."""
+        if len(self.place) + len(words) > self.most:
+            self.clear()
+        place = self.place
+        return [w for w in words if w not in place]
+
+    def add(self, words: list[str], sizes: np.ndarray, flat: np.ndarray) -> None:
+        """Words with the number of their ids, and all ids one after the other."""
+        n, more = len(self.place), len(words)
+        while n + more > len(self.starts):
+            self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * len(self.ids))
+        self.starts[n : n + more] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[n : n + more] = sizes
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.used += len(flat)
+        self.place.update(zip(words, range(n, n + more)))
+
+    def places(self, words) -> np.ndarray:
+        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+
+    def sequence(self, places: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of a sequence of words, number of ids of each text), texts given by their first words plus the end."""
+        if not len(places):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        sizes = self.sizes[places]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[places] - (ends - sizes), sizes) + np.arange(ends[-1])
+        return self.ids[at], np.diff(np.concatenate(([0], ends))[offsets])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import chat, decontaminate, fingerprints, near_dedup, quality, token_files, toxicity
+from stallbook.llm import chat, decontaminate, fingerprints, html_text, near_dedup, piece_codes, quality, token_files, toxicity
 from stallbook.llm.common import prepare, table, training_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,6 +15,7 @@ ORACLES: dict[str, str] = {}
 
 WORD_BPE = "word_bpe_49k.json"
 WORD_BPE_SIZE = 49_408
+PIECES = "piece_bpe_32k.model"
 
 
 def query(name: str, sql: str | None = None):
@@ -73,6 +74,13 @@ def op5_quality(spark, folder):
     return scored(quality.score(documents, model), 0.3)
 
 
+@query("op6_pieces")
+def op6_pieces(spark, folder):
+    import public_tokenizers
+
+    return piece_codes.round_trip(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
+
+
 @query("op7_token_files")
 def op7_token_files(spark, folder):
     import public_tokenizers
@@ -92,3 +100,9 @@ def op9_decontamination(spark, folder):
 @query("op8_fingerprints")
 def op8_fingerprints(spark, folder):
     return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
+@query("op10_html_text")
+def op10_html_text(spark, folder):
+    pages = table(spark, folder, "pages")
+    return html_text.extract(pages, html_text.train(pages))

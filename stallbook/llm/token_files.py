@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stallbook.llm.common import SPACED, pieces, prepare, split_words, texts_of, total_bytes, translated
+from stallbook.llm.common import SPACED, WordIds, pieces, prepare, split_words, texts_of, total_bytes, translated
 from stallbook.session import scratch_path, stage
 
 # Text bytes that one part holds, on average.
@@ -84,12 +84,7 @@ class WordEncoder:
         sample = ["Ab", "ab", "ab.", "ab .", "ab,'s", "ab ,'s"]
         ids = [e.ids for e in self.tokenizer.encode_batch(sample, add_special_tokens=False)]
         self.spreads = ids[0] == ids[1] and ids[2] == ids[3] and ids[4] == ids[5]
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.starts, self.sizes = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.ids, self.used = np.zeros(4096, np.uint32), 0
+        self.known = WordIds(REMEMBERED_WORDS)
 
     def _ids(self, words: list[str]) -> list[list[int]]:
         """Ids of words; a word of small ASCII letters goes to the merge model at once, as nothing else changes or cuts it."""
@@ -97,37 +92,15 @@ class WordEncoder:
         whole = iter(self.tokenizer.encode_batch_fast([w for w in words if not PLAIN(w)], add_special_tokens=False))
         return [[t.id for t in plain(w)] if PLAIN(w) else next(whole).ids for w in words]
 
-    def _add(self, words: list[str]) -> None:
-        lists = self._ids(words)
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for own in lists for i in own), np.uint32, int(sizes.sum()))
-        n, more = len(self.place), len(words)
-        while n + more > len(self.starts):
-            self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.starts[n : n + more] = self.used + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        self.sizes[n : n + more] = sizes
-        self.ids[self.used : self.used + len(flat)] = flat
-        self.used += len(flat)
-        self.place.update(zip(words, range(n, n + more)))
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each text)."""
         codes, offsets, words = split_words(spread(texts) if self.spreads else texts, None)
         names = words.to_pylist()
-        if len(self.place) + len(names) > REMEMBERED_WORDS:
-            self.clear()
-        new = [w for w in names if w not in self.place]
-        if new:
-            self._add(new)
-        if not len(codes):
-            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        slot = np.fromiter(map(self.place.__getitem__, names), np.int64, len(names))[codes] if names else codes
-        sizes = self.sizes[slot]
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.starts[slot] - (ends - sizes), sizes) + np.arange(ends[-1])
-        return self.ids[at], np.diff(np.concatenate(([0], ends))[offsets])
+        if new := self.known.unknown(names):
+            lists = self._ids(new)
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            self.known.add(new, sizes, np.fromiter((i for own in lists for i in own), np.uint32, int(sizes.sum())))
+        return self.known.sequence(self.known.places(names)[codes], offsets)
 
 
 @cache
