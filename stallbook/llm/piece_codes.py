@@ -35,7 +35,7 @@ SPACE = "▁"
 BASE = np.uint64(0x100000001B3)
 UNKNOWN = -10.0
 # Distinct words whose pieces a Python worker remembers, and words per Viterbi batch.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 500_000
 TOGETHER = 20_000
 # Places times words whose substrings are looked up in one go.
 CELLS = 200_000

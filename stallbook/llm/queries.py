@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import chat, decontaminate, fingerprints, html_text, near_dedup, piece_codes, quality, token_files, toxicity
+from stallbook.llm import chat, decontaminate, fingerprints, html_text, lm_scoring, near_dedup, piece_codes, quality, token_files, toxicity
 from stallbook.llm.common import prepare, table, training_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,13 @@ def scored(documents: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+@query("op1_lm_scoring")
+def op1_lm_scoring(spark, folder):
+    """Target: the documents labelled good and not toxic."""
+    good = table(spark, folder, "labels").where("quality = 1 AND toxic = 0")
+    return lm_scoring.scores(table(spark, folder, "documents"), good)
+
+
 @query("op2_near_dedup")
 def op2_near_dedup(spark, folder):
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
