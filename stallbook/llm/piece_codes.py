@@ -15,7 +15,8 @@ are checked to hash differently.
 
 Cases: null and empty texts have no pieces and decode to the empty text; texts of any length are
 worked off word by word, a word without spaces of any length in one pass; every valid text
-decodes to itself; repeated rows are encoded each; an empty table gives no rows.
+decodes to itself; repeated rows are encoded each; an empty table gives no rows. Extra columns pass through; a
+column with the new one's name is replaced.
 """
 
 from __future__ import annotations
@@ -244,8 +245,8 @@ def encode(documents: DataFrame, path: str, text: str = "text", name: str = "pie
             offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
             yield batch.append_column(name, pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32))))
 
-    schema = documents.withColumn(name, F.array().cast("array<int>")).schema
-    return documents.mapInArrow(run, schema)
+    rows = documents.drop(name)
+    return rows.mapInArrow(run, rows.withColumn(name, F.array().cast("array<int>")).schema)
 
 
 def decode(coded: DataFrame, path: str, ids: str = "piece_ids", name: str = "decoded") -> DataFrame:
@@ -258,7 +259,8 @@ def decode(coded: DataFrame, path: str, ids: str = "piece_ids", name: str = "dec
             texts = [decoder_of(path)(np.asarray(x if x is not None else [], dtype=np.int32)) for x in own.to_numpy(zero_copy_only=False)]
             yield batch.append_column(name, pa.array(texts, pa.string()))
 
-    return coded.mapInArrow(run, coded.withColumn(name, F.lit("")).schema)
+    rows = coded.drop(name)
+    return rows.mapInArrow(run, rows.withColumn(name, F.lit("")).schema)
 
 
 def round_trip(documents: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -14,7 +14,8 @@ class, chosen by a hash of the id, equal texts counted once.
 
 Cases: a null, empty or wordless text scores the layer's constant, i.e. the class shares of
 the sample; repeated rows score alike; null labels are not used; with one class only, or no
-labels, the score is 1, 0 or one half for every text. Extra columns pass through.
+labels, the score is 1, 0 or one half for every text. Extra columns pass through;
+a column with the new one's name is replaced.
 """
 
 from __future__ import annotations
@@ -172,5 +173,5 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float], text: str = "te
             z = np.clip(odds(texts_of(batch, text), numbers, constant), -30, 30)
             yield batch.append_column(name, pa.array(1 / (1 + np.exp(-z)), pa.float64()))
 
-    schema = documents.withColumn(name, F.lit(0.0)).schema
-    return documents.mapInArrow(run, schema)
+    rows = documents.drop(name)
+    return rows.mapInArrow(run, rows.withColumn(name, F.lit(0.0)).schema)

@@ -15,7 +15,8 @@ toxic and MAX_CLEAN clean rows, chosen by a hash of the text, equal texts counte
 
 Cases: a null, empty or wordless text gets the score of a text without any entry; repeated
 rows get equal scores; labels that are null or of unknown rows are not used; without both
-kinds of labels the seed lists alone decide. Extra columns pass through.
+kinds of labels the seed lists alone decide. Extra columns pass through;
+a column with the new one's name is replaced.
 """
 
 from __future__ import annotations
@@ -236,5 +237,5 @@ def score(documents: DataFrame, model: tuple[list[str], list[float]], text: str
             odds = found(texts_of(batch, text), shared.value) @ w + base
             yield batch.append_column(name, pa.array(1 / (1 + np.exp(-np.clip(odds, -30, 30))), pa.float64()))
 
-    schema = documents.withColumn(name, F.lit(0.0)).schema
-    return documents.mapInArrow(run, schema)
+    rows = documents.drop(name)
+    return rows.mapInArrow(run, rows.withColumn(name, F.lit(0.0)).schema)
