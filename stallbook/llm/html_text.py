@@ -134,7 +134,8 @@ def tokens(page: str, weights: dict[str, float]):
             if hidden or score is None or speaks_against(tag, keys, inside):
                 score = None
             elif tag not in CONTENT and (breaks or len(keys) > 1):
-                own = [k for k in keys if k not in ("html", "body")][0 if breaks else 1 :]
+                # What an element is called tells more than its kind; the kind counts where it has no name.
+                own = keys[1:] or [tag] * (tag not in ("html", "body"))
                 names = (*names, *own)[-8:]
                 score = min([score, *(weights[k] for k in own if k in weights)])
             if tag in CONTENT and score is not None:

@@ -117,26 +117,27 @@ def patterns(texts: pa.Array) -> np.ndarray:
     return np.stack([upper * 2 > n, marks * 40 > n, you * 60 > n, -prose.astype(np.int8)], axis=1).astype(np.int8)
 
 
-def label_model(votes: np.ndarray, prior: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def label_model(votes: np.ndarray, prior: np.ndarray, start: np.ndarray | None = None, rounds: int = 25) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of toxic, the voters' rates and their weights.
 
-    votes: rows by voters in {-1, 0, 1}; prior: first guess of each row's posterior. Every voter
-    has, for each class, the rates of its three answers. Voters that agree beyond what the class
-    explains share their weight: 1 over 1 plus the positive conditional correlations.
+    votes: rows by voters in {-1, 0, 1}; prior: each row's probability before any vote; start:
+    first guess of the posterior. Every voter has, for each class, the rates of its three
+    answers. Voters that agree beyond what the class explains share their weight: 1 over 1 plus
+    the positive conditional correlations, small ones of nearly constant voters left out.
     """
     answers = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
-    p, weights = prior.copy(), np.ones(votes.shape[1])
+    p, weights = (prior if start is None else start).astype(float), np.ones(votes.shape[1])
     rates = np.zeros((2, votes.shape[1], 3))
+    prior_odds = np.log(prior / (1 - prior))
     for _ in range(rounds):
         for c, w in enumerate((1 - p, p)):
             rates[c] = (np.einsum("n,nvk->vk", w, answers) + 0.5) / (w.sum() + 1.5)
         mean = np.stack([r[:, 2] - r[:, 0] for r in rates])
         rest = votes - (np.outer(1 - p, mean[0]) + np.outer(p, mean[1]))
-        size = np.sqrt((rest**2).sum(0)) + 1e-9
-        same = np.clip((rest.T @ rest) / np.outer(size, size), 0, 1)
+        cover = rest.T @ rest / len(votes)
+        same = np.clip(cover / (np.sqrt(np.outer(np.diag(cover), np.diag(cover))) + 0.05), 0, 1)
         weights = 1 / (1 + same.sum(0) - np.diag(same))
-        share = np.clip(p.mean(), 0.01, 0.99)
-        odds = np.log(share / (1 - share)) + np.einsum("nvk,vk->n", answers, weights[:, None] * np.log(rates[1] / rates[0]))
+        odds = prior_odds + np.einsum("nvk,vk->n", answers, weights[:, None] * np.log(rates[1] / rates[0]))
         p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     return p, rates, weights
 
@@ -185,8 +186,8 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> tuple[list[str], list[float]]:
     for words in SEEDS.values():
         columns.append(x[:, [number[f"={w}"] for w in words.split()]].any(1).astype(np.int8))
     columns.append(-(~x.any(1)).astype(np.int8))  # none of the entries: clean
-    given = np.where(toxic, 1, -1).astype(np.int8)  # the label itself, one more voter
-    votes = np.column_stack([np.stack(columns, axis=1), patterns(texts), given])
+    votes = np.column_stack([np.stack(columns, axis=1), patterns(texts)])
+    # A row's label is its prior, which the voters can overrule.
     posterior, _, _ = label_model(votes, np.where(toxic, 0.95, 0.05))
     # One more row per entry: the entry alone, labelled with its smoothed precision, so that an entry
     # that always comes with others in the sample counts in full by itself.
