@@ -14,7 +14,7 @@
    while every pair that could still link two components is counted.
 4. Components of all confirmed links; each text's component is the smallest id in it.
 
-Chance to lose a pair at exactly the threshold of 0.85: about 3 in 10,000, falling fast above it.
+Chance to lose a pair at exactly the threshold of 0.85: about 4 in 10,000, falling fast above it.
 
 Cases: null, empty and wordless texts have no shingles and link with nothing; a text of one to
 four words is one shingle; a row without id is linked with nothing, has no component and is
@@ -35,17 +35,16 @@ from pyspark.sql import functions as F
 from stallbook.llm.common import SPACED, distinct_per_row, mixed, pieces, prepare, shingles, split_words, texts_of, word_hashes
 from stallbook.session import stage
 
-COORDINATES, POSTED = 128, 64
-POSTED_MATCH, MATCH = 44, 92
+COORDINATES, POSTED = 256, 64
+POSTED_MATCH, MATCH = 44, 196
 PERCENT = 85
 # Members of a list that are compared with each other in one go.
 BLOCK = 512
 # Ids of the texts to read again that are broadcast at most; beyond, the texts are joined by shuffle.
 BROADCAST_IDS = 500_000
 
-_random = np.random.default_rng(20_240_101)
-MULTIPLIERS = _random.integers(1, 2**63, COORDINATES, dtype=np.uint64) | np.uint64(1)
-ADDENDS = _random.integers(0, 2**63, COORDINATES, dtype=np.uint64)
+# Odd multipliers put the well-mixed shingle hashes into another order each.
+MULTIPLIERS = np.random.default_rng(20_240_101).integers(1, 2**63, COORDINATES, dtype=np.uint64) | np.uint64(1)
 
 
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -69,13 +68,13 @@ def signatures(values: np.ndarray, starts: np.ndarray, step: int = 1 << 15) -> n
         own = values[starts[rows[0]] : starts[rows[-1] + 1]]
         heads = starts[rows] - starts[rows[0]]
         for c in range(COORDINATES):
-            out[rows, c] = np.minimum.reduceat(own * MULTIPLIERS[c] + ADDENDS[c], heads)
+            out[rows, c] = np.minimum.reduceat(own * MULTIPLIERS[c], heads)
         first = last
     return mixed(out)
 
 
 def features(documents: DataFrame, key: str, text: str) -> DataFrame:
-    """key, row_hash, n (set size), cls (class number), posted (64-bit values), rest (32-bit values)."""
+    """key, row_hash, n (set size), cls (class number), posted (64-bit values), rest (8 bits of the other values, to count with)."""
 
     def build(batches):
         for batch in pieces(batches):
@@ -84,7 +83,7 @@ def features(documents: DataFrame, key: str, text: str) -> DataFrame:
             cls = [xxhash.xxh64_intdigest(values[a:b].tobytes(), int(b - a)) for a, b in zip(starts[:-1], starts[1:])]
             place = np.arange(POSTED, dtype=np.uint64)
             posted = mixed(sig[:, :POSTED] + place).view(np.int64)
-            rest = sig[:, POSTED:].astype(np.uint32)
+            rest = sig[:, POSTED:].astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(np.diff(starts), pa.int64()),
                  pa.array(np.array(cls, dtype=np.uint64).view(np.int64), pa.int64()),
@@ -118,7 +117,7 @@ def agreeing(rows: DataFrame) -> DataFrame:
                 continue
             sizes = np.stack([batch.column(i).to_numpy() for i in (2, 3)])
             posted = [batch.column(i).flatten().to_numpy().reshape(-1, POSTED) for i in (4, 5)]
-            rest = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, COORDINATES - POSTED) for i in (6, 7)]
+            rest = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, COORDINATES - POSTED) for i in (6, 7)]
             same = (posted[0] == posted[1]).sum(1) + (rest[0] == rest[1]).sum(1)
             keep = pa.array((same >= MATCH) & (100 * sizes.min(0) >= PERCENT * sizes.max(0)))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
@@ -189,7 +188,7 @@ def cross_pairs(lists: DataFrame) -> DataFrame:
                 continue
             i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
             posted = group.column("posted").combine_chunks().flatten().to_numpy().reshape(-1, POSTED)
-            rest = np.frombuffer(b"".join(group.column("rest").to_pylist()), np.uint32).reshape(-1, COORDINATES - POSTED)
+            rest = np.frombuffer(b"".join(group.column("rest").to_pylist()), np.uint8).reshape(-1, COORDINATES - POSTED)
             left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
             found = []
             for start in range(0, len(left), 32):
