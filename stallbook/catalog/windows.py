@@ -25,7 +25,6 @@ def w_rank_spec(t: Tables):
     )
     two = w.rank_by_spec(
         one, "l_suppkey,l_returnflag", "l_shipdate,l_quantity desc", "rank_asc", ties=True, default_descending=False,
-        base=t.lineitem,
     )
     return two.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "rn_desc", "rank_asc")
 

@@ -1,23 +1,27 @@
 """Ranking and neighbour windows that survive a hot key.
 
-Spark evaluates one window group in one task, so a key that holds a third of all rows
-would put a third of the data on one core. Here such groups (and only those) are cut into
-slices along the sort order. Windows run per (key, slice); one small row per slice then
-carries the row count and the edge rows across slice borders. Slices depend on the row
-alone, so a recomputed task cuts them the same way.
+Spark evaluates one window group in one task, so a key that holds a third of all rows would
+put a third of the data on one core. Here the rows are first laid out in order: dealt by
+ranges of (keys, all sort columns, a hash of the row), sorted and written to the shared
+folder with a running number. A hot key is then cut wherever its share of the rows ends, also
+among equal sort columns. Windows run per (key, part). Only the first and the last key of a
+part can go on in another part, so at most two small rows per part carry counts and edge rows
+across the cuts, whatever the data.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stallbook.session import hot_group_rows
+from stallbook.session import stage
 
-MAX_HOT_GROUPS = 50_000  # bounds the broadcast list; the rest stay plain window groups
+ID, PART = "__id", "__part"
+_PART_SHIFT = 33  # monotonically_increasing_id puts the partition above 33 bits of row number
 
 
 @dataclass(frozen=True)
@@ -36,134 +40,89 @@ def sort_exprs(order: list[Sort], reverse: bool = False) -> list[Column]:
     return [s.column_expr(reverse) for s in order]
 
 
-def hot_groups(df: DataFrame, keys: list[str], min_rows: int | None = None) -> DataFrame:
-    """The keys whose group has more than ``min_rows`` rows, the largest first.
+def laid_out(df: DataFrame, keys: list[str], order: list[Sort]) -> DataFrame:
+    """The rows in order of keys and sort columns, with their running number and part.
 
-    Counts are combined before the shuffle and the list holds at most MAX_HOT_GROUPS rows,
-    so it may be broadcast. Groups beyond the list are still computed, in one task each.
+    Written once, so every later step sees the same parts.
     """
-    floor = hot_group_rows(df.sparkSession) if min_rows is None else min_rows
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") > floor)
-        .orderBy(F.desc("__rows"), *keys)
-        .limit(MAX_HOT_GROUPS)
-        .select(*keys)
-    )
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    by = [*[F.col(k).asc() for k in keys], *sort_exprs(order), F.col("__mix")]
+    placed = df.withColumn("__mix", F.xxhash64(*hashed)).repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    placed = placed.drop("__mix").withColumn(ID, F.monotonically_increasing_id())
+    return stage(placed, "ordered").withColumn(PART, F.shiftright(ID, _PART_SHIFT))
 
 
-def slice_of(column: str, dtype: T.DataType) -> Column:
-    """A coarse, order-preserving image of a sort column, in its own sort order.
+class _Parts:
+    """The first and last key of every part of a laid-out frame: at most two rows per part, so they may be broadcast."""
 
-    Equal values share a slice, so ties never cross a slice border.
-    """
-    c = F.col(column)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_trunc("minute", c).cast("string")
-    if isinstance(dtype, T.DateType):
-        return c.cast("string")
-    if isinstance(dtype, T.StringType):
-        return F.substring(c, 1, 3)
-    if isinstance(dtype, T.NumericType):
-        # About 45 slices per doubling, whatever the scale of the numbers.
-        x = c.cast("double")
-        cut = F.floor(F.signum(x) * F.log1p(F.abs(x)) * 64)
-        return F.when(F.isnan(x), F.lit(2**63 - 1)).otherwise(cut)  # NaN sorts above all numbers
-    return F.lit(None).cast("string")
-
-
-def _filler(dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.StringType):
-        return F.lit("")
-    if isinstance(dtype, T.BooleanType):
-        return F.lit(False)
-    if isinstance(dtype, T.NumericType):
-        return F.lit(0).cast(dtype)
-    if isinstance(dtype, T.DateType):
-        return F.lit("1970-01-01").cast(dtype)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.lit("1970-01-01 00:00:00").cast(dtype)
-    raise ValueError(f"cannot group by a column of type {dtype.simpleString()}")
-
-
-class _Slicer:
-    """Adds never-null group columns, of which the slice is one, to rows of one sort order.
-
-    The group columns serve the window and the join of the slice summary alike, so the big
-    side is shuffled once.
-    """
+    def __init__(self, placed: DataFrame, keys: list[str]):
+        self.placed, self.keys = placed, keys
+        self.own = [f"__k{i}" for i in range(len(keys))]
+        ends = placed.groupBy(PART).agg(F.min(ID).alias("lo"), F.max(ID).alias("hi"))
+        ends = ends.select(F.explode(F.array("lo", "hi")).alias("__end")).distinct()
+        at = placed.select(*keys, PART, ID).join(F.broadcast(ends), F.col(ID) == F.col("__end"))
+        slices = self._named(at.select(*keys, PART).distinct())
+        rows = placed.select(*keys, PART, ID).join(F.broadcast(slices), self._same(), "inner")
+        self.slices = rows.groupBy(*self.own, "__p").agg(F.min(ID).alias("__first"), F.max(ID).alias("__last"))
+        self.across = Window.partitionBy(*self.own).orderBy("__p")
+        self.inside = Window.partitionBy(*keys, PART)
+
+    def _named(self, df: DataFrame) -> DataFrame:
+        return df.withColumnsRenamed({**dict(zip(self.keys, self.own)), PART: "__p"})
 
-    def __init__(self, df: DataFrame, keys: list[str], order: list[Sort], min_rows: int | None, base: DataFrame | None):
-        self.df, self.keys, self.order = df, keys, order
-        self.types = {f.name: f.dataType for f in df.schema.fields}
-        hot = hot_groups(df if base is None else base, keys, min_rows)
-        self.hot = F.broadcast(hot.withColumnsRenamed({k: f"__h{i}" for i, k in enumerate(keys)}).withColumn("__hot", F.lit(True)))
-        self.match = [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)]
-        self.group = [f"__{kind}{i}" for i in range(len(keys)) for kind in "kn"]
-        self.cols = [*self.group, "__sid"]
-
-    def _marked(self, df: DataFrame, slice_struct: Column) -> DataFrame:
-        extra = {}
-        for i, k in enumerate(self.keys):
-            extra[f"__k{i}"] = F.coalesce(F.col(k), _filler(self.types[k]))
-            extra[f"__n{i}"] = F.col(k).isNull()
-        marked = df.withColumns(extra).withColumn("__slice", slice_struct)
-        return marked.withColumn("__sid", F.coalesce(F.to_json("__slice"), F.lit("")))
-
-    def _slice(self) -> Column:
-        first = self.order[0].column
-        # The flag keeps a null apart from any value.
-        return F.struct(F.col(first).isNotNull().alias("set"), slice_of(first, self.types[first]).alias("cut"))
-
-    def all_rows(self) -> DataFrame:
-        """Every row; rows of cold groups share one slice."""
-        joined = self.df.join(self.hot, self.match, "left").drop(*[f"__h{i}" for i in range(len(self.keys))])
-        return self._marked(joined, F.when(F.col("__hot"), self._slice()))
-
-    def hot_rows(self) -> DataFrame:
-        """Rows of hot groups only; the semi join is pushed down to the scan."""
-        return self._marked(self.df.join(self.hot, self.match, "left_semi"), self._slice())
-
-    def window(self, reverse: bool = False):
-        return Window.partitionBy(*self.cols).orderBy(*sort_exprs(self.order, reverse))
-
-    def across(self):
-        """The slices of a key in sort order."""
-        cut = F.col("__slice.cut")
-        return Window.partitionBy(*self.group).orderBy(cut.desc() if self.order[0].descending else cut.asc())
-
-    def attach(self, big: DataFrame, summary: DataFrame) -> DataFrame:
-        renamed = summary.withColumnsRenamed({c: f"{c}_r" for c in self.cols})
-        return big.join(renamed, [F.col(c) == F.col(f"{c}_r") for c in self.cols], "left")
+    def _same(self) -> Column:
+        pairs = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(self.keys, self.own)]
+        return reduce(Column.__and__, pairs, F.col(PART) == F.col("__p"))
+
+    def beside(self, rows: DataFrame, summary: DataFrame, how: str = "left") -> DataFrame:
+        return rows.join(F.broadcast(summary), self._same(), how)
+
+    def before(self) -> Column:
+        """Rows of the key in earlier parts. Running numbers of a slice have no gaps."""
+        size = F.col("__last") - F.col("__first") + 1
+        return F.coalesce(F.sum(size).over(self.across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
 
 
 def _without_helpers(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("__")])
 
 
-def ranked(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Sort],
-    out: str,
-    ties: bool = False,
-    min_rows: int | None = None,
-    base: DataFrame | None = None,
-) -> DataFrame:
+def _equal(order: list[Sort], prefix: str) -> Column:
+    return reduce(Column.__and__, [F.col(s.column).eqNullSafe(F.col(f"{prefix}.{s.column}")) for s in order])
+
+
+def ranked(df: DataFrame, keys: list[str], order: list[Sort], out: str, ties: bool = False) -> DataFrame:
     """Add ``row_number`` (or ``rank`` when ``ties``) per key for every row.
 
-    ``base`` may name a cheaper frame to count group sizes on; it must hold at least the rows
-    of ``df``. For a top-1 filter use ``windows.newest`` instead: it limits before the shuffle.
+    For a top-1 filter use ``windows.newest`` instead: it limits before the shuffle. Filter on
+    the keys before ranking: the rows are written in order first.
     """
-    slicer = _Slicer(df, keys, order, min_rows, base)
-    inner = (F.rank() if ties else F.row_number()).over(slicer.window()).cast("bigint")
-    body = slicer.all_rows().withColumn("__in", inner)
-    earlier = slicer.across().rowsBetween(Window.unboundedPreceding, -1)
-    sizes = slicer.hot_rows().groupBy(*slicer.cols, "__slice").agg(F.count(F.lit(1)).alias("__size"))
-    sizes = sizes.select(*slicer.cols, F.sum("__size").over(earlier).alias("__before"))
-    done = slicer.attach(body, sizes).withColumn(out, F.col("__in") + F.coalesce("__before", F.lit(0)))
-    return _without_helpers(done)
+    placed = laid_out(df, keys, order)
+    parts = _Parts(placed, keys)
+    if not ties:
+        summary = parts.slices.select(*parts.own, "__p", parts.before().alias("__before"))
+        body = placed.withColumn("__in", F.row_number().over(parts.inside.orderBy(ID)).cast("long"))
+        done = parts.beside(body, summary).withColumn(out, F.col("__in") + F.coalesce("__before", F.lit(0)))
+        return _without_helpers(done)
+    # Equal sort columns may lie on both sides of a cut: the rows before the tie count, not those before the cut.
+    value = F.struct(*[s.column for s in order])
+    rows = parts.beside(placed, parts.slices, "inner")
+    edges = rows.where((F.col(ID) == F.col("__first")) | (F.col(ID) == F.col("__last"))).groupBy(
+        *parts.own, "__p", "__first", "__last"
+    ).agg(F.min_by(value, ID).alias("__low"), F.max_by(value, ID).alias("__high"))
+    last_tie = parts.beside(placed, edges, "inner").where(_equal(order, "__high"))
+    edges = last_tie.groupBy(*parts.own, "__p", "__first", "__last", "__low", "__high").agg(F.min(ID).alias("__tie"))
+    goes_on = F.lag("__high").over(parts.across).eqNullSafe(F.col("__low")) & F.lag("__p").over(parts.across).isNotNull()
+    edges = edges.withColumns({"__before": parts.before(), "__goes_on": goes_on})
+    # Rows before the tie that a slice ends with, if it starts in that slice.
+    begins = F.when(~(F.col("__goes_on") & (F.col("__tie") == F.col("__first"))), F.col("__before") + F.col("__tie") - F.col("__first"))
+    edges = edges.withColumn("__begins", begins)
+    carried = F.last("__begins", ignorenulls=True).over(parts.across.rowsBetween(Window.unboundedPreceding, -1))
+    summary = edges.select(*parts.own, "__p", "__before", F.when(F.col("__goes_on"), carried).otherwise(F.col("__before")).alias("__tied"))
+    body = placed.withColumn("__in", F.rank().over(parts.inside.orderBy(*sort_exprs(order))).cast("long"))
+    ahead = F.when(F.col("__in") == 1, F.col("__tied")).otherwise(F.col("__before"))
+    return _without_helpers(parts.beside(body, summary).withColumn(out, F.col("__in") + F.coalesce(ahead, F.lit(0))))
 
 
 def neighbours(
@@ -173,48 +132,39 @@ def neighbours(
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
     before_previous: dict[str, str] | None = None,
-    min_rows: int | None = None,
-    base: DataFrame | None = None,
 ) -> DataFrame:
     """Add columns of the previous row, the one before it, and the following row per key.
 
     Each argument maps an output name to the column it is taken from. The sort must be unique
-    per key for a defined result. ``base`` as in ``ranked``.
+    per key for a defined result.
     """
     previous, following, before_previous = previous or {}, following or {}, before_previous or {}
-    slicer = _Slicer(df, keys, order, min_rows, base)
+    placed = laid_out(df, keys, order)
+    parts = _Parts(placed, keys)
     back = list(dict.fromkeys([*previous.values(), *before_previous.values()]))
     depth = 2 if before_previous else 1
     row_back = F.struct(F.lit(1).alias("__is"), *back)
     row_ahead = F.struct(F.lit(1).alias("__is"), *dict.fromkeys(following.values()))
-    window = slicer.window()
-    body = slicer.all_rows().withColumns(
-        {f"__p{n}": F.lag(row_back, n).over(window) for n in range(1, depth + 1)}
-        | {"__next": F.lead(row_ahead).over(window)}
+    window = parts.inside.orderBy(ID)
+    body = placed.withColumns(
+        {f"__p{n}": F.lag(row_back, n).over(window) for n in range(1, depth + 1)} | {"__next": F.lead(row_ahead).over(window)}
     )
-
-    # The first row and the last ``depth`` rows of every slice of a hot group.
-    edges = slicer.hot_rows().select(*slicer.cols, "__slice", row_back.alias("__b"), row_ahead.alias("__f"),
-                                     *dict.fromkeys(s.column for s in order))
-    edges = edges.withColumns(
-        {"__a": F.row_number().over(window), "__z": F.row_number().over(slicer.window(reverse=True))}
-    ).where((F.col("__a") == 1) | (F.col("__z") <= depth))
-    last = F.collect_list(F.when(F.col("__z") <= depth, F.struct(F.col("__a"), F.col("__b"))))
-    edges = edges.groupBy(*slicer.cols, "__slice").agg(
-        F.first(F.when(F.col("__a") == 1, F.col("__f")), ignorenulls=True).alias("__first"),
-        F.transform(F.array_sort(last), lambda r: r["__b"]).alias("__last"),
+    # The first row and the last ``depth`` rows of every slice that may go on elsewhere.
+    rows = parts.beside(placed, parts.slices, "inner")
+    rows = rows.where((F.col(ID) == F.col("__first")) | (F.col(ID) > F.col("__last") - depth))
+    ends = F.collect_list(F.when(F.col(ID) > F.col("__last") - depth, F.struct(F.col(ID), row_back.alias("b"))))
+    edges = rows.groupBy(*parts.own, "__p").agg(
+        F.min_by(row_ahead, ID).alias("__head_row"), F.transform(F.array_sort(ends), lambda r: r["b"]).alias("__ends")
     )
-    across = slicer.across()
     # A slice may be shorter than ``depth``, so the rows before it come from several slices.
     edges = edges.select(
-        *slicer.cols,
-        F.flatten(F.collect_list("__last").over(across.rowsBetween(-depth, -1))).alias("__tail"),
-        F.lead("__first").over(across).alias("__head"),
+        *parts.own, "__p",
+        F.flatten(F.collect_list("__ends").over(parts.across.rowsBetween(-depth, -1))).alias("__tail"),
+        F.lead("__head_row").over(parts.across).alias("__head"),
     )
-    done = slicer.attach(body, edges)
-    found = {"__next": F.coalesce("__next", "__head")}
+    done = parts.beside(body, edges)
     tail = F.col("__tail")
-    found["__p1"] = F.coalesce("__p1", F.try_element_at(tail, F.lit(-1)))
+    found = {"__next": F.coalesce("__next", "__head"), "__p1": F.coalesce("__p1", F.try_element_at(tail, F.lit(-1)))}
     if depth == 2:
         # Only the first row of a slice looks two rows back into the tail.
         found["__p2"] = F.coalesce(

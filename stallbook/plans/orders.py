@@ -121,7 +121,6 @@ def price_timeline(
         events, ["parent_id"], EVENT_ORDER,
         previous={"prev_ts": "ts", "prev_billing_id": "billing_id", "prev_billing_system": "billing_system"},
         following={"next_ts": "ts", "next_name": "name"},
-        base=history,
     )
     windows = effective_window(history, "parent_id", "name", names.cancelled, "ts").drop("window_state")
     rows = _kept_intervals(lookup(seen, windows, [("parent_id", "parent_id")]), names)
@@ -185,7 +184,7 @@ def price_ranks(timeline: DataFrame) -> DataFrame:
     rows = timeline.withColumn("start_day", F.date_trunc("day", "start_ts"))
     newest_first = [Sort("start_ts", True)]
     by_order = ranked(rows, ["parent_id", "order_id"], newest_first, "order_price_rank", ties=True)
-    return ranked(by_order, ["order_id", "start_day"], newest_first, "order_price_per_day_rank", ties=True, base=rows)
+    return ranked(by_order, ["order_id", "start_day"], newest_first, "order_price_per_day_rank", ties=True)
 
 
 HEADER_KEYS = [

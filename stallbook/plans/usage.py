@@ -363,13 +363,10 @@ def usage_fact(usage: DataFrame, lookups: FactLookups, special_pattern: str = OR
 
 
 def usage_locations(usage: DataFrame, order: str, region: str, day: str, tie_breakers: list[str],
-                    word: str = GOVERNMENT_WORD, base: DataFrame | None = None) -> DataFrame:
+                    word: str = GOVERNMENT_WORD) -> DataFrame:
     """Each usage row of an order with its recency rank and whether any region of the order
-    contains the word. ``base`` is a cheaper frame to count rows per order on."""
+    contains the word."""
     placed = usage.where(F.col(region).isNotNull())
     special = usage.where(text.contains_text(F.col(region), word))
     flagged = match_flag(placed, special, F.col(order), F.col(order), "in_special_region")
-    return ranked(
-        flagged, [order], [Sort(day, True), *[Sort(c) for c in tie_breakers]], "location_rank",
-        base=usage if base is None else base,
-    )
+    return ranked(flagged, [order], [Sort(day, True), *[Sort(c) for c in tie_breakers]], "location_rank")

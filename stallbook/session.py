@@ -14,10 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-# A window group with more rows than this is split into slices (operators/hot.py).
-HOT_GROUP_ROWS = "stallbook.hotGroupRows"
-HOT_GROUP_ROWS_DEFAULT = 1_000_000
-
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -58,10 +54,6 @@ def local_session(cores: str = "8", app: str = "stallbook", extra: dict[str, str
     return tune(spark)
 
 
-def hot_group_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(HOT_GROUP_ROWS, str(HOT_GROUP_ROWS_DEFAULT)))
-
-
 @cache
 def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"stallbook-{application}-")

@@ -70,8 +70,8 @@ def main(folder: str, wanted: list[str]) -> int:
     from stallbook.session import local_session
 
     extra = {}
-    if wanted and wanted[0].startswith("hot="):
-        extra["stallbook.hotGroupRows"] = wanted.pop(0)[4:]
+    if wanted and wanted[0].startswith("parts="):
+        extra["spark.sql.shuffle.partitions"] = wanted.pop(0)[6:]
     spark = local_session(extra=extra)
     con = duck(folder)
     failed = 0

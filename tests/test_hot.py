@@ -7,11 +7,18 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stallbook.operators.hot import Sort, hot_groups, neighbours, ranked, sort_exprs
+from stallbook.operators.hot import Sort, laid_out, neighbours, ranked, sort_exprs
 
 BASE = datetime.datetime(2024, 1, 1)
 
 
+@pytest.fixture(autouse=True)
+def _partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def _value(kind, rnd):
     if rnd.random() < 0.1:
         return None
@@ -40,14 +47,15 @@ KINDS = ["timestamp_ntz", "date", "double", "bigint", "string"]
 
 @pytest.mark.parametrize("kind", KINDS)
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("min_rows", [5, 10**9])
-def test_ranked(spark, kind, descending, min_rows):
+@pytest.mark.parametrize("parts", ["1", "7", "60"])
+def test_ranked(spark, kind, descending, parts):
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
     df = _frame(spark, kind, 1)
     order = [Sort("v", descending), Sort("w", not descending)]
     unique = [*order, Sort("id")]
     window = Window.partitionBy("key", "name")
-    got = ranked(df, ["key", "name"], order, "rk", ties=True, min_rows=min_rows)
-    got = ranked(got, ["key", "name"], unique, "rn", min_rows=min_rows, base=df)
+    got = ranked(df, ["key", "name"], order, "rk", ties=True)
+    got = ranked(got, ["key", "name"], unique, "rn")
     want = df.withColumns(
         {
             "rk": F.rank().over(window.orderBy(*sort_exprs(order))),
@@ -60,11 +68,12 @@ def test_ranked(spark, kind, descending, min_rows):
 @pytest.mark.parametrize("kind", KINDS)
 @pytest.mark.parametrize("descending", [False, True])
 def test_neighbours(spark, kind, descending):
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
     df = _frame(spark, kind, 2)
     order = [Sort("v", descending), Sort("w"), Sort("id")]
     got = neighbours(
         df, ["key", "name"], order, previous={"p": "id", "pw": "w"}, following={"n": "id"},
-        before_previous={"p2": "id"}, min_rows=5,
+        before_previous={"p2": "id"},
     )
     window = Window.partitionBy("key", "name").orderBy(*sort_exprs(order))
     want = df.withColumns(
@@ -80,36 +89,47 @@ def test_neighbours(spark, kind, descending):
 def test_neighbours_keep_null_values_apart_from_no_neighbour(spark, rows):
     data = [(1, 1, None), (1, 2, "b"), (1, 3, None)]
     df = spark.createDataFrame(data, "key int, seq int, v string")
-    got = neighbours(df, ["key"], [Sort("seq")], previous={"p": "v"}, following={"n": "v"}, min_rows=1)
+    got = neighbours(df, ["key"], [Sort("seq")], previous={"p": "v"}, following={"n": "v"})
     assert rows(got, "seq", "p", "n") == [(1, None, "b"), (2, None, None), (3, "b", None)]
 
 
-def test_hot_groups_are_those_above_the_limit(spark, rows):
-    df = spark.createDataFrame([(1,), (1,), (1,), (2,), (None,), (None,)], "key int")
-    assert rows(hot_groups(df, ["key"], 1)) == [(1,), (None,)]
-    assert rows(hot_groups(df, ["key"], 2)) == [(1,)]
+def test_ranks_of_ties_that_span_several_parts(spark):
+    """Eight parts, and most rows equal in all sort columns."""
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    data = [(i, 1, 5 if i < 700 else 6 + i % 2) for i in range(800)] + [(900, 2, 5), (901, None, 5)]
+    df = spark.createDataFrame(data, "id bigint, key int, v int").repartition(5)
+    got = {r.id: r.rk for r in ranked(df, ["key"], [Sort("v")], "rk", ties=True).collect()}
+    window = Window.partitionBy("key").orderBy("v")
+    assert got == {r.id: r.rk for r in df.withColumn("rk", F.rank().over(window)).collect()}
+
+
+def test_empty_frame(spark):
+    df = spark.createDataFrame([], "id bigint, key int")
+    assert ranked(df, ["key"], [Sort("id")], "rk", ties=True).collect() == []
+    assert neighbours(df, ["key"], [Sort("id")], previous={"p": "id"}).collect() == []
 
 
-def test_a_hot_group_is_spread_over_partitions(spark):
-    """Two thirds of the rows share one key; no partition may hold more than its share of them."""
-    rows = spark.range(30_000).select(
-        "id", F.when(F.col("id") % 3 != 0, 0).otherwise(F.col("id")).alias("key"),
-        (F.lit(BASE).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("ts"),
+@pytest.mark.parametrize("share", [3, 1])
+def test_a_hot_key_with_a_constant_sort_column_is_spread(spark, share):
+    """A third of the rows, or all of them, have one key and one value in the first sort column."""
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    rows = spark.range(36_000).select(
+        "id", F.when(F.col("id") % share == 0, 0).otherwise(F.col("id")).alias("key"), F.lit(BASE).cast("timestamp_ntz").alias("ts")
     )
+    sizes = [r.n for r in laid_out(rows, ["key"], [Sort("ts")]).groupBy("__part").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 11 and max(sizes) < 2 * 36_000 / 12
+    done = ranked(rows, ["key"], [Sort("ts"), Sort("id")], "rn")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        def largest(min_rows):
-            done = ranked(rows, ["key"], [Sort("ts")], "rn", min_rows=min_rows)
-            # The sum keeps the rank, and with it the window, in the plan.
-            sizes = done.groupBy(F.spark_partition_id().alias("p")).agg(F.count("id").alias("n"), F.sum("rn").alias("r"))
-            return sizes.where("r > 0").agg(F.max("n")).first()[0]
-
-        assert largest(10**9) >= 20_000
-        assert largest(1000) < 10_000
+        # The sum keeps the rank, and with it the window, in the plan.
+        by_task = done.groupBy(F.spark_partition_id().alias("p")).agg(F.count("id").alias("n"), F.sum("rn").alias("r"))
+        # Parts are dealt to tasks by hash, so a task may get a few of the twelve.
+        assert by_task.where("r > 0").agg(F.max("n")).first()[0] < 36_000 * 0.4
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_the_list_of_hot_groups_is_bounded(spark):
-    plan = hot_groups(spark.range(10).withColumn("k", F.col("id")), ["k"], 0)._jdf.queryExecution().analyzed()
-    assert "LocalLimit 50000" in plan.toString() or "GlobalLimit 50000" in plan.toString()
+def test_a_key_filter_goes_below_the_window(spark):
+    df = spark.range(100).select("id", (F.col("id") % 5).alias("key"))
+    plan = ranked(df, ["key"], [Sort("id")], "rn").where("key = 3")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("Filter")

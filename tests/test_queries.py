@@ -5,7 +5,6 @@ import os
 import pytest
 
 from stallbook.catalog import ORACLES, QUERIES
-from stallbook.session import HOT_GROUP_ROWS
 from tests.harness import compare, duck
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -28,19 +27,20 @@ def test_agrees_with_sql(spark, con, name):
     assert not [p for p in problems if p not in MAY_BE_EMPTY]
 
 
-WITH_SLICES = [
+MANY_PARTS = [
     "w_rank_spec", "w_event_sequence", "w_price_ranks", "w_dual_row_number", "j_rank_offset", "f_interval_nudge",
     "x_order_price_timeline", "x_gov_flag_rank", "j_interval_left",
 ]
 
 
-@pytest.mark.parametrize("name", WITH_SLICES)
-def test_agrees_with_sql_when_groups_are_sliced(spark, con, name):
-    spark.conf.set(HOT_GROUP_ROWS, "5")
+@pytest.mark.parametrize("name", MANY_PARTS)
+def test_agrees_with_sql_when_groups_are_cut_often(spark, con, name):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
     try:
         assert compare(QUERIES[name](spark, FOLDER), con, ORACLES[name]) == []
     finally:
-        spark.conf.unset(HOT_GROUP_ROWS)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 READ_BACK = ("k_", "s_")
