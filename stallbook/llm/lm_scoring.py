@@ -17,7 +17,7 @@ bucket adds up what all chunks sent and answers every chunk with the sums, in th
 question; the chunk scores its documents with them. So an n-gram travels once per chunk that
 holds it, however often it occurs, a very common one is no more work than a rare one, and no
 task, and never the driver, holds more than its share of the model. N-grams are told apart by
-64-bit hashes.
+56-bit hashes.
 
 Cases: null, empty and wordless texts have no words and null losses; a row without id is no
 target and is scored; rows with one id are scored each and are all target if the id is; without
@@ -36,15 +36,15 @@ from pyspark.sql import functions as F
 
 from stallbook.llm.common import SPACED, mixed, prepare, split_words, texts_of, total_bytes, word_hashes
 
-CHUNK_BYTES = 12_000_000
+CHUNK_BYTES = 6_000_000
 DEEP = 0.6
 START = np.uint64(0x5EED0F5E47E4CE01)
-ALL = np.uint64(0x70741C0DE0000001)
+ALL = np.uint64(0x70741C0DE00001)
 SCHEMA = "doc long, n_tokens long, target_loss double, background_loss double"
 
 
 def single_key(hashes: np.ndarray) -> np.ndarray:
-    return mixed(hashes + np.uint64(1))
+    return mixed(hashes + np.uint64(1)) >> np.uint64(8)
 
 
 class Chunk:
@@ -60,7 +60,7 @@ class Chunk:
         own = hashes[self.codes] if len(self.codes) else np.zeros(0, np.uint64)
         before = np.roll(own, 1)
         before[self.first] = START
-        pairs = mixed(before * np.uint64(0x9E3779B97F4A7C15) + own + np.uint64(2))
+        pairs = mixed(before * np.uint64(0x9E3779B97F4A7C15) + own + np.uint64(2)) >> np.uint64(8)
         pair_keys, self.pair = np.unique(pairs, return_inverse=True)
         weight = target[self.rows].astype(float)
         used = self.n > 0
@@ -80,7 +80,7 @@ class Chunk:
         starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
         for a, b in zip(starts, np.append(starts[1:], len(bucket))):
             own = self.order[a:b]
-            yield int(bucket[a]), packed(self.keys[own]), self.everywhere[own].tobytes(), self.in_target[own].tobytes()
+            yield int(bucket[a]), packed(self.keys[own], 7), packed(self.everywhere[own], 4), packed(self.in_target[own], 4)
 
     def losses(self, everywhere: np.ndarray, in_target: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Mean loss per word of each text under the target and the background; sums in the order of the messages."""
@@ -113,13 +113,16 @@ def repeated(rows: np.ndarray, values: np.ndarray, width: int) -> np.ndarray:
     return times[inverse] if len(times) else np.zeros(0, np.int64)
 
 
-def packed(keys: np.ndarray) -> bytes:
-    """Ascending keys byte by byte: their first bytes hardly change, which compression makes use of."""
-    return keys.astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+def packed(numbers: np.ndarray, width: int) -> bytes:
+    """Numbers of `width` bytes, all first bytes before all second ones: shuffles compress the ones that hardly change."""
+    return numbers.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - width :].T.tobytes()
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(">u8").ravel().astype(np.uint64)
+def unpacked(data: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, 8 - width :] = planes.T
+    return out.view(">u8").ravel().astype(np.uint64)
 
 
 def among(ids: pa.ChunkedArray, known: pa.Array) -> np.ndarray:
@@ -155,15 +158,15 @@ def scores(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text:
                                     names=["chunk", "bucket", "keys", "everywhere", "in_target", "targets"])
 
     def add(group: pa.Table) -> pa.Table:
-        lists = [unpacked(k) for k in group.column("keys").to_pylist()]
-        every = [np.frombuffer(c, np.uint32) for c in group.column("everywhere").to_pylist()]
-        inside = [np.frombuffer(c, np.uint32) for c in group.column("in_target").to_pylist()]
+        lists = [unpacked(k, 7) for k in group.column("keys").to_pylist()]
+        every = [unpacked(c, 4) for c in group.column("everywhere").to_pylist()]
+        inside = [unpacked(c, 4) for c in group.column("in_target").to_pylist()]
         _, place = np.unique(np.concatenate(lists), return_inverse=True)
         cuts = np.cumsum([len(own) for own in lists])[:-1]
         sums = [np.split(np.bincount(place, np.concatenate(c))[place].astype(np.uint64), cuts) for c in (every, inside)]
         return pa.Table.from_arrays(
             [group.column("chunk"), group.column("bucket"), group.column("targets"),
-             *[pa.array([x.tobytes() for x in own], pa.binary()) for own in sums]],
+             *[pa.array([packed(x, 6) for x in own], pa.binary()) for own in sums]],
             names=["chunk", "bucket", "targets", "everywhere", "in_target"])
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -171,8 +174,7 @@ def scores(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text:
         right = right.sort_by("bucket")
         ids = np.frombuffer(right.column("targets")[0].as_py(), np.int64)
         target = among(left.column("doc"), pa.array(ids, pa.int64()))
-        sums = [np.concatenate([np.frombuffer(c, np.uint64) for c in right.column(n).to_pylist()]).astype(float)
-                for n in ("everywhere", "in_target")]
+        sums = [np.concatenate([unpacked(c, 6) for c in right.column(n).to_pylist()]).astype(float) for n in ("everywhere", "in_target")]
         chunk = Chunk(texts, target, chunks)
         goal_loss, base_loss = chunk.losses(*sums, target)
         none = chunk.n == 0

@@ -9,9 +9,10 @@
 3. Lists are merged with skips. First every list pairs its members with one leader only; pairs
    whose signatures agree in MATCH coordinates are confirmed on the full sets, and confirmed
    pairs are joined to components. Then only lists that still hold several components are gone
-   through again, in blocks, for pairs across components whose signatures agree in MATCH
-   coordinates. So the pairs of a large group of copies, which change nothing, are never formed,
-   while every pair that could still link two components is counted.
+   through again, in blocks: pairs across components whose signatures agree in MATCH coordinates
+   are confirmed on the spot, and only links leave the task. So the pairs of a large group of
+   copies, which change nothing, are never formed, while every pair that could still link two
+   components is counted.
 4. Components of all confirmed links; each text's component is the smallest id in it.
 
 Chance to lose a pair at exactly the threshold of 0.85: about 4 in 10,000, falling fast above it.
@@ -137,12 +138,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def check(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= PERCENT * (len(x) + len(y) - common))
-            keep = pa.array(keep, pa.bool_())
+            both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            keep = pa.array([alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in both], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
     rows = beside(pairs, sets, ["shingles"]).select("a", "b", "shingles_a", "shingles_b")
@@ -168,43 +165,63 @@ def groups(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def cross_pairs(lists: DataFrame) -> DataFrame:
-    """(a, b) across components with agreeing signatures, from (value, cls, comp, n, posted, rest).
+def alike(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two ascending sets are as alike as asked for."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    common = int((y[at] == x).sum())
+    return 100 * common >= PERCENT * (len(x) + len(y) - common)
 
-    A list is cut into blocks of about BLOCK members; every two blocks meet in a task of their own.
+
+def cross_links(lists: DataFrame) -> DataFrame:
+    """(a, b): confirmed links across components, from (value, cls, comp, n, posted, rest, prefix, shingles).
+
+    A list is cut into blocks of about BLOCK members; every two blocks meet in a task of their
+    own. Of the lists that two classes share, only that of the least value takes them up, and
+    pairs that links found before have joined are skipped. Only links leave a task.
     """
     sizes = lists.groupBy("value").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     rows = lists.join(stage(sizes, "list-sizes"), "value")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                       "own", "cls", "comp", "n", "posted", "rest")
+                       "own", "cls", "comp", "n", "posted", "rest", "prefix", "shingles")
 
     def compare(batches):
         for group in groups(batches, 3):
             group = group.combine_chunks()
             own, cls, comp, n = (group.column(c).to_numpy() for c in ("own", "cls", "comp", "n"))
+            comp = comp.copy()
             if len(np.unique(comp)) < 2:
                 continue
-            i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+            value, i, j = (group.column(c)[0].as_py() for c in ("value", "i", "j"))
             posted = group.column("posted").combine_chunks().flatten().to_numpy().reshape(-1, POSTED)
             rest = np.frombuffer(b"".join(group.column("rest").to_pylist()), np.uint8).reshape(-1, COORDINATES - POSTED)
+            prefix = [set(p) for p in group.column("prefix").to_pylist()]
+            shingles_of = group.column("shingles")
             left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
             found = []
             for start in range(0, len(left), 32):
                 rows = left[start : start + 32]
                 same = (posted[rows][:, None] == posted[right][None]).sum(2) + (rest[rows][:, None] == rest[right][None]).sum(2)
-                ok = (same >= MATCH) & (comp[rows][:, None] != comp[right][None])
                 small, large = np.minimum(n[rows][:, None], n[right][None]), np.maximum(n[rows][:, None], n[right][None])
-                x, y = np.nonzero(ok & (100 * small >= PERCENT * large))
-                found.append(np.stack([cls[rows][x], cls[right][y]]))
-            pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-            pairs = np.unique(np.sort(pairs, axis=0), axis=1)
-            if pairs.shape[1]:
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], names=["a", "b"])
+                ok = (same >= MATCH) & (comp[rows][:, None] != comp[right][None]) & (100 * small >= PERCENT * large)
+                if i == j:
+                    ok &= cls[rows][:, None] < cls[right][None]
+                for x, y in zip(*np.nonzero(ok)):
+                    x, y = rows[x], right[y]
+                    if comp[x] == comp[y] or min(prefix[x] & prefix[y]) != value:
+                        continue
+                    if alike(*(np.frombuffer(shingles_of[int(k)].as_py(), np.uint64) for k in (x, y))):
+                        found.append((cls[x], cls[y]))
+                        comp[comp == comp[y]] = comp[x]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
     sorted_rows = rows.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j")
-    return sorted_rows.mapInArrow(compare, "a long, b long").distinct()
+    return sorted_rows.mapInArrow(compare, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -267,9 +284,10 @@ def links(documents: DataFrame, classes: DataFrame, key: str, text: str) -> Data
     named = stage(named, "named-postings")
     open_lists = stage(named.groupBy("value").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
                        .where("low <> high").select("value"), "open-lists")
-    open_rows = named.join(open_lists, "value").join(in_play.select("cls", *sign), "cls")
-    second = confirmed(stage(cross_pairs(open_rows), "cross-pairs"), sets)
-    return first.unionByName(stage(second, "links"))
+    prefixes = named.groupBy("cls").agg(F.collect_list("value").alias("prefix"))  # at most POSTED - POSTED_MATCH + 1
+    data = in_play.select("cls", *sign).join(prefixes, "cls").join(sets, "cls")
+    open_rows = named.join(open_lists, "value").join(data, "cls")
+    return first.unionByName(stage(cross_links(open_rows), "links"))
 
 
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
