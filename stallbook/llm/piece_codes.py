@@ -22,11 +22,13 @@ column with the new one's name is replaced.
 from __future__ import annotations
 
 import re
+import zlib
 from functools import cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,11 +38,12 @@ SPACE = "▁"
 BASE = np.uint64(0x100000001B3)
 UNKNOWN = -10.0
 # Distinct words whose pieces a Python worker remembers, and words per Viterbi batch.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 400_000
 TOGETHER = 20_000
 # Places times words whose substrings are looked up in one go.
 CELLS = 200_000
-WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+WORD = re.compile(" *[^ ]+| +")
+PIECE_BYTES = 4_000_000
 
 
 class Vocabulary:
@@ -159,11 +162,18 @@ class Vocabulary:
 
 
 class Encoder:
-    """Texts to piece ids by their distinct words."""
+    """Texts to piece ids by their distinct words, and back."""
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
         self.known = WordIds(REMEMBERED_WORDS)
+        # Bytes of all pieces one after the other, byte pieces as their byte.
+        parts = [p.replace(SPACE, " ").encode() for p in self.vocabulary.pieces]
+        for byte, i in enumerate(self.vocabulary.bytes_at):
+            parts[i] = bytes([byte])
+        self.sizes = np.array([len(p) for p in parts], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.spelt = np.frombuffer(b"".join(parts), dtype=np.uint8)
 
     def _learn(self, words: list[str]) -> None:
         by_length: dict[int, list[str]] = {}
@@ -177,62 +187,76 @@ class Encoder:
             step = max(1, min(TOGETHER, CELLS // length))
             for a in range(0, len(own), step):
                 part = own[a : a + step]
-                points = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(part), length)
+                marked = "".join(part).replace(" ", SPACE).encode("utf-32-le", "surrogatepass")
+                points = np.frombuffer(marked, dtype="<u4").reshape(len(part), length)
                 ids, sizes = self.vocabulary.segment(points.astype(np.uint64))
                 self.known.add(part, sizes, ids)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(piece ids of all texts, number of pieces of each text)."""
+    def _sequence(self, codes, offsets, names) -> tuple[np.ndarray, np.ndarray]:
+        self._learn(self.known.unknown(names))
+        return self.known.sequence(self.known.places(names)[codes], offsets)
+
+    def _plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Texts whose words have one space before each, but for the first."""
+        lists = pc.split_pattern(texts, " ")
+        coded = lists.flatten().dictionary_encode()
+        offsets = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))))
+        names = [" " + w for w in coded.dictionary.to_pylist()]
+        return self._sequence(coded.indices.to_numpy(zero_copy_only=False), offsets, names)
+
+    def _spaced(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Any other texts."""
         lists = [words_of(t) for t in texts]
-        words = list(chain.from_iterable(lists))
-        self._learn(self.known.unknown(set(words)))
+        number: dict[str, int] = {}
+        codes = np.array([number.setdefault(w, len(number)) for own in lists for w in own], dtype=np.int64)
         offsets = np.concatenate(([0], np.cumsum([len(own) for own in lists], dtype=np.int64)))
-        return self.known.sequence(self.known.places(words), offsets)
+        return self._sequence(codes, offsets, list(number))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(piece ids of all texts, number of pieces of each text)."""
+        odd = pc.match_substring_regex(texts, f"^$|^ | $|  |{SPACE}").to_numpy(zero_copy_only=False).astype(bool)
+        if not odd.any():
+            return self._plain(texts)
+        first, second = self._plain(texts.filter(pa.array(~odd))), self._spaced(texts.filter(pa.array(odd)).to_pylist())
+        sizes, starts = np.zeros((2, len(odd)), dtype=np.int64)
+        sizes[~odd], sizes[odd] = first[1], second[1]
+        starts[~odd], starts[odd] = np.cumsum(first[1]) - first[1], len(first[0]) + np.cumsum(second[1]) - second[1]
+        at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        return np.concatenate((first[0], second[0]))[at], sizes
+
+    def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+        """UTF-8 of each text, given the ids of all texts and the number of pieces of each."""
+        own = self.sizes[ids]
+        ends = np.cumsum(own)
+        total = int(ends[-1]) if len(ends) else 0
+        raw = self.spelt[np.repeat(self.starts[ids] - (ends - own), own) + np.arange(total)].tobytes()
+        cuts = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes)))]
+        return [raw[a + 1 : b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]  # without the space put in front
 
 
 def words_of(text: str) -> list[str]:
-    """Words, each with the space marks before it; joined they are the marked text.
+    """Words, each with the spaces before it; joined they are the text with one more space in front.
 
     A space mark that is a character of the text itself is an empty word.
     """
     if not text:
         return []
-    if SPACE not in text:
-        return WORD.findall((" " + text).replace(" ", SPACE))
     words: list[str] = []
     for place, part in enumerate((" " + text).split(SPACE)):
         if place:
             words.append("")
-        words += WORD.findall(part.replace(" ", SPACE))
+        words += WORD.findall(part)
     return words
 
 
-def decoder(path: str):
-    """A function from piece ids to the text."""
-    vocabulary = vocabulary_of(path)
-    is_byte = np.zeros(len(vocabulary.pieces), dtype=bool)
-    is_byte[vocabulary.bytes_at] = True
-    parts = [bytes([int(p[3:5], 16)]) if is_byte[i] else p.replace(SPACE, " ").encode() for i, p in enumerate(vocabulary.pieces)]
-
-    def decode(ids: np.ndarray) -> str:
-        return b"".join([parts[i] for i in ids.tolist()])[1:].decode("utf-8", errors="replace")
-
-    return decode
-
-
 @cache
 def encoder_of(path: str) -> Encoder:
     """One encoder in each Python worker."""
     return Encoder(path)
 
 
-def vocabulary_of(path: str) -> Vocabulary:
-    return encoder_of(path).vocabulary
-
-
-@cache
-def decoder_of(path: str):
-    return decoder(path)
+def listed(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), pa.array(ids.astype(np.int32)))
 
 
 def encode(documents: DataFrame, path: str, text: str = "text", name: str = "piece_ids") -> DataFrame:
@@ -240,24 +264,23 @@ def encode(documents: DataFrame, path: str, text: str = "text", name: str = "pie
     prepare(documents.sparkSession)
 
     def run(batches):
-        for batch in pieces(batches, text):
-            ids, sizes = encoder_of(path).encode(texts_of(batch, text).to_pylist())
-            offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-            yield batch.append_column(name, pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32))))
+        for batch in pieces(batches, text, PIECE_BYTES):
+            yield batch.append_column(name, listed(*encoder_of(path).encode(texts_of(batch, text))))
 
     rows = documents.drop(name)
     return rows.mapInArrow(run, rows.withColumn(name, F.array().cast("array<int>")).schema)
 
 
 def decode(coded: DataFrame, path: str, ids: str = "piece_ids", name: str = "decoded") -> DataFrame:
-    """The rows with one more column: the text of the piece ids."""
+    """The rows with one more column: the text of the piece ids; null ids are none."""
     prepare(coded.sparkSession)
 
     def run(batches):
         for batch in batches:
             own = batch.column(batch.schema.get_field_index(ids))
-            texts = [decoder_of(path)(np.asarray(x if x is not None else [], dtype=np.int32)) for x in own.to_numpy(zero_copy_only=False)]
-            yield batch.append_column(name, pa.array(texts, pa.string()))
+            sizes = pc.fill_null(pc.list_value_length(own), 0).to_numpy(zero_copy_only=False)
+            texts = encoder_of(path).decode(own.flatten().to_numpy(zero_copy_only=False), sizes)
+            yield batch.append_column(name, pa.array([t.decode("utf-8", errors="replace") for t in texts], pa.string()))
 
     rows = coded.drop(name)
     return rows.mapInArrow(run, rows.withColumn(name, F.lit("")).schema)
@@ -265,9 +288,17 @@ def decode(coded: DataFrame, path: str, ids: str = "piece_ids", name: str = "dec
 
 def round_trip(documents: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document row: key, piece_ids, n_pieces, decoded_crc32 and whether the pieces decode to the text."""
-    rows = documents.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    coded = decode(encode(rows, path), path)
-    return coded.select(
-        key, "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"),
-        F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"), (F.col("decoded") == F.col("text")).alias("same"),
-    )
+    prepare(documents.sparkSession)
+
+    def run(batches):
+        for batch in pieces(batches, "text", PIECE_BYTES):
+            encoder, texts = encoder_of(path), texts_of(batch)
+            ids, sizes = encoder.encode(texts)
+            decoded = encoder.decode(ids, sizes)
+            same = [a == b for a, b in zip(decoded, texts.cast(pa.binary()).to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), listed(ids, sizes), pa.array(sizes, pa.int64()), pa.array(map(zlib.crc32, decoded), pa.int64()), pa.array(same)],
+                names=[key, "piece_ids", "n_pieces", "decoded_crc32", "same"])
+
+    rows = documents.select(F.col(key).cast("long").alias(key), F.col(text).alias("text"))
+    return rows.mapInArrow(run, f"{key} long, piece_ids array<int>, n_pieces long, decoded_crc32 long, same boolean")

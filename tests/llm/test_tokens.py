@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from stallbook.llm import piece_codes, token_files
@@ -26,7 +27,6 @@ def rows():
 
 
 def test_word_encoder_is_the_library(spark):
-    import pyarrow as pa
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(WORD_BPE)
@@ -68,6 +68,13 @@ def test_pieces_round_trip(spark, documents):
     assert piece_codes.round_trip(documents([]), PIECES).collect() == []
 
 
+def test_encode_and_decode_frames(spark, documents):
+    frame = documents(rows())
+    both = piece_codes.decode(piece_codes.encode(frame, PIECES), PIECES, name="key")
+    assert both.columns == [c for c in frame.columns if c != "key"] + ["piece_ids", "key"]
+    assert all(r.key == (r["text"] or "") for r in both.collect())
+
+
 def test_pieces_have_the_best_score():
     """Against the library's own unigram search over the same pieces, which adds in single precision."""
     import sentencepiece
@@ -81,7 +88,7 @@ def test_pieces_have_the_best_score():
     encoder = piece_codes.Encoder(PIECES)
     rng = random.Random(4)
     words = ["".join(rng.choice("thereandingtionéß日☂") for _ in range(rng.randrange(1, 14))) for _ in range(3000)]
-    ids, sizes = encoder.encode(words)
+    ids, sizes = encoder.encode(pa.array(words))
     floor = encoder.vocabulary.unknown
 
     def score(own):
