@@ -69,17 +69,18 @@ def p_constant_columns(t: Tables):
     "p_fill_nulls",
     """
 WITH latest AS (
-  SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '2001-06-01'
-  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) = 1
+  SELECT *, CASE WHEN o_orderpriority = '5-LOW' THEN o_custkey END AS buyer FROM orders
+  QUALIFY row_number() OVER (PARTITION BY buyer ORDER BY o_orderdate DESC, o_orderkey) = 1
 )
 SELECT c_custkey, coalesce(o_orderstatus, '') AS last_status, coalesce(o_orderkey, -99999) AS last_order,
        coalesce(epoch_us(o_orderdate) // 1000, -1) AS last_millis
-FROM customer LEFT JOIN latest ON c_custkey = o_custkey""",
+FROM customer LEFT JOIN latest ON c_custkey = buyer""",
 )
 def p_fill_nulls(t: Tables):
-    recent = t.orders.where(F.col("o_orderdate") >= times.ntz("2001-06-01 00:00:00"))
-    latest = newest(recent, ["o_custkey"], order_by("-o_orderdate", "o_orderkey"))
-    joined = t.customer.join(latest, F.col("c_custkey") == F.col("o_custkey"), "left").select(
+    # Only orders of low priority carry their customer.
+    placed = t.orders.withColumn("buyer", F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_custkey")))
+    latest = newest(placed, ["buyer"], order_by("-o_orderdate", "o_orderkey"))
+    joined = t.customer.join(latest, F.col("c_custkey") == F.col("buyer"), "left").select(
         "c_custkey", F.col("o_orderstatus").alias("last_status"), F.col("o_orderkey").alias("last_order"),
         times.millis(F.col("o_orderdate")).alias("last_millis"),
     )

@@ -59,20 +59,28 @@ def x_order_price_timeline(t: Tables):
 
 
 _PRICED_SQL = f"""
-WITH {frames.PRICE_INTERVALS_SQL}, {frames.KNOWN_ORDERS_SQL}, {frames.USAGE_SQL}, latest AS (
-  SELECT * FROM price_intervals
-  WHERE (epoch_us(coalesce(end_ts, TIMESTAMP '2024-02-01')) - epoch_us(start_ts)) // 1000000 > 1
-  QUALIFY row_number() OVER (PARTITION BY order_id, meter ORDER BY end_ts DESC NULLS FIRST, start_ts DESC) = 1
+WITH {frames.PRICE_INTERVALS_SQL}, {frames.KNOWN_ORDERS_SQL}, {frames.USAGE_SQL}, billed AS (
+  -- the usage that the step reads
+  SELECT * FROM usage u WHERE usage_date >= DATE '2024-01-03' AND {{meters}}
+), per_day AS (
+  -- rank 1 per order, meter and start day by end; whole days (reference text of the latest prices)
+  SELECT *, CAST(start_ts AS DATE) AS first_day, CAST(end_ts AS DATE) AS last_day FROM price_intervals
+  WHERE (epoch_us(coalesce(end_ts, TIMESTAMP '2024-06-01')) - epoch_us(start_ts)) // 1000000 > 1
+  QUALIFY row_number() OVER (PARTITION BY order_id, meter, CAST(start_ts AS DATE) ORDER BY end_ts DESC NULLS FIRST, start_ts DESC) = 1
+), latest AS (
+  -- in force at 23:59:59 of some usage day of the order and meter; the last end wins
+  SELECT * FROM per_day l WHERE EXISTS (SELECT 1 FROM billed b WHERE b.order_id = l.order_id AND b.meter = l.meter
+    AND b.usage_date >= l.first_day AND (l.last_day IS NULL OR b.usage_date <= l.last_day))
+  QUALIFY row_number() OVER (PARTITION BY order_id, meter ORDER BY last_day DESC NULLS FIRST, first_day DESC) = 1
 ), priced AS (
   SELECT u.*, i.price, i.discount, i.order_id AS found, k.order_id AS known, l.price AS l_price, l.discount AS l_discount,
          TRY_CAST(regexp_extract(u.meter, '(\\d+)core', 1) AS DOUBLE) AS cores
-  FROM usage u
+  FROM billed u
   LEFT JOIN price_intervals i ON u.order_id = i.order_id AND u.meter = i.meter
     AND usage_date + INTERVAL '23 hours 59 minutes 59 seconds' >= i.start_ts
     AND (i.end_ts IS NULL OR usage_date + INTERVAL '23 hours 59 minutes 59 seconds' <= i.end_ts)
   LEFT JOIN known_orders k ON u.order_id = k.order_id
   LEFT JOIN latest l ON u.order_id = l.order_id AND u.meter = l.meter
-  WHERE usage_date >= DATE '2024-01-03' AND {{meters}}
 ), stated AS (
   SELECT *, CASE WHEN found IS NOT NULL AND discount = 'None' AND price = 0 THEN 'Free' WHEN found IS NOT NULL AND discount = 'None' THEN 'Paid'
                  WHEN found IS NOT NULL THEN discount WHEN known IS NULL THEN 'OrderAPI Missing Order' ELSE 'OrderAPI Missing Price' END AS first_state
@@ -92,7 +100,7 @@ def _priced(t: Tables, core_meters: bool, excluded: int | None):
     keys = ["order_id", "meter", "usage_date", "part_number", "cores"]
     intervals = stage(frames.price_intervals(t), "price-intervals")
     priced = usage.priced_usage(
-        rows, intervals, frames.known_orders(t), times.ntz("2024-02-01 00:00:00"), keys, money("units")
+        rows, intervals, frames.known_orders(t), times.ntz("2024-06-01 00:00:00"), keys, money("units")
     )
     quantity = F.col("quantity").cast("double")
     return priced.select(
@@ -135,15 +143,15 @@ def x_usage_daily_load(t: Tables):
 
 @query(
     "x_multi_resource_usage",
-    """
-WITH rows AS (
+    f"""
+WITH {frames.KNOWN_ORDERS_SQL}, rows AS (
   SELECT lower(url) AS uri, CAST(ts AS DATE) AS usage_date, value AS units, user_id, event_type,
          CASE event_type WHEN 'error' THEN 'datatransfer' WHEN 'click' THEN 'compute sw ' ELSE 'compute ' END || props AS info,
          'S' || regexp_extract(props, '"k": (\\d+)', 1) AS vm_size
   FROM events JOIN pages ON page_id = user_id
 ), billed AS (
   SELECT DISTINCT uri, usage_date, units FROM rows WHERE event_type = 'purchase'
-    AND user_id IN (SELECT user_id FROM events WHERE event_type = 'signup' AND value > 100)
+    AND user_id IN (SELECT order_id FROM known_orders)
 ), sizes AS (SELECT 'S' || p_size AS size, max(p_size) AS cores FROM part GROUP BY p_size)
 SELECT md5(uri) AS uri_hash, strftime(usage_date, '%Y-%m-%d') AS usage_day, vm_size, state, CAST(quantity AS DOUBLE) AS quantity,
        CAST(quantity * coalesce(cores, 1) AS DOUBLE) AS core_quantity
@@ -192,6 +200,11 @@ def x_first_known_size(t: Tables):
     return sizes.withColumn("usage_day", day_text("usage_date")).drop("usage_date")
 
 
+def _either_case(column: str):
+    """Every other line has the text in lower case, and the empty text for null."""
+    return F.when(F.col("l_linenumber") % 2 == 0, F.coalesce(F.lower(column), F.lit(""))).otherwise(F.col(column))
+
+
 def _fact_usage(t: Tables):
     kind, size = F.col("p_type"), F.col("p_size")
     # Everything that depends on the part alone is worked out once per part.
@@ -205,10 +218,11 @@ def _fact_usage(t: Tables):
         F.when(kind != "LARGE", F.concat(F.lit("IaaS - "), kind)).alias("os_family"),
     )
     return t.lineitem.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("l_orderkey").cast("string").alias("row_key"), F.col("l_returnflag").alias("meter"),
+        F.col("l_orderkey").cast("string").alias("row_key"), _either_case("l_returnflag").alias("meter"),
         F.col("l_quantity").alias("quantity"), F.to_date("l_shipdate").alias("usage_date"),
         F.lit(0).alias("is_multi_solution"), F.lit(usage.DAILY_SOURCE).alias("usage_data_source"),
-        F.lit("Paid").alias("state"), *[c for c in parts.columns if c != "p_partkey"],
+        F.lit("Paid").alias("state"), _either_case("uri").alias("uri"),
+        *[c for c in parts.columns if c not in ("p_partkey", "uri")],
     )
 
 
@@ -216,15 +230,17 @@ def _fact_usage(t: Tables):
     "x_usage_fact_final",
     """
 WITH lines AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS row_key, nullif(p_brand, 'Brand#1') AS uri, l_returnflag AS meter,
+  SELECT CAST(l_orderkey AS VARCHAR) AS row_key, CASE WHEN l_linenumber % 2 = 0 THEN coalesce(lower(nullif(p_brand, 'Brand#1')), '') ELSE nullif(p_brand, 'Brand#1') END AS uri,
+         CASE WHEN l_linenumber % 2 = 0 THEN lower(l_returnflag) ELSE l_returnflag END AS meter,
          CASE WHEN p_type <> 'SMALL' THEN 'Std_' || p_name[1] || p_size END AS vm_size, l_quantity AS quantity, CAST(l_shipdate AS DATE) AS usage_date,
          md5(lower(p_brand)) AS uri_hash, CASE WHEN p_size > 25 THEN 'compute sw' ELSE 'compute' END AS info, p_size AS cores,
          CASE WHEN p_type = 'PROMO' THEN CASE WHEN p_size > 25 THEN 'windows_oracle_12c_db_x_ent' ELSE 'windows_oracle_12c_wls_std' END ELSE lower(p_type) END AS os_name,
          CASE WHEN p_type <> 'LARGE' THEN 'IaaS - ' || p_type END AS os_family
   FROM lineitem JOIN part ON l_partkey = p_partkey
 ), sizes AS (
+  -- one row per key as it is joined, so that no usage row finds two
   SELECT * FROM lines WHERE vm_size IS NOT NULL AND quantity <> 0
-  QUALIFY row_number() OVER (PARTITION BY row_key, uri, meter ORDER BY usage_date, vm_size, os_name NULLS FIRST, os_family NULLS FIRST, cores) = 1
+  QUALIFY row_number() OVER (PARTITION BY row_key, coalesce(lower(uri), ''), coalesce(lower(meter), '') ORDER BY usage_date, vm_size, os_name NULLS FIRST, os_family NULLS FIRST, cores) = 1
 ), plain AS (SELECT 'Std_' || p_name[1] || p_size AS p_size_name, lower(p_type) AS p_kind, min(p_retailprice) AS p_price FROM part WHERE p_type <> 'PROMO' GROUP BY 1, 2),
 special AS (SELECT p_name[1] AS series, p_size AS q_cores, CASE WHEN p_size > 25 THEN 'Database Enterprise' ELSE 'Weblogic Server Standard' END AS tier, min(p_retailprice) AS q_price
             FROM part WHERE p_type = 'PROMO' GROUP BY 1, 2, 3),
@@ -412,14 +428,13 @@ def x_core_orders(t: Tables):
     f"""
 WITH {frames.PRICE_INTERVALS_SQL}, used AS (
   SELECT DISTINCT (k % 5) || 'core' AS meter, CAST(ts AS DATE) AS day
-  FROM (SELECT *, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER) AS k FROM events WHERE event_type = 'error' AND value > 150) WHERE k % 5 <> 0
+  FROM (SELECT *, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER) AS k FROM events) WHERE k % 5 <> 0
 )
-SELECT DISTINCT order_id, (order_id % 5) || 'core' AS meter, discount, price FROM price_intervals i
-WHERE EXISTS (SELECT 1 FROM used u WHERE u.meter = (i.order_id % 5) || 'core' AND CAST(u.day AS TIMESTAMP) >= i.start_ts
+SELECT DISTINCT order_id, ((order_id % 5 + 5) % 5) || 'core' AS meter, discount, price FROM price_intervals i
+WHERE EXISTS (SELECT 1 FROM used u WHERE u.meter = ((i.order_id % 5 + 5) % 5) || 'core' AND CAST(u.day AS TIMESTAMP) >= i.start_ts
   AND (i.end_ts IS NULL OR CAST(u.day AS TIMESTAMP) <= i.end_ts))""",
 )
 def x_core_prices(t: Tables):
-    failed = t.events.where((F.col("event_type") == "error") & (F.col("value") > 150))
-    records = failed.select((frames.event_number() % 5).alias("vp_count"), "ts")
+    records = t.events.select((frames.event_number() % 5).alias("vp_count"), "ts")
     sized = F.concat(F.pmod(F.col("order_id"), F.lit(5)).cast("string"), F.lit("core"))
     return usage.core_prices(records, frames.price_intervals(t).withColumn("meter", sized))

@@ -192,17 +192,18 @@ def x_dimension_build(t: Tables):
             *id_names, "plan", version,
             F.when(F.col("l_returnflag") == "R", offers.METERED_EFFECT).otherwise("Other").alias("effect"),
         ),
-        details=t.part.where(F.col("p_size") > 10).select(
-            named.alias("publisher_nid"), F.col("p_name").alias("offer"), kind.alias("plan"), newest_first,
+        # Parts outside of a size carry no offer, so lookups miss.
+        details=t.part.select(
+            named.alias("publisher_nid"), F.when(F.col("p_size") > 10, F.col("p_name")).alias("offer"), kind.alias("plan"), newest_first,
             F.concat(F.lit("T"), number).alias("title"), none.alias("description"), none.alias("plan_title"),
             none.alias("plan_summary"), none.alias("plan_description"), F.lit(0).alias("externally_billed"),
             (F.col("p_size") > 25).alias("needs_licence"),
         ),
-        images=t.part.where(F.col("p_size") < 30).select(
-            *part_ids, newest_first, F.concat(F.lit("OS"), _text("p_size")).alias("os_name"), kind.alias("os_family")
+        images=t.part.select(
+            *_of_size(part_ids, F.col("p_size") < 30), newest_first, F.concat(F.lit("OS"), _text("p_size")).alias("os_name"), kind.alias("os_family")
         ),
-        baseline_ids=t.part.where(F.col("p_size") > 40).select(
-            *part_ids, coded.alias("plan_id"), coded.alias("image_repository_id")
+        baseline_ids=t.part.select(
+            *_of_size(part_ids, F.col("p_size") > 40), coded.alias("plan_id"), coded.alias("image_repository_id")
         ),
         plan_overrides=t.part.where((kind == "ECONOMY") & F.col("p_name").like("red%")).select(
             F.col("p_name").alias("offer"), kind.alias("plan_override"), F.lit("budget").alias("plan")
@@ -225,6 +226,12 @@ def x_dimension_build(t: Tables):
     )
 
 
+def _of_size(columns, condition):
+    """Publisher, offer and plan, where the offer is null unless the condition holds."""
+    publisher, _, plan = columns
+    return [publisher, F.when(condition, F.col("p_name")).alias("offer"), plan]
+
+
 def _plan_of(key: str):
     return F.concat(F.lit("plan"), F.pmod(F.col(key), F.lit(3)).cast("string"))
 
@@ -301,10 +308,10 @@ def x_order_dimension(t: Tables):
     )
     timeline = stage(orders.with_subscription(timeline, payers, "Subscription"), "timeline")
     headers = orders.order_headers(timeline)
-    rich = t.customer.where(F.col("c_acctbal") > 6000)
     offer = F.concat(F.lit("NATION_"), nation)
-    offer_dim = rich.select(
-        offer.alias("offer"), _plan_of("c_custkey").alias("plan"), F.col("c_mktsegment").alias("publisher"),
+    # Poor customers carry no offer, so lookups miss.
+    offer_dim = t.customer.select(
+        F.when(F.col("c_acctbal") > 6000, offer).alias("offer"), _plan_of("c_custkey").alias("plan"), F.col("c_mktsegment").alias("publisher"),
         F.concat(F.lit("OF"), nation).alias("offer_id"), F.lit(0).alias("is_preview"), F.lit("x").alias("offer_type"),
         F.concat_ws("_", "c_mktsegment", offer, _plan_of("c_custkey")).alias("row_key"),
     )
@@ -367,7 +374,8 @@ def x_publisher_dimension(t: Tables):
         *[none.alias(c) for c in ("owner_id", "region_code", "created", "approved", "tax_profile_id", "payout_account_id")],
     )
     seller = _text("s_suppkey")
-    contacts = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).where(F.col("s_acctbal") > 2000)
+    contacts = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    reached = F.when(F.col("s_acctbal") > 2000, seller)
     sources = publishers.PublisherSources(
         listed=listed, onboarding=onboarding,
         portal=t.customer.select(
@@ -375,7 +383,7 @@ def x_publisher_dimension(t: Tables):
         ),
         accounts=t.supplier.select(seller.alias("puid"), seller.alias("seller_id")),
         commercial=t.supplier.select(seller.alias("seller_id"), none.alias("bank_id"), none.alias("universal_account_id")),
-        contacts=contacts.select(seller.alias("seller_id"), F.col("s_name").alias("email"), F.col("n_name").alias("country_code")),
+        contacts=contacts.select(reached.alias("seller_id"), F.col("s_name").alias("email"), F.col("n_name").alias("country_code")),
         internal=t.customer.where(F.col("c_acctbal") < 0).select(key.alias("publisher_id"), F.lit(1).alias("is_internal")),
         name_overrides=t.nation.select(F.col("n_name").alias("override_value"), F.col("n_name").alias("publisher_nid")),
     )
@@ -463,9 +471,10 @@ def x_licence_types(t: Tables):
     billing = t.orders.where(status == "O").select(
         key.alias("order_id"), F.lit("EA").alias("billing_system"), F.col("o_orderdate").alias("ts")
     )
-    subscriptions = t.customer.where(F.col("c_acctbal") > 0).select(
+    # Customers in debt carry no subscription id, so lookups miss.
+    subscriptions = t.customer.select(
         F.col("c_custkey").alias("subscription_key"),
-        F.concat(F.lit("S"), _text("c_custkey")).alias("subscription_id"),
+        F.when(F.col("c_acctbal") > 0, F.concat(F.lit("S"), _text("c_custkey"))).alias("subscription_id"),
     )
     spans = t.orders.groupBy(customer.alias("account_id")).agg(
         F.min(F.when(status == "F", day)).alias("starts"), F.max(F.when(status == "F", day)).alias("ends"),

@@ -42,11 +42,25 @@ def meter() -> Column:
 METER_SQL = "CASE WHEN event_type IN ('view', 'click') THEN event_type || (user_id % 4) || 'core' ELSE event_type END"
 
 
+def stray(key: Column, most: float = 100) -> Column:
+    """The key where the value is above ``most``, else another key that nothing else has: a provoked miss."""
+    return F.when(F.col("value") > most, key).otherwise(-key - 1)
+
+
+STRAY_SQL = "CASE WHEN value > 100 THEN user_id ELSE -user_id - 1 END"
+
+
 def price_intervals(t: Tables) -> DataFrame:
-    """Price intervals per order and meter from price-setting events (value above 100)."""
+    """Price intervals per order and meter from all events.
+
+    Events of a value up to 100 set prices of other orders, which no usage has; some prices are
+    set for a time far ahead.
+    """
     k = event_number()
-    priced = t.events.where(F.col("value") > 100).select(
-        "event_id", F.col("user_id").alias("order_id"), meter().alias("meter"), "ts",
+    ahead = F.when(k.between(45, 59), 40).otherwise(0)
+    priced = t.events.select(
+        "event_id", stray(F.col("user_id")).alias("order_id"), meter().alias("meter"),
+        (F.col("ts") + F.make_dt_interval(days=ahead)).alias("ts"),
         F.when(k < 15, F.lit(0.0)).otherwise(F.col("value")).alias("price"),
         F.when(k.between(15, 29), "Trial").when(k.between(30, 44), "Promotion").otherwise("None").alias("discount"),
     )
@@ -59,24 +73,23 @@ def price_intervals(t: Tables) -> DataFrame:
 
 PRICE_INTERVALS_SQL = f"""
 price_intervals AS (
-  SELECT user_id AS order_id, {METER_SQL} AS meter,
+  SELECT order_id, {METER_SQL} AS meter,
          CASE WHEN k < 15 THEN 0.0 ELSE value END AS price,
          CASE WHEN k BETWEEN 15 AND 29 THEN 'Trial' WHEN k BETWEEN 30 AND 44 THEN 'Promotion' ELSE 'None' END AS discount,
-         ts AS start_ts,
-         lead(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) - INTERVAL 1 SECOND AS end_ts
-  FROM (SELECT *, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER) AS k FROM events WHERE value > 100)
+         start_ts,
+         lead(start_ts) OVER (PARTITION BY order_id, event_type ORDER BY start_ts, event_id) - INTERVAL 1 SECOND AS end_ts
+  FROM (SELECT *, ts + to_days(CASE WHEN k BETWEEN 45 AND 59 THEN 40 ELSE 0 END) AS start_ts FROM
+        (SELECT *, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER) AS k, {STRAY_SQL} AS order_id FROM events))
 )"""
 
 
 def known_orders(t: Tables) -> DataFrame:
-    """Orders the order service knows: users with a sign-up above 100."""
-    return t.events.where((F.col("event_type") == "signup") & (F.col("value") > 100)).select(
-        F.col("user_id").alias("order_id")
-    ).distinct()
+    """Orders the order service knows: users with a sign-up above 100; other sign-ups name other orders."""
+    return t.events.where(F.col("event_type") == "signup").select(stray(F.col("user_id")).alias("order_id")).distinct()
 
 
-KNOWN_ORDERS_SQL = """
-known_orders AS (SELECT DISTINCT user_id AS order_id FROM events WHERE event_type = 'signup' AND value > 100)"""
+KNOWN_ORDERS_SQL = f"""
+known_orders AS (SELECT DISTINCT {STRAY_SQL} AS order_id FROM events WHERE event_type = 'signup')"""
 
 
 def usage(t: Tables) -> DataFrame:

@@ -217,12 +217,12 @@ def f_day_bounds(t: Tables):
     "f_after_cancel",
     """
 SELECT e.event_id, CASE WHEN CAST(ts AS DATE) > CAST(cancelled AS DATE) THEN 1 ELSE 0 END AS after_cancel
-FROM events e LEFT JOIN (SELECT user_id, min(ts) AS cancelled FROM events WHERE event_type = 'error' AND value > 40 GROUP BY 1) c
+FROM events e LEFT JOIN (SELECT user_id, min(ts) AS cancelled FROM (SELECT CASE WHEN value > 40 THEN user_id ELSE -user_id - 1 END AS user_id, ts FROM events WHERE event_type = 'error') GROUP BY 1) c
   ON e.user_id = c.user_id""",
 )
 def f_after_cancel(t: Tables):
-    failed = t.events.where((F.col("event_type") == "error") & (F.col("value") > 40))
-    cancelled = failed.groupBy(F.col("user_id").alias("c_user")).agg(F.min("ts").alias("cancelled"))
+    failed = t.events.where(F.col("event_type") == "error")
+    cancelled = failed.groupBy(frames.stray(F.col("user_id"), 40).alias("c_user")).agg(F.min("ts").alias("cancelled"))
     joined = t.events.join(cancelled, F.col("user_id") == F.col("c_user"), "left")
     return joined.select("event_id", times.after_cancel(F.col("ts"), F.col("cancelled")).alias("after_cancel"))
 
@@ -231,7 +231,7 @@ def f_after_cancel(t: Tables):
     "f_price_state",
     f"""
 WITH {frames.KNOWN_ORDERS_SQL}, latest AS (
-  SELECT *, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER) AS k FROM events WHERE value > 100
+  SELECT *, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER) AS k FROM (SELECT * REPLACE ({frames.STRAY_SQL} AS user_id) FROM events)
   QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) = 1
 )
 SELECT e.event_id,
@@ -247,7 +247,8 @@ def f_price_state(t: Tables):
     from stallbook.operators.windows import newest, order_by
 
     k = frames.event_number()
-    latest = newest(t.events.where(F.col("value") > 100), ["user_id", "event_type"], order_by("-ts", "event_id")).select(
+    priced = t.events.withColumn("user_id", frames.stray(F.col("user_id")))
+    latest = newest(priced, ["user_id", "event_type"], order_by("-ts", "event_id")).select(
         F.col("user_id").alias("l_user"), F.col("event_type").alias("l_type"), F.lit(True).alias("found"),
         F.when(F.col("value") < 130, F.lit(0.0)).otherwise(F.col("value")).alias("price"),
         F.when(k >= 30, "None").when(k >= 15, "Trial").otherwise("Promotion").alias("discount"),

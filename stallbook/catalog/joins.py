@@ -59,14 +59,15 @@ def j_inner_chain(t: Tables):
     """
 SELECT c_custkey, event_id, c_name, o_orderkey
 FROM (SELECT user_id AS c_custkey, event_id FROM events) JOIN customer USING (c_custkey)
-LEFT JOIN (SELECT o_custkey AS c_custkey, o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-06-01') USING (c_custkey)""",
+LEFT JOIN (SELECT CASE WHEN o_orderpriority = '5-LOW' THEN o_custkey END AS c_custkey, o_orderkey FROM orders) USING (c_custkey)""",
 )
 def j_using(t: Tables):
     events = t.events.select(F.col("user_id").alias("c_custkey"), "event_id")
-    recent = t.orders.where(F.col("o_orderdate") >= times.ntz("2001-06-01 00:00:00")).select(
-        F.col("o_custkey").alias("c_custkey"), "o_orderkey"
+    # Only orders of low priority carry their customer.
+    placed = t.orders.select(
+        F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_custkey")).alias("c_custkey"), "o_orderkey"
     )
-    return events.join(t.customer, ["c_custkey"]).join(recent, ["c_custkey"], "left").select(
+    return events.join(t.customer, ["c_custkey"]).join(placed, ["c_custkey"], "left").select(
         "c_custkey", "event_id", "c_name", "o_orderkey"
     )
 
@@ -100,11 +101,12 @@ def j_anti(t: Tables):
     "j_inner_plus_unmatched",
     """
 SELECT p_partkey, p_name, l_orderkey, l_linenumber, l_suppkey
-FROM part LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity >= 45) ON p_partkey = l_partkey""",
+FROM part LEFT JOIN lineitem ON p_partkey = CASE WHEN l_quantity >= 45 THEN l_partkey END""",
 )
 def j_inner_plus_unmatched(t: Tables):
-    large = t.lineitem.where(F.col("l_quantity") >= 45)
-    return j.inner_plus_unmatched(t.part, large, F.col("p_partkey") == F.col("l_partkey")).select(
+    # Small quantities carry no part.
+    lines = t.lineitem.withColumn("part_key", F.when(F.col("l_quantity") >= 45, F.col("l_partkey")))
+    return j.inner_plus_unmatched(t.part, lines, F.col("p_partkey") == F.col("part_key")).select(
         "p_partkey", "p_name", "l_orderkey", "l_linenumber", "l_suppkey"
     )
 
@@ -299,19 +301,19 @@ def j_computed_key(t: Tables):
 @query(
     "j_fallback",
     """
-WITH exact AS (SELECT p_brand AS xb, p_type AS xt, p_size AS xs, max(p_retailprice) AS x_price FROM part WHERE p_retailprice > 1000 GROUP BY ALL),
-loose AS (SELECT p_brand AS lb, p_type AS lt, max(p_retailprice) AS l_price FROM part WHERE p_size < 20 GROUP BY ALL)
+WITH exact AS (SELECT p_brand AS xb, p_type AS xt, p_size AS xs, max(p_retailprice) AS x_price FROM (SELECT * REPLACE (CASE WHEN p_retailprice > 1000 THEN p_brand END AS p_brand) FROM part) GROUP BY ALL),
+loose AS (SELECT p_brand AS lb, p_type AS lt, max(p_retailprice) AS l_price FROM (SELECT * REPLACE (CASE WHEN p_size < 20 THEN p_brand END AS p_brand) FROM part) GROUP BY ALL)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(x_price, l_price) AS list_price
 FROM lineitem JOIN part ON l_partkey = p_partkey LEFT JOIN exact ON p_brand = xb AND p_type = xt AND p_size = xs
 LEFT JOIN loose ON xb IS NULL AND p_brand = lb AND p_type = lt""",
 )
 def j_fallback(t: Tables):
     price = F.max("p_retailprice")
-    exact = t.part.where(F.col("p_retailprice") > 1000).groupBy(
-        F.col("p_brand").alias("xb"), F.col("p_type").alias("xt"), F.col("p_size").alias("xs")
+    exact = t.part.groupBy(
+        F.when(F.col("p_retailprice") > 1000, F.col("p_brand")).alias("xb"), F.col("p_type").alias("xt"), F.col("p_size").alias("xs")
     ).agg(price.alias("x_price"))
-    loose = t.part.where(F.col("p_size") < 20).groupBy(
-        F.col("p_brand").alias("lb"), F.col("p_type").alias("lt")
+    loose = t.part.groupBy(
+        F.when(F.col("p_size") < 20, F.col("p_brand")).alias("lb"), F.col("p_type").alias("lt")
     ).agg(price.alias("l_price"))
     rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     brand, kind = F.col("p_brand"), F.col("p_type")
@@ -365,11 +367,11 @@ def j_inline_lookup(t: Tables):
     "j_match_flag",
     """
 SELECT o_orderkey, CASE WHEN user_id IS NULL THEN 0 ELSE 1 END AS is_multi, CASE WHEN user_id IS NULL THEN o_orderstatus ELSE 'Solution' END AS source
-FROM orders LEFT JOIN (SELECT DISTINCT user_id FROM events WHERE event_type = 'error' AND value > 60) ON o_custkey = user_id""",
+FROM orders LEFT JOIN (SELECT DISTINCT CASE WHEN event_type = 'error' AND value > 60 THEN user_id END AS user_id FROM events) ON o_custkey = user_id""",
 )
 def j_match_flag(t: Tables):
-    failed = t.events.where((F.col("event_type") == "error") & (F.col("value") > 60))
-    flagged = j.match_flag(t.orders, failed, F.col("o_custkey"), F.col("user_id"), "is_multi")
+    failed = F.when((F.col("event_type") == "error") & (F.col("value") > 60), F.col("user_id"))
+    flagged = j.match_flag(t.orders, t.events, F.col("o_custkey"), failed, "is_multi")
     return flagged.select(
         "o_orderkey", "is_multi", F.when(F.col("is_multi") == 1, "Solution").otherwise(F.col("o_orderstatus")).alias("source")
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from stallbook.functions import states, text, times
 from stallbook.operators.audit import with_lineage
 from stallbook.operators.hot import Sort, ranked
-from stallbook.operators.joins import guarded_lookup, interval_matches, lookup, match_flag, null_as_empty
+from stallbook.operators.joins import guarded_lookup, interval_matches, lookup, match_flag
 from stallbook.operators.sets import checked_union, union_distinct
 from stallbook.operators.windows import newest
 from stallbook.sources.readers import latest_publication, look_back
@@ -107,13 +107,40 @@ def prices_in_force(usage: DataFrame, intervals: DataFrame) -> DataFrame:
     )
 
 
-def latest_prices(intervals: DataFrame, as_of: Column) -> DataFrame:
-    """The newest interval per order and meter that lasts longer than a second."""
+def next_used_day(asked: DataFrame, used: DataFrame, keys: list[str], day: str) -> DataFrame:
+    """keys, ``day`` and ``next_day``: the first used day on or after each asked day, null if none.
+
+    Both sides are made distinct first, so a key has at most two rows per calendar day.
+    """
+    used_days = used.select(*keys, day).distinct().withColumn("used_day", F.col(day))
+    asked_days = asked.select(*keys, day).distinct().withColumn("used_day", F.lit(None).cast("date"))
+    ahead = Window.partitionBy(*keys).orderBy(day, F.col("used_day").asc_nulls_first())
+    found = used_days.unionByName(asked_days).withColumn(
+        "next_day", F.first("used_day", ignorenulls=True).over(ahead.rowsBetween(0, Window.unboundedFollowing))
+    )
+    return found.where(F.col("used_day").isNull()).select(*keys, day, "next_day")
+
+
+def latest_prices(usage: DataFrame, intervals: DataFrame, as_of: Column) -> DataFrame:
+    """The price to fall back on per order and meter.
+
+    Of the intervals that last longer than a second, the one that ends last counts for each
+    start day, widened to whole days. Of those that hold the end of some usage day of the order
+    and meter, the one that ends last is taken, the later start day first.
+    """
+    keys = ["order_id", "meter"]
     lasting = intervals.where(times.seconds_between(F.col("start_ts"), F.coalesce("end_ts", as_of)) > 1)
-    one = newest(
-        lasting, ["order_id", "meter"],
+    widened = lasting.withColumns({"day": F.to_date("start_ts"), "last_day": F.to_date("end_ts")})
+    daily = newest(
+        widened, [*keys, "day"],
         [F.col("end_ts").desc_nulls_first(), Sort("start_ts", True), Sort("price"), Sort("discount")],
     )
+    days = usage.select(*keys, F.col("usage_date").alias("day"))
+    answers = next_used_day(daily, days, keys, "day")
+    held = lookup(daily, answers, [(c, c) for c in (*keys, "day")]).where(
+        F.col("next_day").isNotNull() & (F.col("last_day").isNull() | (F.col("next_day") <= F.col("last_day")))
+    )
+    one = newest(held, keys, [F.col("last_day").desc_nulls_first(), Sort("day", True), Sort("price"), Sort("discount")])
     return one.select(
         "order_id", "meter", F.lit(True).alias("n_found"), F.col("discount").alias("n_discount"),
         F.col("price").alias("n_price"),
@@ -128,10 +155,10 @@ def priced_usage(
 
     Keys must contain order_id, meter and usage_date, on which alone the state depends; so
     usage is rolled up before the lookups, which then see one row per group. A missing price
-    falls back to the newest one of the order and meter.
+    falls back to the last one in force on some usage day of the order and meter (``latest_prices``).
     """
     rolled = usage.groupBy(*keys).agg(F.sum(F.col("units") if units is None else units).alias("quantity"))
-    force, last = prices_in_force(usage, intervals), latest_prices(intervals, as_of)
+    force, last = prices_in_force(usage, intervals), latest_prices(usage, intervals, as_of)
     known = known_orders.select("order_id").distinct().withColumn("is_known", F.lit(True))
     wide = lookup(rolled, force, [(c, c) for c in ("order_id", "meter", "usage_date")])
     wide = lookup(wide, known, [("order_id", "order_id")])
@@ -189,20 +216,12 @@ def core_prices(records: DataFrame, intervals: DataFrame) -> DataFrame:
     records: vp_count, ts. For every start day the next day with usage is looked up, among at
     most one row per meter and calendar day; no interval is paired with all days it spans.
     """
-    used = records.select(text.core_meter(F.col("vp_count")).alias("meter"), F.to_date("ts").alias("day")).distinct()
+    used = records.select(text.core_meter(F.col("vp_count")).alias("meter"), F.to_date("ts").alias("day"))
     start_day = F.to_date("start_ts")
     midnight = start_day.cast("timestamp_ntz") == F.col("start_ts")
     dated = intervals.withColumn("first_day", F.when(midnight, start_day).otherwise(F.date_add(start_day, 1)))
-    asked = dated.select("meter", F.col("first_day").alias("day")).distinct()
-    no_day = F.lit(None).cast("date")
-    both = used.withColumn("used_day", F.col("day")).unionByName(asked.withColumn("used_day", no_day))
-    ahead = Window.partitionBy("meter").orderBy("day", F.col("used_day").asc_nulls_first()).rowsBetween(
-        0, Window.unboundedFollowing
-    )
-    found = both.withColumn("next_day", F.first("used_day", ignorenulls=True).over(ahead)).where(
-        F.col("used_day").isNull()
-    )
-    answers = found.select("meter", F.col("day").alias("first_day"), "next_day")
+    asked = dated.select("meter", F.col("first_day").alias("day"))
+    answers = next_used_day(asked, used, ["meter"], "day").withColumnRenamed("day", "first_day")
     held = lookup(dated, answers, [("meter", "meter"), ("first_day", "first_day")]).where(
         F.col("next_day").isNotNull()
         & (F.col("end_ts").isNull() | (F.col("next_day").cast("timestamp_ntz") <= F.col("end_ts")))
@@ -300,7 +319,7 @@ class FactLookups:
     """Frames of the final fact.
 
     * orders: row_key, subscription_id, cancelled (null = not cancelled), vm_id
-    * sizes: row_key, uri, meter, vm_size, os_name, os_family, cores
+    * sizes: row_key, uri, meter, usage_date, vm_size, os_name, os_family, cores
     * prices: vm_size, vm_type, series, cores, tier, price
     """
 
@@ -310,13 +329,20 @@ class FactLookups:
 
 
 def usage_fact(usage: DataFrame, lookups: FactLookups, special_pattern: str = ORACLE_IMAGE_PATTERN) -> DataFrame:
-    """The final fact: size and subscription filled in, after-cancel flag, list price and cost."""
-    orders = lookups.orders.select(
+    """The final fact: size and subscription filled in, after-cancel flag, list price and cost.
+
+    Equal usage rows count once. Every lookup has one row per key as it is joined (sizes: case-blind,
+    null and empty alike), so no usage row becomes two and no quantity is counted twice.
+    """
+    usage = usage.distinct()
+    orders = newest(lookups.orders, ["row_key"], [Sort("subscription_id"), Sort("vm_id")]).select(
         F.col("row_key").alias("o_key"), F.col("subscription_id").alias("o_subscription"), "cancelled",
         F.col("vm_id").alias("o_vm"),
     )
-    sizes = lookups.sizes.select(
-        F.col("row_key").alias("z_key"), F.col("uri").alias("z_uri"), F.col("meter").alias("z_meter"),
+    blind = {c: F.coalesce(F.lower(c), F.lit("")) for c in ("uri", "meter")}
+    rest = [Sort(c) for c in ("vm_size", "os_name", "os_family", "cores")]
+    sizes = newest(lookups.sizes, ["row_key", *blind.values()], [Sort("usage_date"), *rest]).select(
+        F.col("row_key").alias("z_key"), *[e.alias(f"z_{c}") for c, e in blind.items()],
         F.col("vm_size").alias("z_size"), F.col("os_name").alias("z_os"), F.col("os_family").alias("z_family"),
         F.col("cores").alias("z_cores"),
     )
@@ -329,7 +355,7 @@ def usage_fact(usage: DataFrame, lookups: FactLookups, special_pattern: str = OR
         F.col("series").alias("q_series"), F.col("cores").alias("q_cores"), F.col("tier").alias("q_tier"),
         F.col("price").alias("q_price"),
     )
-    keys = null_as_empty([("uri", "z_uri"), ("meter", "z_meter")])
+    keys = [e == F.col(f"z_{c}") for c, e in blind.items()]
     wide = usage.join(orders, F.col("row_key") == F.col("o_key"), "left").join(
         sizes, [F.col("row_key") == F.col("z_key"), *keys], "left"
     )
@@ -359,7 +385,7 @@ def usage_fact(usage: DataFrame, lookups: FactLookups, special_pattern: str = OR
     ).drop(
         "o_key", "o_subscription", "o_vm", "cancelled", "z_key", "z_uri", "z_meter", "z_size", "z_os", "z_family",
         "z_cores", "q_series", "q_cores", "q_tier", "q_price", "p_size", "p_type", "p_price",
-    ).distinct()
+    )
 
 
 def usage_locations(usage: DataFrame, order: str, region: str, day: str, tie_breakers: list[str],
