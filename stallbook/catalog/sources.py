@@ -152,7 +152,7 @@ WHERE l_shipdate >= TIMESTAMP '1998-01-01' GROUP BY l_returnflag""",
 def s_param_sql(t: Tables):
     text = """
       SELECT l_returnflag, count(*) AS line_count, date_format(max(l_shipdate), 'yyyy-MM-dd') AS last_ship
-      FROM lineitem_rows WHERE l_shipdate >= CAST(:first_day AS TIMESTAMP_NTZ) GROUP BY l_returnflag"""
+      FROM {lineitem_rows} WHERE l_shipdate >= CAST(:first_day AS TIMESTAMP_NTZ) GROUP BY l_returnflag"""
     return readers.named_sql(t.spark, text, {"lineitem_rows": t.lineitem}, first_day="1998-01-01 00:00:00")
 
 

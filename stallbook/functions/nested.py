@@ -18,12 +18,6 @@ def struct_join(c: Column, fields: list[str], separator: str = "|") -> Column:
     return F.when(c.isNotNull(), F.concat_ws(separator, *parts))
 
 
-def rows_of(df: DataFrame, array: str, out: str, keep_empty: bool = False) -> DataFrame:
-    """One row per array element."""
-    make = F.explode_outer if keep_empty else F.explode
-    return df.withColumn(out, make(F.col(array)))
-
-
 def entries_of(df: DataFrame, dictionary: str, key: str, value: str) -> DataFrame:
     """One row per dictionary entry, the key as a column."""
     return df.select(*[c for c in df.columns if c != dictionary], F.explode(dictionary).alias(key, value))

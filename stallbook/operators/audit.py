@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def new_run_id() -> str:
-    return str(uuid.uuid4())
-
-
 def with_lineage(df: DataFrame, run_id: str, out: str = "data_lineage_id") -> DataFrame:
     return df.withColumn(out, F.lit(run_id))
 

@@ -100,38 +100,52 @@ def guarded_lookup(
     return flagged.drop("__g")
 
 
-_SLOT_DAY, _SLOT_MONTH = 0, 1
+# Kinds of calendar slots; a slot number times three plus its kind is unique.
+_HOUR, _DAY, _MONTH = 0, 1, 2
+
+
+def _hour_number(ts: Column) -> Column:
+    return (F.unix_date(F.to_date(ts)) * 24 + F.hour(ts)) * 3 + _HOUR
 
 
 def _day_number(day: Column) -> Column:
-    return F.unix_date(day) * 2 + _SLOT_DAY
+    return F.unix_date(day) * 3 + _DAY
 
 
 def _month_number(day: Column) -> Column:
-    return (F.year(day) * 12 + F.month(day)) * 2 + _SLOT_MONTH
+    return (F.year(day) * 12 + F.month(day)) * 3 + _MONTH
 
 
-def _point_slots(day: Column) -> Column:
-    return F.array(_day_number(day), _month_number(day))
+def _point_slots(ts: Column) -> Column:
+    day = F.to_date(ts)
+    return F.array(_hour_number(ts), _day_number(day), _month_number(day))
 
 
-def _cover(first: Column, last: Column) -> Column:
-    """Days of the broken months at both ends and whole months between, as slot numbers.
+def _cover(start: Column, end: Column) -> Column:
+    """Hours of the broken days at both ends, days of the broken months between, and whole months.
 
-    Every day of the interval lies in exactly one slot.
+    Every time of the interval lies in exactly one slot.
     """
     none = F.array().cast("array<int>")
+    first_day, last_day = F.to_date(start), F.to_date(end)
+    midnight = F.make_dt_interval(hours=F.lit(23))
+    one_day = F.sequence(_hour_number(start), _hour_number(end), F.lit(3))
+    head = F.sequence(_hour_number(start), _hour_number(first_day.cast("timestamp_ntz") + midnight), F.lit(3))
+    tail = F.sequence(_hour_number(last_day.cast("timestamp_ntz")), _hour_number(end), F.lit(3))
+    # Whole days between.
+    first, last = F.date_add(first_day, 1), F.date_sub(last_day, 1)
     same_month = _month_number(first) == _month_number(last)
-    head = F.sequence(_day_number(first), F.least(_day_number(last), _day_number(F.last_day(first))), F.lit(2))
-    month_start = F.trunc(last, "month")
-    tail = F.when(same_month, none).otherwise(
-        F.sequence(_day_number(month_start), _day_number(last), F.lit(2))
+    days = F.sequence(_day_number(first), F.least(_day_number(last), _day_number(F.last_day(first))), F.lit(3))
+    later_days = F.when(same_month, none).otherwise(
+        F.sequence(_day_number(F.trunc(last, "month")), _day_number(last), F.lit(3))
     )
-    middle = F.when(
-        _month_number(last) - _month_number(first) > 2,
-        F.sequence(_month_number(first) + 2, _month_number(last) - 2, F.lit(2)),
+    months = F.when(
+        _month_number(last) - _month_number(first) > 3,
+        F.sequence(_month_number(first) + 3, _month_number(last) - 3, F.lit(3)),
     ).otherwise(none)
-    return F.when(first <= last, F.concat(head, tail, middle)).otherwise(none)
+    whole = F.when(first <= last, F.concat(days, later_days, months)).otherwise(none)
+    several = F.when(first_day < last_day, F.concat(head, tail, whole)).otherwise(none)
+    return F.when(start <= end, F.when(first_day == last_day, one_day).otherwise(several)).otherwise(none)
 
 
 def interval_matches(
@@ -140,15 +154,15 @@ def interval_matches(
     """Distinct (keys, point) rows paired with the intervals of the same key that hold the point.
 
     A null bound is open. Points and intervals meet on (key, calendar slot), so a key with
-    many points and many intervals is spread over its days instead of being paired in full.
-    Intervals may overlap.
+    many points and many intervals is spread over hours, days and months instead of being paired
+    in full: points and intervals of one key are compared only within an hour. Intervals may overlap.
     """
     left = [a for a, _ in keys]
     distinct = points.select(*left, point).where(F.col(point).isNotNull()).distinct()
     span = points.agg(F.min(point).alias("lo"), F.max(point).alias("hi"))
-    lo, hi = F.to_date(span.select("lo").scalar()), F.to_date(span.select("hi").scalar())
-    first = F.greatest(F.to_date(F.col(start)), lo)  # greatest and least skip an open bound
-    last = F.least(F.to_date(F.col(end)), hi)
+    lo, hi = (span.select(c).scalar().cast("timestamp_ntz") for c in ("lo", "hi"))
+    first = F.greatest(F.col(start).cast("timestamp_ntz"), lo)  # greatest and least skip an open bound
+    last = F.least(F.col(end).cast("timestamp_ntz"), hi)
     slotted = intervals.withColumn("__cover", F.explode(_cover(first, last)))
     on = [F.col(a) == F.col(b) for a, b in keys]
     on.append(F.col("__slot") == F.col("__cover"))
@@ -156,7 +170,7 @@ def interval_matches(
         F.col(point) <= F.col(end), F.lit(True)
     )
     return (
-        distinct.withColumn("__slot", F.explode(_point_slots(F.to_date(F.col(point)))))
+        distinct.withColumn("__slot", F.explode(_point_slots(F.col(point).cast("timestamp_ntz"))))
         .join(slotted, on, "inner")
         .where(inside)
         .drop("__slot", "__cover")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallbook.operators.joins import lookup
@@ -71,11 +71,16 @@ class DimensionSpec:
     natural_keys: tuple[str, ...]
 
 
+def newest_delta(delta: DataFrame, spec: DimensionSpec) -> DataFrame:
+    """One row per key. Doing it again changes nothing, so a caller may store the result and pass it on."""
+    return newest(delta, [F.lower(F.col(spec.key))], list(spec.newest_by))
+
+
 def publish_dimension(
     delta: DataFrame, spec: DimensionSpec, previous: DataFrame | None = None, baseline: DataFrame | None = None
 ) -> DataFrame:
     """The current state of a dimension: one delta row per key, merged, best source kept."""
-    fresh = newest(delta, [F.lower(F.col(spec.key))], list(spec.newest_by))
+    fresh = newest_delta(delta, spec)
     if previous is not None:
         merged = upsert(previous, fresh, spec.key)
     elif baseline is not None:
@@ -90,7 +95,7 @@ def publish_history(
     baseline: DataFrame | None = None,
 ) -> DataFrame:
     """The version history of a dimension after the delta."""
-    fresh = newest(delta, [F.lower(F.col(spec.key))], list(spec.newest_by))
+    fresh = newest_delta(delta, spec)
     if previous is None:
         first = fresh if baseline is None else first_load(fresh, baseline)
         return with_open_validity(first.withColumn(spec.key, _lower_key(spec.key)), as_of)
@@ -100,17 +105,27 @@ def publish_history(
 def merge_changes(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str], action: str) -> DataFrame:
     """Update only rows with a changed column, insert new rows, keep the rest.
 
-    Keys match null-safely and must be unique on both sides. ``action`` names a column telling
-    ``updated``, ``inserted`` or ``unchanged``.
+    Keys match null-safely and must be unique on both sides: a repeated key fails the job, as its
+    rows would multiply. ``action`` names a column telling ``updated``, ``inserted`` or ``unchanged``.
     """
-    t = target.select(*[F.col(c).alias(f"__t_{c}") for c in [*keys, *columns]], F.lit(True).alias("__in_t"))
-    s = source.select(*[F.col(c).alias(f"__s_{c}") for c in [*keys, *columns]], F.lit(True).alias("__in_s"))
+    def side(df: DataFrame, mark: str) -> DataFrame:
+        named = df.select(*[F.col(c).alias(f"__{mark}_{c}") for c in [*keys, *columns]])
+        own = F.count(F.lit(1)).over(Window.partitionBy(*[f"__{mark}_{k}" for k in keys]))
+        return named.withColumn(f"__in_{mark}", own)
+
+    t, s = side(target, "t"), side(source, "s")
     on = [F.col(f"__t_{k}").eqNullSafe(F.col(f"__s_{k}")) for k in keys]
     same = F.lit(True)
     for c in columns:
         same = same & F.col(f"__t_{c}").eqNullSafe(F.col(f"__s_{c}"))
     state = (
-        F.when(F.col("__in_t").isNull(), "inserted")
+        F.when(
+            F.greatest("__in_t", "__in_s") > 1,
+            F.raise_error(F.concat(F.lit("merge key is not unique: "), F.to_json(F.struct(
+                *[F.coalesce(f"__t_{k}", f"__s_{k}").alias(k) for k in keys]
+            )))),
+        )
+        .when(F.col("__in_t").isNull(), "inserted")
         .when(F.col("__in_s").isNull() | same, "unchanged")
         .otherwise("updated")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stallbook.functions import text
 from stallbook.operators.joins import asof_lookup
 from stallbook.operators.merge import merge_changes
+from stallbook.operators.windows import Sort, newest
 
 # Known bad charges, the key prefix and the home currency.
 BAD_CHARGES = ("56538D9B-ADAB-43AD-A77A-4909B8B05C28", "ABFE232D-2D6E-45D9-87FB-D292170DF500")
@@ -87,9 +88,17 @@ def charge_fact(charges: DataFrame, rates: DataFrame, keys: list[str] = CHARGE_K
 @dataclass(frozen=True)
 class FactKeys:
     keys: tuple[str, ...] = ("charge_id", "applies_to")
+    latest: str = "charged_on"
 
 
 def merge_charges(target: DataFrame, fact: DataFrame, spec: FactKeys = FactKeys()) -> DataFrame:
-    """Upsert the fact: update rows that changed, insert new ones, keep the rest."""
+    """Upsert the fact: update rows that changed, insert new ones, keep the rest.
+
+    The fact may hold several rows of one key, as it is grouped by more columns: the one charged
+    last counts, then the highest amount, then the order of the other columns. The target has one
+    row per key.
+    """
     columns = [c for c in target.columns if c not in spec.keys]
-    return merge_changes(target, fact, list(spec.keys), columns, "action")
+    ties = [Sort(c) for c in columns if c not in (spec.latest, "amount")]
+    one = newest(fact, list(spec.keys), [Sort(spec.latest, True), Sort("amount", True), *ties])
+    return merge_changes(target, one, list(spec.keys), columns, "action")

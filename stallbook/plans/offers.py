@@ -177,10 +177,8 @@ def offer_dimension(s: OfferSources, publisher_names: dict[str, str]) -> DataFra
 
     plan_keys = ["publisher", "offer", "plan"]
     plans = named(s.plans)
-    plan_rows = plans.select(*plan_keys).distinct()
-    metered = plans.where(F.col("effect") == METERED_EFFECT).groupBy(*plan_keys).agg(
-        F.max("version").alias("metered_version")
-    )
+    is_metered = F.col("effect") == METERED_EFFECT
+    plan_rows = plans.groupBy(*plan_keys).agg(F.max(F.when(is_metered, F.col("version"))).alias("metered_version"))
     current = newest_version(named(s.offers).where(F.col("offer").isNotNull()), ["publisher", "offer"])
     current = current.select(
         "publisher", "offer", "offer_id", "offer_type", F.col("version").alias("version_published"),
@@ -199,7 +197,6 @@ def offer_dimension(s: OfferSources, publisher_names: dict[str, str]) -> DataFra
     joined = (
         current.join(plan_rows, ["offer", "publisher"], "left")
         .join(details, plan_keys, "left")
-        .join(metered, plan_keys, "left")
         .join(vm, plan_keys, "left")
         .join(baseline, plan_keys, "left")
         .join(plan_over, ["offer", "plan"], "left")

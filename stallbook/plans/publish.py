@@ -12,7 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.operators.merge import DimensionSpec, publish_dimension, publish_history
+from stallbook.operators.merge import DimensionSpec, newest_delta, publish_dimension, publish_history
+from stallbook.session import stage
 from stallbook.sources.writers import export_jdbc, write_snapshot
 
 SLICE = "Slice"
@@ -50,6 +51,7 @@ def publish(
     folders = [f"{root}/{kind}" for kind in ("merged", "historical")]
     current, versions = (previous_rows(spark, f, slice_id, fmt) for f in folders)
     merged_path, history_path = (f"{f}/{SLICE}={slice_id}" for f in folders)
+    delta = stage(newest_delta(delta, spec), "delta")
     write_snapshot(publish_dimension(delta, spec, current, baseline), merged_path, fmt)
     write_snapshot(publish_history(delta, spec, as_of, versions, baseline), history_path, fmt)
     if export is not None:

@@ -12,13 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallbook.functions import states, text, times
-from stallbook.operators.audit import with_lineage
+from stallbook.operators.audit import slice_audit, with_lineage
 from stallbook.operators.hot import Sort, ranked
 from stallbook.operators.joins import guarded_lookup, interval_matches, lookup, match_flag
 from stallbook.operators.sets import checked_union, union_distinct
 from stallbook.operators.windows import newest
-from stallbook.sources.readers import latest_publication, look_back
-from stallbook.sources.writers import late_rows
+from stallbook.sources.readers import latest_publication, look_back, require_days
+from stallbook.sources.writers import late_rows, write_partitioned
 
 # Units, words looked for in resource addresses and properties, and labels.
 HOURS_PER_DAY = 24
@@ -58,14 +58,33 @@ def daily_load(
 ) -> DataFrame:
     """Newest publication of each look-back day plus the late rows, flagged and with lineage.
 
-    Call ``readers.days_without_rows`` first to reject a load with missing days.
+    A day without any publication fails the load.
     """
+    require_days(published, day, slice_day, days)
     recent = latest_publication(look_back(published, day, slice_day, days), day, publication)
     on_time = recent.drop(publication).withColumn("is_missing", F.lit(0))
     missed = late_rows(late, day, slice_day, late_days).withColumn("is_missing", F.lit(1))
     return with_lineage(checked_union(on_time, missed.drop(publication)), run_id)
 
 
+def store_daily_load(
+    published: DataFrame, late: DataFrame, slice_day: str, days: int, run_id: str, path: str, loaded_at: Column,
+    day: str = "usage_date", publication: str = "aggregatedts", late_days: int = 30,
+) -> DataFrame:
+    """Write the daily load by day and missing flag; returns its two audit rows.
+
+    The rows are read back from ``path``; an overwrite replaces the days of the load alone. One
+    audit row counts the stored rows, the other the late rows among them.
+    """
+    loaded = daily_load(published, late, slice_day, days, run_id, day, publication, late_days)
+    write_partitioned(loaded, path, [day, "is_missing"])
+    stored = loaded.sparkSession.read.schema(loaded.schema).parquet(path)
+    slice_id = slice_day.replace("-", "")
+    whole = slice_audit(stored, "Usage", slice_id, path, run_id, loaded_at)
+    missed = late_rows(stored.where("is_missing = 1"), day, slice_day, late_days)
+    return whole.unionByName(slice_audit(missed, "MissingUsage", slice_id, path, run_id, loaded_at))
+
+
 def described_usage(usage: DataFrame) -> DataFrame:
     """Add core count, machine size and stack, as far as the source columns are present."""
     added = {"cores": text.core_count(F.col("meter"))}

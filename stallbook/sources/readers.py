@@ -70,8 +70,15 @@ def latest_publication(df: DataFrame, day: str, publication: str) -> DataFrame:
     return df.join(newest, on, "left_semi")
 
 
+def require_days(df: DataFrame, day: str, slice_day: str, days: int) -> None:
+    """Fail if a day of the look-back has no row."""
+    missing = [str(r[0]) for r in days_without_rows(df, day, slice_day, days).orderBy(day).collect()]
+    if missing:
+        raise ValueError(f"no data for {', '.join(missing)}")
+
+
 def days_without_rows(df: DataFrame, day: str, slice_day: str, days: int) -> DataFrame:
-    """Days of the look-back without any row: callers fail the load if this is not empty."""
+    """Days of the look-back without any row."""
     last = F.lit(slice_day).cast("date")
     calendar = df.sparkSession.range(days).select(F.date_sub(last, F.col("id").cast("int")).alias(day))
     return calendar.join(look_back(df, day, slice_day, days).select(day).distinct(), day, "left_anti")
@@ -95,7 +102,5 @@ def external_json_table(
 
 
 def named_sql(spark: SparkSession, text: str, frames: dict[str, DataFrame], **parameters: object) -> DataFrame:
-    """Run a SQL text over frames, with named parameters bound as literals."""
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text, args=parameters)
+    """Run a SQL text over frames, named in it as {name}, with named parameters bound as literals."""
+    return spark.sql(text, args=parameters, **frames)

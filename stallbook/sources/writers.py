@@ -18,11 +18,6 @@ def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("append").format(fmt).save(path)
 
 
-def write_new(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write a folder that must not exist yet."""
-    df.write.mode("errorifexists").format(fmt).save(path)
-
-
 def write_tsv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("sep", "\t").option("quote", "").csv(path)
 

@@ -78,13 +78,6 @@ def test_partitioned_overwrite_replaces_only_its_days(spark, rows, tmp_path):
     assert rows(spark.read.parquet(path), "v", "day") == [(1, "a"), (3, "b")]
 
 
-def test_write_new_refuses_an_existing_folder(spark, tmp_path):
-    df = spark.range(1)
-    writers.write_new(df, str(tmp_path / "x"))
-    with pytest.raises(Exception, match="already exists"):
-        writers.write_new(df, str(tmp_path / "x"))
-
-
 @pytest.mark.parametrize("letter, mode", [("A", "append"), ("o", "overwrite"), ("I", "ignore"), ("E", "error"), (None, "error")])
 def test_export_modes(letter, mode):
     assert writers.export_mode(letter) == mode
