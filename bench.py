@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from stallbook.catalog import QUERIES  # noqa: E402
-from stallbook.session import local_session  # noqa: E402
+from stallbook.session import clear_scratch, local_session  # noqa: E402
 
 
 def run_once(spark, build, folder: str) -> float:
@@ -46,6 +46,7 @@ def main() -> None:
             }
         )
     )
+    clear_scratch(spark)
     spark.stop()
 
 

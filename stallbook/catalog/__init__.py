@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from stallbook.catalog import (  # noqa: F401
-    aggregates, columns, composites, dimensions, functions, joins, merges, sinks, sources, unions, windows,
+    aggregates, columns, composites, dimensions, functions, joins, merges, pipelines, sinks, sources, unions,
+    windows,
 )
 from stallbook.catalog.registry import ORACLES, QUERIES
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from stallbook.catalog.registry import Tables, day_text, query
 from stallbook.functions import times
 from stallbook.operators.audit import slice_audit, with_lineage
-from stallbook.session import scratch_path
+from stallbook.session import scratch_path, scratch_table
 from stallbook.sources import readers, writers
 
 RUN_ID = "run-2024-01-20"
@@ -29,7 +27,7 @@ def k_overwrite_roundtrip(t: Tables):
 
 @query("k_append_roundtrip", f"{EVENTS_SQL} UNION ALL {EVENTS_SQL} WHERE event_type = 'error'")
 def k_append_roundtrip(t: Tables):
-    table, path = f"events_{uuid.uuid4().hex}", scratch_path(t.spark, "append")
+    table, path = scratch_table("events"), scratch_path(t.spark, "append")
     rows = t.events.select(*EVENTS)
     writers.recreate_table(rows, table, path)
     writers.append_to_table(rows.where(F.col("event_type") == "error").select(*reversed(EVENTS)), table)
@@ -46,7 +44,7 @@ def k_parquet_handoff(t: Tables):
 
 @query("k_recreate_table", "SELECT o_orderstatus, count(*) AS order_count FROM orders GROUP BY 1")
 def k_recreate_table(t: Tables):
-    table, path = f"orders_{uuid.uuid4().hex}", scratch_path(t.spark, "table")
+    table, path = scratch_table("orders"), scratch_path(t.spark, "table")
     writers.recreate_table(t.orders.select("o_orderstatus"), table, path)
     counts = t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("order_count"))
     return writers.recreate_table(counts, table, scratch_path(t.spark, "table"))
@@ -59,7 +57,7 @@ SELECT event_id, value, 'run-2024-01-20' AS data_lineage_id, strftime(ts, '%Y-%m
 FROM events""",
 )
 def k_partitioned_write(t: Tables):
-    table, path = f"usage_{uuid.uuid4().hex}", scratch_path(t.spark, "partitioned")
+    table, path = scratch_table("usage"), scratch_path(t.spark, "partitioned")
     rows = with_lineage(
         t.events.select(
             "event_id", "value", F.to_date("ts").alias("usage_date"),

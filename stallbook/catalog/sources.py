@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from stallbook.catalog.registry import Tables, day_text, query
-from stallbook.session import scratch_path
+from stallbook.session import scratch_path, scratch_table
 from stallbook.sources import readers, writers
 from stallbook.sources.schema import ColumnSpec, apply_types
 
@@ -139,7 +137,7 @@ def s_external_table(t: Tables):
     path = scratch_path(t.spark, "external")
     writers.write_snapshot(t.customer, path, "json")
     schema = "c_custkey BIGINT, c_name STRING, c_mktsegment STRING"
-    table = f"external_{uuid.uuid4().hex}"
+    table = scratch_table("external")
     return readers.external_json_table(t.spark, table, path, schema, ["c_custkey", "c_name"])
 
 

@@ -6,6 +6,8 @@ submitter's business.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -46,6 +48,7 @@ def local_session(cores: str = "8", app: str = "stallbook", extra: dict[str, str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", cores)
+        .config(CHECKPOINT_DIR, _own_folder(app))
     )
     for key, value in {**STATIC_SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
@@ -55,22 +58,49 @@ def local_session(cores: str = "8", app: str = "stallbook", extra: dict[str, str
 
 
 @cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"stallbook-{application}-")
+def _own_folder(application: str) -> str:
+    """A folder of a local session's own, gone when Python ends."""
+    folder = tempfile.mkdtemp(prefix=f"stallbook-{application}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared folder the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it.
 
-    Executors on other machines must see what is written, so a machine-local folder is
-    used only in local mode and only when the cluster names none.
+    A local session that names none gets one of its own; anywhere else that is an error.
     """
     shared = spark.conf.get(CHECKPOINT_DIR, None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-        shared = _local_folder(spark.sparkContext.applicationId)
-    return f"{shared.rstrip('/')}/stallbook/{label}-{uuid.uuid4().hex}"
+        shared = _own_folder(spark.sparkContext.applicationId)
+    return f"{shared.rstrip('/')}/stallbook/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh folder below the shared folder."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+_tables: list[str] = []
+
+
+def scratch_table(label: str) -> str:
+    """A fresh table name, which ``clear_scratch`` drops."""
+    _tables.append(f"{label}_{uuid.uuid4().hex}")
+    return _tables[-1]
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all tables and folders that this application has made below the shared folder.
+
+    For the end of an application: results read from them are gone.
+    """
+    while _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -67,7 +67,7 @@ def compare(df, con, sql: str) -> list[str]:
 
 def main(folder: str, wanted: list[str]) -> int:
     from stallbook.catalog import ORACLES, QUERIES
-    from stallbook.session import local_session
+    from stallbook.session import clear_scratch, local_session
 
     extra = {}
     if wanted and wanted[0].startswith("parts="):
@@ -88,6 +88,7 @@ def main(folder: str, wanted: list[str]) -> int:
         print(f"{'FAIL' if problems else 'ok  '} {name} {time.time() - start:.2f}s {size}", flush=True)
         for p in problems:
             print("     ", p[:1800], flush=True)
+    clear_scratch(spark)
     print(f"{len(names)} queries, {failed} failed")
     return failed
 

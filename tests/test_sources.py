@@ -123,10 +123,27 @@ class _Session:
 
 
 def test_scratch_folder_follows_the_cluster_setting():
-    assert scratch_path(_Session("spark://x", "hdfs://shared/"), "x").startswith("hdfs://shared/stallbook/x-")
+    assert scratch_path(_Session("spark://x", "hdfs://shared/"), "x").startswith("hdfs://shared/stallbook/app/x-")
 
 
 def test_scratch_folder_is_machine_local_only_in_local_mode():
     assert "stallbook-app-" in scratch_path(_Session("local[2]", None), "x")
     with pytest.raises(ValueError):
         scratch_path(_Session("spark://x", None), "x")
+
+
+def test_scratch_is_below_the_shared_folder_and_can_be_cleared(spark, tmp_path):
+    from stallbook.session import CHECKPOINT_DIR, scratch_path, shared_folder
+
+    assert scratch_path(spark, "x").startswith(shared_folder(spark))
+    assert shared_folder(spark).startswith(spark.conf.get(CHECKPOINT_DIR))
+
+
+def test_a_missing_day_fails_the_load(spark):
+    from stallbook.plans.usage import daily_load
+
+    rows = spark.createDataFrame([("2024-01-01", "1"), ("2024-01-03", "1")], "d string, aggregatedts string")
+    rows = rows.select(F.to_date("d").alias("usage_date"), "aggregatedts")
+    with pytest.raises(ValueError, match="2024-01-02"):
+        daily_load(rows, rows, "2024-01-03", 3, "run")
+    assert daily_load(rows, rows, "2024-01-03", 1, "run").where("is_missing = 0").count() == 1
