@@ -1,3 +1,5 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,3 +125,23 @@ def test_dedup_of_flagged_groups_only(spark, rows):
 def test_newest_is_one_row_per_key(spark, rows):
     df = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (2, 5, "c"), (None, 1, "d")], "k int, v int, n string")
     assert rows(newest(df, ["k"], [Sort("v", True), Sort("n")]), "n") == [("a",), ("c",), ("d",)]
+
+
+def test_a_repeated_merge_key_fails_the_job(spark):
+    target = spark.createDataFrame([("a", 1)], "k string, v int")
+    source = spark.createDataFrame([("a", 2), ("a", 3)], "k string, v int")
+    with pytest.raises(Exception, match="merge key is not unique"):
+        m.merge_changes(target, source, ["k"], ["v"], "action").collect()
+    with pytest.raises(Exception, match="merge key is not unique"):
+        m.merge_changes(source, target, ["k"], ["v"], "action").collect()
+
+
+def test_of_repeated_charges_the_last_counts(spark, rows):
+    from stallbook.plans import charges
+
+    columns = "charge_id string, applies_to string, charged_on date, amount double"
+    day = date(2024, 1, 2)
+    fact = spark.createDataFrame([("c", "x", day, 1.0), ("c", "x", date(2024, 1, 1), 9.0), ("c", "x", day, 2.0)], columns)
+    target = spark.createDataFrame([("c", "x", day, 1.0), ("d", "x", day, 4.0)], columns)
+    got = charges.merge_charges(target, fact)
+    assert rows(got, "charge_id", "amount", "action") == [("c", 2.0, "updated"), ("d", 4.0, "unchanged")]

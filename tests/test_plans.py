@@ -221,3 +221,30 @@ def test_publish_reads_the_newest_earlier_slice(spark, rows, tmp_path):
     assert rows(spark.read.parquet(merged), "k", "v") == [("a", 2), ("b", 1)]
     assert spark.read.parquet(history).where("end_ts is null").count() == 2
     assert rows(previous_rows(spark, f"{root}/merged", 20240109), "k", "v") == [("a", 1), ("b", 3)]
+
+
+def test_fallback_price_was_in_force_on_some_usage_day(spark):
+    """An interval that ends on the usage day counts; a later trial that no usage meets does not."""
+    usage_rows = spark.createDataFrame([("o", "m", date(2024, 1, 2), 1.0)], "order_id string, meter string, usage_date date, units double")
+    intervals = spark.createDataFrame(
+        [("o", "m", "None", 1.0, at("01 00:00:00"), at("02 10:00:00")), ("o", "m", "Trial", 0.0, datetime(2025, 6, 1), None)],
+        "order_id string, meter string, discount string, price double, start_ts timestamp_ntz, end_ts timestamp_ntz",
+    )
+    known = spark.createDataFrame([("o",)], "order_id string")
+    got = usage.priced_usage(usage_rows, intervals, known, ntz("2026-01-01 00:00:00"), ["order_id", "meter", "usage_date"])
+    assert [(r.state, r.quantity) for r in got.collect()] == [("Paid", 1.0)]
+
+
+def test_sizes_of_either_case_count_a_quantity_once(spark):
+    columns = "row_key string, uri string, meter string, vm_size string, quantity double, usage_date date, uri_hash string, info string, cores int, state string"
+    day = date(2024, 1, 1)
+    data = [("k", uri, "m", size, 1.0, day, "h", "i", 2, "Paid") for uri, size in (("A", "s1"), ("a", "s2"), (None, "s3"), ("", None))]
+    rows_in = spark.createDataFrame(data, columns)
+    sizes = usage.first_known_sizes(rows_in, ["row_key", "uri", "meter"], ["vm_size", "usage_date", "cores"]).withColumns(
+        {"os_name": F.lit("linux"), "os_family": F.lit("linux")}
+    )
+    orders_in = spark.createDataFrame([("k", "S", None, "V")], "row_key string, subscription_id string, cancelled timestamp_ntz, vm_id string")
+    prices = spark.createDataFrame([("s1", "linux", "s", 2, "t", 3.0)], "vm_size string, vm_type string, series string, cores int, tier string, price double")
+    fact = usage.usage_fact(rows_in, usage.FactLookups(orders_in, sizes, prices)).collect()
+    assert len(fact) == 4 and sum(r.quantity for r in fact) == 4.0
+    assert {r.uri: r.vm_size for r in fact}[""] == "s3"
