@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from stallbook.llm import chat, decontaminate, fingerprints, html_text, lm_scoring, near_dedup, piece_codes, quality, token_files, toxicity
 from stallbook.llm.common import prepare, table, training_fold
 
+LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -47,7 +49,17 @@ def op1_lm_scoring(spark, folder):
     return lm_scoring.scores(table(spark, folder, "documents"), good)
 
 
-@query("op2_near_dedup")
+@query("op2_near_dedup", rf"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWER_SQL}, '[^\x20\x09-\x0D]+') AS words FROM documents),
+    sh AS (SELECT DISTINCT doc_id, md5(array_to_string(words[i : i + 4], ' ')) AS h
+           FROM w, unnest(range(1, greatest(len(words) - 3, 2))) t(i) WHERE len(words) > 0),
+    n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+    common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b USING (h) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+    edges AS (SELECT a, b FROM common JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 85 * (x.n + y.n - c)),
+    reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+    least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM documents JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)""")
 def op2_near_dedup(spark, folder):
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
 
@@ -99,7 +111,18 @@ def op7_token_files(spark, folder):
     return token_files.read_tokens(manifest, root)
 
 
-@query("op9_decontamination")
+@query("op9_decontamination", rf"""
+    WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    i AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    windows AS (SELECT DISTINCT item, least(len(w), 13) AS n, array_to_string(w[k : k + 12], ' ') AS g
+                FROM i, unnest(range(1, greatest(len(w) - 11, 2))) t(k) WHERE len(w) > 0),
+    hits AS (SELECT DISTINCT r, s, l.n, item FROM d, (SELECT DISTINCT n FROM windows) l, unnest(range(1, len(d.w) - l.n + 2)) t(s), windows v
+             WHERE v.n = l.n AND v.g = array_to_string(d.w[s : s + l.n - 1], ' ')),
+    covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM hits, unnest(range(s, s + n)) t(p) GROUP BY r),
+    items AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM hits GROUP BY r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)""")
 def op9_decontamination(spark, folder):
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
