@@ -5,6 +5,7 @@ Python code here runs inside Spark tasks on one Arrow batch at a time.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -58,6 +59,34 @@ def _package() -> str:
     return str(path)
 
 
+def release() -> None:
+    """Give memory that Python, numpy and Arrow no longer use back to the system.
+
+    Python workers live on between tasks, so what one stage held would count against the next.
+    """
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+except OSError:
+    _libc = None
+
+
+def tidied(work):
+    """A function of batches that releases memory when its task ends."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return run
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

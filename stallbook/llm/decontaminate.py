@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallbook.llm.common import ALPHANUMERIC, pieces, prepare, split_words, texts_of
+from stallbook.llm.common import ALPHANUMERIC, pieces, prepare, split_words, texts_of, tidied
 from stallbook.session import stage
 
 WINDOW_WORDS = 13
@@ -93,7 +93,7 @@ def positional_index(documents: DataFrame, vocabulary: list[str], key: str = "do
             )
 
     source = documents.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("row_hash"), F.col(text).alias("text"))
-    return source.mapInArrow(build, INDEX_SCHEMA)
+    return source.mapInArrow(tidied(build), INDEX_SCHEMA)
 
 
 def term_counts(index: DataFrame, n_terms: int) -> np.ndarray:
@@ -108,7 +108,7 @@ def term_counts(index: DataFrame, n_terms: int) -> np.ndarray:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["term", "n"])
 
-    counted = index.select("terms", "ends").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counted = index.select("terms", "ends").mapInArrow(tidied(count), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     result = np.zeros(n_terms, dtype=np.int64)
     for row in counted.toLocalIterator():
         result[row["term"]] = row["n"]
@@ -222,7 +222,7 @@ def matches(index: DataFrame, items: list[tuple[str, list[str]]], vocabulary: li
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
                                                  names=["key", "row_hash", "item_id", "first", "last", "n_windows"])
 
-    return index.select("key", "row_hash", "terms", "ends", "positions").mapInArrow(find, MATCH_SCHEMA)
+    return index.select("key", "row_hash", "terms", "ends", "positions").mapInArrow(tidied(find), MATCH_SCHEMA)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int, int]]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallbook.llm.common import pieces, prepare
+from stallbook.llm.common import pieces, prepare, tidied
 
 MAX_PAGES = 500
 
@@ -218,7 +218,7 @@ def train(pages: DataFrame, key: str = "page_id", html: str = "html", most: int
                     without += b
         yield pa.RecordBatch.from_arrays([pa.array([json.dumps(learned(within, without))])], names=["weights"])
 
-    row = sample.repartition(1).mapInArrow(learn, "weights string").first()
+    row = sample.repartition(1).mapInArrow(tidied(learn), "weights string").first()
     return json.loads(row["weights"]) if row else {}
 
 
@@ -234,4 +234,4 @@ def extract(pages: DataFrame, weights: dict[str, float], key: str = "page_id", h
                 names=[key, "url", "text", "n_chars"])
 
     rows = pages.select(F.col(key).cast("long").alias(key), F.col("url").cast("string").alias("url"), html)
-    return rows.mapInArrow(run, f"{key} long, url string, text string, n_chars long")
+    return rows.mapInArrow(tidied(run), f"{key} long, url string, text string, n_chars long")

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallbook.llm.common import SPACED, mixed, prepare, split_words, texts_of, total_bytes, word_hashes
+from stallbook.llm.common import SPACED, mixed, prepare, release, split_words, texts_of, total_bytes, word_hashes
 
 CHUNK_BYTES = 6_000_000
 DEEP = 0.6
@@ -145,6 +145,7 @@ def scores(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text:
     goal = goal.select(deal(F.col("target")).alias("chunk"), "target")
 
     def ask(left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
         texts = texts_of(pa.RecordBatch.from_arrays([left.column("text").combine_chunks()], names=["text"]))
         chunk = left.column("chunk")[0].as_py() if left.num_rows else -1
         goals = right.column("target").combine_chunks()
@@ -158,6 +159,7 @@ def scores(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text:
                                     names=["chunk", "bucket", "keys", "everywhere", "in_target", "targets"])
 
     def add(group: pa.Table) -> pa.Table:
+        release()
         lists = [unpacked(k, 7) for k in group.column("keys").to_pylist()]
         every = [unpacked(c, 4) for c in group.column("everywhere").to_pylist()]
         inside = [unpacked(c, 4) for c in group.column("in_target").to_pylist()]
@@ -170,6 +172,7 @@ def scores(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text:
             names=["chunk", "bucket", "targets", "everywhere", "in_target"])
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
         texts = texts_of(pa.RecordBatch.from_arrays([left.column("text").combine_chunks()], names=["text"]))
         right = right.sort_by("bucket")
         ids = np.frombuffer(right.column("targets")[0].as_py(), np.int64)

@@ -33,12 +33,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stallbook.llm.common import SPACED, distinct_per_row, mixed, pieces, prepare, shingles, split_words, texts_of, word_hashes
+from stallbook.llm.common import (
+    SPACED, distinct_per_row, mixed, pieces, prepare,
+    shingles, split_words, texts_of, tidied, word_hashes,
+)
 from stallbook.session import stage
 
 COORDINATES, POSTED = 256, 64
 POSTED_MATCH, MATCH = 44, 196
 PERCENT = 85
+# Text bytes whose shingles a task works on at a time.
+PIECE_BYTES = 4_000_000
 # Members of a list that are compared with each other in one go.
 BLOCK = 512
 # Ids of the texts to read again that are broadcast at most; beyond, the texts are joined by shuffle.
@@ -78,7 +83,7 @@ def features(documents: DataFrame, key: str, text: str) -> DataFrame:
     """key, row_hash, n (set size), cls (class number), posted (64-bit values), rest (8 bits of the other values, to count with)."""
 
     def build(batches):
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=PIECE_BYTES):
             values, starts = shingle_sets(texts_of(batch))
             sig = signatures(values, starts)
             cls = [xxhash.xxh64_intdigest(values[a:b].tobytes(), int(b - a)) for a, b in zip(starts[:-1], starts[1:])]
@@ -93,7 +98,7 @@ def features(documents: DataFrame, key: str, text: str) -> DataFrame:
                 names=["key", "row_hash", "n", "cls", "posted", "rest"])
 
     rows = documents.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("row_hash"), F.col(text).alias("text"))
-    return rows.mapInArrow(build, "key long, row_hash long, n long, cls long, posted array<long>, rest binary")
+    return rows.mapInArrow(tidied(build), "key long, row_hash long, n long, cls long, posted array<long>, rest binary")
 
 
 def prefix_postings(classes: DataFrame) -> DataFrame:
@@ -123,7 +128,7 @@ def agreeing(rows: DataFrame) -> DataFrame:
             keep = pa.array((same >= MATCH) & (100 * sizes.min(0) >= PERCENT * sizes.max(0)))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
-    return rows.mapInArrow(check, "a long, b long")
+    return rows.mapInArrow(tidied(check), "a long, b long")
 
 
 def beside(pairs: DataFrame, data: DataFrame, columns: list[str]) -> DataFrame:
@@ -143,7 +148,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
     rows = beside(pairs, sets, ["shingles"]).select("a", "b", "shingles_a", "shingles_b")
-    return rows.mapInArrow(check, "a long, b long")
+    return rows.mapInArrow(tidied(check), "a long, b long")
 
 
 def groups(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Table]:
@@ -221,7 +226,7 @@ def cross_links(lists: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
     sorted_rows = rows.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j")
-    return sorted_rows.mapInArrow(compare, "a long, b long")
+    return sorted_rows.mapInArrow(tidied(compare), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -257,12 +262,12 @@ def full_sets(documents: DataFrame, wanted: DataFrame, key: str, text: str) -> D
     chosen = rows.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, ["key", "row_hash"])
 
     def build(batches):
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=PIECE_BYTES):
             values, starts = shingle_sets(texts_of(batch))
             packed = [values[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["cls", "shingles"])
 
-    return chosen.select("cls", "text").mapInArrow(build, "cls long, shingles binary").dropDuplicates(["cls"])
+    return chosen.select("cls", "text").mapInArrow(tidied(build), "cls long, shingles binary").dropDuplicates(["cls"])
 
 
 def links(documents: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:

@@ -32,13 +32,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallbook.llm.common import WordIds, pieces, prepare, texts_of
+from stallbook.llm.common import WordIds, pieces, prepare, texts_of, tidied
 
 SPACE = "▁"
 BASE = np.uint64(0x100000001B3)
 UNKNOWN = -10.0
 # Distinct words whose pieces a Python worker remembers, and words per Viterbi batch.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 250_000
 TOGETHER = 20_000
 # Places times words whose substrings are looked up in one go.
 CELLS = 200_000
@@ -268,7 +268,7 @@ def encode(documents: DataFrame, path: str, text: str = "text", name: str = "pie
             yield batch.append_column(name, listed(*encoder_of(path).encode(texts_of(batch, text))))
 
     rows = documents.drop(name)
-    return rows.mapInArrow(run, rows.withColumn(name, F.array().cast("array<int>")).schema)
+    return rows.mapInArrow(tidied(run), rows.withColumn(name, F.array().cast("array<int>")).schema)
 
 
 def decode(coded: DataFrame, path: str, ids: str = "piece_ids", name: str = "decoded") -> DataFrame:
@@ -283,7 +283,7 @@ def decode(coded: DataFrame, path: str, ids: str = "piece_ids", name: str = "dec
             yield batch.append_column(name, pa.array([t.decode("utf-8", errors="replace") for t in texts], pa.string()))
 
     rows = coded.drop(name)
-    return rows.mapInArrow(run, rows.withColumn(name, F.lit("")).schema)
+    return rows.mapInArrow(tidied(run), rows.withColumn(name, F.lit("")).schema)
 
 
 def round_trip(documents: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -301,4 +301,4 @@ def round_trip(documents: DataFrame, path: str, key: str = "doc_id", text: str =
                 names=[key, "piece_ids", "n_pieces", "decoded_crc32", "same"])
 
     rows = documents.select(F.col(key).cast("long").alias(key), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"{key} long, piece_ids array<int>, n_pieces long, decoded_crc32 long, same boolean")
+    return rows.mapInArrow(tidied(run), f"{key} long, piece_ids array<int>, n_pieces long, decoded_crc32 long, same boolean")

@@ -26,7 +26,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallbook.llm.common import bounded_sample, mixed, pieces, prepare, split_words, texts_of, training_fold, word_hashes
+from stallbook.llm.common import (
+    bounded_sample, mixed, pieces, prepare,
+    split_words, texts_of, tidied, training_fold, word_hashes,
+)
 
 MAX_ROWS_PER_CLASS = 2500
 BUCKETS = 1 << 16
@@ -79,14 +82,14 @@ def rows_of(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     for i in range(len(texts)):
         own, times = np.unique(codes[offsets[i] : offsets[i + 1]], return_counts=True)
         if not len(own):
-            out.append((np.zeros(0, np.int64), np.zeros(0)))
+            out.append((np.zeros(0, np.int32), np.zeros(0, np.float32)))
             continue
         n = sizes[own]
         at = np.repeat(ends[own] - np.cumsum(n), n) + np.arange(n.sum())
         weight = np.bincount(bucket[at], np.repeat(times, n), minlength=BUCKETS)
         weight[0] = again[i] * 10.0  # as heavy as a word with its runs
         used = np.flatnonzero(weight)
-        out.append((used, weight[used] / weight.sum()))
+        out.append((used.astype(np.int32), (weight[used] / weight.sum()).astype(np.float32)))
     return out
 
 
@@ -94,7 +97,7 @@ def fit(texts: pa.Array, good: np.ndarray, seed: int = 7) -> tuple[np.ndarray, f
     """(number per bucket, constant): the log odds of class 1 are the averaged numbers plus the constant."""
     if good.all() or not good.any():
         return np.zeros(BUCKETS, np.float32), 30.0 if len(good) and good.all() else -30.0 if len(good) else 0.0
-    rows = rows_of(texts)
+    rows = [r for start in range(0, len(texts), 250) for r in rows_of(texts.slice(start, 250))]
     random = np.random.default_rng(seed)
     vectors = random.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     out = np.zeros((2, DIMENSIONS), np.float32)
@@ -109,7 +112,6 @@ def fit(texts: pa.Array, good: np.ndarray, seed: int = 7) -> tuple[np.ndarray, f
         if not len(used):
             continue
         rate = 2.0 * (1 - step / total)
-        weight = weight.astype(np.float32)
         mean = weight @ vectors[used]
         z = out @ mean + constant
         p = np.exp(z - z.max())
@@ -141,7 +143,7 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
         yield pa.RecordBatch.from_arrays([pa.array([numbers.astype("<f4").tobytes()], pa.binary()), pa.array([constant], pa.float64())],
                                          names=["numbers", "constant"])
 
-    model = rows.repartition(1).mapInArrow(learn, "numbers binary, constant double").first()
+    model = rows.repartition(1).mapInArrow(tidied(learn), "numbers binary, constant double").first()
     if model is None:
         return np.zeros(BUCKETS, np.float32), 0.0
     return np.frombuffer(bytes(model["numbers"]), dtype="<f4"), model["constant"]
@@ -174,4 +176,4 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float], text: str = "te
             yield batch.append_column(name, pa.array(1 / (1 + np.exp(-z)), pa.float64()))
 
     rows = documents.drop(name)
-    return rows.mapInArrow(run, rows.withColumn(name, F.lit(0.0)).schema)
+    return rows.mapInArrow(tidied(run), rows.withColumn(name, F.lit(0.0)).schema)

@@ -31,7 +31,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stallbook.llm.common import SPACED, WordIds, pieces, prepare, split_words, texts_of, total_bytes, translated
+from stallbook.llm.common import (
+    SPACED, WordIds, pieces, prepare,
+    split_words, texts_of, tidied, total_bytes, translated,
+)
 from stallbook.session import scratch_path, stage
 
 # Text bytes that one part holds, on average.
@@ -162,7 +165,7 @@ def write_tokens(documents: DataFrame, tokenizer_path: str, end_id: int, folder:
 
     ordered = documents.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     ordered = ordered.repartitionByRange(parts, "key").sortWithinPartitions("key", "text")
-    manifest = stage(ordered.mapInArrow(write, MANIFEST_SCHEMA), "token-manifest")
+    manifest = stage(ordered.mapInArrow(tidied(write), MANIFEST_SCHEMA), "token-manifest")
     # One short row per part, so one task holds them all.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("long"))), folder
@@ -188,4 +191,4 @@ def read_tokens(manifest: DataFrame, folder: str, key: str = "doc_id") -> DataFr
 
     parts = manifest.count()
     spread = manifest.repartition(max(1, parts))
-    return spread.mapInArrow(read, f"{key} long, start long, n_tokens long, ids_crc32 long")
+    return spread.mapInArrow(tidied(read), f"{key} long, start long, n_tokens long, ids_crc32 long")

@@ -27,7 +27,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallbook.llm.common import ALPHANUMERIC, bounded_sample, mixed, pieces, prepare, split_words, texts_of, training_fold, word_hashes
+from stallbook.llm.common import (
+    ALPHANUMERIC, bounded_sample, mixed, pieces, prepare,
+    split_words, texts_of, tidied, training_fold, word_hashes,
+)
 
 MAX_TOXIC, MAX_CLEAN = 2000, 6000
 BEGINNINGS = (4, 5, 6)
@@ -66,33 +69,56 @@ def near_copies(texts: pa.Array, columns: int = 3) -> list[np.ndarray]:
     return out
 
 
+def slices(texts: pa.Array, rows: int = 500):
+    for start in range(0, len(texts), rows):
+        yield start, texts.slice(start, rows)
+
+
+def entry_pairs(texts: pa.Array, number: dict[str, int], grow: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(text, entry) of the distinct entries of each text; entries without a number get one or are left out."""
+    rows, entries = [], []
+    for start, part in slices(texts):
+        words, word, row = distinct_words(part)
+        if grow:
+            keys = [[number.setdefault(e, len(number)) for e in entries_of(w)] for w in words]
+        else:
+            keys = [[number[e] for e in entries_of(w) if e in number] for w in words]
+        sizes = np.fromiter(map(len, keys), np.int64, len(keys))
+        flat = np.fromiter((k for own in keys for k in own), np.int64, int(sizes.sum()))
+        n = sizes[word]
+        at = np.repeat((np.cumsum(sizes) - sizes)[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        width = max(1, len(number))
+        pairs = np.unique(np.repeat(row, n) * width + flat[at])
+        rows.append((pairs // width + start).astype(np.int32))
+        entries.append((pairs % width).astype(np.int32))
+    if not rows:
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
+    return np.concatenate(rows), np.concatenate(entries)
+
+
 def mine(texts: pa.Array, toxic: np.ndarray) -> list[str]:
     """Lexicon entries, the most telling first."""
-    words, word, row = distinct_words(texts)
     number: dict[str, int] = {}
-    keys = [[number.setdefault(e, len(number)) for e in entries_of(w)] for w in words]
-    sizes = np.fromiter(map(len, keys), np.int64, len(keys))
-    flat = np.fromiter((k for own in keys for k in own), np.int64, int(sizes.sum()))
-    starts = np.cumsum(sizes) - sizes
-    n = sizes[word]
-    at = np.repeat(starts[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    pairs = np.unique(np.repeat(row, n) * max(1, len(number)) + flat[at])
-    row, entry = pairs // max(1, len(number)), pairs % max(1, len(number))
-    bad = np.bincount(entry[toxic[row]], minlength=len(number))
-    good = np.bincount(entry[~toxic[row]], minlength=len(number))
-    # At most one clean row for fifty toxic ones, and enough toxic rows.
-    telling = (bad >= 6) & (good * 50 <= bad)
-    keep = telling[entry] & toxic[row]
-    row, entry = row[keep], entry[keep]
+    row, entry = entry_pairs(texts.filter(pa.array(toxic)), number, True)
     names = list(number)
+    often = np.flatnonzero(np.bincount(entry, minlength=len(names)) >= 6)
+    new = np.full(len(names) + 1, -1)
+    new[often] = np.arange(len(often))
+    names = [names[e] for e in often]
+    row, entry = row[new[entry] >= 0], new[entry[new[entry] >= 0]]
+    _, clean = entry_pairs(texts.filter(pa.array(~toxic)), {e: i for i, e in enumerate(names)}, False)
+    bad, good = (np.bincount(x, minlength=len(names)) for x in (entry, clean))
+    # At most one clean row for fifty toxic ones, and enough toxic rows.
+    telling = good * 50 <= bad
     by_entry: dict[int, set[int]] = {}
     for r, e in zip(row.tolist(), entry.tolist()):
-        by_entry.setdefault(e, set()).add(r)
-    chosen, left = [], set(row.tolist())
-    alike = near_copies(texts)
+        if telling[e]:
+            by_entry.setdefault(e, set()).add(r)
+    chosen = []
+    alike = near_copies(texts.filter(pa.array(toxic)))
     # Greedy cover. Clean rows with the entry count heavily against it; an entry that adds less
     # than four rows of its own is more likely chance.
-    while by_entry and left:
+    while by_entry:
         best = max(by_entry, key=lambda e: (len(by_entry[e]) - 20 * int(good[e]), -e))
         if len(by_entry[best]) < 4:
             break
@@ -101,8 +127,7 @@ def mine(texts: pa.Array, toxic: np.ndarray) -> list[str]:
             del by_entry[best]  # a few texts and their near copies
             continue
         chosen.append(names[best])
-        gone = by_entry.pop(best) & left
-        left -= gone
+        gone = by_entry.pop(best)
         by_entry = {e: rest for e, own in by_entry.items() if len(rest := own - gone) >= 4}
     return chosen
 
@@ -178,7 +203,7 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> tuple[list[str], list[float]]:
     number = {e: i for i, e in enumerate(entries)}
     if not toxic.any() or toxic.all():
         return entries, [4.0] * len(entries) + [-3.0]
-    x = found(texts, number)
+    x = np.vstack([found(part, number) for _, part in slices(texts)])
     columns = []
     for v in range(VOTERS):  # every voter: each twelfth of the mined entries
         own = [number[e] for e in mined[v::VOTERS]]
@@ -219,7 +244,7 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
         yield pa.RecordBatch.from_arrays([pa.array([entries], pa.list_(pa.string())), pa.array([weights], pa.list_(pa.float64()))],
                                          names=["entries", "weights"])
 
-    model = rows.repartition(1).mapInArrow(learn, "entries array<string>, weights array<double>").first()
+    model = rows.repartition(1).mapInArrow(tidied(learn), "entries array<string>, weights array<double>").first()
     if model is None:
         return fit(pa.array([], pa.string()), np.zeros(0, dtype=bool))
     return list(model["entries"]), list(model["weights"])
@@ -239,4 +264,4 @@ def score(documents: DataFrame, model: tuple[list[str], list[float]], text: str
             yield batch.append_column(name, pa.array(1 / (1 + np.exp(-np.clip(odds, -30, 30))), pa.float64()))
 
     rows = documents.drop(name)
-    return rows.mapInArrow(run, rows.withColumn(name, F.lit(0.0)).schema)
+    return rows.mapInArrow(tidied(run), rows.withColumn(name, F.lit(0.0)).schema)
