@@ -59,10 +59,9 @@ class _Parts:
     def __init__(self, placed: DataFrame, keys: list[str]):
         self.placed, self.keys = placed, keys
         self.own = [f"__k{i}" for i in range(len(keys))]
-        ends = placed.groupBy(PART).agg(F.min(ID).alias("lo"), F.max(ID).alias("hi"))
-        ends = ends.select(F.explode(F.array("lo", "hi")).alias("__end")).distinct()
-        at = placed.select(*keys, PART, ID).join(F.broadcast(ends), F.col(ID) == F.col("__end"))
-        slices = self._named(at.select(*keys, PART).distinct())
+        key = F.struct(*keys)
+        ends = placed.groupBy(PART).agg(F.array(F.min_by(key, ID), F.max_by(key, ID)).alias("__ends"))
+        slices = self._named(ends.select(PART, F.explode("__ends").alias("__end")).select(PART, "__end.*").distinct())
         rows = placed.select(*keys, PART, ID).join(F.broadcast(slices), self._same(), "inner")
         self.slices = rows.groupBy(*self.own, "__p").agg(F.min(ID).alias("__first"), F.max(ID).alias("__last"))
         self.across = Window.partitionBy(*self.own).orderBy("__p")
