@@ -39,33 +39,37 @@ def turns(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", r
     return rows.distinct().withColumn("slice", F.floor(F.col("turn") / SLICE))
 
 
-def before(totals: DataFrame, columns: list[str]) -> DataFrame:
+def before(totals: DataFrame, columns: list[str], *more: Column) -> DataFrame:
     """Per conversation and slice, what the slices before it add up to; one short row per slice."""
     earlier = Window.partitionBy("conv").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select("conv", "slice", *[F.coalesce(F.sum(c).over(earlier), F.lit(0).cast("long")).alias(f"base_{c}") for c in columns])
+    sums = [F.coalesce(F.sum(c).over(earlier), F.lit(0).cast("long")).alias(f"base_{c}") for c in columns]
+    return totals.select("conv", "slice", *sums, *more)
 
 
 def rolling(clean: DataFrame) -> DataFrame:
     """conv, place (1, 2, ...), the four rolling sums, and whether the turn is the conversation's last."""
     inside = Window.partitionBy("conv", "slice").orderBy("turn", "role", "text")
-    counts = before(clean.groupBy("conv", "slice").agg(F.count("*").alias("n")), ["n"])
-    placed = clean.join(counts, ["conv", "slice"]).select(
-        "conv", "slice", "role", "text", (F.row_number().over(inside) + F.col("base_n")).alias("place")
+    no_more = F.lead("slice").over(Window.partitionBy("conv").orderBy("slice")).isNull().alias("ends")
+    counts = before(clean.groupBy("conv", "slice").agg(F.count("*").alias("n")), ["n"], F.col("n"), no_more)
+    # Joins below are by slice, never by conversation alone, which may hold most rows.
+    numbered = clean.withColumn("own", F.row_number().over(inside)).join(counts, ["conv", "slice"])
+    placed = numbered.select(
+        "conv", "slice", "role", "text", (F.col("own") + F.col("base_n")).alias("place"),
+        (F.col("ends") & (F.col("own") == F.col("n"))).alias("last"),
     )
     # Halves of two hashes: sums of 31-bit numbers don't overflow below four billion turns.
     first, second = F.xxhash64("place", "role", "text"), F.xxhash64("text", "place", F.lit("second"), "role")
     low = F.lit(2**31 - 1).cast("long")
     hashed = placed.select(
-        "conv", "slice", "place",
+        "conv", "slice", "place", "last",
         first.bitwiseAND(low).alias("a"), F.shiftrightunsigned(first, 33).alias("b"),
         second.bitwiseAND(low).alias("c"), F.shiftrightunsigned(second, 33).alias("d"),
     )
     totals = before(hashed.groupBy("conv", "slice").agg(*[F.sum(s).alias(s) for s in SUMS]), SUMS)
     running = Window.partitionBy("conv", "slice").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    local = hashed.select("conv", "slice", "place", *[F.sum(s).over(running).alias(s) for s in SUMS])
-    ends = clean.groupBy("conv").agg(F.count("*").alias("length"))
-    return local.join(totals, ["conv", "slice"]).join(ends, "conv").select(
-        "conv", "place", *[(F.col(s) + F.col(f"base_{s}")).alias(s) for s in SUMS], (F.col("place") == F.col("length")).alias("last")
+    local = hashed.select("conv", "slice", "place", "last", *[F.sum(s).over(running).alias(s) for s in SUMS])
+    return local.join(totals, ["conv", "slice"]).select(
+        "conv", "place", *[(F.col(s) + F.col(f"base_{s}")).alias(s) for s in SUMS], "last"
     )
 
 
