@@ -31,7 +31,7 @@ from stallbook.llm.common import (
     split_words, texts_of, tidied, training_fold, word_hashes,
 )
 
-MAX_ROWS_PER_CLASS = 2500
+MAX_ROWS_PER_CLASS = 1500
 BUCKETS = 1 << 16
 RUNS = (3, 4, 5)
 DIMENSIONS = 12
