@@ -29,8 +29,8 @@ from stallbook.llm.common import ALPHANUMERIC, pieces, prepare, split_words, tex
 from stallbook.session import stage
 
 WINDOW_WORDS = 13
-# Words of the benchmark that are matched in one pass over the index; what a task holds of it.
-BLOCK_WORDS = 1_000_000
+# Words of the benchmark that are matched in one pass over the index: about 70 MB of windows in a task.
+BLOCK_WORDS = 200_000
 # Posting lists of one document are packed into one row per document: terms, list ends, positions.
 INDEX_SCHEMA = "key long, row_hash long, n_words long, terms binary, ends binary, positions binary"
 MATCH_SCHEMA = "key long, row_hash long, item_id string, first long, last long, n_windows long"
@@ -132,7 +132,7 @@ def plan_windows(items: list[tuple[str, list[str]]], vocabulary: list[str], coun
     for window, own in owners.items():
         steps = sorted(((number[w], i) for i, w in enumerate(window)), key=lambda s: (counts[s[0]], s[0], s[1]))
         if counts[steps[0][0]]:
-            by_anchor.setdefault(steps[0][0], []).append((steps, len(window), sorted(own)))
+            by_anchor.setdefault(steps[0][0], []).append((np.array(steps, dtype=np.int32), len(window), tuple(sorted(own))))
     return by_anchor, names
 
 
@@ -206,7 +206,8 @@ def matches(index: DataFrame, items: list[tuple[str, list[str]]], vocabulary: li
                 postings = {int(t): positions[a:b] for t, a, b in zip(terms, begins, ends)}
                 spans: dict[int, list[tuple[int, int]]] = {}
                 for anchor in present:
-                    for steps, length, owners in by_anchor[int(anchor)]:
+                    for packed, length, owners in by_anchor[int(anchor)]:
+                        steps = packed.tolist()
                         if slack is None:
                             hits = [(int(s), int(s) + length - 1) for s in phrase_starts(steps, postings)]
                         else:
