@@ -20,8 +20,12 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
 FROM lineitem""",
 )
 def w_rank_spec(t: Tables):
+    # Rows are written in order before they are ranked: keep what is needed.
+    lines = t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_quantity"
+    )
     one = w.rank_by_spec(
-        t.lineitem, "l_suppkey", "l_shipdate, l_orderkey ASC, l_linenumber, l_partkey desc", "rn_desc"
+        lines, "l_suppkey", "l_shipdate, l_orderkey ASC, l_linenumber, l_partkey desc", "rn_desc"
     )
     two = w.rank_by_spec(
         one, "l_suppkey,l_returnflag", "l_shipdate,l_quantity desc", "rank_asc", ties=True, default_descending=False,
