@@ -19,6 +19,8 @@ from stallbook.llm.common import prepare, table
 from stallbook.session import stage
 
 TOXIC_FROM, GOOD_FROM = 0.5, 0.3
+# Near copies share so many in a hundred of their shingles.
+ALIKE_PERCENT = 80
 PIECES = "piece_bpe_32k.model"
 # SQL can express neither the trained classifiers nor the MinHash join; tests compare with brute force.
 ORACLE_SQL = None
@@ -38,7 +40,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id; of rows with its id, one."""
-    verdict = near_dedup.near_duplicates(docs)
+    verdict = near_dedup.near_duplicates(docs, percent=ALIKE_PERCENT)
     gone = stage(verdict.where(~F.col("kept")).select("doc_id").distinct(), "copies")
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     named = kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])

@@ -3,19 +3,20 @@
 1. Every text's distinct five-word shingles give a class number (equal sets are one class) and
    a signature of COORDINATES MinHash values. Everything below is about classes.
 2. Each class is posted under each (coordinate, value) of the first POSTED coordinates. Two
-   texts that agree in at least POSTED_MATCH of them share a value among the first
-   POSTED - POSTED_MATCH + 1 of each, in any one order of all values; with the rarest values
+   texts that agree in at least `posted` of them share a value among the first
+   POSTED - `posted` + 1 of each, in any one order of all values; with the rarest values
    first these prefixes hold few common values, and values with one posting need no list.
 3. Lists are merged with skips. First every list pairs its members with one leader only; pairs
-   whose signatures agree in MATCH coordinates are confirmed on the full sets, and confirmed
+   whose signatures agree in `match` coordinates are confirmed on the full sets, and confirmed
    pairs are joined to components. Then only lists that still hold several components are gone
-   through again, in blocks: pairs across components whose signatures agree in MATCH coordinates
+   through again, in blocks: pairs across components whose signatures agree in `match` coordinates
    are confirmed on the spot, and only links leave the task. So the pairs of a large group of
    copies, which change nothing, are never formed, while every pair that could still link two
    components is counted.
 4. Components of all confirmed links; each text's component is the smallest id in it.
 
-Chance to lose a pair at exactly the threshold of 0.85: about 4 in 10,000, falling fast above it.
+The similarity is a parameter, in per cent; both limits follow from it (`limits`). Chance to lose a
+pair at exactly the threshold: at most 5 in 10,000 (about 4 at 0.85), falling fast above it.
 
 Cases: null, empty and wordless texts have no shingles and link with nothing; a text of one to
 four words is one shingle; a row without id is linked with nothing, has no component and is
@@ -25,7 +26,9 @@ table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +43,8 @@ from stallbook.llm.common import (
 from stallbook.session import stage
 
 COORDINATES, POSTED = 256, 64
-POSTED_MATCH, MATCH = 44, 196
-PERCENT = 85
+# Chances that the limits of posted and of all coordinates may lose a pair at exactly the threshold.
+POSTED_LOSS, LOSS = 0.0003, 0.0002
 # Text bytes whose shingles a task works on at a time.
 PIECE_BYTES = 4_000_000
 # Members of a list that are compared with each other in one go.
@@ -53,6 +56,26 @@ BROADCAST_IDS = 500_000
 MULTIPLIERS = np.random.default_rng(20_240_101).integers(1, 2**63, COORDINATES, dtype=np.uint64) | np.uint64(1)
 
 
+class Limits(NamedTuple):
+    percent: int
+    posted: int
+    match: int
+
+
+def limits(percent: int) -> Limits:
+    """The similarity with the agreements, among the posted and among all coordinates, that the chances of loss allow to ask for."""
+
+    def least(n: int, loss: float) -> int:
+        share, below = percent / 100, 0.0
+        for k in range(n + 1):
+            below += math.comb(n, k) * share**k * (1 - share) ** (n - k)
+            if below > loss:
+                return k
+        return n
+
+    return Limits(percent, least(POSTED, POSTED_LOSS), least(COORDINATES, LOSS))
+
+
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(distinct shingle hashes, first of each text plus the end)."""
     codes, offsets, words = split_words(texts, SPACED)
@@ -101,7 +124,7 @@ def features(documents: DataFrame, key: str, text: str) -> DataFrame:
     return rows.mapInArrow(tidied(build), "key long, row_hash long, n long, cls long, posted array<long>, rest binary")
 
 
-def prefix_postings(classes: DataFrame) -> DataFrame:
+def prefix_postings(classes: DataFrame, limit: Limits) -> DataFrame:
     """(value, cls): each class under its rarest values, those only that another class has too."""
     postings = classes.select("cls", F.explode("posted").alias("value"))
     common = stage(postings.groupBy("value").agg(F.count("*").alias("times")).where("times > 1"), "common-values")
@@ -111,10 +134,10 @@ def prefix_postings(classes: DataFrame) -> DataFrame:
         "cls", "value", F.row_number().over(own.orderBy("times", "value")).alias("place"), F.count("*").over(own).alias("own")
     )
     # The values without a second posting are rarer: they come first and take POSTED - own places.
-    return ranked.where(F.col("place") + POSTED - F.col("own") <= POSTED - POSTED_MATCH + 1).select("value", "cls")
+    return ranked.where(F.col("place") + POSTED - F.col("own") <= POSTED - limit.posted + 1).select("value", "cls")
 
 
-def agreeing(rows: DataFrame) -> DataFrame:
+def agreeing(rows: DataFrame, limit: Limits) -> DataFrame:
     """(a, b) of those pairs whose signatures agree enough: columns a, b, na, nb, posted_a, posted_b, rest_a, rest_b."""
 
     def check(batches):
@@ -125,7 +148,7 @@ def agreeing(rows: DataFrame) -> DataFrame:
             posted = [batch.column(i).flatten().to_numpy().reshape(-1, POSTED) for i in (4, 5)]
             rest = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, COORDINATES - POSTED) for i in (6, 7)]
             same = (posted[0] == posted[1]).sum(1) + (rest[0] == rest[1]).sum(1)
-            keep = pa.array((same >= MATCH) & (100 * sizes.min(0) >= PERCENT * sizes.max(0)))
+            keep = pa.array((same >= limit.match) & (100 * sizes.min(0) >= limit.percent * sizes.max(0)))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
     return rows.mapInArrow(tidied(check), "a long, b long")
@@ -138,13 +161,13 @@ def beside(pairs: DataFrame, data: DataFrame, columns: list[str]) -> DataFrame:
     return pairs
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, limit: Limits) -> DataFrame:
     """Pairs whose full sets are as alike as asked for."""
 
     def check(batches):
         for batch in batches:
             both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-            keep = pa.array([alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in both], pa.bool_())
+            keep = pa.array([alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), limit.percent) for x, y in both], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
     rows = beside(pairs, sets, ["shingles"]).select("a", "b", "shingles_a", "shingles_b")
@@ -170,17 +193,17 @@ def groups(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def alike(x: np.ndarray, y: np.ndarray) -> bool:
+def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """Whether two ascending sets are as alike as asked for."""
     if len(x) > len(y):
         x, y = y, x
     at = np.searchsorted(y, x)
     at[at == len(y)] = 0
     common = int((y[at] == x).sum())
-    return 100 * common >= PERCENT * (len(x) + len(y) - common)
+    return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def cross_links(lists: DataFrame) -> DataFrame:
+def cross_links(lists: DataFrame, limit: Limits) -> DataFrame:
     """(a, b): confirmed links across components, from (value, cls, comp, n, posted, rest, prefix, shingles).
 
     A list is cut into blocks of about BLOCK members; every two blocks meet in a task of their
@@ -212,14 +235,14 @@ def cross_links(lists: DataFrame) -> DataFrame:
                 rows = left[start : start + 32]
                 same = (posted[rows][:, None] == posted[right][None]).sum(2) + (rest[rows][:, None] == rest[right][None]).sum(2)
                 small, large = np.minimum(n[rows][:, None], n[right][None]), np.maximum(n[rows][:, None], n[right][None])
-                ok = (same >= MATCH) & (comp[rows][:, None] != comp[right][None]) & (100 * small >= PERCENT * large)
+                ok = (same >= limit.match) & (comp[rows][:, None] != comp[right][None]) & (100 * small >= limit.percent * large)
                 if i == j:
                     ok &= cls[rows][:, None] < cls[right][None]
                 for x, y in zip(*np.nonzero(ok)):
                     x, y = rows[x], right[y]
                     if comp[x] == comp[y] or min(prefix[x] & prefix[y]) != value:
                         continue
-                    if alike(*(np.frombuffer(shingles_of[int(k)].as_py(), np.uint64) for k in (x, y))):
+                    if alike(*(np.frombuffer(shingles_of[int(k)].as_py(), np.uint64) for k in (x, y)), limit.percent):
                         found.append((cls[x], cls[y]))
                         comp[comp == comp[y]] = comp[x]
             if found:
@@ -270,9 +293,9 @@ def full_sets(documents: DataFrame, wanted: DataFrame, key: str, text: str) -> D
     return chosen.select("cls", "text").mapInArrow(tidied(build), "cls long, shingles binary").dropDuplicates(["cls"])
 
 
-def links(documents: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
+def links(documents: DataFrame, classes: DataFrame, key: str, text: str, limit: Limits) -> DataFrame:
     """(a, b): confirmed links of classes; enough of them to join every pair that is alike."""
-    postings = stage(prefix_postings(classes), "postings")
+    postings = stage(prefix_postings(classes, limit), "postings")
     lists = postings.groupBy("value").agg(F.min("cls").alias("leader"), F.count("*").alias("times")).where("times > 1")
     lists = stage(lists, "lists")
     postings = stage(postings.join(lists.select("value", "leader"), "value"), "postings")
@@ -282,26 +305,29 @@ def links(documents: DataFrame, classes: DataFrame, key: str, text: str) -> Data
     ordered = ["a", "b", "n_a", "n_b", "posted_a", "posted_b", "rest_a", "rest_b"]
 
     led = postings.where("cls <> leader").select(F.col("leader").alias("a"), F.col("cls").alias("b")).distinct()
-    first = stage(confirmed(agreeing(beside(led, in_play, sign).select(*ordered)), sets), "links")
+    first = stage(confirmed(agreeing(beside(led, in_play, sign).select(*ordered), limit), sets, limit), "links")
 
     names = components(first)
     named = postings.join(names.withColumnRenamed("node", "cls"), "cls", "left").select("value", "cls", F.coalesce("comp", "cls").alias("comp"))
     named = stage(named, "named-postings")
     open_lists = stage(named.groupBy("value").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
                        .where("low <> high").select("value"), "open-lists")
-    prefixes = named.groupBy("cls").agg(F.collect_list("value").alias("prefix"))  # at most POSTED - POSTED_MATCH + 1
+    prefixes = named.groupBy("cls").agg(F.collect_list("value").alias("prefix"))  # at most POSTED - limit.posted + 1
     data = in_play.select("cls", *sign).join(prefixes, "cls").join(sets, "cls")
     open_rows = named.join(open_lists, "value").join(data, "cls")
-    return first.unionByName(stage(cross_links(open_rows), "links"))
+    return first.unionByName(stage(cross_links(open_rows, limit), "links"))
 
 
-def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document row: key, n_shingles, component_id, kept (it has its component's smallest id)."""
+def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
+    """Per document row: key, n_shingles, component_id, kept (it has its component's smallest id).
+
+    Two texts are linked when their sets share at least `percent` in a hundred of their union.
+    """
     prepare(documents.sparkSession)
     rows = stage(features(documents, key, text), "signatures")
     linked = rows.where("n > 0 AND key IS NOT NULL")
     classes = linked.dropDuplicates(["cls"])
-    found = links(documents, classes, key, text)
+    found = links(documents, classes, key, text, limits(percent))
     # An id with several texts joins their classes.
     ids = linked.select("key", "cls").distinct()
     least = ids.groupBy("key").agg(F.min("cls").alias("a"), F.count("*").alias("times")).where("times > 1")

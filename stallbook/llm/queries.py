@@ -61,7 +61,7 @@ def op1_lm_scoring(spark, folder):
     SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
     FROM documents JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)""")
 def op2_near_dedup(spark, folder):
-    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), percent=85)
 
 
 @query("op3_toxicity")
