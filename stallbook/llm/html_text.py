@@ -9,7 +9,10 @@ every element name, class and role that occurs around words, the log odds of lyi
 marked content are counted on a bounded sample of such pages (MAX_PAGES, by a hash of the id).
 Names that stand for menus, footers, adverts and the like count against words from the start,
 so that pages without any labels can be handled; words below them don't count for the names
-further in, as a list in a menu says nothing about lists.
+further in, as a list in a menu says nothing about lists. Such a name is weighed against what its
+element holds: it says nothing on html and body, round most of the marked content, or round nearly
+the whole page; a name that does so in part only (has-sidebar, share-price) says nothing round half
+of the page or round running text either.
 
 Blocks are joined by one space, white space inside is one space, character references are
 decoded, comments, scripts and styles are no text. Malformed markup is read leniently: unclosed
@@ -37,13 +40,15 @@ MAX_PAGES = 500
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
-    r"|<(?P<raw>script|style|textarea|title|noscript|template|iframe|noembed|noframes|xmp|svg|math|select|object)\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
+    r"|<(?P<empty>svg|math)(?=[\s/])(?:[^\"'>/]++|/(?!>)|\"[^\"]*+\"|'[^']*+')*+/>"
+    r"|<(?P<raw>script|style|textarea|title|noscript|template|iframe|noembed|noframes|xmp|svg|math|select|object)(?=[\s/>])"
+    r"(?:(?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+>).*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
     r"|</?(?P<broken>[a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)"
     r"|(?P<text>[^<]++|<)",
     re.S | re.I,
 )
-NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 PART = re.compile(r"[a-z]+|[0-9]+")
 
@@ -55,7 +60,8 @@ INLINE = frozenset(
 )
 CONTENT = frozenset(("article", "main"))
 # Elements, and parts of classes, ids and roles, that stand for what surrounds an article.
-AROUND = frozenset("head nav footer aside form button menu dialog fieldset".split())
+AROUND = frozenset("head nav footer aside button dialog".split())
+AROUND_NAMED = frozenset("form menu fieldset".split())
 AROUND_PARTS = frozenset(
     "ad ads advert adverts advertisement advertising adslot banner breadcrumb breadcrumbs comment comments commentlist complementary "
     "consent contentinfo cookie cookies copyright disqus footer form gdpr login masthead menu modal nav navbar navigation newsletter "
@@ -66,84 +72,145 @@ AROUND_PARTS = frozenset(
 ARTICLE_PARTS = frozenset("article content entry post story".split())
 AGAINST = -4.0
 WORD, TAG = 1.0, -0.2
+# Shares of the page's or the marked words from which on a name says nothing, and words outside of links that make running text.
+MOST, HALF, RUNNING = 0.9, 0.5, 20
 
 
-def keys_of(tag: str, rest: str) -> tuple[list[str], bool]:
-    """(names an element goes by, whether it is hidden)."""
-    keys, hidden = [tag], False
+def keys_of(tag: str, rest: str) -> tuple[list[str], list[list[str]], bool]:
+    """(names an element goes by, the parts of each class, id and role, whether it is hidden)."""
+    keys, groups, hidden = [tag], [], False
     if "=" in rest or "hidden" in rest:
-        for name, a, b, c in NAMED.findall(rest):
+        for name, a, b, c in ATTRIBUTE.findall(rest):
             name, value = name.lower(), a or b or c
             if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
                 hidden = True
             elif name == "style":
                 hidden = hidden or bool(HIDDEN.search(value))
             elif name in ("class", "id", "role"):
-                keys += [f".{p}" for p in PART.findall(value.lower())]
-    return keys, hidden
-
-
-def speaks_against(tag: str, keys: list[str], inside: bool) -> bool:
-    """Whether an element's names stand for something else than an article's text."""
-    if tag in CONTENT and not inside:
-        return False
-    if tag in AROUND or tag == "header" and not inside:
-        return True
-    parts = {k[1:] for k in keys[1:]}
-    return not parts.isdisjoint(AROUND_PARTS) or "header" in parts and not inside and parts.isdisjoint(ARTICLE_PARTS)
-
+                for word in value.lower().split():
+                    parts = PART.findall(word)
+                    keys += [f".{p}" for p in parts]
+                    groups.append([p for p in parts if p.isalpha()])
+    return keys, groups, hidden
+
+
+def against(tag: str, groups: list[list[str]], inside: bool) -> float:
+    """How far an element's names stand for something else than an article's text: 0, HALF or 1."""
+    if tag in ("html", "body"):
+        return 0.0
+    if tag in AROUND_NAMED:
+        return 1.0
+    header = not inside and ARTICLE_PARTS.isdisjoint(p for g in groups for p in g)
+    worst = 0.0
+    for parts in groups:
+        found = [p in AROUND_PARTS or header and p == "header" for p in parts]
+        if any(found):
+            worst = max(worst, 1.0 if all(found) else HALF)
+    return worst
+
+
+class Element:
+    """An element, with the words in it that nothing rules out: all, those outside of links, those in marked content."""
+
+    __slots__ = ("up", "tag", "keys", "groups", "out", "link", "content", "marked", "words")
+
+    def __init__(self, up: Element | None, tag: str, keys: list[str], groups: list[list[str]], hidden: bool, words: list[int]):
+        self.up, self.tag, self.keys, self.groups, self.words = up, tag, keys, groups, words
+        inside = up is not None and up.content
+        self.out = hidden or tag in AROUND or tag == "header" and not inside or up is not None and up.out
+        self.link = tag == "a" or up is not None and up.link
+        self.content = inside or tag in CONTENT
+        self.marked = up.marked if inside else tag in CONTENT and against(tag, groups, False) < 1
+
+    def speaks_against(self, page: list[int], inside: bool) -> bool:
+        """Whether its names count, given the words of the whole page."""
+        if self.tag in CONTENT and not inside:
+            return False
+        degree = against(self.tag, self.groups, inside)
+        if not degree:
+            return False
+        words, plain, marked = self.words
+        if not inside and marked and marked >= HALF * page[2]:
+            return False
+        if degree == 1:
+            return not words or words < MOST * page[0]
+        return words < HALF * page[0] and (plain < RUNNING or 3 * plain < 2 * words)
+
+
+def parsed(page: str) -> tuple[list[tuple], list[Element]]:
+    """((text or None for a tag, block break, element around it, whether it is raw) in page order, elements in page order)."""
+    count = [0, 0, 0]
+    root = Element(None, "", [""], [], False, [0, 0, 0])
+    stack, elements, events = [root], [root], []
+    opened: Counter[str] = Counter()
 
-def tokens(page: str, weights: dict[str, float]):
-    """(text or None for a tag, block break, inside marked content, score per word, names around) in page order.
+    def close() -> str:
+        top = stack.pop()
+        top.words = [b - a for a, b in zip(top.words, count)]
+        opened[top.tag] -= 1
+        return top.tag
 
-    The score is None below an element known to be none of the content.
-    """
-    # Open elements: tag, names around words in it, inside content, score per word or None.
-    stack: list[tuple[str, tuple[str, ...], bool, float | None]] = [("", (), False, WORD)]
-    opened: Counter[str] = Counter()
     for m in TOKEN.finditer(page):
         kind = m.lastgroup
         text = m["text"]
         if text is not None:
-            _, names, inside, score = stack[-1]
-            yield text, False, inside, score, names
+            top = stack[-1]
+            if not top.out and (n := len(text.split())):
+                count[0] += n
+                count[1] += 0 if top.link else n
+                count[2] += n if top.marked else 0
+            events.append((text, False, top, False))
             continue
         tag = (m["tag"] or m["broken"] or "").lower()
         if not tag:
             if m["raw"] and m["raw"].lower() not in INLINE:
-                yield None, m["raw"].lower() not in ("script", "style", "svg", "math", "noscript", "template"), stack[-1][2], None, ()
+                breaks = m["raw"].lower() not in ("script", "style", "svg", "math", "noscript", "template")
+                events.append((None, breaks, stack[-1], True))
             continue
         ends = bool(m["end"]) if kind != "broken" and m["tag"] else page.startswith("</", m.start())
         breaks = tag not in INLINE
         if ends:
             if opened[tag]:
-                while True:
-                    top = stack.pop()[0]
-                    opened[top] -= 1
-                    if top == tag:
-                        break
+                while close() != tag:
+                    pass
         elif tag not in VOID:
             if breaks and opened["p"] and tag != "p" or tag == "p" and opened["p"]:
-                while True:  # a paragraph ends where the next block begins
-                    top = stack.pop()[0]
-                    opened[top] -= 1
-                    if top == "p":
-                        break
-            _, names, inside, score = stack[-1]
-            keys, hidden = keys_of(tag, m["rest"] or "")
-            if hidden or score is None or speaks_against(tag, keys, inside):
-                score = None
-            elif tag not in CONTENT and (breaks or len(keys) > 1):
-                # What an element is called tells more than its kind; the kind counts where it has no name.
-                own = keys[1:] or [tag] * (tag not in ("html", "body"))
-                names = (*names, *own)[-8:]
-                score = min([score, *(weights[k] for k in own if k in weights)])
-            if tag in CONTENT and score is not None:
-                inside, names = True, ()
+                while close() != "p":  # a paragraph ends where the next block begins
+                    pass
             if not (m["rest"] or "").rstrip().endswith("/") or tag in CONTENT:
-                stack.append((tag, names, inside, score))
+                stack.append(Element(stack[-1], tag, *keys_of(tag, m["rest"] or ""), list(count)))
+                elements.append(stack[-1])
                 opened[tag] += 1
-        yield None, breaks, stack[-1][2], stack[-1][3], ()
+        events.append((None, breaks, stack[-1], False))
+    while stack:
+        close()
+    return events, elements
+
+
+def tokens(page: str, weights: dict[str, float]):
+    """(text or None for a tag, block break, inside marked content, score per word, names around) in page order.
+
+    The score is None below an element known to be none of the content.
+    """
+    events, elements = parsed(page)
+    # Of every element: names around words in it, inside content, score per word or None.
+    states: dict[Element, tuple[tuple[str, ...], bool, float | None]] = {elements[0]: ((), False, WORD)}
+    for element in elements[1:]:
+        names, inside, score = states[element.up]
+        tag, keys = element.tag, element.keys
+        if score is None or element.out or element.speaks_against(elements[0].words, inside):
+            score = None
+        elif tag not in CONTENT and (tag not in INLINE or len(keys) > 1):
+            # What an element is called tells more than its kind; the kind counts where it has no name.
+            own = keys[1:] or [tag] * (tag not in ("html", "body"))
+            names = (*names, *own)[-8:]
+            score = min([score, *(weights[k] for k in own if k in weights)])
+        if tag in CONTENT and score is not None:
+            inside, names = True, ()
+        states[element] = names, inside, score
+    for text, breaks, element, raw in events:
+        names, inside, score = states[element]
+        yield text, breaks, inside, None if raw else score, names if text is not None else ()
 
 
 def count_names(page: str) -> tuple[Counter, Counter, bool]:
