@@ -16,13 +16,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stallbook.session import tune
+from stallbook.session import stage, tune
 
 # Rows per Arrow batch: about a thousand whole texts are in a Python worker at a time.
 BATCH_ROWS = 1000
+# Text bytes of a training sample; a single text of more than a hundredth is not sampled.
+SAMPLE_BYTES = 128_000_000
 # Texts are worked off in pieces of about this many bytes: a piece shares its distinct words' work.
 PIECE_BYTES = 8_000_000
 
@@ -110,6 +112,26 @@ def bounded_sample(rows: DataFrame, by: str, key: str, most: dict[int, int]) ->
     return out.select(key, by)
 
 
+def sampled_texts(documents: DataFrame, labels: DataFrame, by: str, key: str, text: str, most: dict[int, int],
+                  most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """(text, `by`) for one task: distinct texts of at most so many labelled ids of each value of `by`.
+
+    However many rows an id has, there are at most so many rows of each value, those with the least
+    hash of the text, and each value's texts have at most an equal share of `most_bytes`.
+    """
+    sample = bounded_sample(labels, by, key, most)
+    # At most as many ids and hashes as `most` allows, so broadcasts whatever the input.
+    rows = documents.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key).withColumn("hash", F.xxhash64("text"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    sizes = rows.select("hash", by, size.alias("size")).where(F.col("size") <= most_bytes // 100)
+    # An equal text that has both labels counts as the greater one, as an id does.
+    sizes = stage(sizes.groupBy("hash").agg(F.max(by).alias(by), F.max("size").alias("size")), "sample-sizes")
+    first = bounded_sample(sizes, by, "hash", most).join(sizes.select("hash", "size"), "hash")
+    before = Window.partitionBy(by).orderBy(F.xxhash64("hash"), "hash").rowsBetween(Window.unboundedPreceding, 0)
+    chosen = first.withColumn("total", F.sum("size").over(before)).where(F.col("total") <= most_bytes // len(most)).select("hash", by)
+    return rows.select("hash", "text").join(F.broadcast(chosen), "hash").dropDuplicates(["hash"]).select("text", by)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
     """The text column of a batch, null as the empty text."""
     return pc.fill_null(batch.column(batch.schema.get_field_index(column)).cast(pa.string()), "")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallbook.llm.common import (
-    bounded_sample, mixed, pieces, prepare,
+    SAMPLE_BYTES, mixed, pieces, prepare, release, sampled_texts,
     split_words, texts_of, tidied, training_fold, word_hashes,
 )
 
@@ -82,14 +82,14 @@ def rows_of(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     for i in range(len(texts)):
         own, times = np.unique(codes[offsets[i] : offsets[i + 1]], return_counts=True)
         if not len(own):
-            out.append((np.zeros(0, np.int32), np.zeros(0, np.float32)))
+            out.append((np.zeros(0, np.uint16), np.zeros(0, np.float32)))
             continue
         n = sizes[own]
         at = np.repeat(ends[own] - np.cumsum(n), n) + np.arange(n.sum())
         weight = np.bincount(bucket[at], np.repeat(times, n), minlength=BUCKETS)
         weight[0] = again[i] * 10.0  # as heavy as a word with its runs
         used = np.flatnonzero(weight)
-        out.append((used.astype(np.int32), (weight[used] / weight.sum()).astype(np.float32)))
+        out.append((used.astype(np.uint16), (weight[used] / weight.sum()).astype(np.float32)))
     return out
 
 
@@ -97,7 +97,8 @@ def fit(texts: pa.Array, good: np.ndarray, seed: int = 7) -> tuple[np.ndarray, f
     """(number per bucket, constant): the log odds of class 1 are the averaged numbers plus the constant."""
     if good.all() or not good.any():
         return np.zeros(BUCKETS, np.float32), 30.0 if len(good) and good.all() else -30.0 if len(good) else 0.0
-    rows = [r for start in range(0, len(texts), 250) for r in rows_of(texts.slice(start, 250))]
+    rows = [r for start in range(0, len(texts), 50) for r in rows_of(texts.slice(start, 50))]
+    release()
     random = np.random.default_rng(seed)
     vectors = random.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     out = np.zeros((2, DIMENSIONS), np.float32)
@@ -125,21 +126,20 @@ def fit(texts: pa.Array, good: np.ndarray, seed: int = 7) -> tuple[np.ndarray, f
 
 
 def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-          most: int = MAX_ROWS_PER_CLASS) -> tuple[np.ndarray, float]:
+          most: int = MAX_ROWS_PER_CLASS, max_bytes: int = SAMPLE_BYTES) -> tuple[np.ndarray, float]:
     """Fits on the training rows; see the module text for the sample's bound."""
     spark = prepare(documents.sparkSession)
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1) & training_fold(key))
     known = known.groupBy(key).agg(F.max(label).alias("y"))
-    sample = bounded_sample(known, "y", key, {1: most, 0: most})
-    # At most twice `most` ids, so a broadcast whatever the input.
-    rows = documents.select(key, text).join(F.broadcast(sample), key).select(F.col(text).alias("text"), "y")
+    rows = sampled_texts(documents, known, "y", key, text, {1: most, 0: most}, max_bytes)
 
     def learn(batches):
         held = list(batches)
         if not held:
             return
-        rows = pa.Table.from_batches(held).to_pandas().drop_duplicates("text").sort_values("text")
-        numbers, constant = fit(pa.array(rows["text"].fillna("").tolist(), pa.string()), rows["y"].to_numpy() == 1)
+        rows = pa.Table.from_batches(held).sort_by("text").combine_chunks().to_batches()[0]
+        held.clear()
+        numbers, constant = fit(texts_of(rows), rows.column("y").to_numpy(zero_copy_only=False) == 1)
         yield pa.RecordBatch.from_arrays([pa.array([numbers.astype("<f4").tobytes()], pa.binary()), pa.array([constant], pa.float64())],
                                          names=["numbers", "constant"])
 

@@ -11,7 +11,7 @@ occur in toxic rows and hardly ever in clean ones are picked greedily by the tox
 add, so a few general entries stand for many word forms.
 
 The models are fitted in one task on a bounded sample of labelled rows: at most MAX_TOXIC
-toxic and MAX_CLEAN clean rows, chosen by a hash of the text, equal texts counted once.
+toxic and MAX_CLEAN clean rows of SAMPLE_BYTES in all, chosen by a hash, equal texts counted once.
 
 Cases: a null, empty or wordless text gets the score of a text without any entry; repeated
 rows get equal scores; labels that are null or of unknown rows are not used; without both
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallbook.llm.common import (
-    ALPHANUMERIC, bounded_sample, mixed, pieces, prepare,
+    ALPHANUMERIC, SAMPLE_BYTES, mixed, pieces, prepare, sampled_texts,
     split_words, texts_of, tidied, training_fold, word_hashes,
 )
 
@@ -225,22 +225,20 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> tuple[list[str], list[float]]:
 
 
 def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-          max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> tuple[list[str], list[float]]:
+          max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN, max_bytes: int = SAMPLE_BYTES) -> tuple[list[str], list[float]]:
     """Fits on the training rows; see the module text for the sample's bound."""
     spark = prepare(documents.sparkSession)
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1) & training_fold(key))
     known = known.groupBy(key).agg(F.max(label).alias("y"))
-    sample = bounded_sample(known, "y", key, {1: max_toxic, 0: max_clean})
-    # At most max_toxic + max_clean ids, so a broadcast whatever the input.
-    rows = documents.select(key, text).join(F.broadcast(sample), key).select(F.col(text).alias("text"), "y")
+    rows = sampled_texts(documents, known, "y", key, text, {1: max_toxic, 0: max_clean}, max_bytes)
 
     def learn(batches):
         held = list(batches)
         if not held:
             return
-        rows = pa.Table.from_batches(held).to_pandas().drop_duplicates("text").sort_values("text")
-        texts = pa.array(rows["text"].fillna("").tolist(), pa.string())
-        entries, weights = fit(texts, rows["y"].to_numpy() == 1)
+        rows = pa.Table.from_batches(held).sort_by("text").combine_chunks().to_batches()[0]
+        held.clear()
+        entries, weights = fit(texts_of(rows), rows.column("y").to_numpy(zero_copy_only=False) == 1)
         yield pa.RecordBatch.from_arrays([pa.array([entries], pa.list_(pa.string())), pa.array([weights], pa.list_(pa.float64()))],
                                          names=["entries", "weights"])
 
