@@ -5,7 +5,8 @@ documents; all but the last return the columns of `documents`. Every stage is wr
 Parquet in the shared folder and read again, so a lost executor repeats tasks of one stage.
 
 Null and empty texts, repeated rows and empty tables go through as each operator says; rows that
-a filter does not reject stay as they are, extra columns included.
+a filter does not reject stay as they are, extra columns included. A row is known by its doc_id and
+its text, so rows without doc_id or with a doc_id of others are judged by themselves.
 """
 
 from __future__ import annotations
@@ -39,19 +40,27 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id; of rows with its id, one."""
-    verdict = near_dedup.near_duplicates(docs, percent=ALIKE_PERCENT)
-    gone = stage(verdict.where(~F.col("kept")).select("doc_id").distinct(), "copies")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    named = kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where(F.col("doc_id").isNull()))
+    """One row of each group of near copies, that with the smallest id, rows without id last; of equal rows, one."""
+    rows = docs.withColumn("__row", F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+    verdict = near_dedup.near_duplicates(rows, key="__row", percent=ALIKE_PERCENT)
+    verdict = verdict.where("n_shingles > 0").select("__row", "component_id").distinct()
+    # Only groups of several rows have anything to drop.
+    groups = verdict.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
+    alike = verdict.join(groups, "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row")
+    alike = stage(alike.join(rows.select("__row", "doc_id").distinct(), "__row").withColumn("order", order), "alike")
+    first = alike.groupBy("component_id").agg(F.min("order").alias("first"))
+    gone = alike.join(first, "component_id").where(F.col("order") != F.col("first")).select("__row")
+    kept = rows.join(stage(gone, "copies"), "__row", "left_anti")
+    return kept.dropDuplicates(["__row"]).select(*docs.columns)
 
 
 def not_in_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no benchmark contaminates."""
-    verdict = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    gone = stage(verdict.where("contaminated").select("doc_id").distinct(), "contaminated")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    verdict = decontaminate.verdicts(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
+    gone = stage(verdict.select(F.col("key").alias("gone"), "row_hash").distinct(), "contaminated")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("gone")) & (F.xxhash64("text") == F.col("row_hash"))
+    return docs.join(gone, same, "left_anti")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

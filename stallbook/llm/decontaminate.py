@@ -11,7 +11,8 @@ against one block after the other.
 
 Cases: a null or wordless text or item has no windows and no hits; an item of fewer words
 than a window is one window; a repeated document row keeps its own result row; a repeated
-item id joins the windows of its rows; an empty table of either side gives results without hits.
+item id joins the windows of its rows; the windows of items without id hit words, but count in no
+list of items; an empty table of either side gives results without hits.
 """
 
 from __future__ import annotations
@@ -49,14 +50,14 @@ def windows_of(words: list[str], width: int = WINDOW_WORDS) -> list[tuple[str, .
     return list(dict.fromkeys(tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))))
 
 
-def blocks(items: DataFrame, id_column: str, text_column: str, most: int = BLOCK_WORDS) -> Iterator[list[tuple[str, list[str]]]]:
+def blocks(items: DataFrame, id_column: str, text_column: str, most: int = BLOCK_WORDS) -> Iterator[list[tuple[str | None, list[str]]]]:
     """Items as (id as text, words), in blocks of about `most` words; one block is on the driver at a time."""
-    held: list[tuple[str, list[str]]] = []
+    held: list[tuple[str | None, list[str]]] = []
     size = 0
     rows = items.select(F.col(id_column).cast("string"), F.col(text_column)).toLocalIterator()
     while chunk := list(islice(rows, 500)):
         for (item, _), words in zip(chunk, item_words([t for _, t in chunk])):
-            if item is None or not words:
+            if not words:
                 continue
             held.append((item, words))
             size += len(words)
@@ -123,7 +124,7 @@ def plan_windows(items: list[tuple[str, list[str]]], vocabulary: list[str], coun
     """
     number = {w: i for i, w in enumerate(vocabulary)}
     owners: dict[tuple[str, ...], set[int]] = {}
-    names = sorted({item for item, _ in items})
+    names = sorted({item for item, _ in items}, key=lambda name: (name is None, name or ""))
     index = {n: i for i, n in enumerate(names)}
     for item, words in items:
         for window in windows_of(words, width):
@@ -253,9 +254,9 @@ def phrase_matches(documents: DataFrame, items: DataFrame, key: str = "doc_id",
     return index, found
 
 
-def contamination(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_id: str = "item_id",
-                  item_text: str = "text", width: int = WINDOW_WORDS) -> DataFrame:
-    """Per document row: n_words, n_hit (words inside any occurring window), n_items, items_sha256, contaminated.
+def verdicts(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_id: str = "item_id",
+             item_text: str = "text", width: int = WINDOW_WORDS) -> DataFrame:
+    """Per document row: key, row_hash (of the text), n_words, n_hit, n_items, items_sha256, contaminated.
 
     Contaminated: at least one word and at least a twentieth of the words are hit.
     """
@@ -282,10 +283,17 @@ def contamination(documents: DataFrame, items: DataFrame, key: str = "doc_id", t
     joined = own.join(hits, own["key"].eqNullSafe(hits["hit_key"]) & (own["row_hash"] == hits["hit_hash"]), "left")
     n_hit = F.coalesce("hit", F.lit(0).cast("long"))
     return joined.select(
-        F.col("key").alias(key),
+        "key",
+        "row_hash",
         "n_words",
         n_hit.alias("n_hit"),
         F.coalesce("items", F.lit(0).cast("long")).alias("n_items"),
         F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def contamination(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_id: str = "item_id",
+                  item_text: str = "text", width: int = WINDOW_WORDS) -> DataFrame:
+    """Per document row: n_words, n_hit (words inside any occurring window), n_items, items_sha256, contaminated."""
+    return verdicts(documents, items, key, text, item_id, item_text, width).drop("row_hash").withColumnRenamed("key", key)
