@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm import chat, decontaminate, fingerprints, html_text, lm_scoring, near_dedup, piece_codes, quality, token_files, toxicity
+from stallbook.llm import (
+    chat, conversation_repair, decontaminate, exact_dedup, fingerprints, hard_negatives, html_text,
+    lm_scoring, near_dedup, piece_codes, quality, token_files, toxicity,
+)
 from stallbook.llm.common import prepare, table, training_fold
 
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -136,3 +139,51 @@ def op8_fingerprints(spark, folder):
 def op10_html_text(spark, folder):
     pages = table(spark, folder, "pages")
     return html_text.extract(pages, html_text.train(pages))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with faults: by a hash of id and turn, rows are dropped, emptied, cut, repeated or given to the user."""
+    spaced = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    kind = F.crc32(F.concat(spaced["conv_id"], F.lit(":"), spaced["turn"]).cast("binary")) % 20
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    rows = conversations.select("conv_id", "turn", spaced["role"].alias("role"), spaced["text"].alias("text"), kind.alias("kind"))
+    rows = rows.where("kind <> 0").withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.when(F.col("kind") == 3, 2).otherwise(1))))
+    return rows.select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"))
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark, folder):
+    conversations = table(spark, folder, "conversations")
+    report = conversation_repair.repair_report(damaged(conversations)).withColumnRenamed("conv_id", "id")
+    everyone = conversations.select("conv_id").distinct()
+    rows = everyone.join(report, F.col("conv_id").eqNullSafe(F.col("id")), "left")
+    zeros = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return rows.select("conv_id", *zeros, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@query("op12_exact_dedup", """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text)
+    SELECT doc_id, keep_id, group_size, row_number() OVER (PARTITION BY text ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(text) AS text_sha256
+    FROM d JOIN g USING (text)""")
+def op12_exact_dedup(spark, folder):
+    return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
+
+
+@query("op11_hard_negatives", """
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+               FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+          FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    r AS (SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                 vec_id AS negative_id, positive_score, score AS negative_score
+          FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+    SELECT * FROM r WHERE rank <= 10""")
+def op11_hard_negatives(spark, folder):
+    rows = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", label), F.col("id") % 100 == 0)

@@ -7,7 +7,7 @@ from tests.llm.conftest import edited, sentence
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """(n_shingles, component) per id by comparing all pairs."""
     sets = {}
     for i, t in rows:
@@ -23,7 +23,7 @@ def brute(rows):
     flat = [(i, s) for i, own in sets.items() for s in own if s]
     for x, (i, s) in enumerate(flat):
         for j, t in flat[:x]:
-            if 100 * len(s & t) >= 85 * len(s | t):
+            if 100 * len(s & t) >= percent * len(s | t):
                 a, b = find(i), find(j)
                 up[max(a, b)] = min(a, b)
     return {i: find(i) for i in sets}, {i: sorted(len(s) for s in own) for i, own in sets.items()}

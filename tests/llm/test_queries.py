@@ -26,13 +26,14 @@ DIGESTS = {
     "op8_fingerprints": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next shingles_estimate",
     "op9_decontamination": "doc_id n_words n_hit n_items items_sha256 contaminated",
     "op10_html_text": "page_id url text n_chars",
+    "op12_exact_dedup": "doc_id keep_id group_size kept text_sha256",
 }
 
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
+def test_all_operators_and_the_pipeline_are_registered():
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert {*QUERIES, "pipeline"} <= entry.queries().keys()
     assert ORACLES.keys() <= entry.oracle_sql().keys()
 
@@ -88,7 +89,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     by_label = {i: (q, t) for i, q, t in labels}
     assert {i for i, _ in rows} - {i for i, _ in kept[0]} == {i for i, (q, t) in by_label.items() if t}
     assert {i for i, _ in kept[0]} - {i for i, _ in kept[1]} <= {i for i, (q, t) in by_label.items() if not q} | {2000, 2001}
-    expected, _ = components([r for r in kept[1] if r[0] is not None])
+    expected, _ = components([r for r in kept[1] if r[0] is not None], corpus_pipeline.ALIKE_PERCENT)
     assert sorted((i for i, _ in kept[2]), key=repr) == sorted([*{i for i, c in expected.items() if i == c}, None], key=repr)
     assert sorted(kept[3], key=repr) == sorted((r for r in kept[2] if not contamination(r[1], items)[4]), key=repr)
     assert sorted(kept[4], key=repr) == sorted(((i, True) for i, _ in kept[3]), key=repr)
