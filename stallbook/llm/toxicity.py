@@ -32,7 +32,7 @@ from stallbook.llm.common import (
     split_words, texts_of, tidied, training_fold, word_hashes,
 )
 
-MAX_TOXIC, MAX_CLEAN = 2000, 6000
+MAX_TOXIC, MAX_CLEAN = 3000, 9000
 BEGINNINGS = (4, 5, 6)
 VOTERS = 12
 # Plain insults per language, the voters that need no labels.
@@ -212,8 +212,10 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> tuple[list[str], list[float]]:
         columns.append(x[:, [number[f"={w}"] for w in words.split()]].any(1).astype(np.int8))
     columns.append(-(~x.any(1)).astype(np.int8))  # none of the entries: clean
     votes = np.column_stack([np.stack(columns, axis=1), patterns(texts)])
-    # A row's label is its prior, which the voters can overrule.
-    posterior, _, _ = label_model(votes, np.where(toxic, 0.95, 0.05))
+    # One common prior: the share of toxic rows. The voters alone tell the rows apart.
+    share = np.full(len(votes), min(0.95, max(0.05, toxic.mean())))
+    guess = np.where(votes.astype(int).sum(1) > 0, 0.9, 0.1)
+    posterior, _, _ = label_model(votes, share, guess)
     # One more row per entry: the entry alone, labelled with its smoothed precision, so that an entry
     # that always comes with others in the sample counts in full by itself.
     bad, all_rows = (x * posterior[:, None]).sum(0), x.sum(0)
