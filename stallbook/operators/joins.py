@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stallbook.operators.hot import Ordered, Sort, told_apart
+
 KeyPairs = list[tuple[str, str]]
 
 
@@ -100,52 +102,8 @@ def guarded_lookup(
     return flagged.drop("__g")
 
 
-# Kinds of calendar slots; a slot number times three plus its kind is unique.
-_HOUR, _DAY, _MONTH = 0, 1, 2
-
-
-def _hour_number(ts: Column) -> Column:
-    return (F.unix_date(F.to_date(ts)) * 24 + F.hour(ts)) * 3 + _HOUR
-
-
-def _day_number(day: Column) -> Column:
-    return F.unix_date(day) * 3 + _DAY
-
-
-def _month_number(day: Column) -> Column:
-    return (F.year(day) * 12 + F.month(day)) * 3 + _MONTH
-
-
-def _point_slots(ts: Column) -> Column:
-    day = F.to_date(ts)
-    return F.array(_hour_number(ts), _day_number(day), _month_number(day))
-
-
-def _cover(start: Column, end: Column) -> Column:
-    """Hours of the broken days at both ends, days of the broken months between, and whole months.
-
-    Every time of the interval lies in exactly one slot.
-    """
-    none = F.array().cast("array<int>")
-    first_day, last_day = F.to_date(start), F.to_date(end)
-    midnight = F.make_dt_interval(hours=F.lit(23))
-    one_day = F.sequence(_hour_number(start), _hour_number(end), F.lit(3))
-    head = F.sequence(_hour_number(start), _hour_number(first_day.cast("timestamp_ntz") + midnight), F.lit(3))
-    tail = F.sequence(_hour_number(last_day.cast("timestamp_ntz")), _hour_number(end), F.lit(3))
-    # Whole days between.
-    first, last = F.date_add(first_day, 1), F.date_sub(last_day, 1)
-    same_month = _month_number(first) == _month_number(last)
-    days = F.sequence(_day_number(first), F.least(_day_number(last), _day_number(F.last_day(first))), F.lit(3))
-    later_days = F.when(same_month, none).otherwise(
-        F.sequence(_day_number(F.trunc(last, "month")), _day_number(last), F.lit(3))
-    )
-    months = F.when(
-        _month_number(last) - _month_number(first) > 3,
-        F.sequence(_month_number(first) + 3, _month_number(last) - 3, F.lit(3)),
-    ).otherwise(none)
-    whole = F.when(first <= last, F.concat(days, later_days, months)).otherwise(none)
-    several = F.when(first_day < last_day, F.concat(head, tail, whole)).otherwise(none)
-    return F.when(start <= end, F.when(first_day == last_day, one_day).otherwise(several)).otherwise(none)
+# Points of one interval that a row stands for at most before it is paired with them.
+_SPAN = 1 << 16
 
 
 def interval_matches(
@@ -153,27 +111,46 @@ def interval_matches(
 ) -> DataFrame:
     """Distinct (keys, point) rows paired with the intervals of the same key that hold the point.
 
-    A null bound is open. Points and intervals meet on (key, calendar slot), so a key with
-    many points and many intervals is spread over hours, days and months instead of being paired
-    in full: points and intervals of one key are compared only within an hour. Intervals may overlap.
+    A null bound is open. Points, starts and ends are swept in one order: a running count numbers the
+    points of a key, and an interval holds the points numbered between its start and its end. So
+    intervals meet points by equality of (key, number), and every pair that is formed is a result,
+    however many points and intervals a key has. Intervals may overlap. Rows without key or point match nothing.
     """
-    left = [a for a, _ in keys]
-    distinct = points.select(*left, point).where(F.col(point).isNotNull()).distinct()
-    span = points.agg(F.min(point).alias("lo"), F.max(point).alias("hi"))
-    lo, hi = (span.select(c).scalar().cast("timestamp_ntz") for c in ("lo", "hi"))
-    first = F.greatest(F.col(start).cast("timestamp_ntz"), lo)  # greatest and least skip an open bound
-    last = F.least(F.col(end).cast("timestamp_ntz"), hi)
-    slotted = intervals.withColumn("__cover", F.explode(_cover(first, last)))
-    on = [F.col(a) == F.col(b) for a, b in keys]
-    on.append(F.col("__slot") == F.col("__cover"))
-    inside = F.coalesce(F.col(point) >= F.col(start), F.lit(True)) & F.coalesce(
-        F.col(point) <= F.col(end), F.lit(True)
+    own = [f"k{i}" for i in range(len(keys))]
+    distinct = points.select(*[a for a, _ in keys], point).dropna().distinct()
+    present = told_apart(intervals.dropna(subset=[b for _, b in keys]), "__mix", "__interval")
+    payload = F.struct(*intervals.columns)
+    nothing = F.lit(None)
+
+    def event(kind: int, at: str, with_payload: bool) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), (F.col(at).isNull() & F.lit(at == end)).cast("int").alias("late"), F.col(at).cast("timestamp_ntz").alias("t"),
+            F.when(F.lit(with_payload), payload).alias("payload"),
+        )
+
+    bounds = present.select(
+        *[F.col(b).alias(o) for (_, b), o in zip(keys, own)], F.col("__interval").alias("interval"),
+        F.explode(F.array(event(0, start, True), event(2, end, False))).alias("e"),
+    ).select(*own, "interval", "e.*")
+    marks = distinct.select(
+        *[F.col(a).alias(o) for (a, _), o in zip(keys, own)], nothing.cast("long").alias("interval"), F.lit(1).alias("kind"),
+        F.lit(0).alias("late"), F.col(point).cast("timestamp_ntz").alias("t"), nothing.cast(bounds.schema["payload"].dataType).alias("payload"),
+        F.col(point).alias("point"),
     )
-    return (
-        distinct.withColumn("__slot", F.explode(_point_slots(F.col(point).cast("timestamp_ntz"))))
-        .join(slotted, on, "inner")
-        .where(inside)
-        .drop("__slot", "__cover")
+    events = marks.unionByName(bounds, allowMissingColumns=True)
+    # An open start has no time and comes first; an open end comes last.
+    swept = Ordered.of(events, own, [Sort("late"), Sort("t"), Sort("kind")]).windows(running={"n": (F.col("kind") == 1).cast("long")}).rows()
+    flat = {c: f"p{i}" for i, c in enumerate(intervals.columns)}
+    starts = swept.where("kind = 0").select("interval", *own, *[F.col(f"payload.{c}").alias(p) for c, p in flat.items()], (F.col("n") + 1).alias("first"))
+    ends = swept.where("kind = 2").select("interval", F.col("n").alias("last"))
+    spans = starts.join(ends, "interval").where("first <= last")
+    blocks = spans.withColumn("block", F.explode(F.sequence(F.floor(F.col("first") / _SPAN), F.floor(F.col("last") / _SPAN))))
+    from_, to = F.greatest("first", F.col("block") * _SPAN), F.least("last", (F.col("block") + 1) * _SPAN - 1)
+    held = blocks.select(*own, F.explode(F.sequence(from_, to)).alias("n"), *flat.values())
+    met = swept.where("kind = 1").select(*own, "n", "point").join(held, [*own, "n"])
+    types = {a: distinct.schema[a].dataType for a, _ in keys}
+    return met.select(
+        *[F.col(o).cast(types[a]).alias(a) for (a, _), o in zip(keys, own)], F.col("point").alias(point), *[F.col(p).alias(c) for c, p in flat.items()]
     )
 
 

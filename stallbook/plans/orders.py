@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from stallbook.functions import states, text, times
 from stallbook.operators.aggregates import effective_window, groups_with_zero_sum, sum_of_latest
-from stallbook.operators.hot import Sort, neighbours, ranked
+from stallbook.operators.hot import Ordered, Sort, ranked
 from stallbook.operators.joins import intersect_intervals, interval_join, left_where_differs, lookup
 from stallbook.operators.projections import row_key
 from stallbook.operators.sets import checked_union
@@ -73,33 +73,43 @@ def identified_history(
     )
 
 
-def fill_down(events: DataFrame, names: EventNames = EventNames()) -> DataFrame:
-    """Fill order id and billing data from the previous event, then from the one before.
+def in_event_order(events: DataFrame) -> Ordered:
+    return Ordered.of(events, ["parent_id"], EVENT_ORDER)
+
+
+def filled_down(events: Ordered, names: EventNames = EventNames()) -> Ordered:
+    """Events in order with order id and billing data from the previous event, then from the one before.
 
     Parents with a migration event take them from the previous event only, and are then
     reduced to the newest row per order and billing id.
     """
     filled = ["order_id", "billing_id", "billing_system"]
-    far = neighbours(
-        events, ["parent_id"], EVENT_ORDER,
-        previous={f"p1_{c}": c for c in filled}, before_previous={f"p2_{c}": c for c in filled},
-    )
-    migrated = (
-        events.where(_is(F.col("name"), names.migrated)).select("parent_id").distinct()
-        .withColumn("migrated", F.lit(True))
-    )
-    marked = lookup(far, migrated, [("parent_id", "parent_id")]).withColumn("migrated", F.coalesce("migrated", F.lit(False)))
-    done = marked.withColumns(
-        {
-            c: F.coalesce(F.col(c), F.col(f"p1_{c}"), F.when(~F.col("migrated"), F.col(f"p2_{c}")))
-            for c in filled
-        }
-    ).drop(*[f"p{n}_{c}" for n in (1, 2) for c in filled])
-    moved = newest(
-        done.where("migrated"), ["parent_id", "order_id", "billing_id"],
-        [Sort("ts", True), Sort("name", True), Sort("entry_id", True)],
-    )
-    return done.where(~F.col("migrated")).unionByName(moved).drop("migrated")
+    far = events.windows(previous={f"p1_{c}": c for c in filled}, before_previous={f"p2_{c}": c for c in filled})
+
+    def fill(rows: DataFrame) -> DataFrame:
+        migrated = (
+            rows.where(_is(F.col("name"), names.migrated)).select("parent_id").distinct()
+            .withColumn("migrated", F.lit(True))
+        )
+        marked = lookup(rows, migrated, [("parent_id", "parent_id")]).withColumn("migrated", F.coalesce("migrated", F.lit(False)))
+        done = marked.withColumns(
+            {
+                c: F.coalesce(F.col(c), F.col(f"p1_{c}"), F.when(~F.col("migrated"), F.col(f"p2_{c}")))
+                for c in filled
+            }
+        ).drop(*[f"p{n}_{c}" for n in (1, 2) for c in filled])
+        moved = newest(
+            done.where("migrated"), ["parent_id", "order_id", "billing_id"],
+            [Sort("ts", True), Sort("name", True), Sort("entry_id", True)],
+        )
+        return done.where(~F.col("migrated")).unionByName(moved).drop("migrated")
+
+    return far.replaced(fill)
+
+
+def fill_down(events: DataFrame, names: EventNames = EventNames()) -> DataFrame:
+    """``filled_down`` for events that are not in order yet."""
+    return filled_down(in_event_order(events), names).rows()
 
 
 def price_timeline(
@@ -114,14 +124,14 @@ def price_timeline(
 
     ``as_of`` is the time after which an announced trial or promotion end is still to come.
     """
-    events = identified_history(history, alternates, billing)
+    # Laid out once: the rows that filling down leaves keep their places.
+    events = in_event_order(identified_history(history, alternates, billing))
     if alternates is not None or billing is not None:
-        events = fill_down(events, names)
-    seen = neighbours(
-        events, ["parent_id"], EVENT_ORDER,
+        events = filled_down(events, names)
+    seen = events.windows(
         previous={"prev_ts": "ts", "prev_billing_id": "billing_id", "prev_billing_system": "billing_system"},
         following={"next_ts": "ts", "next_name": "name"},
-    )
+    ).rows()
     windows = effective_window(history, "parent_id", "name", names.cancelled, "ts").drop("window_state")
     rows = _kept_intervals(lookup(seen, windows, [("parent_id", "parent_id")]), names)
     if meters is not None:

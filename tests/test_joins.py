@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from stallbook.operators import joins as j
 
 DAY = date(2024, 1, 1)
+START = datetime(2024, 1, 1)
 
 
 def _intervals(spark, data):
@@ -103,3 +104,35 @@ def test_week_key_agrees_with_a_range_join(spark, rows):
     weeks = spark.createDataFrame([(DAY + timedelta(7 * i), DAY + timedelta(7 * i + 6)) for i in range(5)], "s date, e date")
     by_range = days.join(weeks, (F.col("day") >= F.col("s")) & (F.col("day") <= F.col("e")))
     assert rows(j.join_weeks(days, "day", weeks, "s"), "id", "s") == rows(by_range, "id", "s")
+
+
+def test_points_of_a_hot_key_meet_only_intervals_that_hold_them(spark):
+    """All points and intervals of one key in one hour: pairs that are formed are results."""
+    points = spark.range(2000).select(F.lit(1).alias("k"), (F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id").cast("decimal(18,6)"))).alias("p"))
+    at = F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(secs=(F.col("id") * 2).cast("decimal(18,6)"))
+    intervals = spark.range(900).select(F.lit(1).alias("ik"), F.col("id").alias("n"), at.alias("s"), (at + F.make_dt_interval(secs=F.lit(3))).alias("e"))
+    met = j.interval_matches(points, intervals, [("k", "ik")], "p", "s", "e")
+    assert met.count() == 900 * 4
+    # The pairing join has nothing but equalities.
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert "<=" not in [line for line in plan.splitlines() if "Join Inner" in line][0]
+
+
+@pytest.mark.parametrize("parts", ["2", "30"])
+def test_interval_matches_against_all_pairs(spark, parts, monkeypatch):
+    monkeypatch.setattr(j, "_SPAN", 4)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    rnd = random.Random(7)
+    day = lambda: rnd.choice([None, *[START + timedelta(hours=rnd.randrange(60)) for _ in range(6)]])
+    left = [(rnd.choice([1, 1, 1, 2, None]), day()) for _ in range(150)]
+    right = [(rnd.choice([1, 1, 2, 3, None]), day(), day(), rnd.choice(["a", None])) for _ in range(80)] * 2
+    try:
+        got = j.interval_matches(
+            spark.createDataFrame(left, "k int, p timestamp_ntz"), spark.createDataFrame(right, "ik bigint, s timestamp_ntz, e timestamp_ntz, name string"),
+            [("k", "ik")], "p", "s", "e",
+        )
+        want = [(k, p, *r) for k, p in {x for x in left if None not in x} for r in right if r[0] == k and (r[1] is None or r[1] <= p) and (r[2] is None or p <= r[2])]
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
