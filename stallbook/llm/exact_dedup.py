@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallbook.llm.common import prepare, tidied
+from stallbook.operators.joins import lookup
 from stallbook.session import stage
 
 # Fingerprints that the merging task of one range of quotients is meant to meet.
@@ -229,11 +230,12 @@ def exact_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "tex
     unlike = F.raise_error(F.concat(F.lit("different texts of one SHA-256: "), "sha"))
     verified = stage(verified.where("size > 1").select("fingerprint", "sha", F.when(F.col("texts") > 1, unlike).otherwise(F.col("size")).alias("size")), "verified")
 
-    members = keys.join(verified, ["fingerprint", "sha"])
+    # A group may hold a third of the rows: `lookup` lets Spark split its rows, which are combined before they move.
+    members = lookup(keys, verified.withColumnsRenamed({"fingerprint": "f", "sha": "s"}), [("fingerprint", "f"), ("sha", "s")], "inner")
     # Largest id first, then the row written first; a row without id comes last.
     stays = F.max(F.struct(F.col("key").isNotNull().alias("named"), "key", (-F.col("row")).alias("back")))
     groups = stage(members.groupBy("fingerprint", "sha").agg(stays.alias("stays"), F.max("size").alias("size")), "groups")
-    out = keys.join(groups, ["fingerprint", "sha"], "left")
+    out = lookup(keys, groups.withColumnsRenamed({"fingerprint": "f", "sha": "s"}), [("fingerprint", "f"), ("sha", "s")])
     return out.select(
         F.col("key").alias(key),
         F.when(F.col("size").isNull(), F.col("key")).otherwise(F.col("stays.key")).alias("keep_id"),
