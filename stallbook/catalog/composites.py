@@ -119,6 +119,25 @@ def x_priced_usage_other(t: Tables):
     return _priced(t, False, 7)
 
 
+def multi_rolled(t: Tables):
+    kind = F.col("event_type")
+    words = F.when(kind == "error", "datatransfer").when(kind == "click", "compute sw ").otherwise("compute ")
+    pages = t.pages.select("page_id", F.col("url").alias("uri"))
+    rows = t.events.join(pages, F.col("user_id") == F.col("page_id")).select(
+        "uri", F.to_date("ts").alias("usage_date"), F.col("value").alias("units"), F.col("user_id").alias("order_id"),
+        kind.alias("kind"), F.concat(words, "props").alias("info"),
+        F.concat(F.lit("S"), frames.event_number().cast("string")).alias("vm_size"),
+    )
+    billed = rows.where(F.col("kind") == "purchase").join(frames.known_orders(t), "order_id", "left_semi")
+    listed = t.pages.where(F.col("url").contains("/en/")).select(F.col("url").alias("uri"))
+    unbilled = usage.unbilled_usage(rows, listed, billed, "2024-01-01")
+    sizes = t.part.groupBy(F.concat(F.lit("S"), F.col("p_size").cast("string")).alias("vm_size")).agg(
+        F.max("p_size").alias("cores")
+    )
+    keys = ["uri", "usage_date", "vm_size", "info"]
+    return usage.multi_resource_usage(unbilled, sizes, keys, money("units"))
+
+
 @query(
     "x_multi_resource_usage",
     f"""
@@ -139,22 +158,7 @@ FROM (SELECT uri, usage_date, vm_size, info, CASE WHEN info LIKE '%compute%sw%'
       GROUP BY uri, usage_date, vm_size, info) LEFT JOIN sizes ON vm_size = size""",
 )
 def x_multi_resource_usage(t: Tables):
-    kind = F.col("event_type")
-    words = F.when(kind == "error", "datatransfer").when(kind == "click", "compute sw ").otherwise("compute ")
-    pages = t.pages.select("page_id", F.col("url").alias("uri"))
-    rows = t.events.join(pages, F.col("user_id") == F.col("page_id")).select(
-        "uri", F.to_date("ts").alias("usage_date"), F.col("value").alias("units"), F.col("user_id").alias("order_id"),
-        kind.alias("kind"), F.concat(words, "props").alias("info"),
-        F.concat(F.lit("S"), frames.event_number().cast("string")).alias("vm_size"),
-    )
-    billed = rows.where(F.col("kind") == "purchase").join(frames.known_orders(t), "order_id", "left_semi")
-    listed = t.pages.where(F.col("url").contains("/en/")).select(F.col("url").alias("uri"))
-    unbilled = usage.unbilled_usage(rows, listed, billed, "2024-01-01")
-    sizes = t.part.groupBy(F.concat(F.lit("S"), F.col("p_size").cast("string")).alias("vm_size")).agg(
-        F.max("p_size").alias("cores")
-    )
-    keys = ["uri", "usage_date", "vm_size", "info"]
-    rolled = usage.multi_resource_usage(unbilled, sizes, keys, money("units"))
+    rolled = multi_rolled(t)
     return rolled.select(
         "uri_hash", day_text("usage_date").alias("usage_day"), "vm_size", "state",
         F.col("quantity").cast("double").alias("quantity"), F.col("core_quantity").cast("double").alias("core_quantity"),
@@ -292,7 +296,7 @@ def x_gov_flag_rank(t: Tables):
     return ranked.drop("l_shipdate").withColumnRenamed("in_special_region", "has_asia")
 
 
-def _core_records(t: Tables):
+def core_records(t: Tables):
     k, kind = frames.event_number(), F.col("event_type")
     number = k.cast("string")
     publisher = (
@@ -340,7 +344,7 @@ SELECT vm_id, location, publisher, m_billing AS billing_context, epoch_us(first_
 FROM named""",
 )
 def x_latest_entity_profile(t: Tables):
-    profiles = core_usage.machine_profiles(_core_records(t))
+    profiles = core_usage.machine_profiles(core_records(t))
     return profiles.select(
         "vm_id", "location", "publisher", "billing_context", times.millis(F.col("first_seen")).alias("first_ms"),
         "has_used_gov_cloud", "os_type", "sku", "offer_name", "plan_key", "plan_name", "order_key", "is_gov",
@@ -359,7 +363,7 @@ SELECT 'U' || user_id AS vm_id, event_type AS region, k % 5 AS cores, 'A' || k A
 FROM last""",
 )
 def x_core_orders(t: Tables):
-    rows = usage.core_order_rows(core_usage.machine_profiles(_core_records(t)))
+    rows = usage.core_order_rows(core_usage.machine_profiles(core_records(t)))
     return rows.select(
         "vm_id", "region", "cores", "vm_size", "quantity", "core_quantity", "stack", "state", "usage_type",
         day_text("usage_date").alias("usage_day"), "publisher",

@@ -129,45 +129,12 @@ def x_offer_languages(t: Tables):
     )
 
 
-_BRAND_NAMES = {"Brand#1": "First", "Brand#2": "Second"}
+BRAND_NAMES = {"Brand#1": "First", "Brand#2": "Second"}
 
 
-@query(
-    "x_dimension_build",
-    """
-WITH rows AS (
-  SELECT CASE p_brand WHEN 'Brand#1' THEN 'First' WHEN 'Brand#2' THEN 'Second' ELSE lower(p_brand) END AS publisher, p_name AS offer, p_type AS plan,
-         l_shipdate, l_returnflag, l_partkey, p_partkey, p_size,
-         CASE p_type WHEN 'SMALL' THEN 'AppService' WHEN 'LARGE' THEN 'VirtualMachine' ELSE 'DataService' END AS kind
-  FROM lineitem JOIN part ON l_partkey = p_partkey
-), current AS (
-  SELECT * FROM rows QUALIFY row_number() OVER (PARTITION BY publisher, offer ORDER BY l_shipdate DESC, CAST(p_partkey AS VARCHAR)) = 1
-), plans AS (SELECT DISTINCT publisher, offer, plan FROM rows),
-metered AS (SELECT publisher, offer, plan, strftime(max(l_shipdate), '%Y-%m-%d') AS metered_version FROM rows WHERE l_returnflag = 'R' GROUP BY ALL),
-parts AS (SELECT CASE p_brand WHEN 'Brand#1' THEN 'First' WHEN 'Brand#2' THEN 'Second' ELSE lower(p_brand) END AS publisher, * FROM part),
-details AS (SELECT * FROM parts WHERE p_size > 10 QUALIFY row_number() OVER (PARTITION BY publisher, p_name, p_type ORDER BY p_partkey DESC) = 1),
-images AS (SELECT * FROM parts WHERE p_size < 30 QUALIFY row_number() OVER (PARTITION BY publisher, p_name, p_type ORDER BY p_partkey DESC) = 1),
-base AS (SELECT publisher, p_name, p_type, min('P' || p_partkey) AS plan_id, min('P' || p_partkey) AS image_repository_id FROM parts WHERE p_size > 40 GROUP BY 1, 2, 3),
-solutions AS (SELECT DISTINCT lower(p_brand) AS publisher, p_name AS offer FROM part WHERE p_type = 'PROMO')
-SELECT c.publisher, c.offer, p.plan, CASE WHEN c.kind = 'AppService' AND p.plan IS NOT NULL THEN 'AppService B+C' WHEN c.kind = 'VirtualMachine' THEN 'VirtualMachineService' ELSE c.kind END AS offer_type,
-  strftime(c.l_shipdate, '%Y-%m-%d') AS version_published, strftime(c.l_shipdate, '%Y-%m-%d %H:%M:%S') || '.000' AS created_text,
-  CASE WHEN c.p_size > 25 THEN 1 ELSE 0 END AS is_preview, m.metered_version, 'T' || d.p_partkey AS title, CASE WHEN d.p_size > 25 THEN 1 ELSE 0 END AS needs_licence,
-  'OS' || i.p_size AS os_name, b.plan_id, CASE WHEN p.plan = 'ECONOMY' AND c.offer LIKE 'red%' THEN 'budget' END AS plan_name_override,
-  CASE WHEN c.publisher = 'First' AND c.offer LIKE 'blue%' THEN 'prime ' || c.offer END AS offer_name_override,
-  CASE WHEN c.kind = 'AppService' AND p.plan IS NOT NULL THEN 1 ELSE 0 END AS is_usage_billed, 0 AS is_multi_solution,
-  c.publisher || '_' || c.offer || '_' || coalesce(p.plan, '') AS row_key
-FROM current c LEFT JOIN plans p ON c.publisher = p.publisher AND c.offer = p.offer
-LEFT JOIN metered m ON c.publisher = m.publisher AND c.offer = m.offer AND p.plan = m.plan
-LEFT JOIN details d ON c.publisher = d.publisher AND c.offer = d.p_name AND p.plan = d.p_type
-LEFT JOIN images i ON c.publisher = i.publisher AND c.offer = i.p_name AND p.plan = i.p_type
-LEFT JOIN base b ON c.publisher = b.publisher AND c.offer = b.p_name AND p.plan = b.p_type
-UNION ALL
-SELECT publisher, offer, NULL, 'MultiSolution', 'v1', NULL, NULL, NULL, 'All of ' || offer, NULL, NULL, NULL, NULL, NULL, NULL, 1, publisher || '_' || offer || '_'
-FROM solutions""",
-)
-def x_dimension_build(t: Tables):
+def offer_sources(t: Tables):
     brand, kind = F.col("p_brand"), F.col("p_type")
-    named = text.override_id(brand, _BRAND_NAMES, F.lower(brand))
+    named = text.override_id(brand, BRAND_NAMES, F.lower(brand))
     offer_type = F.when(kind == "SMALL", offers.APP_SERVICE).when(kind == "LARGE", offers.VIRTUAL_MACHINE).otherwise(
         offers.DATA_SERVICE
     )
@@ -183,7 +150,7 @@ def x_dimension_build(t: Tables):
     newest_first = F.lpad(number, 18, "0").alias("version")
     coded = F.concat(F.lit("P"), number)
     none = F.lit(None).cast("string")
-    sources = offers.OfferSources(
+    return offers.OfferSources(
         offers=rows.select(
             "offer_id", *id_names, "offer_type", version,
             F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("created_text"), "is_preview",
@@ -219,11 +186,50 @@ def x_dimension_build(t: Tables):
             F.when(kind == "PROMO", "a,multiResourceSolution").otherwise("other").alias("categories"),
         ),
     )
-    return offers.offer_dimension(sources, _BRAND_NAMES).select(
-        "publisher", "offer", "plan", "offer_type", "version_published", "created_text", "is_preview", "metered_version",
-        "title", "needs_licence", "os_name", "plan_id", "plan_name_override", "offer_name_override", "is_usage_billed",
-        "is_multi_solution", "row_key",
-    )
+
+
+BUILT = [
+    "publisher", "offer", "plan", "offer_type", "version_published", "created_text", "is_preview", "metered_version",
+    "title", "needs_licence", "os_name", "plan_id", "plan_name_override", "offer_name_override", "is_usage_billed",
+    "is_multi_solution", "row_key",
+]
+
+
+@query(
+    "x_dimension_build",
+    """
+WITH rows AS (
+  SELECT CASE p_brand WHEN 'Brand#1' THEN 'First' WHEN 'Brand#2' THEN 'Second' ELSE lower(p_brand) END AS publisher, p_name AS offer, p_type AS plan,
+         l_shipdate, l_returnflag, l_partkey, p_partkey, p_size,
+         CASE p_type WHEN 'SMALL' THEN 'AppService' WHEN 'LARGE' THEN 'VirtualMachine' ELSE 'DataService' END AS kind
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+), current AS (
+  SELECT * FROM rows QUALIFY row_number() OVER (PARTITION BY publisher, offer ORDER BY l_shipdate DESC, CAST(p_partkey AS VARCHAR)) = 1
+), plans AS (SELECT DISTINCT publisher, offer, plan FROM rows),
+metered AS (SELECT publisher, offer, plan, strftime(max(l_shipdate), '%Y-%m-%d') AS metered_version FROM rows WHERE l_returnflag = 'R' GROUP BY ALL),
+parts AS (SELECT CASE p_brand WHEN 'Brand#1' THEN 'First' WHEN 'Brand#2' THEN 'Second' ELSE lower(p_brand) END AS publisher, * FROM part),
+details AS (SELECT * FROM parts WHERE p_size > 10 QUALIFY row_number() OVER (PARTITION BY publisher, p_name, p_type ORDER BY p_partkey DESC) = 1),
+images AS (SELECT * FROM parts WHERE p_size < 30 QUALIFY row_number() OVER (PARTITION BY publisher, p_name, p_type ORDER BY p_partkey DESC) = 1),
+base AS (SELECT publisher, p_name, p_type, min('P' || p_partkey) AS plan_id, min('P' || p_partkey) AS image_repository_id FROM parts WHERE p_size > 40 GROUP BY 1, 2, 3),
+solutions AS (SELECT DISTINCT lower(p_brand) AS publisher, p_name AS offer FROM part WHERE p_type = 'PROMO')
+SELECT c.publisher, c.offer, p.plan, CASE WHEN c.kind = 'AppService' AND p.plan IS NOT NULL THEN 'AppService B+C' WHEN c.kind = 'VirtualMachine' THEN 'VirtualMachineService' ELSE c.kind END AS offer_type,
+  strftime(c.l_shipdate, '%Y-%m-%d') AS version_published, strftime(c.l_shipdate, '%Y-%m-%d %H:%M:%S') || '.000' AS created_text,
+  CASE WHEN c.p_size > 25 THEN 1 ELSE 0 END AS is_preview, m.metered_version, 'T' || d.p_partkey AS title, CASE WHEN d.p_size > 25 THEN 1 ELSE 0 END AS needs_licence,
+  'OS' || i.p_size AS os_name, b.plan_id, CASE WHEN p.plan = 'ECONOMY' AND c.offer LIKE 'red%' THEN 'budget' END AS plan_name_override,
+  CASE WHEN c.publisher = 'First' AND c.offer LIKE 'blue%' THEN 'prime ' || c.offer END AS offer_name_override,
+  CASE WHEN c.kind = 'AppService' AND p.plan IS NOT NULL THEN 1 ELSE 0 END AS is_usage_billed, 0 AS is_multi_solution,
+  c.publisher || '_' || c.offer || '_' || coalesce(p.plan, '') AS row_key
+FROM current c LEFT JOIN plans p ON c.publisher = p.publisher AND c.offer = p.offer
+LEFT JOIN metered m ON c.publisher = m.publisher AND c.offer = m.offer AND p.plan = m.plan
+LEFT JOIN details d ON c.publisher = d.publisher AND c.offer = d.p_name AND p.plan = d.p_type
+LEFT JOIN images i ON c.publisher = i.publisher AND c.offer = i.p_name AND p.plan = i.p_type
+LEFT JOIN base b ON c.publisher = b.publisher AND c.offer = b.p_name AND p.plan = b.p_type
+UNION ALL
+SELECT publisher, offer, NULL, 'MultiSolution', 'v1', NULL, NULL, NULL, 'All of ' || offer, NULL, NULL, NULL, NULL, NULL, NULL, 1, publisher || '_' || offer || '_'
+FROM solutions""",
+)
+def x_dimension_build(t: Tables):
+    return offers.offer_dimension(offer_sources(t), BRAND_NAMES).select(*BUILT)
 
 
 def _of_size(columns, condition):
@@ -236,7 +242,60 @@ def _plan_of(key: str):
     return F.concat(F.lit("plan"), F.pmod(F.col(key), F.lit(3)).cast("string"))
 
 
-_TIMELINE_SQL = """
+def buyers(t: Tables):
+    return t.customer.select(
+        F.col("c_custkey").alias("parent_id"), F.col("c_mktsegment").alias("publisher"),
+        F.concat(F.lit("NATION_"), _text("c_nationkey"), F.lit("-preview")).alias("offer"), _plan_of("c_custkey").alias("plan"),
+        F.lit("USD").alias("currency"),
+    )
+
+
+def payers(t: Tables):
+    return t.customer.select(
+        _text("c_custkey").alias("order_id"), F.lit("Subscription").alias("payer_type"),
+        F.concat(F.lit("S"), _text("c_custkey")).alias("payer_value"),
+    )
+
+
+def order_lookups(t: Tables):
+    nation = _text("c_nationkey")
+    offer = F.concat(F.lit("NATION_"), nation)
+    # Poor customers carry no offer, so lookups miss.
+    offer_dim = t.customer.select(
+        F.when(F.col("c_acctbal") > 6000, offer).alias("offer"), _plan_of("c_custkey").alias("plan"), F.col("c_mktsegment").alias("publisher"),
+        F.concat(F.lit("OF"), nation).alias("offer_id"), F.lit(0).alias("is_preview"), F.lit("x").alias("offer_type"),
+        F.concat_ws("_", "c_mktsegment", offer, _plan_of("c_custkey")).alias("row_key"),
+    )
+    offer_key = F.concat(F.lit("OF"), _text("s_nationkey")).alias("offer_id")
+    balance = F.col("s_acctbal")
+    return orders.OrderLookups(
+        publishers=t.customer.where(F.col("c_mktsegment") != "BUILDING").select(F.col("c_mktsegment").alias("publisher")),
+        offers=offer_dim,
+        overrides=t.customer.where(F.col("c_nationkey") < 5).select(
+            F.col("c_mktsegment").alias("publisher"), F.concat(offer, F.lit("-preview")).alias("offer"),
+            _plan_of("c_custkey").alias("plan"), F.lit("plan0").alias("plan_override"),
+        ),
+        onboarding=t.supplier.select(
+            offer_key, _plan_of("s_suppkey").alias("plan"), F.when(balance > 3000, "true").otherwise("no").alias("billed_outside"),
+            F.col("s_suppkey").alias("created_ts"),
+        ),
+        languages=t.supplier.select(
+            offer_key, _plan_of("s_suppkey").alias("plan"),
+            F.when(balance < 1000, True).when(balance < 5000, False).alias("needs_licence"),
+            F.col("s_suppkey").alias("version"),
+        ),
+        market_prices=orders.zero_market_prices(
+            t.part.select(
+                F.concat(F.lit("OF"), F.pmod("p_partkey", F.lit(25)).cast("string")).alias("offer_id"),
+                _plan_of("p_size").alias("plan"), F.col("p_type").alias("effect"),
+                F.when(F.pmod("p_partkey", F.lit(25)) < 12, 0.0).otherwise(F.col("p_retailprice")).alias("amount"),
+            ),
+            trial_effect="PROMO",
+        ),
+    )
+
+
+TIMELINE_SQL = """
 dedup AS (
   SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type, date_trunc('second', ts) ORDER BY ts, event_id) = 1
 ), seen AS (
@@ -263,7 +322,7 @@ dedup AS (
 @query(
     "x_order_dimension",
     f"""
-WITH {_TIMELINE_SQL}, headers AS (
+WITH {TIMELINE_SQL}, headers AS (
   SELECT user_id, min(start_ts) AS purchase, max(coalesce(end_ts, TIMESTAMP '9999-01-01')) AS cancel FROM timeline GROUP BY user_id
 ), offer_dim AS (
   SELECT DISTINCT 'NATION_' || c_nationkey AS offer, 'plan' || (c_custkey % 3) AS plan, c_mktsegment AS publisher, 'OF' || c_nationkey AS offer_id,
@@ -294,54 +353,10 @@ FROM keyed k LEFT JOIN onboarding o ON k.offer_id = o.offer_id AND k.plan_key =
 LEFT JOIN discounts d ON k.user_id = d.user_id LEFT JOIN latest t ON k.user_id = t.user_id""",
 )
 def x_order_dimension(t: Tables):
-    nation = _text("c_nationkey")
-    buyers = t.customer.select(
-        F.col("c_custkey").alias("parent_id"), F.col("c_mktsegment").alias("publisher"),
-        F.concat(F.lit("NATION_"), nation, F.lit("-preview")).alias("offer"), _plan_of("c_custkey").alias("plan"),
-        F.lit("USD").alias("currency"),
-    )
-    history = frames.history(t)
-    timeline = orders.price_timeline(history, names=frames.EVENT_NAMES).join(buyers, "parent_id")
-    payers = t.customer.select(
-        _text("c_custkey").alias("order_id"), F.lit("Subscription").alias("payer_type"),
-        F.concat(F.lit("S"), _text("c_custkey")).alias("payer_value"),
-    )
-    timeline = stage(orders.with_subscription(timeline, payers, "Subscription"), "timeline")
+    timeline = orders.price_timeline(frames.history(t), names=frames.EVENT_NAMES).join(buyers(t), "parent_id")
+    timeline = stage(orders.with_subscription(timeline, payers(t), "Subscription"), "timeline")
     headers = orders.order_headers(timeline)
-    offer = F.concat(F.lit("NATION_"), nation)
-    # Poor customers carry no offer, so lookups miss.
-    offer_dim = t.customer.select(
-        F.when(F.col("c_acctbal") > 6000, offer).alias("offer"), _plan_of("c_custkey").alias("plan"), F.col("c_mktsegment").alias("publisher"),
-        F.concat(F.lit("OF"), nation).alias("offer_id"), F.lit(0).alias("is_preview"), F.lit("x").alias("offer_type"),
-        F.concat_ws("_", "c_mktsegment", offer, _plan_of("c_custkey")).alias("row_key"),
-    )
-    offer_key = F.concat(F.lit("OF"), _text("s_nationkey")).alias("offer_id")
-    balance = F.col("s_acctbal")
-    lookups = orders.OrderLookups(
-        publishers=t.customer.where(F.col("c_mktsegment") != "BUILDING").select(F.col("c_mktsegment").alias("publisher")),
-        offers=offer_dim,
-        overrides=t.customer.where(F.col("c_nationkey") < 5).select(
-            F.col("c_mktsegment").alias("publisher"), F.concat(offer, F.lit("-preview")).alias("offer"),
-            _plan_of("c_custkey").alias("plan"), F.lit("plan0").alias("plan_override"),
-        ),
-        onboarding=t.supplier.select(
-            offer_key, _plan_of("s_suppkey").alias("plan"), F.when(balance > 3000, "true").otherwise("no").alias("billed_outside"),
-            F.col("s_suppkey").alias("created_ts"),
-        ),
-        languages=t.supplier.select(
-            offer_key, _plan_of("s_suppkey").alias("plan"),
-            F.when(balance < 1000, True).when(balance < 5000, False).alias("needs_licence"),
-            F.col("s_suppkey").alias("version"),
-        ),
-        market_prices=orders.zero_market_prices(
-            t.part.select(
-                F.concat(F.lit("OF"), F.pmod("p_partkey", F.lit(25)).cast("string")).alias("offer_id"),
-                _plan_of("p_size").alias("plan"), F.col("p_type").alias("effect"),
-                F.when(F.pmod("p_partkey", F.lit(25)) < 12, 0.0).otherwise(F.col("p_retailprice")).alias("amount"),
-            ),
-            trial_effect="PROMO",
-        ),
-    )
+    lookups = order_lookups(t)
     dim = orders.order_dimension(headers, timeline, lookups, excluded_publisher="FURNITURE")
     return dim.select(
         "order_id", "subscription_id", "publisher_name", "offer_name", "plan_name", "offer_row_key",

@@ -8,6 +8,7 @@ from stallbook.catalog.registry import Tables, day_text, query
 from stallbook.functions import times
 from stallbook.operators import merge as m
 from stallbook.operators.windows import Sort
+from stallbook.plans.buckets import publish_buckets
 from stallbook.plans.publish import publish
 from stallbook.session import scratch_path
 
@@ -171,3 +172,52 @@ def m_publish_slices(t: Tables):
         "row_key", "o_orderkey", day_text("start_ts").alias("start_day"),
         F.coalesce(day_text("end_ts"), F.lit("")).alias("end_day"),
     )
+
+
+_SLICED = """
+WITH keyed AS (SELECT *, 'k' || o_custkey || o_orderstatus AS row_key, CASE WHEN o_orderstatus = 'F' THEN 'baseline' ELSE 'pubportal' END AS source FROM orders),
+a AS (SELECT * FROM keyed WHERE o_orderdate < TIMESTAMP '2000-07-01' QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY o_orderdate DESC, o_orderkey) = 1),
+b AS (SELECT * FROM keyed WHERE o_orderdate >= TIMESTAMP '2000-07-01' QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY o_orderdate DESC, o_orderkey) = 1)"""
+
+
+def _published_in_buckets(t: Tables):
+    """Two runs, the second over the rows from July 2000 on."""
+    root = scratch_path(t.spark, "buckets")
+    spec = m.DimensionSpec("row_key", (Sort("o_orderdate", True), Sort("o_orderkey")), "source", "pubportal", ("o_custkey",))
+    source = F.when(F.col("o_orderstatus") == "F", "baseline").otherwise("pubportal")
+    rows = t.orders.select(
+        F.concat(F.lit("K"), F.col("o_custkey").cast("string"), "o_orderstatus").alias("row_key"), "o_custkey",
+        "o_orderkey", "o_orderdate", source.alias("source"),
+    )
+    cut = times.ntz(_DELTA)
+    publish_buckets(rows.where(F.col("o_orderdate") < cut), spec, root, 20000701, times.ntz("2000-07-01 00:00:00"), buckets=16)
+    return publish_buckets(rows.where(F.col("o_orderdate") >= cut), spec, root, 20010901, times.ntz("2001-09-01 00:00:00"), buckets=16)
+
+
+@query(
+    "m_bucketed_upsert",
+    f"""{_SLICED},
+first AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN source = 'pubportal' THEN 1 ELSE 2 END) AS r FROM a) WHERE r = 1),
+merged AS (SELECT row_key, o_custkey, o_orderkey, source FROM first WHERE row_key NOT IN (SELECT row_key FROM b) UNION ALL SELECT row_key, o_custkey, o_orderkey, source FROM b)
+SELECT lower(row_key) AS row_key, o_custkey, o_orderkey, source
+FROM (SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN source = 'pubportal' THEN 1 ELSE 2 END) AS r FROM merged) WHERE r = 1""",
+)
+def m_bucketed_upsert(t: Tables):
+    """Current rows, read back from the buckets that the second run wrote and those it refers to."""
+    merged, _ = _published_in_buckets(t)
+    return merged.read(t.spark, 20010901).select(F.lower("row_key").alias("row_key"), "o_custkey", "o_orderkey", "source")
+
+
+@query(
+    "m_split_history",
+    f"""{_SLICED}
+SELECT lower(a.row_key) AS row_key, a.o_orderkey, '2000-07-01' AS start_day, CASE WHEN b.row_key IS NULL THEN '' ELSE '2001-08-31' END AS end_day
+FROM a LEFT JOIN b ON a.row_key = b.row_key
+UNION ALL SELECT lower(row_key), o_orderkey, '2001-09-01', '' FROM b""",
+)
+def m_split_history(t: Tables):
+    """All versions, read back from the open buckets and the folders of closed versions."""
+    _, versions = _published_in_buckets(t)
+    return versions.read(t.spark, 20010901).select(
+        "row_key", "o_orderkey", day_text("start_ts").alias("start_day"), F.coalesce(day_text("end_ts"), F.lit("")).alias("end_day"),
+    )

@@ -204,6 +204,42 @@ def x_order_history_full(t: Tables):
     )
 
 
+def last_steps(t: Tables):
+    """Frames of the last steps; templates are named after parts."""
+    number = F.col("event_id").cast("string")
+    resources = t.events.select(
+        F.col("user_id").cast("string").alias("order_id"), F.concat(F.lit("HTTP://r/"), number).alias("uri"), F.col("ts").alias("updated_ts")
+    )
+    host = F.when(F.col("event_id") % 2 == 0, "http://M/").otherwise("HTTP://m/")
+    solution_usage = t.events.select(
+        F.concat(host, (F.col("event_id") % 50).cast("string")).alias("uri"),
+        F.when(F.col("value") >= 50, F.col("user_id")).alias("order_id"), F.col("ts").alias("start_ts"),
+    )
+    billing = t.events.where(F.col("event_type") == "view").select(
+        F.col("user_id").cast("string").alias("order_id"), F.lit("EA").alias("billing_system"), "ts"
+    )
+    subscription = F.concat(F.lit("S"), F.col("c_custkey").cast("string")).alias("subscription_id")
+    subscriptions = t.customer.select(F.col("c_custkey").alias("subscription_key"), subscription)
+    open_day = F.lit(None).cast("date")
+    spans = t.orders.groupBy(F.col("o_custkey").alias("account_id")).agg(
+        F.max(F.when(F.col("o_orderpriority") == "5-LOW", F.to_date("o_orderdate"))).alias("low_end")
+    )
+    channels = orders.subscription_channels(
+        spans.select("account_id", F.col("account_id").alias("subscription_key"), open_day.alias("starts"), open_day.alias("ends")),
+        spans.select("account_id", F.col("account_id").alias("enrollment_id"), open_day.alias("starts"), open_day.alias("ends")),
+        subscriptions,
+        t.customer.join(spans, F.col("c_custkey") == F.col("account_id")).select(
+            F.col("c_custkey").alias("enrollment_id"),
+            orders.states.channel_name(F.col("c_mktsegment"), ["BUILDING"], ["MACHINERY"]).alias("channel"),
+            open_day.alias("starts"), F.col("low_end").alias("ends"), open_day.alias("amendment_starts"), open_day.alias("amendment_ends"),
+        ),
+    )
+    templates = t.part.select(
+        F.concat(F.lit("HTTP://M/"), F.col("p_partkey").cast("string")).alias("template_uri"), F.col("p_brand").alias("publisher"), F.col("p_name").alias("offer")
+    )
+    return orders.LastSteps(resources, solution_usage, templates, billing, subscriptions, channels, "DM", "EA")
+
+
 @query(
     "x_order_dimension_full",
     f"""
@@ -227,8 +263,9 @@ span AS (SELECT o_custkey, max(o_orderdate) FILTER (o_orderpriority = '5-LOW') A
 SELECT e.order_id, coalesce(e.uri, '') AS uri, coalesce(md5(lower(e.uri)), '') AS uri_hash, is_multi AS is_multi_solution, coalesce(m.billing_id, '') AS market_subscription_id,
   CASE WHEN c_custkey IS NULL THEN 'PAYG'
        WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') AND s.o_custkey IS NOT NULL AND s.l_end IS NULL THEN CASE c_mktsegment WHEN 'BUILDING' THEN 'Direct Enterprise' ELSE 'Indirect Enterprise' END
-       WHEN v.order_id IS NOT NULL THEN 'Direct Enterprise' ELSE 'PAYG' END AS licence_type
-FROM every e LEFT JOIN market m ON e.parent_id = m.parent_id LEFT JOIN customer c ON e.sub = 'S' || c_custkey LEFT JOIN span s ON c_custkey = s.o_custkey
+       WHEN v.order_id IS NOT NULL THEN 'Direct Enterprise' ELSE 'PAYG' END AS licence_type,
+  coalesce(p_brand, '') AS publisher_name, coalesce(p_name, '') AS offer_name, CASE is_multi WHEN 1 THEN 'MultiSolution' ELSE '' END AS order_type
+FROM every e LEFT JOIN part ON is_multi = 1 AND e.order_id = md5('http://m/' || p_partkey) LEFT JOIN market m ON e.parent_id = m.parent_id LEFT JOIN customer c ON e.sub = 'S' || c_custkey LEFT JOIN span s ON c_custkey = s.o_custkey
 LEFT JOIN views v ON e.order_id = v.order_id AND CAST(e.purchase_ts AS DATE) = v.day""",
 )
 def x_order_dimension_full(t: Tables):
@@ -237,42 +274,13 @@ def x_order_dimension_full(t: Tables):
     timeline = timeline.withColumn("subscription_id", F.concat(F.lit("S"), parent))
     ordinary = orders.order_headers(timeline, ["order_id", "parent_id", "subscription_id"]).drop("status", "cancel_ts")
     ordinary = ordinary.withColumn("is_multi_solution", F.lit(0))
-    number = F.col("event_id").cast("string")
-    resources = t.events.select(
-        F.col("user_id").cast("string").alias("order_id"), F.concat(F.lit("HTTP://r/"), number).alias("uri"), F.col("ts").alias("updated_ts")
-    )
-    host = F.when(F.col("event_id") % 2 == 0, "http://M/").otherwise("HTTP://m/")
-    solution_usage = t.events.select(
-        F.concat(host, (F.col("event_id") % 50).cast("string")).alias("uri"),
-        F.when(F.col("value") >= 50, F.col("user_id")).alias("order_id"), F.col("ts").alias("start_ts"),
-    )
-    known = orders.with_resource_uri(ordinary, resources)
-    every = orders.union_orders(known, orders.multi_resource_orders(solution_usage).drop("row_key"))
-    every = orders.with_market_subscription(every, timeline, "DM")
-    billing = t.events.where(F.col("event_type") == "view").select(
-        F.col("user_id").cast("string").alias("order_id"), F.lit("EA").alias("billing_system"), "ts"
-    )
-    subscription = F.concat(F.lit("S"), F.col("c_custkey").cast("string")).alias("subscription_id")
-    subscriptions = t.customer.select(F.col("c_custkey").alias("subscription_key"), subscription)
-    open_day = F.lit(None).cast("date")
-    spans = t.orders.groupBy(F.col("o_custkey").alias("account_id")).agg(
-        F.max(F.when(F.col("o_orderpriority") == "5-LOW", F.to_date("o_orderdate"))).alias("low_end")
-    )
-    channels = orders.subscription_channels(
-        spans.select("account_id", F.col("account_id").alias("subscription_key"), open_day.alias("starts"), open_day.alias("ends")),
-        spans.select("account_id", F.col("account_id").alias("enrollment_id"), open_day.alias("starts"), open_day.alias("ends")),
-        subscriptions,
-        t.customer.join(spans, F.col("c_custkey") == F.col("account_id")).select(
-            F.col("c_custkey").alias("enrollment_id"),
-            orders.states.channel_name(F.col("c_mktsegment"), ["BUILDING"], ["MACHINERY"]).alias("channel"),
-            open_day.alias("starts"), F.col("low_end").alias("ends"), open_day.alias("amendment_starts"), open_day.alias("amendment_ends"),
-        ),
-    )
-    licensed = orders.licence_types(every, billing, subscriptions, channels, "EA")
+    last = last_steps(t)
+    licensed = orders.complete_dimension(ordinary, timeline, last)
     none = F.lit("")
     return licensed.select(
         "order_id", F.coalesce("uri", none).alias("uri"), F.coalesce("uri_hash", none).alias("uri_hash"), "is_multi_solution",
         F.coalesce("market_subscription_id", none).alias("market_subscription_id"), "licence_type",
+        F.coalesce("publisher_name", none).alias("publisher_name"), F.coalesce("offer_name", none).alias("offer_name"), F.coalesce("order_type", none).alias("order_type"),
     )
 
 

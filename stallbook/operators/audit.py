@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,12 +21,19 @@ def slice_audit(
     records = F.count(F.lit(1)) if documents is None else F.coalesce(
         F.sum(F.greatest(F.size(documents), F.lit(0))), F.lit(0)
     )
-    return df.agg(records.cast("bigint").alias("record_count")).select(
-        "record_count",
-        F.lit(stream).alias("stream"),
-        F.lit(slice_id).alias("slice"),
-        F.lit(path).alias("path"),
-        loaded_at.alias("loaded_at"),
-        F.lit(run_id).alias("run_id"),
-        F.lit(notes).alias("notes"),
-    )
+    counted = df.agg(records.cast("bigint").alias("record_count"))
+    return counted.select("record_count", *_described(stream, slice_id, path, run_id, loaded_at, notes))
+
+
+def counted_audit(
+    spark: SparkSession, records: int, stream: str, slice_id: str, path: str, run_id: str, loaded_at: Column, notes: str = ""
+) -> DataFrame:
+    """The audit row of a slice whose records were counted while it was written."""
+    return spark.range(1).select(F.lit(records).cast("bigint").alias("record_count"), *_described(stream, slice_id, path, run_id, loaded_at, notes))
+
+
+def _described(stream: str, slice_id: str, path: str, run_id: str, loaded_at: Column, notes: str) -> list[Column]:
+    texts = {"stream": stream, "slice": slice_id, "path": path}
+    return [
+        *[F.lit(t).alias(c) for c, t in texts.items()], loaded_at.alias("loaded_at"), F.lit(run_id).alias("run_id"), F.lit(notes).alias("notes"),
+    ]

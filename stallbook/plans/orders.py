@@ -368,6 +368,19 @@ def multi_resource_orders(usage: DataFrame) -> DataFrame:
     )
 
 
+def with_templates(orders: DataFrame, templates: DataFrame) -> DataFrame:
+    """Publisher and offer of multi-resource orders, from the template whose address hashes like the resource's.
+
+    templates: template_uri, publisher, offer. Of several templates with one address the first by name counts,
+    so that no order becomes two; an order without template keeps nulls.
+    """
+    named = templates.select(
+        text.lower_md5(F.col("template_uri")).alias("template_hash"), F.col("publisher").alias("publisher_name"), F.col("offer").alias("offer_name")
+    ).where(F.col("template_hash").isNotNull())
+    one = newest(named, ["template_hash"], [Sort("publisher_name"), Sort("offer_name")])
+    return lookup(orders, one.withColumnRenamed("template_hash", "t_key"), [("uri_hash", "t_key")])
+
+
 def with_resource_uri(orders: DataFrame, resources: DataFrame) -> DataFrame:
     """Attach the resource address of an order and its hash. resources: order_id, uri, updated_ts"""
     one = newest(resources, ["order_id"], [Sort("updated_ts", True), Sort("uri")]).select("order_id", "uri")
@@ -452,3 +465,39 @@ def referenced_subscriptions(orders: DataFrame, subscriptions: DataFrame) -> Dat
     """Subscriptions that orders refer to, whatever the case of their ids."""
     wanted = orders.select(F.lower("subscription_id").alias("wanted")).distinct()
     return subscriptions.join(wanted, F.lower("subscription_id") == F.col("wanted"), "left_semi")
+
+
+# Labels of multi-resource orders.
+MULTI_ORDER_TYPE, MULTI_ORDER_SOURCE = "MultiSolution", "UsageDaily MultiSolution"
+
+
+@dataclass(frozen=True)
+class LastSteps:
+    """Frames of the last steps of the order dimension.
+
+    * resources: order_id, uri, updated_ts
+    * solution_usage: uri, order_id, start_ts
+    * templates: template_uri, publisher, offer
+    * billing: order_id, billing_system, ts
+    * subscriptions: subscription_key, subscription_id
+    * channels: result of ``subscription_channels``
+    """
+
+    resources: DataFrame
+    solution_usage: DataFrame
+    templates: DataFrame
+    billing: DataFrame
+    subscriptions: DataFrame
+    channels: DataFrame
+    market_system: str
+    enterprise_system: str
+
+
+def complete_dimension(ordinary: DataFrame, timeline: DataFrame, s: LastSteps) -> DataFrame:
+    """The order dimension with resource addresses, multi-resource orders and their templates, market subscription and licence type."""
+    multi = with_templates(multi_resource_orders(s.solution_usage), s.templates).withColumns(
+        {"order_type": F.lit(MULTI_ORDER_TYPE), "data_source": F.lit(MULTI_ORDER_SOURCE)}
+    )
+    every = union_orders(with_resource_uri(ordinary, s.resources), multi)
+    every = with_market_subscription(every, timeline, s.market_system)
+    return licence_types(every, s.billing, s.subscriptions, s.channels, s.enterprise_system)

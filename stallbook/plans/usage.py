@@ -12,13 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallbook.functions import states, text, times
-from stallbook.operators.audit import slice_audit, with_lineage
+from stallbook.operators.audit import counted_audit, with_lineage
 from stallbook.operators.hot import Sort, ranked
 from stallbook.operators.joins import guarded_lookup, interval_matches, lookup, match_flag
 from stallbook.operators.sets import checked_union, union_distinct
 from stallbook.operators.windows import newest
 from stallbook.sources.readers import latest_publication, look_back, require_days
-from stallbook.sources.writers import late_rows, write_partitioned
+from stallbook.sources.writers import is_late, late_rows, write_partitioned
 
 # Units, words looked for in resource addresses and properties, and labels.
 HOURS_PER_DAY = 24
@@ -73,16 +73,16 @@ def store_daily_load(
 ) -> DataFrame:
     """Write the daily load by day and missing flag; returns its two audit rows.
 
-    The rows are read back from ``path``; an overwrite replaces the days of the load alone. One
-    audit row counts the stored rows, the other the late rows among them.
+    An overwrite replaces the days of the load alone. One audit row counts the stored rows, the other the
+    late rows among them; both are counted while the rows are written, so nothing is read again.
     """
     loaded = daily_load(published, late, slice_day, days, run_id, day, publication, late_days)
-    write_partitioned(loaded, path, [day, "is_missing"])
-    stored = loaded.sparkSession.read.schema(loaded.schema).parquet(path)
-    slice_id = slice_day.replace("-", "")
-    whole = slice_audit(stored, "Usage", slice_id, path, run_id, loaded_at)
-    missed = late_rows(stored.where("is_missing = 1"), day, slice_day, late_days)
-    return whole.unionByName(slice_audit(missed, "MissingUsage", slice_id, path, run_id, loaded_at))
+    counted = write_partitioned(loaded, path, [day, "is_missing"], counts={
+        "Usage": F.lit(True), "MissingUsage": (F.col("is_missing") == 1) & is_late(day, slice_day, late_days),
+    })
+    spark, slice_id = loaded.sparkSession, slice_day.replace("-", "")
+    whole, missed = (counted_audit(spark, counted[s], s, slice_id, path, run_id, loaded_at) for s in ("Usage", "MissingUsage"))
+    return whole.unionByName(missed)
 
 
 def described_usage(usage: DataFrame) -> DataFrame:
@@ -415,3 +415,64 @@ def usage_locations(usage: DataFrame, order: str, region: str, day: str, tie_bre
     special = usage.where(text.contains_text(F.col(region), word))
     flagged = match_flag(placed, special, F.col(order), F.col(order), "in_special_region")
     return ranked(flagged, [order], [Sort(day, True), *[Sort(c) for c in tie_breakers]], "location_rank")
+
+
+# Columns of the staged fact, whatever step a row comes from.
+FACT_COLUMNS = {
+    "order_id": "string", "subscription_id": "string", "meter": "string", "uri": "string", "uri_hash": "string", "region": "string",
+    "project": "string", "service_info1": "string", "service_info2": "string", "part_number": "string", "tags": "string", "stack": "string",
+    "cores": "double", "vm_size": "string", "info": "string", "publisher": "string", "state": "string", "quantity": "double",
+    "core_quantity": "double", "usage_date": "date", "is_missing": "int", "is_core_image": "int", "is_multi_solution": "int", "is_vm_usage": "int",
+    "usage_data_source": "string", "usage_type": "string", "vm_id": "string", "row_key": "string",
+}
+MACHINE_USAGE, METERED_USAGE, MULTI_USAGE = "Machine", "Metered", "MultiSolution"
+RUN, STEP = "run_id", "step"
+
+
+def fact_rows(rows: DataFrame) -> DataFrame:
+    """Rows of a step with all columns of the staged fact; those that the step does not know are null."""
+    return rows.select(*[(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in FACT_COLUMNS.items()])
+
+
+@dataclass(frozen=True)
+class UsageSteps:
+    """Results of the first four steps: priced usage of machines and of other meters, machine profiles, multi-resource usage."""
+
+    machines: DataFrame
+    metered: DataFrame
+    profiles: DataFrame
+    multi: DataFrame
+
+    def rows(self) -> dict[str, DataFrame]:
+        multi = self.multi.withColumns({"row_key": F.col("uri_hash"), "usage_type": F.lit(MULTI_USAGE), "is_core_image": F.lit(0), "is_vm_usage": F.lit(0)})
+        return {
+            "1": usage_fact_rows(self.machines, MACHINE_USAGE, 1), "2": usage_fact_rows(self.metered, METERED_USAGE, 0),
+            "3": core_order_rows(self.profiles), "4": multi,
+        }
+
+
+def store_steps(steps: UsageSteps, path: str, run_id: str) -> DataFrame:
+    """Write the steps into one fact, partitioned by run and step, and read the run back. A repeated run replaces its own rows."""
+    for step, rows in steps.rows().items():
+        named = fact_rows(rows).withColumns({RUN: F.lit(run_id), STEP: F.lit(step)})
+        write_partitioned(named, path, [RUN, STEP])
+        spark = named.sparkSession
+    return spark.read.schema(named.schema).parquet(path).where(F.col(RUN) == run_id).drop(RUN, STEP)
+
+
+def usage_job(
+    steps: UsageSteps, orders: DataFrame, prices: DataFrame, multi_orders: DataFrame, staging: str, path: str, run_id: str,
+) -> dict[str, int]:
+    """The usage fact from its five steps, written by day and missing flag; returns the number of rows written.
+
+    orders and prices as in ``FactLookups``; multi_orders has uri_hash. Sizes are the first known ones of the
+    staged rows. An overwrite replaces the days of the run alone.
+    """
+    staged = store_steps(steps, staging, run_id)
+    none = F.lit(None).cast("string")
+    sizes = first_known_sizes(
+        staged.withColumns({"os_name": none, "os_family": none}), ["row_key", "uri", "meter"], ["vm_size", "usage_date", "os_name", "os_family", "cores"]
+    )
+    fact = usage_fact(reflag_multi_resource(staged, multi_orders), FactLookups(orders, sizes, prices))
+    whole = with_lineage(fact.withColumn("is_missing", F.coalesce("is_missing", F.lit(0))), run_id)
+    return write_partitioned(whole, path, ["usage_date", "is_missing"], counts={"rows": F.lit(True)})

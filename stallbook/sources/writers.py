@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Letters of the export modes.
@@ -48,25 +48,37 @@ def create_partitioned_table(
     )
 
 
-def write_partitioned(df: DataFrame, path: str, partitions: list[str], mode: str = "overwrite") -> None:
+def write_partitioned(
+    df: DataFrame, path: str, partitions: list[str], mode: str = "overwrite", counts: dict[str, Column] | None = None
+) -> dict[str, int]:
     """Write a folder per partition value; an overwrite replaces only the partitions present.
 
     Rows are rebalanced by the partition columns: Spark splits a value that holds most rows
-    over many tasks and packs small ones together, by the size it measures.
+    over many tasks and packs small ones together, by the size it measures. ``counts`` names
+    conditions; the rows that meet them are counted while they are written, by the tasks
+    that write, of which Spark counts each once however often one is repeated.
     """
+    rows, seen = df.hint("rebalance", *[F.col(c) for c in partitions]), Observation()
+    if counts:
+        rows = rows.observe(seen, *[F.count_if(condition).alias(name) for name, condition in counts.items()])
     (
-        df.hint("rebalance", *[F.col(c) for c in partitions])
-        .write.mode(mode)
+        rows.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
     )
+    return {name: int(n) for name, n in seen.get.items()} if counts else {}
+
+
+def is_late(day: str, slice_day: str, days: int = 30) -> Column:
+    """Whether a late row belongs to the days up to and including the slice day."""
+    last = F.lit(slice_day).cast("date")
+    return F.col(day).between(F.date_sub(last, days), last)
 
 
 def late_rows(df: DataFrame, day: str, slice_day: str, days: int = 30) -> DataFrame:
     """Late rows of the days up to and including the slice day."""
-    last = F.lit(slice_day).cast("date")
-    return df.where(F.col(day).between(F.date_sub(last, days), last))
+    return df.where(is_late(day, slice_day, days))
 
 
 def export_mode(letter: str | None) -> str:

@@ -8,6 +8,8 @@ from stallbook.operators.merge import DimensionSpec
 from stallbook.plans import core_usage, orders, usage
 from stallbook.plans.publish import previous_rows, publish
 
+BASE = datetime(2024, 1, 1)
+
 HISTORY = "entry_id int, parent_id string, name string, ts timestamp_ntz, watermark int, price double, currency string"
 
 
@@ -248,3 +250,45 @@ def test_sizes_of_either_case_count_a_quantity_once(spark):
     fact = usage.usage_fact(rows_in, usage.FactLookups(orders_in, sizes, prices)).collect()
     assert len(fact) == 4 and sum(r.quantity for r in fact) == 4.0
     assert {r.uri: r.vm_size for r in fact}[""] == "s3"
+
+
+def test_templates_name_multi_resource_orders(spark, rows):
+    usage_rows = spark.createDataFrame(
+        [("HTTP://A/1", "7", BASE), ("http://a/1", "8", BASE), ("http://b/2", "9", BASE), ("http://c/3", None, BASE)], "uri string, order_id string, start_ts timestamp_ntz"
+    )
+    templates = spark.createDataFrame(
+        [("http://A/1", "pub2", "offer2"), ("http://a/1", "pub1", "offer1"), (None, "lost", "lost")], "template_uri string, publisher string, offer string"
+    )
+    got = orders.with_templates(orders.multi_resource_orders(usage_rows), templates)
+    assert rows(got, "uri", "publisher_name", "offer_name") == [("http://a/1", "pub1", "offer1"), ("http://b/2", None, None)]
+    assert "t_key" not in got.columns and "template_hash" not in got.columns
+
+
+def test_a_repeated_run_replaces_its_steps(spark, tmp_path):
+    from stallbook.plans import usage as u
+
+    def steps(quantity):
+        priced = spark.createDataFrame([(1, "m", "http://A", None, quantity)], "order_id long, meter string, uri string, tags string, quantity double")
+        profiles = spark.createDataFrame(
+            [("V1", "eu", 4, "A4", 1, 24, "d", "s", "p", BASE)],
+            "vm_id string, location string, vp_count int, size string, quantity_vms int, usage_hours int, data_source string, subscription_id string, publisher_name string, ts timestamp_ntz",
+        )
+        multi = spark.createDataFrame([("h", "S1", quantity)], "uri_hash string, vm_size string, quantity double")
+        return u.UsageSteps(priced, priced, profiles, multi)
+
+    other = u.store_steps(steps(5.0), f"{tmp_path}/s", "run-0")
+    u.store_steps(steps(1.0), f"{tmp_path}/s", "run-1")
+    stored = u.store_steps(steps(2.0), f"{tmp_path}/s", "run-1")
+    assert stored.columns == list(u.FACT_COLUMNS)
+    got = sorted((r.usage_type, r.quantity, r.is_vm_usage, r.tags) for r in stored.collect())
+    assert got == [("CoreOrders", 24.0, 1, ""), ("Machine", 2.0, 1, ""), ("Metered", 2.0, 0, ""), ("MultiSolution", 2.0, 0, None)]
+    assert other.where("quantity = 5").count() == 3
+
+
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    from stallbook.sources.writers import write_partitioned
+
+    data = spark.range(1000).select("id", (F.col("id") % 3).alias("day"))
+    counts = {"all": F.lit(True), "some": F.col("id") < 10, "none": F.col("id") < 0}
+    assert write_partitioned(data, f"{tmp_path}/w", ["day"], counts=counts) == {"all": 1000, "some": 10, "none": 0}
+    assert write_partitioned(data, f"{tmp_path}/w", ["day"]) == {}
