@@ -214,7 +214,8 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> tuple[list[str], list[float]]:
     votes = np.column_stack([np.stack(columns, axis=1), patterns(texts)])
     # One common prior: the share of toxic rows. The voters alone tell the rows apart.
     share = np.full(len(votes), min(0.95, max(0.05, toxic.mean())))
-    guess = np.where(votes.astype(int).sum(1) > 0, 0.9, 0.1)
+    # First guess: toxic where a lexicon voter says so.
+    guess = np.where((votes[:, : VOTERS + len(SEEDS)] > 0).any(1), 0.9, 0.1)
     posterior, _, _ = label_model(votes, share, guess)
     # One more row per entry: the entry alone, labelled with its smoothed precision, so that an entry
     # that always comes with others in the sample counts in full by itself.
