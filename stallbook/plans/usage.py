@@ -17,6 +17,7 @@ from stallbook.operators.hot import Sort, ranked
 from stallbook.operators.joins import guarded_lookup, interval_matches, lookup, match_flag
 from stallbook.operators.sets import checked_union, union_distinct
 from stallbook.operators.windows import newest
+from stallbook.session import stage
 from stallbook.sources.readers import latest_publication, look_back, require_days
 from stallbook.sources.writers import is_late, late_rows, write_partitioned
 
@@ -166,6 +167,21 @@ def latest_prices(usage: DataFrame, intervals: DataFrame, as_of: Column) -> Data
     )
 
 
+def price_side(usage: DataFrame, intervals: DataFrame, known_orders: DataFrame, as_of: Column) -> DataFrame:
+    """All that prices depend on, one row per order and meter in use: prices by day in force, last price, and whether the order is known.
+
+    A row holds at most one entry per calendar day.
+    """
+    keys = ["order_id", "meter"]
+    force = prices_in_force(usage, intervals).groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("usage_date", F.struct("f_discount", "f_price")))).alias("by_day")
+    )
+    known = known_orders.select("order_id").distinct().withColumn("is_known", F.lit(True))
+    side = lookup(usage.select(*keys).distinct(), force, [(c, c) for c in keys])
+    side = lookup(side, latest_prices(usage, intervals, as_of), [(c, c) for c in keys])
+    return lookup(side, known, [("order_id", "order_id")])
+
+
 def priced_usage(
     usage: DataFrame, intervals: DataFrame, known_orders: DataFrame, as_of: Column,
     keys: list[str] = USAGE_KEYS, units: Column | None = None,
@@ -173,18 +189,16 @@ def priced_usage(
     """Units per keys with the price state of the order on that day.
 
     Keys must contain order_id, meter and usage_date, on which alone the state depends; so
-    usage is rolled up before the lookups, which then see one row per group. A missing price
+    usage is rolled up before the lookups, which then see one row per group. The three lookups
+    are one side (``price_side``), so the roll-up moves once to meet them. A missing price
     falls back to the last one in force on some usage day of the order and meter (``latest_prices``).
     """
     rolled = usage.groupBy(*keys).agg(F.sum(F.col("units") if units is None else units).alias("quantity"))
-    force, last = prices_in_force(usage, intervals), latest_prices(usage, intervals, as_of)
-    known = known_orders.select("order_id").distinct().withColumn("is_known", F.lit(True))
-    wide = lookup(rolled, force, [(c, c) for c in ("order_id", "meter", "usage_date")])
-    wide = lookup(wide, known, [("order_id", "order_id")])
-    wide = lookup(wide, last, [("order_id", "order_id"), ("meter", "meter")])
-    state = states.price_state(
-        F.col("f_found").isNotNull(), F.col("f_discount"), F.col("f_price"), F.col("is_known").isNotNull()
-    )
+    # The days in use per order and meter, which all lookups start from, are worked out once.
+    days = stage(usage.select("order_id", "meter", "usage_date").distinct(), "used-days")
+    wide = lookup(rolled, price_side(days, intervals, known_orders, as_of), [("order_id", "order_id"), ("meter", "meter")])
+    force = F.try_element_at("by_day", F.col("usage_date"))
+    state = states.price_state(force.isNotNull(), force["f_discount"], force["f_price"], F.col("is_known").isNotNull())
     wide = wide.withColumn("state", state)
     fallback = states.priced_state(
         F.col("n_found").isNotNull(), F.col("n_discount"), F.col("n_price"), F.lit(states.MISSING_PRICE)
