@@ -19,12 +19,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stallbook.operators.hot import told_apart
 from stallbook.session import stage, tune
 
 # Rows per Arrow batch: about a thousand whole texts are in a Python worker at a time.
 BATCH_ROWS = 1000
 # Text bytes of a training sample; a single text of more than a hundredth is not sampled.
 SAMPLE_BYTES = 128_000_000
+# Characters of a text that order rows with one id, before its hash does.
+ORDER_CHARS = 64
 # Texts are worked off in pieces of about this many bytes: a piece shares its distinct words' work.
 PIECE_BYTES = 8_000_000
 
@@ -98,6 +101,17 @@ def total_bytes(df: DataFrame, column: str) -> int:
     return int(df.agg(F.sum(F.octet_length(column))).first()[0] or 0)
 
 
+def in_order(rows: DataFrame, key: str, text: str, parts: int) -> DataFrame:
+    """Rows dealt by ranges and sorted: by key, null first, for one key by the first characters of the text, then by its hash.
+
+    A range may end anywhere, also among rows with one key and among equal rows; whole texts never go to the driver.
+    """
+    told = told_apart(rows, "__mix", "__tell")
+    whole = F.coalesce(text, F.lit(""))
+    by = [F.col(key).asc(), F.left(whole, F.lit(ORDER_CHARS)), F.xxhash64(whole), F.col("__tell")]
+    return told.repartitionByRange(parts, *by).sortWithinPartitions(*by).drop("__mix", "__tell")
+
+
 def training_fold(key: str = "doc_id", folds: int = 5) -> F.Column:
     """True where a row may be learned from: crc32 of the id as text is not divisible by the number of folds."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % folds != 0

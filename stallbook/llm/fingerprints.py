@@ -7,7 +7,8 @@ resemblance and containment, one estimates the number of distinct shingles.
 
 Cases: a text of one to four words is one shingle of all its words; null, empty and wordless
 texts have the empty fingerprint, which resembles only itself; equal texts have equal
-fingerprints; the order of documents is by id, then text, a null id first.
+fingerprints; the order of documents is by id, a null id first, those with one id by the first
+characters of their text and then by its hash.
 """
 
 from __future__ import annotations
@@ -15,13 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stallbook.llm.common import prepare
+from stallbook.llm.common import in_order, prepare
+from stallbook.operators.hot import ID, PART, part_count
+from stallbook.session import stage
 
 K = 128
 SHINGLE_WORDS = 5
 SPAN = 2**48
-# Ranges of ids per shuffle partition: enough for an even deal, few enough for the driver.
-RANGES_PER_PARTITION = 4
+# Running numbers of rows have their part above so many bits.
+PART_SHIFT = 33
 
 
 def words(text: Column) -> Column:
@@ -76,59 +79,35 @@ def containment(a: Column, b: Column, k: int = K) -> Column:
     return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), common / distinct_count(a, k)))
 
 
-def id_ranges(documents: DataFrame, key: str, n: int) -> list[int]:
-    """At most n - 1 ascending ids that cut the rows into about n equal ranges."""
-    shares = [i / n for i in range(1, n)]
-    found = documents.agg(F.percentile_approx(key, shares, 20 * n).alias("cuts")).first()["cuts"] if shares else None
-    return sorted(set(found or []))
-
-
-def range_of(key: Column, cuts: list[int]) -> Column:
-    """Number of cuts at or below the key, searched in two levels; null is in range 0."""
-    if not cuts:
-        return F.lit(0)
-    step = max(1, int(len(cuts) ** 0.5))
-    groups = [cuts[i : i + step] for i in range(0, len(cuts), step)]
-    heads = F.array(*[F.lit(g[0]).cast("long") for g in groups])
-    chosen = F.greatest(F.size(F.filter(heads, lambda c: c <= key)), F.lit(1))
-    inner = F.array(*[F.array(*[F.lit(c).cast("long") for c in g]) for g in groups])
-    below = F.size(F.filter(F.element_at(inner, chosen), lambda c: c <= key))
-    return F.when(key.isNull(), F.lit(0)).otherwise((chosen - 1) * step + below)
-
-
 def with_next(documents: DataFrame, key: str, text: str, columns) -> DataFrame:
     """Each document beside the next one's text (after the last: the first) and derived columns.
 
     columns: {name: function of the working frame's `words` column} computed once per document;
-    the next document's come as next_<name>. The texts are shuffled once, by ranges of the id;
-    each range ends with a copy of the next range's first document.
+    the next document's come as next_<name>. The texts are laid out in order, in parts that end
+    anywhere, also among rows with one id; each part gets a copy of the next part's first document.
     """
-    spark = prepare(documents.sparkSession)
+    prepare(documents.sparkSession)
     rows = documents.select(F.col(key).cast("long").alias("key"), F.coalesce(text, F.lit("")).alias("text"))
-    cuts = id_ranges(rows, "key", RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.withColumn("part", range_of(F.col("key"), cuts)).withColumn("guard", F.lit(0))
-    # First document of each range: ids first, then the few rows that have them.
-    at = F.coalesce("key", F.lit(-(2**63)))
-    heads = rows.groupBy("part").agg(F.min(at).alias("head"))
-    named = heads.select(F.col("part").alias("head_part"), "head")
-    # One id per range, and the number of ranges is set above: a bounded broadcast.
-    first = rows.join(F.broadcast(named), (F.col("head_part") == F.col("part")) & (F.col("head") == at))
-    first = first.groupBy("head_part").agg(F.min("text").alias("text"))
-    order = Window.orderBy("part")
+    placed = in_order(rows, "key", "text", part_count(rows)).withColumn(ID, F.monotonically_increasing_id())
+    # Written once: a layout made twice would be cut in other places.
+    placed = stage(placed.withColumn(PART, F.shiftright(ID, PART_SHIFT)), "ordered-texts")
+    heads = placed.where(F.col(ID) == F.shiftleft(F.col(PART), PART_SHIFT)).select(PART, "text")
+    order = Window.orderBy(PART)
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # One row per range, so one task orders them all.
-    follows = heads.select("part", F.coalesce(F.lead("part").over(order), F.first("part").over(whole)).alias("follower"))
-    guards = first.join(F.broadcast(follows), F.col("head_part") == F.col("follower")).select(
-        F.lit(None).cast("long").alias("key"), "text", "part", F.lit(1).alias("guard")
+    # One short row per part, so one task orders them all.
+    before = heads.select(F.col(PART).alias("head"), F.coalesce(F.lag(PART).over(order), F.last(PART).over(whole)).alias("before"))
+    guards = heads.join(before, F.col("head") == F.col(PART)).select(
+        F.lit(None).cast("long").alias("key"), "text", F.lit(2**63 - 1).alias(ID), F.col("before").alias(PART)
     )
-    both = rows.select("key", "text", "part", "guard").unionByName(guards).withColumn("words", words(F.col("text")))
+    # Moved before sketches are made, which are as long as many a text.
+    both = placed.select("key", "text", ID, PART).unionByName(guards).repartition(PART).withColumn("words", words(F.col("text")))
     for name, make in columns.items():
         both = both.withColumn(name, make("words"))
     both = both.drop("words")
-    own = Window.partitionBy("part").orderBy("guard", "key", "text")
+    own = Window.partitionBy(PART).orderBy(ID)
     for name in ["text", *columns]:
         both = both.withColumn(f"next_{name}", F.lead(name).over(own))
-    return both.where("guard = 0").drop("guard", "part")
+    return both.where(F.col(ID) < 2**63 - 1).drop(ID, PART)
 
 
 def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text", k: int = K) -> DataFrame:

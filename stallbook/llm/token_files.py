@@ -9,9 +9,10 @@ parts are written side by side without knowing of each other.
 
 A task that runs twice writes under another name; only names in the manifest count.
 
-Cases: null and empty texts are the end id alone; documents are ordered by id and then by
-text, a null id first (kept as the smallest 64-bit number); repeated rows are documents of
-their own; an empty table gives no parts.
+Cases: null and empty texts are the end id alone; documents are ordered by id, a null id first
+(kept as the smallest 64-bit number), those with one id by the first characters of their text and
+then by its hash, and are cut into parts also among them; repeated rows are documents of their
+own; an empty table gives no parts.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallbook.llm.common import (
-    SPACED, WordIds, pieces, prepare,
+    SPACED, WordIds, in_order, pieces, prepare,
     split_words, texts_of, tidied, total_bytes, translated,
 )
 from stallbook.session import scratch_path, stage
@@ -164,8 +165,7 @@ def write_tokens(documents: DataFrame, tokenizer_path: str, end_id: int, folder:
                                                            ("width", pa.int32()), ("ids_file", pa.string()), ("index_file", pa.string())]))
 
     ordered = documents.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    ordered = ordered.repartitionByRange(parts, "key").sortWithinPartitions("key", "text")
-    manifest = stage(ordered.mapInArrow(tidied(write), MANIFEST_SCHEMA), "token-manifest")
+    manifest = stage(in_order(ordered, "key", "text", parts).mapInArrow(tidied(write), MANIFEST_SCHEMA), "token-manifest")
     # One short row per part, so one task holds them all.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("long"))), folder
