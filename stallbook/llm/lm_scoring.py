@@ -18,7 +18,8 @@ question; the chunk scores its documents with them. So an n-gram travels once pe
 holds it, however often it occurs, a very common one is no more work than a rare one, and no
 task, and never the driver, holds more than its share of the model. N-grams are told apart by
 56-bit hashes. Documents are dealt by id and text, so the rows of a hot id and the copies of a text
-are spread over all chunks; only rows with one id and one text share a chunk.
+are spread over all chunks; only rows with one id and one text share a chunk. Texts move once, to
+their chunk: which ids are targets is found on pairs of chunk and id, without the texts.
 
 Cases: null, empty and wordless texts have no words and null losses; a row without id is no
 target and is scored; rows with one id are scored each and are all target if the id is; without
@@ -31,6 +32,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,6 +127,11 @@ def unpacked(data: bytes, width: int) -> np.ndarray:
     return out.view(">u8").ravel().astype(np.uint64)
 
 
+def among(ids: pa.ChunkedArray, known: pa.Array) -> np.ndarray:
+    """Whether each id, null never, is one of the known ones."""
+    return pc.and_(pc.is_in(ids, value_set=known), pc.is_valid(ids)).to_numpy().astype(bool)
+
+
 def scores(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document row: key, n_tokens, target_loss, background_loss and score, their difference.
 
@@ -133,23 +140,29 @@ def scores(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text:
     prepare(documents.sparkSession)
     chunks = max(1, math.ceil(total_bytes(documents, text) / CHUNK_BYTES))
     rows = documents.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    goal = targets.select(F.col(key).cast("long").alias("target")).where("target IS NOT NULL").distinct()
-    # Null-safe, so that the ids of the targets, grouped by id, don't make the documents be joined where a hot id can't be split.
-    rows = rows.join(goal, F.col("doc").eqNullSafe(F.col("target")), "left").withColumn("goal", F.col("target").isNotNull()).drop("target")
     # A function of the row alone: the chunk that asks and the one that is answered hold the same rows.
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc", "text"), F.lit(chunks)).cast("int"))
-
-    def chunk_of(rows: pa.Table) -> tuple[Chunk, np.ndarray]:
-        texts = texts_of(pa.RecordBatch.from_arrays([rows.column("text").combine_chunks()], names=["text"]))
-        target = rows.column("goal").to_numpy().astype(bool)
+    goal = targets.select(F.col(key).cast("long").alias("target")).where("target IS NOT NULL")
+    # One row per chunk and id, so an id has at most as many rows here as there are chunks.
+    held = rows.select(F.col("chunk").alias("holder"), F.col("doc").alias("held")).where("held IS NOT NULL").distinct()
+    goal = held.join(goal, F.col("held") == F.col("target"), "left_semi")
+
+    def chunk_of(group: pa.Table, targets: pa.Array) -> tuple[Chunk, np.ndarray]:
+        texts = texts_of(pa.RecordBatch.from_arrays([group.column("text").combine_chunks()], names=["text"]))
+        target = among(group.column("doc"), targets)
         return Chunk(texts, target, chunks), target
 
-    def ask(group: pa.Table) -> pa.Table:
+    def ask(left: pa.Table, right: pa.Table) -> pa.Table:
         release()
-        number = group.column("chunk")[0].as_py()
-        out = [(number, *message) for message in chunk_of(group)[0].messages()]
-        types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["chunk", "bucket", "keys", "everywhere", "in_target"])
+        goals = right.column("held").combine_chunks()
+        number = left.column("chunk")[0].as_py()
+        # The chunk's target ids come back with the answer of one bucket.
+        out, ids = [], goals.to_numpy(zero_copy_only=False).astype(np.int64).tobytes()
+        for message in chunk_of(left, goals)[0].messages():
+            out.append((number, *message, b"" if out else ids))
+        types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
+                                    names=["chunk", "bucket", "keys", "everywhere", "in_target", "targets"])
 
     def add(group: pa.Table) -> pa.Table:
         release()
@@ -160,21 +173,25 @@ def scores(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text:
         cuts = np.cumsum([len(own) for own in lists])[:-1]
         sums = [np.split(np.bincount(place, np.concatenate(c))[place].astype(np.uint64), cuts) for c in (every, inside)]
         return pa.Table.from_arrays(
-            [group.column("chunk"), group.column("bucket"), *[pa.array([packed(x, 6) for x in own], pa.binary()) for own in sums]],
-            names=["chunk", "bucket", "everywhere", "in_target"])
+            [group.column("chunk"), group.column("bucket"), group.column("targets"),
+             *[pa.array([packed(x, 6) for x in own], pa.binary()) for own in sums]],
+            names=["chunk", "bucket", "targets", "everywhere", "in_target"])
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         release()
         right = right.sort_by("bucket")
         sums = [np.concatenate([unpacked(c, 6) for c in right.column(n).to_pylist()]).astype(float) for n in ("everywhere", "in_target")]
-        chunk, target = chunk_of(left)
+        ids = np.frombuffer(b"".join(right.column("targets").to_pylist()), np.int64)
+        chunk, target = chunk_of(left, pa.array(ids, pa.int64()))
         goal_loss, base_loss = chunk.losses(*sums, target)
         none = chunk.n == 0
         return pa.Table.from_arrays([left.column("doc"), pa.array(chunk.n, pa.int64()), pa.array(goal_loss, pa.float64(), mask=none),
                                      pa.array(base_loss, pa.float64(), mask=none)], names=["doc", "n_tokens", "target_loss", "background_loss"])
 
-    asked = rows.groupBy("chunk").applyInArrow(ask, "chunk int, bucket int, keys binary, everywhere binary, in_target binary")
-    added = asked.groupBy("bucket").applyInArrow(add, "chunk int, bucket int, everywhere binary, in_target binary")
+    asked = rows.groupBy("chunk").cogroup(goal.groupBy("holder")).applyInArrow(
+        ask, "chunk int, bucket int, keys binary, everywhere binary, in_target binary, targets binary"
+    )
+    added = asked.groupBy("bucket").applyInArrow(add, "chunk int, bucket int, targets binary, everywhere binary, in_target binary")
     scored = rows.groupBy("chunk").cogroup(added.groupBy("chunk")).applyInArrow(answer, SCHEMA)
     return scored.select(
         F.col("doc").alias(key), "n_tokens", "target_loss", "background_loss",
