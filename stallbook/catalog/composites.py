@@ -246,7 +246,7 @@ LEFT JOIN special ON is_special AND any_size[5] = series AND z_cores = q_cores
 LEFT JOIN plain ON NOT is_special AND any_size = p_size_name AND coalesce(replace(lower(z_family), 'iaas - ', ''), 'linux') = p_kind""",
 )
 def x_usage_fact_final(t: Tables):
-    rows = _fact_usage(t)
+    rows = stage(_fact_usage(t), "fact-usage")
     order_rows = t.orders.select(
         F.col("o_orderkey").cast("string").alias("row_key"),
         F.concat(F.lit("S"), F.col("o_custkey").cast("string")).alias("subscription_id"),
@@ -254,7 +254,7 @@ def x_usage_fact_final(t: Tables):
         F.concat(F.lit("V"), F.col("o_custkey").cast("string")).alias("vm_id"),
     )
     sizes = usage.first_known_sizes(
-        rows, ["row_key", "uri", "meter"], ["vm_size", "usage_date", "os_name", "os_family", "cores"]
+        usage.blind_keyed(rows), usage.SIZE_KEYS, ["vm_size", "usage_date", "os_name", "os_family", "cores"]
     )
     promo = F.col("p_type") == "PROMO"
     letter = F.substring("p_name", 1, 1)

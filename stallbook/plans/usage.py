@@ -322,6 +322,20 @@ def first_known_sizes(usage: DataFrame, keys: list[str], take: list[str]) -> Dat
     return one.select(*keys, *take)
 
 
+# A size is looked up by machine, resource and meter; the latter two as ``blind_keys`` makes them.
+SIZE_KEYS = ["row_key", "uri_key", "meter_key"]
+
+
+def blind_keys() -> dict[str, Column]:
+    """Resource and meter as keys: case-blind, null and empty alike."""
+    return {f"{c}_key": F.coalesce(F.lower(c), F.lit("")) for c in ("uri", "meter")}
+
+
+def blind_keyed(df: DataFrame) -> DataFrame:
+    """Add the blind keys that are not there yet."""
+    return df.withColumns({c: e for c, e in blind_keys().items() if c not in df.columns})
+
+
 def os_family(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), OS_FAMILY_PREFIX, "")
 
@@ -352,7 +366,7 @@ class FactLookups:
     """Frames of the final fact.
 
     * orders: row_key, subscription_id, cancelled (null = not cancelled), vm_id
-    * sizes: row_key, uri, meter, usage_date, vm_size, os_name, os_family, cores
+    * sizes: row_key, uri, meter (or their ``blind_keys``), usage_date, vm_size, os_name, os_family, cores
     * prices: vm_size, vm_type, series, cores, tier, price
     """
 
@@ -366,18 +380,18 @@ def usage_fact(usage: DataFrame, lookups: FactLookups, special_pattern: str = OR
 
     Equal usage rows count once. Every lookup has one row per key as it is joined (sizes: case-blind,
     null and empty alike), so no usage row becomes two and no quantity is counted twice.
+
+    Usage moves twice: by the keys of the sizes, where equal rows meet as well, and by row_key to the orders.
     """
-    usage = usage.distinct()
     orders = newest(lookups.orders, ["row_key"], [Sort("subscription_id"), Sort("vm_id")]).select(
         F.col("row_key").alias("o_key"), F.col("subscription_id").alias("o_subscription"), "cancelled",
         F.col("vm_id").alias("o_vm"),
     )
-    blind = {c: F.coalesce(F.lower(c), F.lit("")) for c in ("uri", "meter")}
     rest = [Sort(c) for c in ("vm_size", "os_name", "os_family", "cores")]
-    sizes = newest(lookups.sizes, ["row_key", *blind.values()], [Sort("usage_date"), *rest]).select(
-        F.col("row_key").alias("z_key"), *[e.alias(f"z_{c}") for c, e in blind.items()],
-        F.col("vm_size").alias("z_size"), F.col("os_name").alias("z_os"), F.col("os_family").alias("z_family"),
-        F.col("cores").alias("z_cores"),
+    # Sizes that were ranked by these keys lie by them already, so neither this rank nor the join moves them.
+    sizes = newest(blind_keyed(lookups.sizes), SIZE_KEYS, [Sort("usage_date"), *rest]).select(
+        *[F.col(c).alias(f"z_{c}") for c in SIZE_KEYS], F.col("vm_size").alias("z_size"), F.col("os_name").alias("z_os"),
+        F.col("os_family").alias("z_family"), F.col("cores").alias("z_cores"),
     )
     plain = newest(
         lookups.prices.where(F.lower("vm_type") != ORACLE_PRICE_TYPE), ["vm_size", "vm_type"], [Sort("price")]
@@ -388,16 +402,15 @@ def usage_fact(usage: DataFrame, lookups: FactLookups, special_pattern: str = OR
         F.col("series").alias("q_series"), F.col("cores").alias("q_cores"), F.col("tier").alias("q_tier"),
         F.col("price").alias("q_price"),
     )
-    keys = [e == F.col(f"z_{c}") for c, e in blind.items()]
-    wide = usage.join(orders, F.col("row_key") == F.col("o_key"), "left").join(
-        sizes, [F.col("row_key") == F.col("z_key"), *keys], "left"
-    )
+    on = [F.col("row_key") == F.col("z_row_key"), *[e == F.col(f"z_{c}") for c, e in blind_keys().items()]]
+    # Equal rows lie together by these keys already.
+    wide = blind_keyed(usage.join(sizes, on, "left").drop(*[f"z_{c}" for c in SIZE_KEYS])).distinct()
     is_special = text.like_any_case(F.col("z_os"), special_pattern)
     size = F.coalesce("vm_size", "z_size")
     wide = guarded_lookup(
         wide, is_special,
         (special, [
-            F.substring(F.split(size, "_").getItem(1), 1, 1) == F.col("q_series"),
+            F.substring(F.get(F.split(size, "_"), F.lit(1)), 1, 1) == F.col("q_series"),
             F.col("z_cores") == F.col("q_cores"), special_tier(F.col("z_os")) == F.col("q_tier"),
         ]),
         (plain, [
@@ -406,19 +419,14 @@ def usage_fact(usage: DataFrame, lookups: FactLookups, special_pattern: str = OR
         ]),
     )
     price = F.when(is_special, F.col("q_price")).otherwise(F.col("p_price"))
-    return wide.withColumns(
-        {
-            "vm_size": size,
-            "subscription_id": F.col("o_subscription"),
-            "vm_id": F.col("o_vm"),
-            "after_cancel": times.after_cancel(F.col("usage_date"), F.col("cancelled")),
-            "default_price": price,
-            "influenced_cost": F.col("quantity") * price,
-        }
-    ).drop(
-        "o_key", "o_subscription", "o_vm", "cancelled", "z_key", "z_uri", "z_meter", "z_size", "z_os", "z_family",
-        "z_cores", "q_series", "q_cores", "q_tier", "q_price", "p_size", "p_type", "p_price",
-    )
+    priced = wide.withColumns({"vm_size": size, "default_price": price}).select(*usage.columns, "default_price")
+    added = {
+        "subscription_id": F.col("o_subscription"), "vm_id": F.col("o_vm"),
+        "after_cancel": times.after_cancel(F.col("usage_date"), F.col("cancelled")),
+    }
+    names = [*usage.columns, *[c for c in added if c not in usage.columns], "default_price"]
+    found = lookup(priced, orders, [("row_key", "o_key")]).withColumns(added).select(*names)
+    return found.withColumn("influenced_cost", F.col("quantity") * F.col("default_price"))
 
 
 def usage_locations(usage: DataFrame, order: str, region: str, day: str, tie_breakers: list[str],
@@ -485,7 +493,7 @@ def usage_job(
     staged = store_steps(steps, staging, run_id)
     none = F.lit(None).cast("string")
     sizes = first_known_sizes(
-        staged.withColumns({"os_name": none, "os_family": none}), ["row_key", "uri", "meter"], ["vm_size", "usage_date", "os_name", "os_family", "cores"]
+        blind_keyed(staged).withColumns({"os_name": none, "os_family": none}), SIZE_KEYS, ["vm_size", "usage_date", "os_name", "os_family", "cores"]
     )
     fact = usage_fact(reflag_multi_resource(staged, multi_orders), FactLookups(orders, sizes, prices))
     whole = with_lineage(fact.withColumn("is_missing", F.coalesce("is_missing", F.lit(0))), run_id)

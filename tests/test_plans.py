@@ -252,6 +252,29 @@ def test_sizes_of_either_case_count_a_quantity_once(spark):
     assert {r.uri: r.vm_size for r in fact}[""] == "s3"
 
 
+def test_the_fact_moves_usage_by_size_keys_and_by_order_only(spark, tmp_path):
+    """Usage and sizes are shuffled by the size keys, usage and orders by row_key; no exchange by all columns for equal rows."""
+    schema = "row_key string, uri string, meter string, vm_size string, quantity double, usage_date date, uri_hash string, info string, cores int, state string, os_name string, os_family string"
+    day = date(2024, 1, 1)
+    data = [("k", "A", "m", "s1", 1.0, day, "h", "i", 2, "Paid", "linux", "linux")] * 2 + [(None, "A", "m", None, 1.0, day, "h", "i", 2, "Paid", None, None)] * 2
+    spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/usage")
+    used = spark.read.parquet(f"{tmp_path}/usage")
+    orders_in = spark.createDataFrame([("k", "S", None, "V")], "row_key string, subscription_id string, cancelled timestamp_ntz, vm_id string")
+    prices = spark.createDataFrame([("s1", "linux", "s", 2, "t", 3.0)], "vm_size string, vm_type string, series string, cores int, tier string, price double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = usage.first_known_sizes(usage.blind_keyed(used), usage.SIZE_KEYS, ["vm_size", "usage_date", "os_name", "os_family", "cores"])
+        fact = usage.usage_fact(used.drop("os_name", "os_family"), usage.FactLookups(orders_in, sizes, prices))
+        moves = fact._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        got = sorted((r.row_key or "", r.subscription_id, r.vm_size, r.influenced_cost) for r in fact.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == [("", None, None, None), ("k", "S", "s1", 3.0)]
+    # Usage twice, sizes once, orders twice; each of the two small price lists once, and usage once to meet each.
+    assert moves == 9
+
+
 def test_templates_name_multi_resource_orders(spark, rows):
     usage_rows = spark.createDataFrame(
         [("HTTP://A/1", "7", BASE), ("http://a/1", "8", BASE), ("http://b/2", "9", BASE), ("http://c/3", None, BASE)], "uri string, order_id string, start_ts timestamp_ntz"
