@@ -101,7 +101,7 @@ def x_usage_job(t: Tables):
         at = times.ntz("2024-06-01 00:00:00")
         return usage.priced_usage(rows, intervals, frames.known_orders(t), at, keys, money("units")).withColumn("tags", none)
 
-    steps = usage.UsageSteps(priced(True, None), priced(False, 7), core_usage.machine_profiles(composites.core_records(t)), composites.multi_rolled(t))
+    steps = usage.UsageSteps(priced(True, None), priced(False, 7), core_usage.machine_profiles(composites.core_records(t)), composites.multi_rolled(t)).staged()
     orders = t.customer.select(
         F.col("c_custkey").cast("string").alias("row_key"), F.concat(F.lit("S"), F.col("c_custkey").cast("string")).alias("subscription_id"),
         F.lit(None).cast("timestamp_ntz").alias("cancelled"), none.alias("vm_id"),

@@ -6,7 +6,7 @@ columns. Price intervals have: order_id, meter, discount, price, start_ts, end_t
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -196,6 +196,9 @@ def priced_usage(
     rolled = usage.groupBy(*keys).agg(F.sum(F.col("units") if units is None else units).alias("quantity"))
     # The days in use per order and meter, which all lookups start from, are worked out once.
     days = stage(usage.select("order_id", "meter", "usage_date").distinct(), "used-days")
+    # Only intervals of orders and meters in use are swept and ranked.
+    pairs = days.select("order_id", "meter").distinct()
+    intervals = stage(lookup(intervals, pairs, [("order_id", "order_id"), ("meter", "meter")], "left_semi"), "used-intervals")
     wide = lookup(rolled, price_side(days, intervals, known_orders, as_of), [("order_id", "order_id"), ("meter", "meter")])
     force = F.try_element_at("by_day", F.col("usage_date"))
     state = states.price_state(force.isNotNull(), force["f_discount"], force["f_price"], F.col("is_known").isNotNull())
@@ -465,6 +468,10 @@ class UsageSteps:
     profiles: DataFrame
     multi: DataFrame
 
+    def staged(self) -> UsageSteps:
+        """The same results worked out once, for runs that store them again."""
+        return UsageSteps(*[stage(getattr(self, f.name), f"step-{f.name}") for f in fields(self)])
+
     def rows(self) -> dict[str, DataFrame]:
         multi = self.multi.withColumns({"row_key": F.col("uri_hash"), "usage_type": F.lit(MULTI_USAGE), "is_core_image": F.lit(0), "is_vm_usage": F.lit(0)})
         return {
@@ -474,10 +481,13 @@ class UsageSteps:
 
 
 def store_steps(steps: UsageSteps, path: str, run_id: str) -> DataFrame:
-    """Write the steps into one fact, partitioned by run and step, and read the run back. A repeated run replaces its own rows."""
+    """Write the steps into one fact, partitioned by run and step, and read the run back. A repeated run replaces its own rows.
+
+    All rows of a step belong to one folder, so they are written as they lie.
+    """
     for step, rows in steps.rows().items():
         named = fact_rows(rows).withColumns({RUN: F.lit(run_id), STEP: F.lit(step)})
-        write_partitioned(named, path, [RUN, STEP])
+        named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN, STEP).parquet(path)
         spark = named.sparkSession
     return spark.read.schema(named.schema).parquet(path).where(F.col(RUN) == run_id).drop(RUN, STEP)
 

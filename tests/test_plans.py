@@ -275,6 +275,43 @@ def test_the_fact_moves_usage_by_size_keys_and_by_order_only(spark, tmp_path):
     assert moves == 9
 
 
+def test_only_intervals_of_orders_in_use_are_swept(spark, monkeypatch):
+    usage_rows = spark.createDataFrame([("o", "m", date(2024, 1, 2), 1.0)], "order_id string, meter string, usage_date date, units double")
+    intervals = spark.createDataFrame(
+        [(order, meter, "None", 1.0, at("01 00:00:00"), None) for order, meter in (("o", "m"), ("o", "other"), ("p", "m"), (None, "m"), ("o", None))],
+        "order_id string, meter string, discount string, price double, start_ts timestamp_ntz, end_ts timestamp_ntz",
+    )
+    swept, sweep = [], usage.interval_matches
+    monkeypatch.setattr(usage, "interval_matches", lambda points, held, *more: swept.append(held.count()) or sweep(points, held, *more))
+    known = spark.createDataFrame([("o",)], "order_id string")
+    got = usage.priced_usage(usage_rows, intervals, known, ntz("2026-01-01 00:00:00"), ["order_id", "meter", "usage_date"])
+    assert [(r.state, r.quantity) for r in got.collect()] == [("Paid", 1.0)] and swept == [1]
+
+
+def test_staged_steps_are_worked_out_once(spark, tmp_path):
+    from stallbook.plans import usage as u
+
+    worked = spark.sparkContext.accumulator(0)
+
+    def seen(rows):
+        for row in rows:
+            worked.add(1)
+            yield row
+
+    priced = spark.createDataFrame(
+        spark.createDataFrame([(1, "m", "http://A", None, 2.0)], "order_id long, meter string, uri string, tags string, quantity double").rdd.mapPartitions(seen),
+        "order_id long, meter string, uri string, tags string, quantity double",
+    )
+    profiles = spark.createDataFrame(
+        [("V1", "eu", 4, "A4", 1, 24, "d", "s", "p", BASE)],
+        "vm_id string, location string, vp_count int, size string, quantity_vms int, usage_hours int, data_source string, subscription_id string, publisher_name string, ts timestamp_ntz",
+    )
+    steps = u.UsageSteps(priced, priced, profiles, spark.createDataFrame([("h", "S1", 2.0)], "uri_hash string, vm_size string, quantity double")).staged()
+    for _ in range(2):
+        stored = u.store_steps(steps, f"{tmp_path}/s", "run-1")
+    assert stored.count() == 4 and worked.value == 2
+
+
 def test_templates_name_multi_resource_orders(spark, rows):
     usage_rows = spark.createDataFrame(
         [("HTTP://A/1", "7", BASE), ("http://a/1", "8", BASE), ("http://b/2", "9", BASE), ("http://c/3", None, BASE)], "uri string, order_id string, start_ts timestamp_ntz"
